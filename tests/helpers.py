@@ -1,0 +1,153 @@
+"""Small tickets with every awkward case, and a brute-force reading of them."""
+
+from __future__ import annotations
+
+import os
+import random
+from collections import defaultdict
+from datetime import date, datetime, timedelta
+
+HEADER = [
+    "ticket_id", "created_at", "resolved_at", "resolution_hours", "sla_hours", "sla_breached",
+    "priority", "category", "channel", "customer_tier", "status", "agent_id",
+]
+TICKET_DDL = (
+    "ticket_id string, created_at timestamp, resolved_at string, resolution_hours double, "
+    "sla_hours double, sla_breached boolean, priority string, category string, channel string, "
+    "customer_tier string, status string, agent_id string"
+)
+
+
+def ticket(**cells) -> dict:
+    row = dict.fromkeys(HEADER)
+    row.update(
+        ticket_id="t1", created_at=datetime(2023, 11, 1, 9, 30), sla_hours=24.0,
+        sla_breached=False, priority="Low", category="Billing", channel="Email",
+        customer_tier="Gold", status="Open", agent_id="a1",
+    )
+    row.update(cells)
+    return row
+
+
+def rows_of(tickets: list[dict]) -> list[tuple]:
+    return [tuple(t[c] for c in HEADER) for t in tickets]
+
+
+def random_tickets(seed: int, n: int = 300) -> list[dict]:
+    """A third of the tickets on one day, a third without an agent; some ids, days,
+    hours and flags missing, and some resolution dates that cannot be read."""
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        day = datetime(2023, 11, 3) if rng.random() < 0.33 else datetime(
+            2023, 11, rng.randint(1, 9)
+        )
+        created = day + timedelta(seconds=rng.randint(0, 86399))
+        hours = rng.choice([None, rng.randint(1, 20000) / 100, rng.random() * 100, 1 / 3])
+        resolved = None
+        if rng.random() < 0.7:
+            end = created + timedelta(hours=hours or 5)
+            resolved = f"{end.month}/{end.day}/{end:%y} {end.hour}:{end:%M}"
+            if rng.random() < 0.1:
+                resolved = rng.choice(["11/1/2023 8:15", "  ", "2023-11-01", "13/1/23 8:15"])
+        out.append(
+            ticket(
+                ticket_id=None if rng.random() < 0.05 else f"t{i}",
+                created_at=None if rng.random() < 0.05 else created,
+                resolved_at=resolved,
+                resolution_hours=hours,
+                sla_hours=rng.choice([None, 8.0, 24.0]),
+                sla_breached=rng.choice([None, True, False]),
+                priority=rng.choice([None, "Critical", "High", "high", "Low"]),
+                agent_id=None if rng.random() < 0.33 else f"a{rng.randint(1, 6)}",
+            )
+        )
+    return out
+
+
+def resolved_day(text: str | None) -> date | None:
+    try:
+        month, day, rest = text.split("/")
+        year, clock = rest.split(" ")
+        hour, minute = clock.split(":")
+        if len(year) != 2 or len(minute) != 2:
+            return None
+        return datetime(2000 + int(year), int(month), int(day), int(hour), int(minute)).date()
+    except (AttributeError, ValueError):
+        return None
+
+
+def mean(values: list[float]) -> float | None:
+    return sum(values) / len(values) if values else None
+
+
+def brute_features(tickets: list[dict]) -> dict:
+    days = defaultdict(list)
+    for t in tickets:
+        days[t["created_at"] and t["created_at"].date()].append(t)
+    out = {}
+    for day, group in days.items():
+        done = [t for t in group if t["resolved_at"] is not None]
+        breached = sum(t["sla_breached"] is True for t in group)
+        out[day] = (
+            len(group),
+            len(done),
+            len(group) - len(done),
+            mean([t["resolution_hours"] for t in done if t["resolution_hours"] is not None]),
+            breached / len(done) if done else None,
+        )
+    return out
+
+
+def brute_agent_load(tickets: list[dict], null_safe: bool) -> list[tuple]:
+    """The full outer join of the two aggregates, spelled out."""
+    assigned, resolved = defaultdict(list), defaultdict(list)
+    for t in tickets:
+        assigned[(t["created_at"] and t["created_at"].date(), t["agent_id"])].append(t)
+        if t["resolved_at"] is not None:
+            resolved[(resolved_day(t["resolved_at"]), t["agent_id"])].append(t)
+
+    def ids(group):
+        return sum(t["ticket_id"] is not None for t in group)
+
+    def left(group):
+        return ids(group), sum(t["resolved_at"] is None for t in group)
+
+    def right(group):
+        hours = [t["resolution_hours"] for t in group if t["resolution_hours"] is not None]
+        return ids(group), mean(hours), sum(t["sla_breached"] is True for t in group)
+
+    rows, matched = [], set()
+    for key, group in assigned.items():
+        can_match = null_safe or None not in key
+        a, r = left(group), (0, None, 0)
+        if can_match and key in resolved:
+            r = right(resolved[key])
+            matched.add(key)
+        rows.append((*key, a[0], r[0], r[1], r[2], a[1]))
+    for key, group in resolved.items():
+        if key not in matched:
+            r = right(group)
+            rows.append((*key, 0, r[0], r[1], r[2], 0))
+    return rows
+
+
+def in_order(rows) -> list[tuple]:
+    """Sorted, with floats at ten decimals so that two ways of adding compare equal."""
+    plain = [tuple(round(v, 10) if isinstance(v, float) else v for v in row) for row in rows]
+    return sorted(plain, key=lambda r: tuple((v is None, str(v)) for v in r))
+
+
+def write_day(base: str, day: date, lines: list[str], header: str = ",".join(HEADER)) -> None:
+    folder = f"{base}/{day:%Y/%m}"
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{day}.csv", "w") as file:
+        file.write("\n".join([header, *lines]) + "\n")
+
+
+def csv_line(t: dict) -> str:
+    cells = []
+    for name in HEADER:
+        value = t[name]
+        cells.append("" if value is None else str(value))
+    return ",".join(cells)

@@ -27,6 +27,10 @@ def time_slice(df: DataFrame, column: str, start: date, stop: date) -> DataFrame
     )
 
 
+def rows_per_day(df: DataFrame, day: str = "created_date") -> DataFrame:
+    return df.groupBy(day).agg(F.count(F.lit(1)).alias("rows_loaded"))
+
+
 def rows_per_month(df: DataFrame, day: str = "created_date") -> DataFrame:
     return df.groupBy(F.trunc(day, "month").alias("month")).agg(
         F.count(F.lit(1)).alias("rows_loaded")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ticketloom.operators.calendar import month_bounds
@@ -48,6 +48,10 @@ def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+def _calendar(store: TicketStore, days: Column) -> DataFrame:
+    return store.spark.range(1).select(F.explode(days).alias("simulation_date"))
+
+
 # -- progress ------------------------------------------------------------------
 
 
@@ -77,12 +81,8 @@ def day_has_raw_rows(store: TicketStore, day: date) -> bool:
 
 def unrecorded_days(store: TicketStore, start: date, end: date) -> DataFrame:
     """Days of ``start..end`` that have no progress row."""
-    calendar = store.spark.range(1).select(
-        F.explode(F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 day"))).alias(
-            "simulation_date"
-        )
-    )
-    return calendar.join(store.rows("ingestion_state"), "simulation_date", "left_anti")
+    every_day = F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 day"))
+    return _calendar(store, every_day).join(store.rows("ingestion_state"), "simulation_date", "left_anti")
 
 
 def ingestion_log(store: TicketStore) -> DataFrame:
@@ -96,14 +96,19 @@ def _record(store: TicketStore, days: Sequence[date], at: datetime) -> None:
     loaded = (
         store.rows("day_partials", days)
         .where(F.col("side") == CREATED)
-        .groupBy(F.col("source_date").alias("simulation_date"))
-        .agg(F.sum("tickets").alias("rows_ingested"))
+        .select(F.col("source_date").alias("simulation_date"), "tickets")
+    )
+    # Every asked-for day gets a row, also one without tickets.
+    asked = _calendar(store, F.array(*[F.lit(d) for d in days])).withColumn(
+        "tickets", F.lit(0).cast("bigint")
     )
-    wanted = store.spark.createDataFrame([(d,) for d in days], "simulation_date date")
-    state = wanted.join(loaded, "simulation_date", "left").select(
-        "simulation_date",
-        F.lit(at).cast("timestamp").alias("ingestion_timestamp"),
-        F.coalesce("rows_ingested", F.lit(0)).alias("rows_ingested"),
+    state = (
+        asked.unionByName(loaded)
+        .groupBy("simulation_date")
+        .agg(
+            F.lit(at).cast("timestamp").alias("ingestion_timestamp"),
+            F.sum("tickets").alias("rows_ingested"),
+        )
     )
     store.replace_days("ingestion_state", state.coalesce(1), days)
 

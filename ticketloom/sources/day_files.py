@@ -14,8 +14,14 @@ from pyspark.sql import types as T
 from ticketloom.operators.calendar import month_bounds, time_slice
 from ticketloom.schema import TICKET_TYPES
 
-# Quotes inside a field are doubled, as CSV writers other than Spark do by default.
-_CSV = {"header": True, "escape": '"'}
+# Quotes inside a field are doubled, as CSV writers other than Spark do by default,
+# and spaces are kept: a ticket with a blank resolution text is not an open one.
+_CSV = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 # Full microseconds; Spark's own default keeps only milliseconds.
 _MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
