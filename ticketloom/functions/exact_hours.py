@@ -11,30 +11,30 @@ times faster than summing decimals.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Callable
 
-_MILLION = 1_000_000
 
-
-def split_hours(hours: Column) -> dict[str, Column]:
-    """The summable parts of one hours value (null counts nothing).
+def split_hours(hours: str) -> dict[str, str]:
+    """SQL of the summable parts of one hours column (null counts nothing).
 
     Values too large for a bigint of millionths, infinities and NaN go through
     the left-over alone, where they act as in a plain double sum.
     """
-    micros = F.coalesce(F.rint(hours * _MILLION).try_cast("bigint"), F.lit(0).cast("bigint"))
-    whole = F.floor(micros / F.lit(_MILLION).cast("double")).cast("bigint")
+    micros = f"coalesce(try_cast(rint({hours} * 1000000) AS BIGINT), 0L)"
     return {
-        "hours_n": F.when(hours.isNotNull(), 1).otherwise(0).cast("bigint"),
-        "hours_whole": whole,
-        "hours_micro": micros - whole * _MILLION,
-        "hours_rest": F.coalesce(hours - micros / F.lit(float(_MILLION)), F.lit(0.0)),
+        "hours_n": f"if({hours} IS NULL, 0L, 1L)",
+        "hours_whole": f"{micros} DIV 1000000",
+        "hours_micro": f"{micros} % 1000000",
+        "hours_rest": f"coalesce({hours} - {micros} / 1000000D, 0D)",
     }
 
 
-def mean_hours(n: Column, whole: Column, micro: Column, rest: Column) -> Column:
-    """The mean from summed parts; null when nothing was counted."""
-    fraction = micro.cast("decimal(20,0)") / F.lit(_MILLION).cast("decimal(7,0)")
-    total = (whole.cast("decimal(20,0)") + fraction).cast("double") + rest
-    return F.try_divide(total, n)
+def mean_hours(total: Callable[[str], str] = "sum({})".format) -> str:
+    """SQL of the mean over the parts; null when nothing was counted.
+
+    ``total`` gives the SQL that totals one part.
+    """
+    whole = f"CAST({total('hours_whole')} AS DECIMAL(20,0))"
+    micro = f"CAST({total('hours_micro')} AS DECIMAL(20,0))"
+    hours = f"CAST({whole} + {micro} / CAST(1000000 AS DECIMAL(7,0)) AS DOUBLE)"
+    return f"try_divide({hours} + {total('hours_rest')}, {total('hours_n')})"

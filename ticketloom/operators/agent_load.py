@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.functions.exact_hours import mean_hours
-from ticketloom.schema import CREATED
+from ticketloom.schema import CREATED, RESOLVED
 
 
 def assigned_per_agent(fact: DataFrame) -> DataFrame:
@@ -17,23 +17,17 @@ def assigned_per_agent(fact: DataFrame) -> DataFrame:
     )
 
 
-def _resolved_hours():
-    resolved = F.col("side") != CREATED
-    parts = ("hours_n", "hours_whole", "hours_micro", "hours_rest")
-    return mean_hours(*[F.sum(F.when(resolved, F.col(p)).otherwise(0)) for p in parts])
-
-
 def resolved_per_agent(rows: DataFrame) -> DataFrame:
     """Tickets an agent closed on a day, their mean hours and their breaches.
 
     Takes ticket rows or partial sums of them.
     """
     return (
-        rows.where(F.col("side") != CREATED)
+        rows.where(f"side = '{RESOLVED}'")
         .groupBy("ops_date", "agent_id")
         .agg(
             F.sum("ids").alias("tickets_resolved"),
-            _resolved_hours().alias("avg_resolution_hours"),
+            F.expr(f"{mean_hours()} AS avg_resolution_hours"),
             F.sum("breached").alias("sla_breaches"),
         )
     )
@@ -49,23 +43,24 @@ def daily_agent_load(rows: DataFrame, null_safe: bool = False) -> DataFrame:
 
     Takes ticket rows or partial sums of them, in any split.
     """
-    created = F.col("side") == CREATED
-    keys = [F.col("ops_date"), F.col("agent_id")]
-    if not null_safe:
-        no_match = F.col("ops_date").isNull() | F.col("agent_id").isNull()
-        keys.append(F.when(no_match, F.col("side")).alias("unmatched_side"))
 
-    def of_side(condition, measure):
-        return F.sum(F.when(condition, F.col(measure)).otherwise(0))
+    def assigned(measure):
+        return f"sum(if(side = '{CREATED}', {measure}, 0L))"
 
-    return (
-        rows.groupBy(*keys)
-        .agg(
-            of_side(created, "ids").alias("tickets_assigned"),
-            of_side(~created, "ids").alias("tickets_resolved"),
-            _resolved_hours().alias("avg_resolution_hours"),
-            of_side(~created, "breached").alias("sla_breaches"),
-            of_side(created, "open").alias("open_tickets_from_day"),
+    def resolved(measure):
+        return f"sum(if(side = '{RESOLVED}', {measure}, 0))"
+
+    keys = ["ops_date", "agent_id"]
+    if not null_safe:
+        rows = rows.selectExpr(
+            "*", "if(ops_date IS NULL OR agent_id IS NULL, side, NULL) AS unmatched_side"
         )
-        .drop("unmatched_side")
-    )
+        keys.append("unmatched_side")
+    measures = [
+        f"{assigned('ids')} AS tickets_assigned",
+        f"{resolved('ids')} AS tickets_resolved",
+        f"{mean_hours(resolved)} AS avg_resolution_hours",
+        f"{resolved('breached')} AS sla_breaches",
+        f"{assigned('open')} AS open_tickets_from_day",
+    ]
+    return rows.groupBy(*keys).agg(*map(F.expr, measures)).drop("unmatched_side")

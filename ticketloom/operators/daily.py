@@ -5,40 +5,42 @@ Each takes ticket rows or any partial sums of them (``ticket_days``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from ticketloom.functions.exact_hours import mean_hours
-from ticketloom.schema import CREATED
+from ticketloom.schema import CREATED, RESOLVED
 
+_RESOLVED_TICKETS = "sum(tickets - open)"
 
-def _creation_day(rows: DataFrame):
-    return rows.where(F.col("side") == CREATED).groupBy("ops_date")
+# The breach rate is all breached tickets over resolved ones: that is its
+# definition. It may exceed 1, and is null on a day with none resolved.
+_KPI = [
+    "sum(tickets) AS total_tickets",
+    f"{_RESOLVED_TICKETS} AS resolved_tickets",
+    "sum(open) AS open_tickets",
+    f"{mean_hours()} AS avg_tat",
+    f"try_divide(sum(breached), {_RESOLVED_TICKETS}) AS sla_breach_rate",
+]
+_BACKLOG = "sum(open) AS backlog_size"
 
 
-def _kpi_columns():
-    resolved = F.sum(F.col("tickets") - F.col("open"))
-    return [
-        F.sum("tickets").alias("total_tickets"),
-        resolved.alias("resolved_tickets"),
-        F.sum("open").alias("open_tickets"),
-        mean_hours(
-            F.sum("hours_n"), F.sum("hours_whole"), F.sum("hours_micro"), F.sum("hours_rest")
-        ).alias("avg_tat"),
-        # All breached tickets over resolved ones: this is the measure's
-        # definition, it may exceed 1, and it is null on a day with none resolved.
-        F.try_divide(F.sum("breached"), resolved).alias("sla_breach_rate"),
-    ]
+def _by_creation_day(rows: DataFrame) -> GroupedData:
+    return rows.where(f"side = '{CREATED}'").groupBy("ops_date")
+
+
+def _agg(groups: GroupedData, *measures: str) -> DataFrame:
+    return groups.agg(*map(F.expr, measures))
 
 
 def features_daily(rows: DataFrame) -> DataFrame:
     """Volume, turnaround and breach rate per creation day."""
-    return _creation_day(rows).agg(*_kpi_columns())
+    return _agg(_by_creation_day(rows), *_KPI)
 
 
 def backlog_daily(rows: DataFrame) -> DataFrame:
     """Tickets of each creation day that are still open."""
-    return _creation_day(rows).agg(F.sum("open").alias("backlog_size"))
+    return _agg(_by_creation_day(rows), _BACKLOG)
 
 
 def daily_aggregates(rows: DataFrame) -> DataFrame:
@@ -47,11 +49,8 @@ def daily_aggregates(rows: DataFrame) -> DataFrame:
     The distinct count is first reduced per (day, agent), so neither a hot day
     nor a hot agent collects its rows in one task.
     """
-    return _creation_day(rows).agg(
-        *_kpi_columns(),
-        F.sum("open").alias("backlog_size"),
-        F.count_distinct("agent_id").alias("distinct_agents"),
-    )
+    distinct_agents = "count(DISTINCT agent_id) AS distinct_agents"
+    return _agg(_by_creation_day(rows), *_KPI, _BACKLOG, distinct_agents)
 
 
 def running_backlog(rows: DataFrame) -> DataFrame:
@@ -61,14 +60,13 @@ def running_backlog(rows: DataFrame) -> DataFrame:
     running value is the true number of open tickets. The window sees one row per
     calendar day, after the distributed sum; its size does not grow with tickets.
     """
-    created = F.col("side") == CREATED
-    per_day = rows.groupBy("ops_date").agg(
-        F.sum(F.when(created, F.col("tickets")).otherwise(0)).alias("created_tickets"),
-        F.sum(F.when(created, 0).otherwise(F.col("tickets"))).alias("resolved_tickets"),
-    )
-    to_date = Window.orderBy(F.asc_nulls_last("ops_date")).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    per_day = _agg(
+        rows.groupBy("ops_date"),
+        f"sum(if(side = '{CREATED}', tickets, 0L)) AS created_tickets",
+        f"sum(if(side = '{RESOLVED}', tickets, 0L)) AS resolved_tickets",
     )
-    return per_day.withColumn(
-        "running_backlog", F.sum(F.col("created_tickets") - F.col("resolved_tickets")).over(to_date)
+    return per_day.selectExpr(
+        "*",
+        "sum(created_tickets - resolved_tickets) OVER (ORDER BY ops_date NULLS LAST "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_backlog",
     )

@@ -7,36 +7,25 @@ sums serves them all, in bulk and incrementally.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ticketloom.functions.exact_hours import split_hours
 from ticketloom.schema import CREATED, MEASURES, RESOLVED
 
-
-def _flag(condition: Column) -> Column:
-    return F.when(condition, 1).otherwise(0).cast("bigint")
-
-
-def _measures() -> list[Column]:
-    hours = split_hours(F.col("resolution_hours_clean"))
-    return [
-        F.lit(1).cast("bigint").alias("tickets"),
-        _flag(F.col("ticket_id").isNotNull()).alias("ids"),
-        _flag(~F.col("is_resolved")).alias("open"),
-        _flag(F.col("sla_breached")).alias("breached"),
-        *[column.alias(name) for name, column in hours.items()],
-    ]
+_MEASURE_SQL = {
+    "tickets": "1L",
+    "ids": "if(ticket_id IS NULL, 0L, 1L)",
+    "open": "if(is_resolved, 0L, 1L)",
+    "breached": "if(sla_breached, 1L, 0L)",
+    **split_hours("resolution_hours_clean"),
+}
+_MEASURES = [f"{_MEASURE_SQL[m]} AS {m}" for m in MEASURES]
 
 
 def created_rows(fact: DataFrame, *keep: str) -> DataFrame:
     """One row per ticket, on its creation day."""
-    return fact.select(
-        F.lit(CREATED).alias("side"),
-        F.col("created_date").alias("ops_date"),
-        "agent_id",
-        *_measures(),
-        *keep,
+    return fact.selectExpr(
+        f"'{CREATED}' AS side", "created_date AS ops_date", "agent_id", *_MEASURES, *keep
     )
 
 
@@ -46,18 +35,14 @@ def ticket_rows(fact: DataFrame, *keep: str) -> DataFrame:
     A resolved ticket whose resolution day cannot be read keeps its resolution
     row, with a null day.
     """
-    sides = F.explode(F.array(F.lit(CREATED), F.lit(RESOLVED))).alias("side")
-    created = F.col("side") == CREATED
     return (
-        fact.select("*", sides)
-        .where(created | F.col("is_resolved"))
-        .select(
+        fact.selectExpr("*", f"explode(array('{CREATED}', '{RESOLVED}')) AS side")
+        .where(f"side = '{CREATED}' OR is_resolved")
+        .selectExpr(
             "side",
-            F.when(created, F.col("created_date"))
-            .otherwise(F.col("resolved_date"))
-            .alias("ops_date"),
+            f"if(side = '{CREATED}', created_date, resolved_date) AS ops_date",
             "agent_id",
-            *_measures(),
+            *_MEASURES,
             *keep,
         )
     )
@@ -69,4 +54,4 @@ def sum_rows(rows: DataFrame, *keys: str) -> DataFrame:
     Map tasks pre-aggregate, so a key that holds a third of all rows still sends
     one row per task.
     """
-    return rows.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in MEASURES])
+    return rows.groupBy(*keys).sum(*MEASURES).toDF(*keys, *MEASURES)

@@ -110,7 +110,7 @@ def _record(store: TicketStore, days: Sequence[date], at: datetime) -> None:
             F.sum("tickets").alias("rows_ingested"),
         )
     )
-    store.replace_days("ingestion_state", state.coalesce(1), days)
+    store.replace_days("ingestion_state", state, days)
 
 
 # -- loading -------------------------------------------------------------------

@@ -47,8 +47,7 @@ def derive_days(store: TicketStore, days: Sequence[date]) -> None:
     def sums():
         by_agent = _laid_out(agent_partials(store.rows("fact_tickets", days)))
         store.replace_days("agent_partials", by_agent, days)
-        by_day = day_partials(store.rows("agent_partials", days)).coalesce(1)
-        store.replace_days("day_partials", by_day, days)
+        store.replace_days("day_partials", day_partials(store.rows("agent_partials", days)), days)
 
     run_together([risk, sums])
 
@@ -68,6 +67,6 @@ def derive_all(store: TicketStore) -> None:
 
     def sums():
         store.replace_all("agent_partials", _laid_out(agent_partials(store.rows("fact_tickets"))))
-        store.replace_all("day_partials", day_partials(store.rows("agent_partials")).coalesce(1))
+        store.replace_all("day_partials", day_partials(store.rows("agent_partials")))
 
     run_together([risk, sums])

@@ -11,11 +11,13 @@ partial sums, which makes a daily run cost one day, never history.
 
 from __future__ import annotations
 
+import functools
+import threading
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
+from pyspark import InheritableThread
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,10 +46,26 @@ def _either(days: Sequence[date]) -> str:
     return names[0] if len(names) == 1 else "{" + ",".join(names) + "}"
 
 
-def run_together(actions: list[Callable[[], object]], threads: int = 4) -> list:
-    """Independent Spark actions at the same time; the first failure is raised."""
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        return [f.result() for f in [pool.submit(a) for a in actions]]
+def run_together(actions: Sequence[Callable[[], object]], threads: int = 4) -> None:
+    """Independent Spark actions at the same time; the first failure is raised
+    when all have ended."""
+    free = threading.Semaphore(threads)
+    errors: list[BaseException] = []
+
+    def attempt(action: Callable[[], object]) -> None:
+        with free:
+            try:
+                action()
+            except BaseException as error:  # handed to the caller's thread
+                errors.append(error)
+
+    running = [InheritableThread(target=attempt, args=(action,)) for action in actions]
+    for thread in running:
+        thread.start()
+    for thread in running:
+        thread.join()
+    if errors:
+        raise errors[0]
 
 
 @dataclass(frozen=True)
@@ -142,11 +160,9 @@ class TicketStore:
         """Full plain-Parquet copies of finished tables for readers outside Spark,
         written at the same time. Returns where each one went."""
         targets = {name: f"{out}/{name}" for name in names}
-        run_together(
-            [
-                lambda n=name, t=target: self.table(n).write.mode("overwrite").parquet(t)
-                for name, target in targets.items()
-            ],
-            threads,
-        )
+
+        def copy(name: str) -> None:
+            self.table(name).write.mode("overwrite").parquet(targets[name])
+
+        run_together([functools.partial(copy, name) for name in names], threads)
         return targets

@@ -3,7 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+_SLA_HOURS = "element_at(array(8D, 24D, 48D, 72D), CAST(event_id % 4 + 1 AS INT))"
+_RESOLVED = "timestampadd(MINUTE, floor(value * 60), ts)"
+
+_COLUMNS = [
+    "event_id AS ticket_id",
+    "ts AS created_at",
+    f"CASE WHEN event_type <> 'error' THEN date_format({_RESOLVED}, 'M/d/yy H:mm') END"
+    " AS resolved_at",
+    "value AS resolution_hours",
+    f"{_SLA_HOURS} AS sla_hours",
+    f"value > {_SLA_HOURS} AS sla_breached",
+    "element_at(array('Critical', 'High', 'Medium', 'Low'), CAST(event_id % 4 + 1 AS INT))"
+    " AS priority",
+    "event_type AS category",
+    "element_at(array('Email', 'Chat', 'Phone'), CAST(user_id % 3 + 1 AS INT)) AS channel",
+    "if(user_id % 2 = 0, 'Gold', 'Silver') AS customer_tier",
+    "if(event_type = 'error', 'Open', 'Resolved') AS status",
+    "if(event_id % 50 <> 0, user_id % 25, NULL) AS agent_id",
+]
 
 
 def event_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -11,33 +30,4 @@ def event_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Ids stay bigint here, so the operators are exercised on ids that are not text.
     """
-    quarter = F.col("event_id") % 4
-    is_open = F.col("event_type") == "error"
-    resolved = F.timestamp_add("MINUTE", F.floor(F.col("value") * 60), F.col("ts"))
-    sla_hours = F.element_at(
-        F.array(*[F.lit(h) for h in (8.0, 24.0, 48.0, 72.0)]), (quarter + 1).cast("int")
-    )
-    return (
-        spark.read.parquet(f"{sf_dir}/events.parquet")
-        .select(
-            F.col("event_id").alias("ticket_id"),
-            F.col("ts").alias("created_at"),
-            F.when(~is_open, F.date_format(resolved, "M/d/yy H:mm")).alias("resolved_at"),
-            F.col("value").alias("resolution_hours"),
-            sla_hours.alias("sla_hours"),
-            (F.col("value") > sla_hours).alias("sla_breached"),
-            F.when(quarter == 0, "Critical")
-            .when(quarter == 1, "High")
-            .when(quarter == 2, "Medium")
-            .otherwise("Low")
-            .alias("priority"),
-            F.col("event_type").alias("category"),
-            F.when(F.col("user_id") % 3 == 0, "Email")
-            .when(F.col("user_id") % 3 == 1, "Chat")
-            .otherwise("Phone")
-            .alias("channel"),
-            F.when(F.col("user_id") % 2 == 0, "Gold").otherwise("Silver").alias("customer_tier"),
-            F.when(is_open, "Open").otherwise("Resolved").alias("status"),
-            F.when(F.col("event_id") % 50 != 0, F.col("user_id") % 25).alias("agent_id"),
-        )
-    )
+    return spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(*_COLUMNS)
