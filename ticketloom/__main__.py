@@ -97,6 +97,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> object:
 
 def main() -> int:
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
+    logging.getLogger("py4j").setLevel(logging.WARNING)
     args = parser().parse_args()
     spark = build_session()
     try:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,11 +50,11 @@ class DayFiles:
         names = [self._below_base(d) for d in days]
         return f"{self.base}/{names[0] if len(names) == 1 else '{' + ','.join(names) + '}'}"
 
-    def day_of(self, file: str) -> str:
-        """The day in a file's path, as text."""
+    def day_in(self, path: str) -> str:
+        """SQL of the day in a file's path."""
         if self.partitioned:
-            return file.rsplit("/", 2)[1].removeprefix("created_date=")
-        return file.rsplit("/", 1)[1][:10]
+            return f"right(substring_index(substring_index({path}, '/', -2), '/', 1), 10)"
+        return f"left(substring_index({path}, '/', -1), 10)"
 
     def month(self, year: int, month: int) -> str:
         if self.partitioned:
@@ -64,7 +64,7 @@ class DayFiles:
     def everything(self) -> str:
         return f"{self.base}/created_date=*" if self.partitioned else f"{self.base}/*/*/*.csv"
 
-    def source_day(self):
+    def source_day(self) -> Column:
         """The day a row's file stands for. It comes from the path, so it is known
         even where a ticket's own timestamp is not readable."""
         if self.partitioned:
@@ -111,6 +111,17 @@ def _scan(spark: SparkSession, files: DayFiles, path: str) -> DataFrame:
     )
 
 
+def _days_with_files(spark: SparkSession, files: DayFiles, days: Sequence[date]) -> set[str]:
+    """Which of the days have a file: a listing, no file is opened for it."""
+    try:
+        listing = spark.read.format("binaryFile").load(files.days(days))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return set()
+    return {row[0] for row in listing.selectExpr(files.day_in("path")).distinct().collect()}
+
+
 def read_days(
     spark: SparkSession, files: DayFiles, days: Sequence[date], skip_missing: bool = False
 ) -> DataFrame | None:
@@ -119,17 +130,11 @@ def read_days(
     A day without a file is an error, unless ``skip_missing``; then it has no rows,
     and the result is None when no day has a file.
     """
-    try:
-        rows = _scan(spark, files, files.days(days))
-        found = {files.day_of(path) for path in rows.inputFiles()}
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        rows, found = None, set()
+    found = _days_with_files(spark, files, days)
     missing = [str(d) for d in days if str(d) not in found]
     if missing and not skip_missing:
         raise FileNotFoundError(f"no ticket file under {files.base} for {', '.join(missing)}")
-    return rows
+    return _scan(spark, files, files.days(days)) if found else None
 
 
 def read_month(spark: SparkSession, files: DayFiles, year: int, month: int) -> DataFrame:
