@@ -4,11 +4,13 @@ from datetime import date, datetime, timedelta
 import pytest
 from helpers import HEADER, TICKET_DDL, csv_line, in_order, random_tickets, rows_of, ticket, write_day
 
+from ticketloom.__main__ import parser
+from ticketloom.__main__ import run as run_command
 from ticketloom.operators.agent_load import daily_agent_load
 from ticketloom.plans import jobs
 from ticketloom.plans.store import TicketStore
 from ticketloom.sources import day_files
-from ticketloom.streaming.ingest import start_fact_stream, streamed_facts
+from ticketloom.streaming.ingest import start_fact_stream, start_upkeep_stream, streamed_facts
 
 D1, D2, D3, D4 = (date(2023, 11, d) for d in (1, 2, 3, 4))
 TABLES = (
@@ -267,6 +269,10 @@ def test_backfill_reports_failed_months(files, new_store):
     result = jobs.backfill(store, files, 2023, 10, 12)
     assert result.rows_by_month == {"2023-11": 2}
     assert sorted(result.failed_months) == ["2023-10", "2023-12"]
+    put(files, D1)
+    assert jobs.backfill(store, files, 2023, 11, 11).rows_by_month == {"2023-11": 0}
+    assert store.table("tickets_raw").count() == 0
+    put(files, D2, on(D2), on(D2))
     assert jobs.backfill(store, files, 2023, 11, 11).rows == 2
     assert store.table("tickets_raw").count() == 2
 
@@ -293,6 +299,38 @@ def test_stream_takes_each_file_once(spark, files, tmp_path):
     assert streamed_facts(spark, root).count() == 6
 
 
+def test_arrivals_keep_tables_up(spark, files, new_store):
+    put(files, D3, on(D3, ticket_id="e", sla_breached=True))
+    store, whole = new_store(), new_store("whole")
+    start_upkeep_stream(store, files).awaitTermination()
+    assert recorded(store) == [(D3, 1)]
+    put_three_days(files)
+    for _ in range(2):
+        start_upkeep_stream(store, files, days_per_load=1).awaitTermination()
+    jobs.catch_up(whole, files, D1, D3)
+    assert contents(store) == contents(whole)
+
+
+def test_command_line(spark, files, new_store, tmp_path):
+    put_three_days(files)
+    store = new_store()
+
+    def run(*words):
+        return run_command(spark, parser().parse_args(words))
+
+    there = ["--files", files.base, "--store", store.root]
+    assert run("daily", *there).rows == 2
+    assert run("daily", *there, "--date", "2023-11-03").day == D3
+    assert run("catch-up", *there, "--end", "2023-11-04", "--skip-missing") == [D2, D4]
+    run("reset", "--store", store.root, "--date", "2023-11-01")
+    assert run("backfill", *there, "--year", "2023", "--start-month", "11", "--end-month", "11").rows == 5
+    published = run("rebuild", "--store", store.root, "--publish", str(tmp_path / "out"))
+    assert spark.read.parquet(published["features_daily"]).count() == 3
+    extract = f"{files.base}/2023/11/2023-11-01.csv"
+    split = run("export", "--extract", extract, "--to", str(tmp_path / "days"), "--year", "2023")
+    assert day_files.read_all_days(spark, split).count() == 2
+
+
 def test_agents_file(spark, tmp_path):
     (tmp_path / "agents.csv").write_text("agent_id,name\n007,Ada\n")
     assert day_files.read_agents(spark, str(tmp_path / "agents.csv")).first() == ("007", "Ada")

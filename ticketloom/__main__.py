@@ -17,7 +17,7 @@ from ticketloom.plans.store import TicketStore
 from ticketloom.schema import FIRST_DAY, LAST_DAY
 from ticketloom.session import build_session
 from ticketloom.sources.day_files import DayFiles, export_days, read_extract
-from ticketloom.streaming.ingest import start_fact_stream
+from ticketloom.streaming.ingest import start_fact_stream, start_upkeep_stream
 
 
 def parser() -> argparse.ArgumentParser:
@@ -68,6 +68,7 @@ def parser() -> argparse.ArgumentParser:
     stream = command("stream", "clean every new day file once into a fact table", files=True)
     stream.add_argument("--to", required=True)
     stream.add_argument("--files-per-batch", type=int)
+    command("upkeep-stream", "load every day whose file is new", files=True, store=True)
     return top
 
 
@@ -93,6 +94,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> object:
             query = start_fact_stream(spark, files, args.to, args.files_per_batch)
             query.awaitTermination()
             return query.lastProgress and query.lastProgress["numInputRows"]
+        case "upkeep-stream":
+            return start_upkeep_stream(store, files).awaitTermination()
 
 
 def main() -> int:

@@ -24,11 +24,13 @@ def day_partials(agent_sums: DataFrame) -> DataFrame:
 
 
 def _laid_out(agent_sums: DataFrame) -> DataFrame:
-    """Few files per source day, sorted so that a filter on the day skips row groups.
-    AQE splits a source day that is too large for one task."""
-    return agent_sums.hint("rebalance", "source_date").sortWithinPartitions(
-        "source_date", "ops_date", "agent_id"
-    )
+    """Few files per source day. AQE splits a day that is too large for one task."""
+    return agent_sums.hint("rebalance", "source_date")
+
+
+def _sorted(agent_sums: DataFrame) -> DataFrame:
+    """Sorted within files, so that a filter on the day skips row groups."""
+    return agent_sums.sortWithinPartitions("source_date", "ops_date", "agent_id")
 
 
 def derive_days(store: TicketStore, days: Sequence[date]) -> None:
@@ -45,8 +47,9 @@ def derive_days(store: TicketStore, days: Sequence[date]) -> None:
         store.replace_days("ticket_sla_risk", ticket_sla_risk(fact, ("source_date",)), days)
 
     def sums():
-        by_agent = _laid_out(agent_partials(store.rows("fact_tickets", days)))
-        store.replace_days("agent_partials", by_agent, days)
+        by_agent = agent_partials(store.rows("fact_tickets", days))
+        by_agent = by_agent if len(days) == 1 else _laid_out(by_agent)
+        store.replace_days("agent_partials", _sorted(by_agent), days)
         store.replace_days("day_partials", day_partials(store.rows("agent_partials", days)), days)
 
     run_together([risk, sums])
@@ -66,7 +69,8 @@ def derive_all(store: TicketStore) -> None:
         store.replace_all("ticket_sla_risk", ticket_sla_risk(fact, ("source_date",)))
 
     def sums():
-        store.replace_all("agent_partials", _laid_out(agent_partials(store.rows("fact_tickets"))))
+        by_agent = _laid_out(agent_partials(store.rows("fact_tickets")))
+        store.replace_all("agent_partials", _sorted(by_agent))
         store.replace_all("day_partials", day_partials(store.rows("agent_partials")))
 
     run_together([risk, sums])

@@ -148,6 +148,12 @@ FROM days"""
 _LOAD_TEXT_IDS = _agent_load(_EQUAL, _EITHER_AGENT_TEXT)
 _RISK_TEXT_IDS = _risk(_TICKET_ID, _AGENT_ID)
 
+_LOG = f"""WITH {_FACT}
+SELECT created_date AS simulation_date,
+  TIMESTAMP '2024-03-01 00:00:00' AS ingestion_timestamp,
+  count(*) AS rows_ingested
+FROM fact GROUP BY created_date"""
+
 ORACLE_SQL: dict[str, str] = {
     "ticket_source": f"WITH {_TICKETS} SELECT * FROM tickets",
     "fact_tickets": f"WITH {_FACT} SELECT * FROM fact",
@@ -198,11 +204,7 @@ FROM tickets GROUP BY tickets.agent_id""",
     "upkeep_daily_agent_load": _LOAD_TEXT_IDS,
     "upkeep_agent_load_null_safe": _agent_load(_SAME, _EITHER_AGENT_TEXT),
     "upkeep_ticket_sla_risk": _RISK_TEXT_IDS,
-    "ingestion_log": f"""WITH {_FACT}
-SELECT created_date AS simulation_date,
-  TIMESTAMP '2024-03-01 00:00:00' AS ingestion_timestamp,
-  count(*) AS rows_ingested
-FROM fact GROUP BY created_date""",
+    "ingestion_log": _LOG,
     "next_day": f"""WITH {_FACT}
 SELECT CAST(max(created_date) + INTERVAL 1 DAY AS DATE) AS next_day FROM fact""",
     "unrecorded_days": f"""WITH {_FACT},
@@ -217,4 +219,6 @@ WHERE CAST(d.day AS DATE) NOT IN (SELECT created_date FROM fact)""",
     "repaired_daily_agent_load": _LOAD_TEXT_IDS,
     "stream_fact_tickets": _FACT_TEXT_IDS,
     "stream_features_daily": _FEATURES,
+    "arrivals_daily_agent_load": _LOAD_TEXT_IDS,
+    "arrivals_ingestion_state": _LOG,
 }

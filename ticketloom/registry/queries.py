@@ -23,7 +23,7 @@ from ticketloom.plans.store import TicketStore
 from ticketloom.session import apply_job_conf, new_work_dir
 from ticketloom.sources import day_files
 from ticketloom.sources.event_tickets import event_tickets
-from ticketloom.streaming.ingest import start_fact_stream, streamed_facts
+from ticketloom.streaming.ingest import start_fact_stream, start_upkeep_stream, streamed_facts
 
 LOADED_AT = datetime(2024, 3, 1, tzinfo=timezone.utc)
 
@@ -289,6 +289,14 @@ def stream_features_daily(spark, sf_dir):
     return daily.features_daily(created_rows(streamed_facts(spark, _streamed(spark, sf_dir))))
 
 
+@_once_per_session
+def _kept_up_by_arrival(spark, sf_dir) -> TicketStore:
+    store = TicketStore(spark, f"{new_work_dir(spark, 'arrivals')}/tables")
+    for _ in range(2):
+        start_upkeep_stream(store, _files(spark, sf_dir), LOADED_AT).awaitTermination()
+    return store
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ticket_source": ticket_source,
     "fact_tickets": fact_tickets_query,
@@ -333,6 +341,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "repaired_daily_agent_load": _table(_repaired, "daily_agent_load"),
     "stream_fact_tickets": stream_fact_tickets,
     "stream_features_daily": stream_features_daily,
+    "arrivals_daily_agent_load": _table(_kept_up_by_arrival, "daily_agent_load"),
+    "arrivals_ingestion_state": _table(
+        _kept_up_by_arrival, "ingestion_state", "ingestion_timestamp"
+    ),
 }
 
 

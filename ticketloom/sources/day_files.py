@@ -24,8 +24,8 @@ _CSV = {
 }
 # Full microseconds; Spark's own default keeps only milliseconds.
 _MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-
-LINEAGE = ("_ingestion_ts", "_source_file", "source_date")
+# Fixed value: the columns of Spark's listing source.
+_LISTING_DDL = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 @dataclass(frozen=True)
@@ -171,6 +171,19 @@ def stream_days(spark: SparkSession, files: DayFiles, files_per_batch: int | Non
     )
 
 
+def stream_arrivals(spark: SparkSession, files: DayFiles) -> DataFrame:
+    """The days whose files arrive, as a stream with one row per file. Only the
+    listing is read, never a file's content."""
+    arrivals = (
+        spark.readStream.format("binaryFile")
+        .schema(_LISTING_DDL)
+        .option("maxFileAge", "36500d")
+        .option("pathGlobFilter", "*.csv")
+        .load(files.everything())
+    )
+    return arrivals.selectExpr(f"CAST({files.day_in('path')} AS DATE) AS day")
+
+
 def read_extract(spark: SparkSession, path: str) -> DataFrame:
     """A whole ticket extract, split over tasks by Spark, typed by name."""
     schema = _header_schema(spark, path)

@@ -1,13 +1,17 @@
-"""Day files as a stream into the fact table."""
+"""Day files as a stream: into a fact table, or as the trigger of table upkeep."""
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ticketloom.operators.clean import fact_tickets
+from ticketloom.plans import jobs
+from ticketloom.plans.store import TicketStore
 from ticketloom.schema import FACT_COLUMNS, TABLES
-from ticketloom.sources.day_files import DayFiles, stream_days
+from ticketloom.sources.day_files import DayFiles, stream_arrivals, stream_days
 
 
 def start_fact_stream(
@@ -37,3 +41,30 @@ def streamed_facts(spark: SparkSession, root: str) -> DataFrame:
     """The committed rows of the stream's sink."""
     rows = spark.read.schema(TABLES["fact_tickets"]).parquet(f"{root}/fact_tickets")
     return rows.select(*FACT_COLUMNS)
+
+
+def start_upkeep_stream(
+    store: TicketStore,
+    files: DayFiles,
+    ingested_at: datetime | None = None,
+    days_per_load: int = 31,
+) -> StreamingQuery:
+    """Bring every table up to date for the days whose files are new, then stop.
+
+    Instead of a cursor over the calendar, the arrival of a file decides which day
+    is loaded. A load takes the whole day, so a day that arrives in several files,
+    or a batch that is repeated after it broke off, ends in the same tables.
+    """
+
+    def load(batch: DataFrame, _batch_id: int) -> None:
+        days = [row.day for row in batch.distinct().orderBy("day").collect()]
+        for i in range(0, len(days), days_per_load):
+            jobs.load_days(store, files, days[i : i + days_per_load], ingested_at=ingested_at)
+
+    return (
+        stream_arrivals(store.spark, files)
+        .writeStream.foreachBatch(load)
+        .option("checkpointLocation", store.path("_arrivals"))
+        .trigger(availableNow=True)
+        .start()
+    )
