@@ -23,7 +23,7 @@ def clean_hours(resolved_at: Column, resolution_hours: Column) -> Column:
 
 def day_of_week(created_at: Column) -> Column:
     """Short English day name: Mon, Tue, ..."""
-    return F.date_format(created_at, "E")
+    return F.dayname(created_at)
 
 
 def is_high_priority(priority: Column) -> Column:

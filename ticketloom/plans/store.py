@@ -25,7 +25,7 @@ from ticketloom.operators.agent_load import daily_agent_load
 from ticketloom.operators.daily import backlog_daily, features_daily, running_backlog
 from ticketloom.schema import FACT_COLUMNS, PARTITIONS, STATE_SCHEMA, TABLES, TICKET_TYPES
 
-# Published column order of tables whose partition columns are stored last.
+# The published column order of the risk table.
 _RISK_COLUMNS = [
     "ticket_id", "created_at_ts", "created_date", "priority", "category", "agent_id",
     "resolution_hours_clean", "sla_hours", "sla_breached", "day_of_week", "hour_of_day",

@@ -158,8 +158,7 @@ ORACLE_SQL: dict[str, str] = {
     "ticket_source": f"WITH {_TICKETS} SELECT * FROM tickets",
     "fact_tickets": f"WITH {_FACT} SELECT * FROM fact",
     "resolved_tickets": f"WITH {_FACT} SELECT * FROM fact WHERE is_resolved",
-    "month_slice": f"""WITH {_TICKETS}
-SELECT * FROM tickets WHERE year(created_at) = 2024 AND month(created_at) = 1""",
+    "month_slice": f"WITH {_TICKETS} SELECT * FROM tickets WHERE month(created_at) IS NOT NULL",
     "features_daily": _FEATURES,
     "backlog_daily": _BACKLOG,
     "daily_aggregates": f"""WITH {_FACT}

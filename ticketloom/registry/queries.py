@@ -28,6 +28,38 @@ from ticketloom.streaming.ingest import start_fact_stream, start_upkeep_stream,
 LOADED_AT = datetime(2024, 3, 1, tzinfo=timezone.utc)
 
 
+# -- what the tables span --------------------------------------------------------
+
+
+def _once_per_session(build: Callable) -> Callable:
+    """Build once per Spark application and table directory."""
+    built: dict[tuple[str, str], object] = {}
+
+    @functools.wraps(build)
+    def get(spark: SparkSession, sf_dir: str):
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in built:
+            built[key] = build(spark, sf_dir)
+        return built[key]
+
+    return get
+
+
+@_once_per_session
+def _span(spark, sf_dir) -> tuple[date, date]:
+    created = F.to_date("created_at")
+    return tuple(event_tickets(spark, sf_dir).agg(F.min(created), F.max(created)).first())
+
+
+def _all_days(spark, sf_dir) -> list[date]:
+    first, last = _span(spark, sf_dir)
+    return [first + timedelta(days=i) for i in range((last - first).days + 1)]
+
+
+def _months(spark, sf_dir) -> list[tuple[int, int]]:
+    return sorted({(day.year, day.month) for day in _all_days(spark, sf_dir)})
+
+
 # -- operators on the ticket table ---------------------------------------------
 
 
@@ -48,9 +80,13 @@ def resolved_tickets(spark, sf_dir):
 
 
 def month_slice(spark, sf_dir):
-    return calendar.time_slice(
-        event_tickets(spark, sf_dir), "created_at", *calendar.month_bounds(2024, 1)
-    )
+    """Each month that has tickets, sliced on its own."""
+    tickets = event_tickets(spark, sf_dir)
+    slices = [
+        calendar.time_slice(tickets, "created_at", *calendar.month_bounds(year, month))
+        for year, month in _months(spark, sf_dir)
+    ]
+    return functools.reduce(DataFrame.unionByName, slices)
 
 
 def features_daily(spark, sf_dir):
@@ -108,35 +144,12 @@ def days_without_tickets(spark, sf_dir):
 # -- day files -----------------------------------------------------------------
 
 
-def _once_per_session(build: Callable) -> Callable:
-    """Build once per Spark application and table directory."""
-    built: dict[tuple[str, str], object] = {}
-
-    @functools.wraps(build)
-    def get(spark: SparkSession, sf_dir: str):
-        key = (spark.sparkContext.applicationId, sf_dir)
-        if key not in built:
-            built[key] = build(spark, sf_dir)
-        return built[key]
-
-    return get
-
-
 @_once_per_session
 def _files(spark, sf_dir) -> day_files.DayFiles:
     base = new_work_dir(spark, "day-files")
-    return day_files.export_days(event_tickets(spark, sf_dir), base, 2024)
-
-
-@_once_per_session
-def _span(spark, sf_dir) -> tuple[date, date]:
-    created = F.to_date("created_at")
-    return tuple(event_tickets(spark, sf_dir).agg(F.min(created), F.max(created)).first())
-
-
-def _all_days(spark, sf_dir) -> list[date]:
-    first, last = _span(spark, sf_dir)
-    return [first + timedelta(days=i) for i in range((last - first).days + 1)]
+    for year in sorted({year for year, _ in _months(spark, sf_dir)}):
+        files = day_files.export_days(event_tickets(spark, sf_dir), base, year)
+    return files
 
 
 def _plain_time(df: DataFrame, column: str) -> DataFrame:
@@ -159,7 +172,9 @@ def day_files_scan(spark, sf_dir):
 
 
 def month_files_scan(spark, sf_dir):
-    rows = day_files.read_month(spark, _files(spark, sf_dir), 2024, 1)
+    files = _files(spark, sf_dir)
+    months = [day_files.read_month(spark, files, *month) for month in _months(spark, sf_dir)]
+    rows = functools.reduce(DataFrame.unionByName, months)
     return _landed(day_files.with_ingestion_time(rows, LOADED_AT))
 
 
@@ -184,12 +199,10 @@ def agent_list_scan(spark, sf_dir):
 def _rebuilt(spark, sf_dir) -> tuple[TicketStore, dict[str, str]]:
     root = new_work_dir(spark, "bulk")
     store = TicketStore(spark, f"{root}/tables")
-    first, last = _span(spark, sf_dir)
-    result = jobs.backfill(
-        store, _files(spark, sf_dir), first.year, first.month, last.month, LOADED_AT
-    )
-    if result.failed_months:
-        raise RuntimeError(f"months not loaded: {result.failed_months}")
+    for year, month in _months(spark, sf_dir):
+        result = jobs.backfill(store, _files(spark, sf_dir), year, month, month, LOADED_AT)
+        if result.failed_months:
+            raise RuntimeError(f"months not loaded: {result.failed_months}")
     return store, jobs.rebuild(store, publish_to=f"{root}/published")
 
 
