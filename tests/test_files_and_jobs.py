@@ -277,6 +277,17 @@ def test_backfill_reports_failed_months(files, new_store):
     assert store.table("tickets_raw").count() == 2
 
 
+def test_columns_beyond_the_contract_are_landed(spark, files, new_store):
+    write_day(files.base, D1, [csv_line(on(D1)) + ",hello"], ",".join([*HEADER, "remark"]))
+    put(files, D2, on(D2))
+    store = new_store()
+    jobs.catch_up(store, files, D1, D1)
+    jobs.catch_up(store, files, D2, D2)
+    landed = spark.read.option("mergeSchema", True).parquet(store.path("tickets_raw"))
+    assert [r.remark for r in landed.orderBy("source_date").collect()] == ["hello", None]
+    assert store.table("tickets_raw").columns == [*HEADER, "_ingestion_ts", "_source_file"]
+
+
 def test_tables_by_name_in_sql(spark, files, new_store):
     put_three_days(files)
     store = new_store()

@@ -1,4 +1,6 @@
+import random
 from datetime import date, datetime
+from fractions import Fraction
 
 import pytest
 from helpers import (
@@ -145,6 +147,16 @@ def test_mean_is_exact_in_any_order(spark):
     assert mean_of(spark, values, 7) == mean_of(spark, values[::-1], 3) == 10.0
 
 
+def test_means_of_many_groups_are_the_exact_ones(spark):
+    rng = random.Random(11)
+    values = [(rng.randint(1, 50), f"{rng.randint(0, 10**rng.randint(1, 9)) / 100:.2f}") for _ in range(5000)]
+    df = spark.createDataFrame([(g, float(v)) for g, v in values], "g int, h double").repartition(9)
+    parts = df.selectExpr("g", *[f"{sql} AS {name}" for name, sql in split_hours("h").items()])
+    for group, mean in parts.groupBy("g").agg(F.expr(mean_hours())).collect():
+        exact = [Fraction(v) for g, v in values if g == group]
+        assert mean == float(sum(exact)) / len(exact)
+
+
 def test_mean_of_odd_values(spark):
     assert mean_of(spark, [None, None]) is None
     assert mean_of(spark, [None, -1.25]) == -1.25

@@ -7,10 +7,13 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Only what differs from Spark's defaults. AQE, its skew handling and partition
-# coalescing are already on; shuffle partition counts belong to the cluster.
+# What the jobs rely on. Sizing, shuffle partition counts among it, belongs to the
+# cluster.
 JOB_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # On by default, but here a hot day is split by it, so it is not left to chance.
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # A task that scans day files meets few days, so it can keep one writer per
     # day open instead of sorting all its rows by day before writing.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
