@@ -78,14 +78,8 @@ class TicketStore:
 
     # -- reading ---------------------------------------------------------------
 
-    def rows(self, name: str, days: Sequence[date] | None = None) -> DataFrame:
-        """A stored table with its partition columns; with ``days``, only what those
-        source days contributed, without listing any other day's directory.
-
-        A table or day that was never written is empty. Any other error is raised.
-        """
-        schema = TABLES[name]
-        reader = self.spark.read.schema(schema)
+    def _stored(self, name: str, days: Sequence[date] | None) -> DataFrame | None:
+        reader = self.spark.read.schema(TABLES[name])
         path = self.path(name)
         if days is not None:
             reader = reader.option("basePath", path)
@@ -95,7 +89,19 @@ class TicketStore:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            return None
+
+    def rows(self, name: str, days: Sequence[date] | None = None) -> DataFrame:
+        """A stored table with its partition columns; with ``days``, only what those
+        source days contributed, without listing any other day's directory.
+
+        A table or day that was never written is empty. Any other error is raised.
+        """
+        stored = self._stored(name, days)
+        return self._empty(name) if stored is None else stored
+
+    def _empty(self, name: str) -> DataFrame:
+        return self.spark.createDataFrame([], TABLES[name])
 
     def table(self, name: str) -> DataFrame:
         """A table as its users know it."""
@@ -135,14 +141,15 @@ class TicketStore:
             return
         # Dynamic overwrite touches only what df has rows for, so whatever these
         # days held before is emptied first: one small write per stored day.
-        stored = self.rows(name, days).select(day_column).distinct().collect()
-        self.clear_days(name, [row[0] for row in stored])
+        stored = self._stored(name, days)
+        if stored is not None:
+            self.clear_days(name, [r[0] for r in stored.select(day_column).distinct().collect()])
         self._write(name, df, "dynamic")
 
     def clear_days(self, name: str, days: Sequence[date]) -> None:
         """Remove what some source days contributed to a table."""
         for day in days:
-            self.replace_days(name, self.spark.createDataFrame([], TABLES[name]), [day])
+            self.replace_days(name, self._empty(name), [day])
 
     def replace_all(self, name: str, df: DataFrame) -> None:
         """Overwrite a whole table; ``df`` must not read from it."""
