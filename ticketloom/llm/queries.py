@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm import simhash
+from ticketloom.llm import packing, simhash
+
+
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_best_fit_packing(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return packing.pack(docs, public_tokenizers.path(WORD_TOKENIZER), capacity=4096, end_id=1)
+
+
 def op8_simhash_near_dedup(spark, sf_dir):
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=4, max_bits=4)
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
@@ -19,5 +28,6 @@ def op8_simhash_near_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }

@@ -110,7 +110,7 @@ def linked_fingerprints(prints: DataFrame, max_bits: int = 4) -> DataFrame:
     for part in parts[1:]:
         slices = slices.unionByName(part)
 
-    def meet(key, group: pd.DataFrame) -> pd.DataFrame:
+    def meet(key, group):
         return _meetings(group, BITS - int(key[0]), max_bits)
 
     return slices.groupBy("depth", "prefix").applyInPandas(meet, "a long, b long")
