@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm import packing, simhash, toxicity
+from ticketloom.llm import language, packing, simhash, toxicity
 
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -21,6 +21,11 @@ def op1_best_fit_packing(spark, sf_dir):
     return packing.pack(docs, public_tokenizers.path(WORD_TOKENIZER), capacity=4096, end_id=1)
 
 
+def op4_language_id(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return language.identify(docs, language.fit(docs))
+
+
 def op7_toxicity(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
@@ -35,6 +40,7 @@ def op8_simhash_near_dedup(spark, sf_dir):
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op4_language_id": op4_language_id,
     "op7_toxicity": op7_toxicity,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
