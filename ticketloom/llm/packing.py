@@ -9,11 +9,12 @@ in the plan's ranges; numbers are given without bringing pieces of a length toge
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,6 +24,8 @@ from ticketloom.llm.storage import map_batches, stored
 
 WORDS_KEPT = 400_000
 TOKENS_KEPT = 8_000_000
+WORDS_AT_ONCE = 1000
+CHARS_AT_ONCE = 1_000_000
 REINDEX_AFTER = 32
 
 
@@ -53,40 +56,61 @@ class WordCachingEncoder:
         return self._tokenizer.encode(text, add_special_tokens=False).ids
 
     def _learn(self, words: list[str]) -> None:
+        """Put the ids of new words into the pool; every word is followed by the mark."""
         plain = [w for w in words if self._mark not in w]
-        ids = np.array(self._ids(f" {self._mark} ".join(plain)), dtype=np.uint32)
-        marks = np.flatnonzero(ids == self._mark_id)
-        pieces = np.split(np.delete(ids, marks), marks - np.arange(len(marks))) if plain else []
         odd = [w for w in words if self._mark in w]
-        pieces += [np.array(self._ids(w), dtype=np.uint32) for w in odd]
-        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        after = f" {self._mark} "
+        groups = [
+            after.join(plain[at : at + WORDS_AT_ONCE]) + after for at in range(0, len(plain), WORDS_AT_ONCE)
+        ]
+        found = self._tokenizer.encode_batch_fast(groups, add_special_tokens=False)
+        ids = np.concatenate([np.zeros(0, np.uint32), *(np.array(e.ids, np.uint32) for e in found)])
+        marks = np.flatnonzero(ids == self._mark_id)
+        alone = [np.array(self._ids(w), np.uint32) for w in odd]
+        lengths = np.append(np.diff(marks, prepend=-1) - 1, [len(own) for own in alone]).astype(np.int64)
         starts = len(self._pool) + np.cumsum(lengths) - lengths
-        self._slots.update(zip(plain + odd, range(len(self._starts), len(self._starts) + len(pieces))))
+        self._slots.update(zip(plain + odd, range(len(self._starts), len(self._starts) + len(words))))
         self._starts = np.concatenate([self._starts, starts])
         self._lengths = np.concatenate([self._lengths, lengths])
-        self._pool = np.concatenate([self._pool, *pieces])
+        self._pool = np.concatenate([self._pool, ids[ids != self._mark_id], *alone])
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """Ids of each text, a bounded stretch of text at a time."""
+        some, size = [], 0
+        for text in texts:
+            some.append(text or "")
+            size += len(some[-1])
+            if size > CHARS_AT_ONCE:
+                yield from self._encode(some)
+                some, size = [], 0
+        if some:
+            yield from self._encode(some)
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         words, counts = [], []
         for text in texts:
-            text = text or ""
             for space in "\t\n\v\f\r":
                 text = text.replace(space, " ")
             split = text.split(" ")
             words += split
             counts.append(len(split))
-        codes, distinct = pd.factorize(np.array(words, dtype=object))
         if len(self._slots) > WORDS_KEPT or len(self._pool) > TOKENS_KEPT:
             self._forget()
-        if new := [w for w in distinct if w not in self._slots]:
-            self._learn(new)
-        slots = np.fromiter(map(self._slots.__getitem__, distinct), np.int64, len(distinct))[codes]
+        slots = self._find(words)
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            unseen = [words[i] for i in new]
+            self._learn(list(dict.fromkeys(unseen)))
+            slots[new] = self._find(unseen)
         lengths = self._lengths[slots]
         ends = np.cumsum(lengths)
         at = np.repeat(self._starts[slots] - (ends - lengths), lengths) + np.arange(ends[-1])
         bounds = ends[np.cumsum(counts) - 1]
         return np.split(self._pool[at], bounds[:-1])
 
+    def _find(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self._slots.get, words, itertools.repeat(-1)), np.int64, len(words))
+
 
 def tokenized_pieces(
     docs: DataFrame,

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame
 from ticketloom.session import new_work_dir
 
 
+ROWS_AT_ONCE = 500
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
@@ -37,8 +40,9 @@ def map_batches(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         convert = start()
         for batch in batches:
-            if batch.num_rows:
-                got = convert(*(column.to_pylist() for column in batch.columns))
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                some = batch.slice(at, ROWS_AT_ONCE)
+                got = convert(*(column.to_pylist() for column in some.columns))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(got[f.name], type=f.type) for f in arrow], schema=arrow
                 )
@@ -52,9 +56,10 @@ def filter_batches(df: DataFrame, column: str, start: Callable[[], Callable]) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         accept = start()
         for batch in batches:
-            if batch.num_rows:
-                values = batch.column(batch.schema.get_field_index(column)).to_pylist()
-                yield batch.filter(pa.array(accept(values), type=pa.bool_()))
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                some = batch.slice(at, ROWS_AT_ONCE)
+                values = some.column(some.schema.get_field_index(column)).to_pylist()
+                yield some.filter(pa.array(accept(values), type=pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
 
