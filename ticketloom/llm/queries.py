@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm import language, packing, simhash, toxicity
+from ticketloom.llm import language, packing, pieces, simhash, toxicity
 
 
 WORD_TOKENIZER = "word_bpe_49k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,9 +39,21 @@ def op8_simhash_near_dedup(spark, sf_dir):
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op10_sentencepiece(spark, sf_dir):
+    path = public_tokenizers.path(PIECE_MODEL)
+    encoded = pieces.encode(read_table(spark, sf_dir, "documents"), path)
+    return pieces.decode(encoded, path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_language_id": op4_language_id,
     "op7_toxicity": op7_toxicity,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op10_sentencepiece": op10_sentencepiece,
 }
