@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm import language, packing, pieces, simhash, toxicity
+from ticketloom.llm import language, packing, pieces, simhash, toxicity, urls, warc
 
+from ticketloom.session import new_work_dir
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -27,6 +28,34 @@ def op4_language_id(spark, sf_dir):
     return language.identify(docs, language.fit(docs))
 
 
+URL_RULES = [
+    urls.Rule("allow", "com", "/"),
+    urls.Rule("block", "example.com", "/en/"),
+    urls.Rule("allow", "www.example.com", "/en/"),
+    urls.Rule("block", "net", "/es/"),
+    urls.Rule("block", "net", "/fr/"),
+]
+
+
+def op5_url_filters(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages")
+    return urls.judge(pages, URL_RULES, urls.fit(pages, URL_RULES))
+
+
+def op6_warc(spark, sf_dir):
+    folder = new_work_dir(spark, "warc")
+    warc.write_archives(warc.with_revisits(read_table(spark, sf_dir, "pages"), min_bytes=0), folder)
+    # A response's length is that of the payload read back.
+    read = F.when(F.col("record_type") == "response", F.octet_length("payload").cast("long"))
+    return warc.read_archives(spark, folder).select(
+        warc.page_id_of("record_id").alias("page_id"),
+        F.coalesce(read, "payload_bytes").alias("payload_bytes"),
+        F.substring("payload_digest", 6, 32).alias("payload_digest"),
+        "record_type",
+        warc.page_id_of("refers_to").alias("refers_to"),
+    )
+
+
 def op7_toxicity(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
@@ -53,6 +82,8 @@ def op10_sentencepiece(spark, sf_dir):
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_language_id": op4_language_id,
+    "op5_url_filters": op5_url_filters,
+    "op6_warc": op6_warc,
     "op7_toxicity": op7_toxicity,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op10_sentencepiece": op10_sentencepiece,
