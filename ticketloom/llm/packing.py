@@ -10,6 +10,7 @@ in the plan's ranges; numbers are given without bringing pieces of a length toge
 from __future__ import annotations
 
 import itertools
+import os
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -22,10 +23,10 @@ from tokenizers import Tokenizer
 
 from ticketloom.llm.storage import map_batches, stored
 
-WORDS_KEPT = 400_000
+WORDS_KEPT = 600_000
 TOKENS_KEPT = 8_000_000
 WORDS_AT_ONCE = 1000
-CHARS_AT_ONCE = 1_000_000
+CHARS_AT_ONCE = 500_000
 REINDEX_AFTER = 32
 
 
@@ -38,6 +39,8 @@ class WordCachingEncoder:
     """
 
     def __init__(self, path: str):
+        # One task has one core; the library's thread pool would only cost memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._tokenizer = Tokenizer.from_file(path)
         self._mark, self._mark_id = next(
             (mark, ids[0])
