@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm import language, packing, pieces, simhash, toxicity, urls, warc
+from ticketloom.llm import language, packing, pieces, simhash, toxicity, urls, vectors, warc
 
 from ticketloom.session import new_work_dir
 
@@ -23,6 +23,10 @@ def op1_best_fit_packing(spark, sf_dir):
     return packing.pack(docs, public_tokenizers.path(WORD_TOKENIZER), capacity=4096, end_id=1)
 
 
+def op2_embedding_near_dedup(spark, sf_dir):
+    return vectors.near_vectors(read_table(spark, sf_dir, "embeddings"), min_cosine=0.95)
+
+
 def op4_language_id(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     return language.identify(docs, language.fit(docs))
@@ -68,6 +72,10 @@ def op8_simhash_near_dedup(spark, sf_dir):
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op9_nearest_neighbours(spark, sf_dir):
+    return vectors.nearest_neighbours(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op10_sentencepiece(spark, sf_dir):
     path = public_tokenizers.path(PIECE_MODEL)
     encoded = pieces.encode(read_table(spark, sf_dir, "documents"), path)
@@ -81,10 +89,12 @@ def op10_sentencepiece(spark, sf_dir):
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op4_language_id": op4_language_id,
     "op5_url_filters": op5_url_filters,
     "op6_warc": op6_warc,
     "op7_toxicity": op7_toxicity,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_sentencepiece": op10_sentencepiece,
 }
