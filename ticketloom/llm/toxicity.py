@@ -90,7 +90,8 @@ def _windows_of(texts: list[str | None]):
             if size >= CHARS_AT_ONCE:
                 yield from _windows(rows, parts)
                 rows, parts, size = [], [], 0
-    yield from _windows(rows, parts)
+    if rows:
+        yield from _windows(rows, parts)
 
 
 def _windows(rows: list[int], parts: list[bytes]):
@@ -168,7 +169,7 @@ def _bags(texts: DataFrame, windows_per_text: int) -> list[tuple[int, list[np.nd
 def fit(
     docs: DataFrame,
     labels: DataFrame,
-    clean: int = 5000,
+    clean: int = 4000,
     toxic: int = 2000,
     windows_per_text: int = 48,
     dimensions: int = 8,
