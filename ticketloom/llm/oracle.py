@@ -1,3 +1,59 @@
 """DuckDB SQL of the corpus operators that SQL can express."""
 
-ORACLE_SQL: dict[str, str] = {}
+_LEVEL = r"length(regexp_replace(regexp_extract(line, '^(?:[ \t]*>)+'), '[^>]', '', 'g'))"
+_NORMAL = r"trim(regexp_replace(lower({}), '[ \t\r\f]+', ' ', 'g'), ' ')"
+_CONTENT = _NORMAL.format(r"regexp_replace(line, '^(?:[ \t]*>)+', '')")
+
+_OP3 = rf"""
+WITH RECURSIVE message AS (
+    SELECT row_number() OVER () AS id, conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+), line AS (
+    SELECT id, conv_id, turn, unnest(string_split(text, chr(10))) AS line,
+           generate_subscripts(string_split(text, chr(10)), 1) AS nth FROM message
+), levelled AS (
+    SELECT id, conv_id, turn, nth, line, {_LEVEL} AS level, {_CONTENT} AS content FROM line
+), numbered AS (
+    SELECT *, sum(CASE WHEN level = before THEN 0 ELSE 1 END) OVER (PARTITION BY id ORDER BY nth) AS passage
+    FROM (SELECT *, lag(level) OVER (PARTITION BY id ORDER BY nth) AS before FROM levelled)
+), quoted AS (
+    SELECT id, conv_id, turn, passage, level, string_agg(content, ' ' ORDER BY nth) AS whole, list(content) AS lines
+    FROM numbered WHERE level > 0 AND content <> '' GROUP BY ALL
+), asked AS (
+    SELECT id, conv_id, turn, passage, level, unnest(list_distinct(list_append(lines, whole))) AS unit FROM quoted
+), own AS (
+    SELECT id, conv_id, turn, string_agg(line, chr(10) ORDER BY nth) AS reply_text,
+           string_agg(content, ' ' ORDER BY nth) FILTER (content <> '') AS whole,
+           string_agg(content, chr(10) ORDER BY nth) AS joined
+    FROM levelled WHERE level = 0 GROUP BY ALL
+), written AS (
+    SELECT conv_id, unit, min(turn) AS original FROM (
+        SELECT conv_id, turn, whole AS unit FROM own
+        UNION ALL SELECT conv_id, turn, unnest(string_split(joined, chr(10))) FROM own
+        UNION ALL SELECT conv_id, turn, trim(replace(p, chr(10), ' '), ' ') FROM (
+            SELECT conv_id, turn, unnest(string_split(regexp_replace(joined, '\n\n+', chr(10) || chr(10), 'g'), chr(10) || chr(10))) AS p
+            FROM own)
+    ) WHERE unit <> '' GROUP BY ALL
+), linked AS (
+    SELECT id, conv_id, turn, passage, level, arg_max(original, (length(unit), original)) AS original
+    FROM asked JOIN written USING (conv_id, unit) WHERE original < turn GROUP BY ALL
+), reply AS (
+    SELECT conv_id, turn, arg_max(original, (-level, original)) AS reply_to FROM linked GROUP BY ALL
+), thread AS (
+    SELECT conv_id, turn, reply_to AS thread_turn, 1 AS depth FROM reply
+    UNION ALL
+    SELECT t.conv_id, t.turn, r.reply_to, t.depth + 1
+    FROM thread t JOIN reply r ON r.conv_id = t.conv_id AND r.turn = t.thread_turn
+), root AS (
+    SELECT conv_id, turn, arg_max(thread_turn, depth) AS thread_turn, max(depth) AS depth FROM thread GROUP BY ALL
+), q AS (SELECT id, count(*) AS n FROM quoted GROUP BY id), l AS (SELECT id, count(*) AS n FROM linked GROUP BY id)
+SELECT m.conv_id, m.turn, m.role, trim(coalesce(o.reply_text, ''), ' ') AS reply_text,
+       coalesce(q.n, 0) AS quoted_passages, coalesce(l.n, 0) AS linked_passages, r.reply_to,
+       coalesce(t.thread_turn, m.turn) AS thread_turn, CAST(coalesce(t.depth, 0) AS BIGINT) AS depth
+FROM message m LEFT JOIN own o USING (id) LEFT JOIN q USING (id) LEFT JOIN l USING (id)
+LEFT JOIN reply r ON r.conv_id = m.conv_id AND r.turn = m.turn
+LEFT JOIN root t ON t.conv_id = m.conv_id AND t.turn = m.turn
+"""
+
+ORACLE_SQL = {
+    "op3_chat_formatting": _OP3,
+}

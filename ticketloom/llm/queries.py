@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm import language, packing, pieces, simhash, toxicity, urls, vectors, warc
+from ticketloom.llm import chat, language, packing, pieces, simhash, toxicity, urls, vectors, warc
 
 from ticketloom.session import new_work_dir
 
@@ -27,6 +27,10 @@ def op2_embedding_near_dedup(spark, sf_dir):
     return vectors.near_vectors(read_table(spark, sf_dir, "embeddings"), min_cosine=0.95)
 
 
+def op3_chat_formatting(spark, sf_dir):
+    return chat.link_quotations(read_table(spark, sf_dir, "conversations"))
+
+
 def op4_language_id(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     return language.identify(docs, language.fit(docs))
@@ -90,6 +94,7 @@ def op10_sentencepiece(spark, sf_dir):
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
+    "op3_chat_formatting": op3_chat_formatting,
     "op4_language_id": op4_language_id,
     "op5_url_filters": op5_url_filters,
     "op6_warc": op6_warc,
