@@ -264,9 +264,9 @@ class WarcReader(DataSourceReader):
         system, path = _filesystem(self.path)
         found = system.get_file_info(fs.FileSelector(path, recursive=False))
         files = [f for f in found if f.is_file and f.base_name.endswith((".warc", ".warc.gz"))]
-        groups, size = [], PARTITION_BYTES
+        groups, size = [], 0
         for file in sorted(files, key=lambda f: f.path):
-            if size + file.size > PARTITION_BYTES:
+            if not groups or size + file.size > PARTITION_BYTES:
                 groups.append(ArchiveFiles([]))
                 size = 0
             groups[-1].paths.append(file.path)
