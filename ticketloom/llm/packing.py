@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import itertools
 import os
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -23,6 +24,7 @@ from tokenizers import Tokenizer
 
 from ticketloom.llm.storage import map_batches, stored
 
+WORD_END = "</w>"
 WORDS_KEPT = 600_000
 TOKENS_KEPT = 8_000_000
 WORDS_AT_ONCE = 1000
@@ -30,12 +32,34 @@ CHARS_AT_ONCE = 500_000
 REINDEX_AFTER = 32
 
 
+_SPACES = "\t\n\v\f\r"
+_LETTERS = re.compile("[a-zà-öø-ÿ]+")
+
+
+def _spaced(text: str) -> str:
+    """A text with the same ids, spaces for white space and fewer distinct words.
+
+    Latin-1 is lower-cased here as by the tokenizer. Texts that may hold special tokens,
+    which are found before lower-casing, and other scripts keep their case.
+    """
+    for space in _SPACES:
+        text = text.replace(space, " ")
+    if "<|" in text:
+        return text
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
+
+
 class WordCachingEncoder:
     """Token ids of whole texts, encoding each distinct word of a task once.
 
     For tokenizers that drop white space and never make a token across it: a text's ids
-    are then those of its words in turn. Words not seen before are encoded together,
-    parted by a character that the tokenizer turns into one id of its own.
+    are then those of its words in turn. Words not seen before are encoded together. Where
+    a word of letters ends is told by the tokenizer's end-of-word ids; other words are
+    parted by a character that it turns into one id of its own.
     """
 
     def __init__(self, path: str):
@@ -47,6 +71,11 @@ class WordCachingEncoder:
             for mark in map(chr, range(1, 9))
             if len(ids := self._ids(mark)) == 1
         )
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
+        size = max(vocabulary.values()) + 1
+        self._last, self._is_mark = np.zeros(size, bool), np.zeros(size, bool)
+        self._last[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self._is_mark[self._mark_id] = True
         self._forget()
 
     def _forget(self) -> None:
@@ -59,23 +88,38 @@ class WordCachingEncoder:
         return self._tokenizer.encode(text, add_special_tokens=False).ids
 
     def _learn(self, words: list[str]) -> None:
-        """Put the ids of new words into the pool; every word is followed by the mark."""
-        plain = [w for w in words if self._mark not in w]
-        odd = [w for w in words if self._mark in w]
-        after = f" {self._mark} "
-        groups = [
-            after.join(plain[at : at + WORDS_AT_ONCE]) + after for at in range(0, len(plain), WORDS_AT_ONCE)
+        """Put the ids of new words into the pool."""
+        letters = [w for w in words if _LETTERS.fullmatch(w)] if self._last.any() else []
+        rest = set(words).difference(letters)
+        odd = [w for w in rest if self._mark in w]
+        plain = list(rest.difference(odd))
+        parts = [
+            self._encode_together(letters, " ", self._last, keep_ends=True),
+            self._encode_together(plain, f" {self._mark} ", self._is_mark, keep_ends=False),
+            *(self._encode_alone(w) for w in odd),
         ]
-        found = self._tokenizer.encode_batch_fast(groups, add_special_tokens=False)
-        ids = np.concatenate([np.zeros(0, np.uint32), *(np.array(e.ids, np.uint32) for e in found)])
-        marks = np.flatnonzero(ids == self._mark_id)
-        alone = [np.array(self._ids(w), np.uint32) for w in odd]
-        lengths = np.append(np.diff(marks, prepend=-1) - 1, [len(own) for own in alone]).astype(np.int64)
+        lengths = np.concatenate([lengths for _, lengths in parts])
         starts = len(self._pool) + np.cumsum(lengths) - lengths
-        self._slots.update(zip(plain + odd, range(len(self._starts), len(self._starts) + len(words))))
+        slots = range(len(self._starts), len(self._starts) + len(lengths))
+        self._slots.update(zip([*letters, *plain, *odd], slots, strict=True))
         self._starts = np.concatenate([self._starts, starts])
         self._lengths = np.concatenate([self._lengths, lengths])
-        self._pool = np.concatenate([self._pool, ids[ids != self._mark_id], *alone])
+        self._pool = np.concatenate([self._pool, *(ids for ids, _ in parts)])
+
+    def _encode_together(self, words, after: str, ends: np.ndarray, keep_ends: bool):
+        """Ids of all words, and how many each has, told by the ids that end a word."""
+        groups = [
+            after.join(words[at : at + WORDS_AT_ONCE]) + after for at in range(0, len(words), WORDS_AT_ONCE)
+        ]
+        found = self._tokenizer.encode_batch_fast(groups, add_special_tokens=False)
+        ids = np.concatenate([np.zeros(0, np.uint32), *(np.array(e.ids, np.uint32) for e in found)])
+        last = ends[ids]
+        lengths = np.diff(np.flatnonzero(last), prepend=-1)
+        return (ids, lengths) if keep_ends else (ids[~last], lengths - 1)
+
+    def _encode_alone(self, word: str):
+        ids = np.array(self._ids(word), np.uint32)
+        return ids, np.array([len(ids)])
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """Ids of each text, a bounded stretch of text at a time."""
@@ -92,9 +136,7 @@ class WordCachingEncoder:
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         words, counts = [], []
         for text in texts:
-            for space in "\t\n\v\f\r":
-                text = text.replace(space, " ")
-            split = text.split(" ")
+            split = _spaced(text).split(" ")
             words += split
             counts.append(len(split))
         if len(self._slots) > WORDS_KEPT or len(self._pool) > TOKENS_KEPT:
