@@ -21,7 +21,7 @@ from ticketloom.registry import queries  # noqa: E402
 from ticketloom.session import local_session, new_work_dir  # noqa: E402
 from ticketloom.sources.day_files import export_days  # noqa: E402
 from ticketloom.sources.event_tickets import event_tickets  # noqa: E402
-from ticketloom.streaming.ingest import start_fact_stream  # noqa: E402
+from ticketloom.streaming.arrivals import load_arrivals  # noqa: E402
 
 REPEATS = 3
 OPERATORS = (
@@ -62,7 +62,7 @@ def main() -> None:
         seconds[name] = median_seconds(lambda: consume(query(spark, sf_dir)))
 
     tickets = event_tickets(spark, sf_dir)
-    export = lambda: export_days(tickets, new_work_dir(spark, "bench"), 2024)
+    export = lambda: export_days(tickets, new_work_dir(spark, "bench")).files
     seconds["export_days"] = median_seconds(export)
     files = export()
 
@@ -85,10 +85,7 @@ def main() -> None:
     for name in ("features_daily", "daily_agent_load", "running_backlog"):
         seconds[f"read_{name}"] = median_seconds(lambda: consume(loaded.table(name)))
 
-    def stream() -> None:
-        start_fact_stream(spark, files, new_work_dir(spark, "bench")).awaitTermination()
-
-    seconds["stream"] = median_seconds(stream)
+    seconds["stream"] = median_seconds(lambda: load_arrivals(new_store(), files))
 
     print(
         json.dumps(

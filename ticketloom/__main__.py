@@ -14,10 +14,9 @@ from pyspark.sql import SparkSession
 
 from ticketloom.plans import jobs
 from ticketloom.plans.store import TicketStore
-from ticketloom.schema import FIRST_DAY, LAST_DAY
 from ticketloom.session import build_session
 from ticketloom.sources.day_files import DayFiles, export_days, read_extract
-from ticketloom.streaming.ingest import start_fact_stream, start_upkeep_stream
+from ticketloom.streaming.arrivals import load_arrivals
 
 
 def parser() -> argparse.ArgumentParser:
@@ -36,12 +35,13 @@ def parser() -> argparse.ArgumentParser:
         return sub
 
     def span(sub):
-        sub.add_argument("--start", type=date.fromisoformat, default=date.fromisoformat(FIRST_DAY))
-        sub.add_argument("--end", type=date.fromisoformat, default=date.fromisoformat(LAST_DAY))
+        sub.add_argument("--start", type=date.fromisoformat, help="first day, where none is recorded")
+        sub.add_argument("--end", type=date.fromisoformat, help="load nothing later")
         sub.add_argument("--skip-missing", action="store_true", help="record a day without a file")
 
     daily = command("daily", "load the next day, or a named one again", files=True, store=True)
     daily.add_argument("--date", type=date.fromisoformat)
+    daily.add_argument("--publish", help="also bring the published copies here up to date")
     span(daily)
 
     span(command("catch-up", "load every unrecorded day", files=True, store=True))
@@ -49,7 +49,7 @@ def parser() -> argparse.ArgumentParser:
     months = command("backfill", "land the raw tickets of some months", files=True, store=True)
     months.add_argument("--year", type=int, required=True)
     months.add_argument("--start-month", type=int, default=1)
-    months.add_argument("--end-month", type=int, default=10)
+    months.add_argument("--end-month", type=int, default=12)
 
     bulk = command("rebuild", "recompute every derived table from raw", store=True)
     bulk.add_argument("--publish", help="also write full copies of the results here")
@@ -62,13 +62,15 @@ def parser() -> argparse.ArgumentParser:
     split = command("export", "split an extract into one CSV folder per day")
     split.add_argument("--extract", required=True)
     split.add_argument("--to", required=True)
-    split.add_argument("--year", type=int, required=True)
+    split.add_argument("--year", type=int, help="only this year")
     split.add_argument("--month", type=int)
 
-    stream = command("stream", "clean every new day file once into a fact table", files=True)
-    stream.add_argument("--to", required=True)
-    stream.add_argument("--files-per-batch", type=int)
-    command("upkeep-stream", "load every day whose file is new", files=True, store=True)
+    command("arrivals", "load every day with a new or changed file", files=True, store=True)
+
+    compact = command("compact", "rewrite the sums of closed days as few files", store=True)
+    compact.add_argument("--until", type=date.fromisoformat, required=True)
+    vacuum = command("vacuum", "remove folders of loads that no reader sees", store=True)
+    vacuum.add_argument("--older-than-hours", type=float, default=24.0)
     return top
 
 
@@ -77,7 +79,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> object:
     store = TicketStore(spark, args.store) if hasattr(args, "store") else None
     match args.command:
         case "daily":
-            return jobs.run_day(store, files, args.date, args.start, args.end, args.skip_missing)
+            return _daily(store, files, args)
         case "catch-up":
             return jobs.catch_up(store, files, args.start, args.end, args.skip_missing)
         case "backfill":
@@ -87,15 +89,27 @@ def run(spark: SparkSession, args: argparse.Namespace) -> object:
         case "reset":
             return jobs.reset_day(store, args.date)
         case "log":
-            return jobs.ingestion_log(store).show(1000, truncate=False)
+            for row in jobs.ingestion_log(store).toLocalIterator():
+                print(row.simulation_date, row.ingestion_timestamp, row.rows_ingested, sep="\t")
+            return None
         case "export":
-            return export_days(read_extract(spark, args.extract), args.to, args.year, args.month)
-        case "stream":
-            query = start_fact_stream(spark, files, args.to, args.files_per_batch)
-            query.awaitTermination()
-            return query.lastProgress and query.lastProgress["numInputRows"]
-        case "upkeep-stream":
-            return start_upkeep_stream(store, files).awaitTermination()
+            extract = read_extract(spark, args.extract, typed=False)
+            return export_days(extract, args.to, args.year, args.month)
+        case "arrivals":
+            return load_arrivals(store, files)
+        case "compact":
+            return store.compact(args.until)
+        case "vacuum":
+            return store.vacuum(args.older_than_hours)
+
+
+def _daily(store: TicketStore, files: DayFiles, args: argparse.Namespace) -> jobs.DayResult:
+    day = args.date or jobs.next_day(store, args.start)
+    before = jobs.touched_days(store, [day]) if args.publish else ()
+    result = jobs.run_day(store, files, day, end=args.end, skip_missing=args.skip_missing)
+    if args.publish and result.status == "loaded":
+        jobs.publish_days(store, args.publish, [day], before)
+    return result
 
 
 def main() -> int:

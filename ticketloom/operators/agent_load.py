@@ -17,10 +17,22 @@ def assigned_per_agent(fact: DataFrame) -> DataFrame:
     )
 
 
+def tickets_per_agent(fact: DataFrame) -> DataFrame:
+    """Mean tickets per agent of each creation day: tickets over distinct agents.
+
+    Null on a day whose tickets have no agent at all.
+    """
+    per_agent = fact.groupBy("created_date", "agent_id").agg(F.count(F.lit(1)).alias("n"))
+    per_day = per_agent.groupBy(F.col("created_date").alias("ops_date")).agg(
+        F.sum("n").alias("total_tickets"), F.count("agent_id").alias("distinct_agents")
+    )
+    return per_day.withColumn("tickets_per_agent", F.expr("try_divide(total_tickets, distinct_agents)"))
+
+
 def resolved_per_agent(rows: DataFrame) -> DataFrame:
     """Tickets an agent closed on a day, their mean hours and their breaches.
 
-    Takes ticket rows or partial sums of them.
+    Takes resolution rows, all ticket rows, or partial sums of them.
     """
     return (
         rows.where(f"side = '{RESOLVED}'")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -21,10 +23,19 @@ def time_slice(df: DataFrame, column: str, start: date, stop: date) -> DataFrame
     A half-open range on the bare column reaches the Parquet scan as a pushed
     filter, which year() and month() of it would not.
     """
+    return df.where(time_range(df, column, start, stop))
+
+
+def time_range(df: DataFrame, column: str, start: date, stop: date) -> Column:
     kind = df.schema[column].dataType.simpleString()
-    return df.where(
-        (F.col(column) >= F.lit(start).cast(kind)) & (F.col(column) < F.lit(stop).cast(kind))
-    )
+    return (F.col(column) >= F.lit(start).cast(kind)) & (F.col(column) < F.lit(stop).cast(kind))
+
+
+def month_slices(df: DataFrame, column: str, months: Iterable[tuple[int, int]]) -> DataFrame:
+    """Rows of some months (year, month), from one scan, with the month as a column."""
+    slices = [time_range(df, column, *month_bounds(*month)) for month in months]
+    wanted = functools.reduce(Column.__or__, slices, F.lit(False))
+    return df.where(wanted).withColumn("month", F.trunc(column, "month"))
 
 
 def rows_per_day(df: DataFrame, day: str = "created_date") -> DataFrame:
@@ -37,12 +48,15 @@ def rows_per_month(df: DataFrame, day: str = "created_date") -> DataFrame:
     )
 
 
-def days_without_rows(first_last: DataFrame, df: DataFrame, day: str) -> DataFrame:
-    """Calendar days that no row of ``df`` falls on.
+def days_without_rows(df: DataFrame, day: str, until: str) -> DataFrame:
+    """Calendar days from the first ``day`` to the last ``until`` that no row falls on.
 
-    ``first_last`` holds one row (first, last) that bounds the calendar.
+    One scan: rows are reduced to their days, and everything else is done with those,
+    a list of calendar days.
     """
-    calendar = first_last.select(
-        F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias(day)
+    days = df.groupBy(day).agg(F.max(until).alias("last"))
+    bounds = days.agg(
+        F.min(day).alias("first"), F.max("last").alias("last"), F.collect_set(day).alias("there")
     )
-    return calendar.join(df.select(day).distinct(), day, "left_anti")
+    calendar = F.sequence("first", "last", F.expr("interval 1 day"))
+    return bounds.select(F.explode(F.array_except(calendar, "there")).alias(day))

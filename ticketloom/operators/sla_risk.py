@@ -6,26 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.functions import ticket_columns as tc
+from ticketloom.schema import RISK_COLUMNS
 
 
 def ticket_sla_risk(fact: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """A narrow projection: no shuffle, one output row per fact row."""
     created_at = F.col("created_at")
-    return fact.select(
-        "ticket_id",
-        created_at.alias("created_at_ts"),
-        "created_date",
-        "priority",
-        "category",
-        "agent_id",
-        "resolution_hours_clean",
-        "sla_hours",
-        "sla_breached",
-        tc.day_of_week(created_at).alias("day_of_week"),
-        F.hour(created_at).alias("hour_of_day"),
-        tc.is_high_priority(F.col("priority")).alias("is_high_priority"),
-        tc.is_long_resolution(F.col("resolution_hours_clean"), F.col("sla_hours")).alias(
-            "is_long_resolution"
+    derived = {
+        "created_at_ts": created_at,
+        "day_of_week": tc.day_of_week(created_at),
+        "hour_of_day": F.hour(created_at),
+        "is_high_priority": tc.is_high_priority(F.col("priority")),
+        "is_long_resolution": tc.is_long_resolution(
+            F.col("resolution_hours_clean"), F.col("sla_hours")
         ),
-        *keep,
+    }
+    return fact.select(
+        *[derived[c].alias(c) if c in derived else F.col(c) for c in RISK_COLUMNS], *keep
     )

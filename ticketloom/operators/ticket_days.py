@@ -29,6 +29,13 @@ def created_rows(fact: DataFrame, *keep: str) -> DataFrame:
     )
 
 
+def resolved_rows(fact: DataFrame, *keep: str) -> DataFrame:
+    """One row per resolved ticket, on its resolution day, which may be null."""
+    return fact.where("is_resolved").selectExpr(
+        f"'{RESOLVED}' AS side", "resolved_date AS ops_date", "agent_id", *_MEASURES, *keep
+    )
+
+
 def ticket_rows(fact: DataFrame, *keep: str) -> DataFrame:
     """Creation rows, and resolution rows of the resolved tickets, from one scan.
 

@@ -10,16 +10,29 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ticketloom.operators.calendar import month_bounds
-from ticketloom.plans.marts import derive_all, derive_days
+from ticketloom.plans.marts import derive
 from ticketloom.plans.store import TicketStore
-from ticketloom.schema import CREATED, FIRST_DAY, LAST_DAY, TABLES
-from ticketloom.sources.day_files import DayFiles, read_days, read_month, with_ingestion_time
+from ticketloom.schema import CREATED, TABLES, TICKET_TYPES
+from ticketloom.sources.day_files import (
+    TYPED_COLUMNS,
+    DayFiles,
+    Delivery,
+    listed_days,
+    listed_month,
+    read_files,
+    with_ingestion_time,
+)
 
 log = logging.getLogger(__name__)
 
-_DEFAULT_FIRST = date.fromisoformat(FIRST_DAY)
-_DEFAULT_LAST = date.fromisoformat(LAST_DAY)
+
+@dataclass(frozen=True)
+class LoadResult:
+    """``unread`` counts, per column, the cells whose text did not fit the type."""
+
+    days: list[date]
+    rows: int = 0
+    unread: dict[str, int] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -27,23 +40,20 @@ class DayResult:
     day: date
     status: str  # loaded | past_end
     rows: int = 0
+    unread: dict[str, int] = field(default_factory=dict)
 
 
 @dataclass
 class BackfillResult:
     rows_by_month: dict[str, int] = field(default_factory=dict)
     failed_months: dict[str, str] = field(default_factory=dict)
+    unread: dict[str, int] = field(default_factory=dict)
 
     @property
     def rows(self) -> int:
         return sum(self.rows_by_month.values())
 
 
-def _days_of(year: int, month: int) -> list[date]:
-    first, stop = month_bounds(year, month)
-    return [first + timedelta(days=i) for i in range((stop - first).days)]
-
-
 def _now() -> datetime:
     return datetime.now(timezone.utc)
 
@@ -55,34 +65,36 @@ def _calendar(store: TicketStore, days: Column) -> DataFrame:
 # -- progress ------------------------------------------------------------------
 
 
-def next_day(store: TicketStore, start: date = _DEFAULT_FIRST) -> date:
+def next_day(store: TicketStore, start: date | None = None) -> date:
     """The day after the last recorded one, or ``start`` when none is recorded."""
-    last = store.rows("ingestion_state").agg(F.max("simulation_date")).first()[0]
+    last = store.recorded().agg(F.max("simulation_date")).first()[0]
+    if last is None and start is None:
+        raise ValueError("no day is recorded yet: name the first one")
     return start if last is None else last + timedelta(days=1)
 
 
-def next_day_frame(store: TicketStore, start: date = _DEFAULT_FIRST) -> DataFrame:
-    """``next_day`` as a one-row frame."""
+def next_day_frame(store: TicketStore, start: date, end: date | None = None) -> DataFrame:
+    """``next_day`` as a one-row frame; no row if it lies past ``end``."""
     after_last = F.date_add(F.max("simulation_date"), 1)
-    return store.rows("ingestion_state").agg(
-        F.coalesce(after_last, F.lit(start)).alias("next_day")
-    )
+    found = store.recorded().agg(F.coalesce(after_last, F.lit(start)).alias("next_day"))
+    return found if end is None else found.where(F.col("next_day") <= F.lit(end))
 
 
-def day_is_recorded(store: TicketStore, day: date) -> bool:
-    """Whether the day was loaded to its end. A load that broke off is not."""
-    return not store.rows("ingestion_state").where(F.col("simulation_date") == F.lit(day)).isEmpty()
+def date_exists(store: TicketStore, days: Sequence[date]) -> DataFrame:
+    """(created_date, there): whether any raw ticket of a complete day was created then.
 
-
-def day_has_raw_rows(store: TicketStore, day: date) -> bool:
-    """Whether any raw ticket was created on the day; reads that day's partition only."""
-    return not store.rows("tickets_raw").where(F.col("created_date") == F.lit(day)).isEmpty()
+    Only the folders of these creation days are read.
+    """
+    asked = _calendar(store, F.array(*[F.lit(d) for d in days])).toDF("created_date")
+    wanted = store.rows("tickets_raw").where(F.col("created_date").isin(list(days)))
+    found = wanted.select("created_date").distinct().withColumn("there", F.lit(True))
+    return asked.join(found, "created_date", "left").fillna(False, ["there"])
 
 
 def unrecorded_days(store: TicketStore, start: date, end: date) -> DataFrame:
     """Days of ``start..end`` that have no progress row."""
     every_day = F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 day"))
-    return _calendar(store, every_day).join(store.rows("ingestion_state"), "simulation_date", "left_anti")
+    return _calendar(store, every_day).join(store.recorded(), "simulation_date", "left_anti")
 
 
 def ingestion_log(store: TicketStore) -> DataFrame:
@@ -90,19 +102,17 @@ def ingestion_log(store: TicketStore) -> DataFrame:
     return store.table("ingestion_state").orderBy(F.desc("simulation_date"))
 
 
-def _record(store: TicketStore, days: Sequence[date], at: datetime) -> None:
-    """Write the progress rows. Row counts come from the stored day sums, which
-    count every loaded ticket once, on its creation side."""
-    loaded = (
-        store.rows("day_partials", days)
-        .where(F.col("side") == CREATED)
-        .select(F.col("source_date").alias("simulation_date"), "tickets")
+def _records(store: TicketStore, days: Sequence[date], sums: DataFrame, at: datetime) -> DataFrame:
+    """Progress rows. Row counts come from the stored day sums, which count every
+    loaded ticket once, on its creation side."""
+    loaded = sums.where(F.col("side") == CREATED).select(
+        F.col("source_date").alias("simulation_date"), "tickets"
     )
     # Every asked-for day gets a row, also one without tickets.
     asked = _calendar(store, F.array(*[F.lit(d) for d in days])).withColumn(
         "tickets", F.lit(0).cast("bigint")
     )
-    state = (
+    return (
         asked.unionByName(loaded)
         .groupBy("simulation_date")
         .agg(
@@ -110,20 +120,32 @@ def _record(store: TicketStore, days: Sequence[date], at: datetime) -> None:
             F.sum("tickets").alias("rows_ingested"),
         )
     )
-    store.replace_days("ingestion_state", state, days)
 
 
 # -- loading -------------------------------------------------------------------
 
 
-def _counted(raw: DataFrame) -> tuple[DataFrame, Observation]:
-    """Count rows while they are written, instead of scanning once more."""
+def _land(store: TicketStore, load: str, raw: DataFrame | None, at: datetime) -> tuple[list[str], int, dict]:
+    """Write raw rows; their extra columns, number, and unread cells by column.
+
+    Both are counted while writing, instead of scanning once more.
+    """
+    if raw is None:
+        store.write("tickets_raw", load, store._empty("tickets_raw"))
+        return [], 0, {}
     seen = Observation()
-    return raw.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+    counts = [F.count_if(F.col("_unread")[c].isNotNull()).alias(c) for c in TYPED_COLUMNS]
+    landing = with_ingestion_time(raw, at).withColumn("created_date", F.to_date("created_at"))
+    store.write("tickets_raw", load, landing.observe(seen, F.count(F.lit(1)).alias("rows"), *counts))
+    got = seen.get
+    extra = [c for c in raw.columns if c not in (*TICKET_TYPES, "_unread", "_source_file", "source_date")]
+    return extra, got["rows"], {c: got[c] for c in TYPED_COLUMNS if got[c]}
 
 
-def _landing(df: DataFrame, at: datetime) -> DataFrame:
-    return with_ingestion_time(df, at).withColumn("created_date", F.to_date("created_at"))
+def deliveries(store: TicketStore, found: Sequence[Delivery]) -> DataFrame:
+    """Listed files as a frame (path, modified, length, day)."""
+    rows = [(f.path, datetime.fromtimestamp(f.modified_ms / 1000, timezone.utc), f.length, f.day) for f in found]
+    return store.spark.createDataFrame(rows, "path string, modified timestamp, length bigint, day date")
 
 
 def load_days(
@@ -132,62 +154,80 @@ def load_days(
     days: Sequence[date],
     skip_missing: bool = False,
     ingested_at: datetime | None = None,
-) -> None:
+) -> LoadResult:
     """Load the files of some days in one set of Spark jobs, replacing what those
     days had loaded before.
 
-    Progress rows are withdrawn first and written last: a load that breaks off
-    anywhere leaves its days unrecorded, and the next one replaces what it wrote.
+    The days' records are written last: until then readers keep what they had, and a
+    load that breaks off anywhere changes nothing.
     """
-    at = ingested_at or _now()
-    recorded = store.rows("ingestion_state").where(F.col("simulation_date").isin(list(days)))
-    store.clear_days("ingestion_state", [r[0] for r in recorded.select("simulation_date").collect()])
-    raw = read_days(store.spark, files, days, skip_missing)
-    if raw is None:
-        store.clear_days("tickets_raw", days)
-    else:
-        store.replace_days("tickets_raw", _landing(raw, at), days)
-    derive_days(store, days)
-    _record(store, days, at)
+    at, days = ingested_at or _now(), list(days)
+    found = listed_days(store.spark, files, days, skip_missing)
+    load = store.new_load()
+    raw = read_files(store.spark, files, found) if found else None
+    extra, rows, unread = _land(store, load, raw, at)
+    derive(store, load, store.read_load("tickets_raw", load))
+    records = _records(store, days, store.read_load("day_partials", load), at)
+    loads = {c: F.lit(load) for c in ("raw_load", "fact_load", "sums_load")}
+    store.commit(records.withColumns({**loads, "extra_columns": F.lit(extra).cast("array<string>")}))
+    if found:
+        store.note_files(deliveries(store, found))
+    return LoadResult(days, rows, unread)
 
 
 def run_day(
     store: TicketStore,
     files: DayFiles,
     day: date | None = None,
-    start: date = _DEFAULT_FIRST,
-    end: date = _DEFAULT_LAST,
+    start: date | None = None,
+    end: date | None = None,
     skip_missing: bool = False,
     ingested_at: datetime | None = None,
 ) -> DayResult:
     """Load one day and bring every table up to date.
 
-    Without ``day``, the next unrecorded day is taken; a named day is loaded again
-    even if it is recorded. Nothing happens past ``end``.
+    Without ``day``, the next unrecorded day is taken, ``start`` if none is recorded; a
+    named day is loaded again even if it is recorded. Nothing happens past ``end``.
     """
     day = day or next_day(store, start)
-    if day > end:
+    if end is not None and day > end:
         return DayResult(day, "past_end")
-    load_days(store, files, [day], skip_missing, ingested_at)
-    rows = store.rows("ingestion_state", [day]).first()["rows_ingested"]
-    return DayResult(day, "loaded", rows)
+    result = load_days(store, files, [day], skip_missing, ingested_at)
+    return DayResult(day, "loaded", result.rows, result.unread)
+
+
+def load_in_parts(store, files, days, skip_missing, ingested_at, days_per_load) -> list[date]:
+    for i in range(0, len(days), days_per_load):
+        load_days(store, files, days[i : i + days_per_load], skip_missing, ingested_at)
+    return days
 
 
 def catch_up(
     store: TicketStore,
     files: DayFiles,
-    start: date = _DEFAULT_FIRST,
-    end: date = _DEFAULT_LAST,
+    start: date | None = None,
+    end: date | None = None,
     skip_missing: bool = False,
     ingested_at: datetime | None = None,
     days_per_load: int = 31,
 ) -> list[date]:
-    """Load every unrecorded day of ``start..end``, oldest first, gaps included."""
-    rows = unrecorded_days(store, start, end).orderBy("simulation_date").collect()
-    days = [row[0] for row in rows]
-    for i in range(0, len(days), days_per_load):
-        load_days(store, files, days[i : i + days_per_load], skip_missing, ingested_at)
-    return days
+    """Load every unrecorded day of ``start..end``, oldest first, gaps included.
+
+    Without ``start`` the first recorded day begins; without ``end`` every day from
+    there on that has a file is meant.
+    """
+    if start is None:
+        start = store.recorded().agg(F.min("simulation_date")).first()[0]
+        if start is None:
+            raise ValueError("no day is recorded yet: name the first one")
+    if end is None:
+        there = sorted({f.day for f in files.all(store.spark) if f.day >= start})
+        known = {r[0] for r in store.recorded().select("simulation_date").collect()}
+        days = [d for d in there if d not in known]
+    else:
+        rows = unrecorded_days(store, start, end).orderBy("simulation_date").collect()
+        days = [row[0] for row in rows]
+    return load_in_parts(store, files, days, skip_missing, ingested_at, days_per_load)
 
 
 def backfill(
@@ -195,23 +235,38 @@ def backfill(
     files: DayFiles,
     year: int,
     start_month: int = 1,
-    end_month: int = 10,
+    end_month: int = 12,
     ingested_at: datetime | None = None,
 ) -> BackfillResult:
     """Land the raw tickets of a range of months, one Spark write per month.
 
-    A month that fails is reported and does not stop the others. Derived tables
-    are brought up to date by ``rebuild`` afterwards.
+    Days that have a file are replaced, other days keep what they have. A month that
+    fails is reported, changes nothing and does not stop the others. Derived tables, and
+    what readers see, follow with ``rebuild``.
     """
     result = BackfillResult()
     at = ingested_at or _now()
     for month in range(start_month, end_month + 1):
         label = f"{year:04d}-{month:02d}"
         try:
-            raw = read_month(store.spark, files, year, month)
-            counted, seen = _counted(_landing(raw, at))
-            store.replace_days("tickets_raw", counted, _days_of(year, month))
-            result.rows_by_month[label] = seen.get["rows"]
+            found = listed_month(store.spark, files, year, month)
+            load = store.new_load()
+            extra, rows, unread = _land(store, load, read_files(store.spark, files, found), at)
+            days = sorted({f.day for f in found})
+            landed = _calendar(store, F.array(*[F.lit(d) for d in days]))
+            store.commit(
+                landed.withColumns(
+                    {
+                        "ingestion_timestamp": F.lit(at).cast("timestamp"),
+                        "raw_load": F.lit(load),
+                        "extra_columns": F.lit(extra).cast("array<string>"),
+                    }
+                )
+            )
+            store.note_files(deliveries(store, found))
+            result.rows_by_month[label] = rows
+            for column, cells in unread.items():
+                result.unread[column] = result.unread.get(column, 0) + cells
         except Exception as error:  # any failure belongs to its month alone
             log.error("month %s was not loaded: %s", label, error)
             result.failed_months[label] = str(error)
@@ -219,13 +274,39 @@ def backfill(
 
 
 def rebuild(store: TicketStore, publish_to: str | None = None) -> dict[str, str]:
-    """Recompute all derived tables from raw and, if asked, publish full copies."""
-    derive_all(store)
+    """Recompute all derived tables from the raw rows of every landed day and record
+    these days; if asked, publish the day-level results.
+
+    Readers keep the old tables until all new ones are there.
+    """
+    landed = store.landed()
+    landed = store.spark.createDataFrame(landed.collect(), TABLES["ingestion_state"])  # one row a day
+    if not landed.isEmpty():
+        load = store.new_load()
+        derive(store, load, store.rows("tickets_raw", landed))
+        days = [r[0] for r in landed.select("simulation_date").collect()]
+        sums = store.read_load("day_partials", load)
+        counted = _records(store, days, sums, _now()).drop("ingestion_timestamp")
+        kept = landed.select("simulation_date", "ingestion_timestamp", "raw_load", "extra_columns")
+        records = kept.join(counted, "simulation_date")
+        store.commit(records.withColumns({"fact_load": F.lit(load), "sums_load": F.lit(load)}))
     return store.publish(publish_to) if publish_to else {}
 
 
+def touched_days(store: TicketStore, days: Sequence[date]) -> list[date | None]:
+    """The ``ops_date``s that some source days count on."""
+    mine = store.recorded().where(F.col("simulation_date").isin(list(days)))
+    return [r[0] for r in store.rows("day_partials", mine).select("ops_date").distinct().collect()]
+
+
+def publish_days(store: TicketStore, out: str, days: Sequence[date], before: Sequence[date | None] = ()) -> dict[str, str]:
+    """Bring published copies up to date after some source days were loaded.
+
+    ``before`` names the ``ops_date``s these days counted on until then.
+    """
+    return store.publish(out, days=sorted({*touched_days(store, days), *before}, key=str))
+
+
 def reset_day(store: TicketStore, day: date) -> None:
-    """Remove a day from every table. Its progress row goes first, so that a reset
-    that breaks off never leaves a recorded day without data."""
-    for name in ("ingestion_state", *[t for t in TABLES if t != "ingestion_state"]):
-        store.clear_days(name, [day])
+    """Take a day out of every table, all at once."""
+    store.commit(_calendar(store, F.array(F.lit(day))).withColumn("ingestion_timestamp", F.lit(_now()).cast("timestamp")))

@@ -1,10 +1,7 @@
-"""From landed raw tickets to every derived table, for one day or for all."""
+"""From landed raw tickets to every derived table, for some days or for all."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import date
-
 from pyspark.sql import DataFrame
 
 from ticketloom.operators.clean import fact_tickets
@@ -23,54 +20,25 @@ def day_partials(agent_sums: DataFrame) -> DataFrame:
     return sum_rows(agent_sums, "source_date", "side", "ops_date")
 
 
-def _laid_out(agent_sums: DataFrame) -> DataFrame:
-    """Few files per source day. AQE splits a day that is too large for one task."""
-    return agent_sums.hint("rebalance", "source_date")
-
-
-def _sorted(agent_sums: DataFrame) -> DataFrame:
-    """Sorted within files, so that a filter on the day skips row groups."""
-    return agent_sums.sortWithinPartitions("source_date", "ops_date", "agent_id")
-
-
-def derive_days(store: TicketStore, days: Sequence[date]) -> None:
-    """Recompute what some source days contribute to each derived table.
+def derive(store: TicketStore, load: str, raw: DataFrame) -> None:
+    """Write one load of every derived table from raw rows.
 
     Each step reads the table the step before wrote, not a cached frame: nothing
-    is held in executor memory, and a lost executor costs only its own tasks.
-    """
-    facts = fact_tickets(store.rows("tickets_raw", days), ("source_date",))
-    store.replace_days("fact_tickets", facts, days)
-
-    def risk():
-        fact = store.rows("fact_tickets", days)
-        store.replace_days("ticket_sla_risk", ticket_sla_risk(fact, ("source_date",)), days)
-
-    def sums():
-        by_agent = agent_partials(store.rows("fact_tickets", days))
-        by_agent = by_agent if len(days) == 1 else _laid_out(by_agent)
-        store.replace_days("agent_partials", _sorted(by_agent), days)
-        store.replace_days("day_partials", day_partials(store.rows("agent_partials", days)), days)
-
-    run_together([risk, sums])
-
-
-def derive_all(store: TicketStore) -> None:
-    """Rebuild every derived table from the whole raw table.
-
-    Raw rows already lie by source day, so the two ticket-grained tables are
-    written without a shuffle. The partial sums shuffle once to be summed and,
-    much reduced, once more to lie by source day.
+    is held in executor memory, and a lost executor costs only its own tasks. Raw rows
+    already lie by source day, so the two ticket-grained tables are written without a
+    shuffle. The partial sums shuffle once to be summed.
     """
-    store.replace_all("fact_tickets", fact_tickets(store.rows("tickets_raw"), ("source_date",)))
+    store.write("fact_tickets", load, fact_tickets(raw, ("source_date",)))
 
     def risk():
-        fact = store.rows("fact_tickets")
-        store.replace_all("ticket_sla_risk", ticket_sla_risk(fact, ("source_date",)))
+        fact = store.read_load("fact_tickets", load)
+        store.write("ticket_sla_risk", load, ticket_sla_risk(fact, ("source_date",)))
 
     def sums():
-        by_agent = _laid_out(agent_partials(store.rows("fact_tickets")))
-        store.replace_all("agent_partials", _sorted(by_agent))
-        store.replace_all("day_partials", day_partials(store.rows("agent_partials")))
+        by_agent = agent_partials(store.read_load("fact_tickets", load))
+        # Sorted within files, so that a filter on the day skips row groups.
+        store.write("agent_partials", load, by_agent.sortWithinPartitions("source_date", "ops_date", "agent_id"))
+        by_day = day_partials(store.read_load("agent_partials", load))
+        store.write("day_partials", load, by_day)
 
     run_together([risk, sums])

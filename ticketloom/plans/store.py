@@ -1,49 +1,47 @@
-"""Stored tables: Parquet, partitioned by the day whose file they came from.
+"""Stored tables: Parquet, written as loads and made visible by a state record.
 
-The source day is the unit of replacement: loading a day again overwrites exactly
-what that day's file had contributed, in every table, however often it is done.
-Ticket-grained tables are partitioned by creation day below it, so a filter on
-``created_date`` prunes directories.
+A load writes its rows of every table into new folders. Nothing that readers see is
+touched until one small record says, per source day, which loads hold the day's rows; a
+load that breaks off before it leaves every table as it was. The source day is the unit
+of replacement: a record of a later load takes the day over in all tables at once.
 
-Day-level results are not stored. They are finished at read time from additive
-partial sums, which makes a daily run cost one day, never history.
+Day-level results are not stored. They are finished at read time from additive partial
+sums, which makes a daily run cost one day, never history.
 """
 
 from __future__ import annotations
 
 import functools
 import threading
+import time
+import uuid
+from collections import defaultdict
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark import InheritableThread
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ticketloom.operators.agent_load import daily_agent_load
 from ticketloom.operators.daily import backlog_daily, features_daily, running_backlog
-from ticketloom.schema import FACT_COLUMNS, PARTITIONS, STATE_SCHEMA, TABLES, TICKET_TYPES
-
-# The published column order of the risk table.
-_RISK_COLUMNS = [
-    "ticket_id", "created_at_ts", "created_date", "priority", "category", "agent_id",
-    "resolution_hours_clean", "sla_hours", "sla_breached", "day_of_week", "hour_of_day",
-    "is_high_priority", "is_long_resolution",
-]
-
-MARTS = (
-    "features_daily",
-    "daily_ops_metrics",
-    "backlog_daily",
-    "daily_agent_load",
-    "ticket_sla_risk",
+from ticketloom.schema import (
+    FACT_COLUMNS,
+    LOAD_COLUMN,
+    PARTITIONS,
+    RISK_COLUMNS,
+    STATE_COLUMNS,
+    TABLES,
+    TICKET_TYPES,
 )
+from ticketloom.sources import folders
 
-
-def _either(days: Sequence[date]) -> str:
-    names = [f"{d:%Y-%m-%d}" for d in days]
-    return names[0] if len(names) == 1 else "{" + ",".join(names) + "}"
+# Results with rows per day; the ticket-grained risk table is read where it is stored.
+DAY_MARTS = ("features_daily", "daily_ops_metrics", "backlog_daily", "daily_agent_load")
+MARTS = (*DAY_MARTS, "ticket_sla_risk")
+LOG_FILES_KEPT = 64
 
 
 def run_together(actions: Sequence[Callable[[], object]], threads: int = 4) -> None:
@@ -76,48 +74,145 @@ class TicketStore:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    # -- reading ---------------------------------------------------------------
+    def _empty(self, name: str) -> DataFrame:
+        return self.spark.createDataFrame([], TABLES[name])
+
+    # -- loads -------------------------------------------------------------------
+
+    @staticmethod
+    def new_load() -> str:
+        return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+    def write(self, name: str, load: str, df: DataFrame) -> None:
+        """Write a load's rows of a table. Readers do not see them before ``commit``."""
+        writer = df.write
+        if PARTITIONS[name]:
+            writer = writer.partitionBy(*PARTITIONS[name])
+        writer.parquet(f"{self.path(name)}/load={load}")
+
+    def _schema(self, name: str, extra: Sequence[str] = ()) -> T.StructType:
+        schema = T._parse_datatype_string(TABLES[name])
+        inner = [T.StructField(c, T.StringType()) for c in extra]
+        return T.StructType(inner + schema.fields + [T.StructField("load", T.StringType())])
 
-    def _stored(self, name: str, days: Sequence[date] | None) -> DataFrame | None:
-        reader = self.spark.read.schema(TABLES[name])
+    def read_load(self, name: str, load: str, extra: Sequence[str] = ()) -> DataFrame:
+        """What one load wrote to a table, recorded or not."""
+        return self._read(name, [load], extra).drop("load")
+
+    def _read(self, name: str, loads: Sequence[str], extra: Sequence[str]) -> DataFrame:
         path = self.path(name)
-        if days is not None:
-            reader = reader.option("basePath", path)
-            path = f"{path}/{PARTITIONS[name][0]}={_either(days)}"
-        try:
-            return reader.parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-
-    def rows(self, name: str, days: Sequence[date] | None = None) -> DataFrame:
-        """A stored table with its partition columns; with ``days``, only what those
-        source days contributed, without listing any other day's directory.
-
-        A table or day that was never written is empty. Any other error is raised.
+        reader = self.spark.read.schema(self._schema(name, extra)).option("basePath", path)
+        return reader.parquet(*[f"{path}/load={load}" for load in sorted(loads)])
+
+    # -- state -------------------------------------------------------------------
+
+    def _log(self, name: str) -> DataFrame:
+        if not folders.exists(self.spark, self.path(name)):
+            return self._empty(name)
+        return self.spark.read.schema(TABLES[name]).parquet(self.path(name))
+
+    def _latest(self, records: DataFrame) -> DataFrame:
+        whole = F.struct(*records.columns)
+        newest = records.groupBy("simulation_date").agg(F.max_by(whole, "seq").alias("r"))
+        return newest.select("r.*")
+
+    def recorded(self) -> DataFrame:
+        """The current record of every day that is complete in all tables."""
+        records = self._log("ingestion_state")
+        whole = records.where("fact_load is not null or raw_load is null")
+        return self._latest(whole).where("fact_load is not null")
+
+    def landed(self) -> DataFrame:
+        """The current record of every day whose raw rows have landed, derived or not."""
+        return self._latest(self._log("ingestion_state")).where("raw_load is not null")
+
+    def commit(self, records: DataFrame) -> None:
+        """Make loads visible: append records of days, all of them at once.
+
+        A record without ``fact_load`` lands raw rows only; one without any load takes
+        the day out of every table.
+        """
+        columns = T._parse_datatype_string(TABLES["ingestion_state"])
+        records = records.withColumn("seq", F.lit(time.time_ns()))
+        records = records.select(
+            *[(F.col(f.name) if f.name in records.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in columns]
+        )
+        records.coalesce(1).write.mode("append").parquet(self.path("ingestion_state"))
+        self._shorten("ingestion_state", lambda: self.landed().unionByName(self.recorded()).distinct())
+
+    def note_files(self, files: DataFrame) -> None:
+        """Remember the deliveries (path, modified, length, day) that have been loaded."""
+        noted = files.withColumn("seq", F.lit(time.time_ns()))
+        noted.coalesce(1).write.mode("append").parquet(self.path("loaded_files"))
+        self._shorten("loaded_files", self.loaded_files)
+
+    def loaded_files(self) -> DataFrame:
+        """The latest delivery loaded of every path."""
+        noted = self._log("loaded_files")
+        whole = F.struct(*noted.columns)
+        return noted.groupBy("path").agg(F.max_by(whole, "seq").alias("r")).select("r.*")
+
+    def _shorten(self, name: str, current: Callable[[], DataFrame]) -> None:
+        """Write what a log's files say as one file, then remove those files.
+
+        Whoever reads in between sees records twice, which changes nothing: the one with
+        the highest ``seq`` counts.
         """
-        stored = self._stored(name, days)
-        return self._empty(name) if stored is None else stored
+        old = [f for f in folders.children(self.spark, self.path(name)) if f.endswith(".parquet")]
+        if len(old) > LOG_FILES_KEPT:
+            current().coalesce(1).write.mode("append").parquet(self.path(name))
+            for file in old:
+                folders.remove(self.spark, f"{self.path(name)}/{file}")
 
-    def _empty(self, name: str) -> DataFrame:
-        return self.spark.createDataFrame([], TABLES[name])
+    # -- reading -----------------------------------------------------------------
+
+    def rows(self, name: str, records: DataFrame | None = None) -> DataFrame:
+        """A stored table's rows of all complete days, or of other records' days.
 
-    def table(self, name: str) -> DataFrame:
-        """A table as its users know it."""
+        Only folders of loads that still hold a current day are listed.
+        """
+        records = self.recorded() if records is None else records
+        column = LOAD_COLUMN[name]
+        # One row per day.
+        days_of: dict[str, list[date]] = defaultdict(list)
+        extra: dict[str, None] = {}
+        for row in records.select("simulation_date", column, "extra_columns").collect():
+            days_of[row[column]].append(row["simulation_date"])
+            if name == "tickets_raw":
+                extra |= dict.fromkeys(row["extra_columns"] or ())
+        if not days_of:
+            return self._empty(name)
+        stored = self._read(name, list(days_of), list(extra))
+        return stored.where(self._current(days_of)).drop("load")
+
+    def _current(self, days_of: dict[str, list[date]]):
+        """Rows of the days that each load still holds."""
+        by_days: dict[tuple[date, ...], list[str]] = defaultdict(list)
+        for load, days in days_of.items():
+            by_days[tuple(sorted(days))].append(load)
+        held = [F.col("load").isin(loads) & F.col("source_date").isin(list(days)) for days, loads in by_days.items()]
+        return functools.reduce(lambda a, b: a | b, held)
+
+    def table(self, name: str, records: DataFrame | None = None) -> DataFrame:
+        """A table as its users know it, complete days only."""
         days, agents = "day_partials", "agent_partials"
+
+        def raw() -> DataFrame:
+            rows = self.rows("tickets_raw", records)
+            own = [*TICKET_TYPES, "_unread", "_ingestion_ts", "_source_file", "source_date", "created_date"]
+            extra = [c for c in rows.columns if c not in own]
+            return rows.select(*TICKET_TYPES, *[f"`{c}`" for c in extra], "_unread", "_ingestion_ts", "_source_file")
+
         views = {
-            "tickets_raw": lambda: self.rows("tickets_raw").select(
-                *TICKET_TYPES, "_ingestion_ts", "_source_file"
-            ),
-            "fact_tickets": lambda: self.rows("fact_tickets").select(*FACT_COLUMNS),
-            "ticket_sla_risk": lambda: self.rows("ticket_sla_risk").select(*_RISK_COLUMNS),
-            "features_daily": lambda: features_daily(self.rows(days)),
-            "daily_ops_metrics": lambda: features_daily(self.rows(days)),
-            "backlog_daily": lambda: backlog_daily(self.rows(days)),
-            "running_backlog": lambda: running_backlog(self.rows(days)),
-            "daily_agent_load": lambda: daily_agent_load(self.rows(agents)),
-            "ingestion_state": lambda: self.rows("ingestion_state").select(*STATE_SCHEMA.names),
+            "tickets_raw": raw,
+            "fact_tickets": lambda: self.rows("fact_tickets", records).select(*FACT_COLUMNS),
+            "ticket_sla_risk": lambda: self.rows("ticket_sla_risk", records).select(*RISK_COLUMNS),
+            "features_daily": lambda: features_daily(self.rows(days, records)),
+            "daily_ops_metrics": lambda: features_daily(self.rows(days, records)),
+            "backlog_daily": lambda: backlog_daily(self.rows(days, records)),
+            "running_backlog": lambda: running_backlog(self.rows(days, records)),
+            "daily_agent_load": lambda: daily_agent_load(self.rows(agents, records)),
+            "ingestion_state": lambda: self.recorded().select(*STATE_COLUMNS),
         }
         return views[name]()
 
@@ -126,50 +221,78 @@ class TicketStore:
         for name in ("tickets_raw", "fact_tickets", *MARTS, "running_backlog", "ingestion_state"):
             self.table(name).createOrReplaceTempView(name)
 
-    # -- writing ---------------------------------------------------------------
-
-    def replace_days(self, name: str, df: DataFrame, days: Sequence[date]) -> None:
-        """Overwrite some source days of a table with ``df``, which holds rows of
-        those days only. A day that has no rows in ``df`` ends up empty."""
-        day_column, *below = PARTITIONS[name]
-        if len(days) == 1:
-            writer = df.drop(day_column).write.mode("overwrite")
-            writer = writer.option("partitionOverwriteMode", "static")
-            if below:
-                writer = writer.partitionBy(*below)
-            writer.parquet(f"{self.path(name)}/{day_column}={_either(days)}")
-            return
-        # Dynamic overwrite touches only what df has rows for, so whatever these
-        # days held before is emptied first: one small write per stored day.
-        stored = self._stored(name, days)
-        if stored is not None:
-            self.clear_days(name, [r[0] for r in stored.select(day_column).distinct().collect()])
-        self._write(name, df, "dynamic")
-
-    def clear_days(self, name: str, days: Sequence[date]) -> None:
-        """Remove what some source days contributed to a table."""
-        for day in days:
-            self.replace_days(name, self._empty(name), [day])
-
-    def replace_all(self, name: str, df: DataFrame) -> None:
-        """Overwrite a whole table; ``df`` must not read from it."""
-        self._write(name, df, "static")
-
-    def _write(self, name: str, df: DataFrame, overwrite_mode: str) -> None:
-        (
-            df.write.mode("overwrite")
-            .option("partitionOverwriteMode", overwrite_mode)
-            .partitionBy(*PARTITIONS[name])
-            .parquet(self.path(name))
-        )
-
-    def publish(self, out: str, names: tuple[str, ...] = MARTS, threads: int = 4) -> dict[str, str]:
-        """Full plain-Parquet copies of finished tables for readers outside Spark,
-        written at the same time. Returns where each one went."""
-        targets = {name: f"{out}/{name}" for name in names}
+    # -- upkeep --------------------------------------------------------------------
+
+    def vacuum(self, older_than_hours: float = 24.0) -> list[str]:
+        """Remove the folders of loads that no current record names, if old enough that
+        no reader or unfinished load uses them. Returns the removed paths."""
+        records = self.landed().unionByName(self.recorded())
+        loads = records.select(F.explode(F.array("raw_load", "fact_load", "sums_load"))).distinct()
+        named = {row[0] for row in loads.collect()}  # three per day at most
+        before = time.time_ns() - int(older_than_hours * 3600e9)
+        removed = []
+        for name in PARTITIONS:
+            for child in folders.children(self.spark, self.path(name)):
+                load = child.removeprefix("load=")
+                if child != load and load not in named and int(load.split("-")[0]) < before:
+                    removed.append(f"{self.path(name)}/{child}")
+                    folders.remove(self.spark, removed[-1])
+        return removed
+
+    def compact(self, until: date) -> int:
+        """Rewrite the partial sums of the complete days up to ``until`` as one load.
+
+        Many daily loads leave as many small files; afterwards these days are read from
+        a few. Returns how many days were rewritten.
+        """
+        records = self.recorded().where(F.col("simulation_date") <= F.lit(until))
+        fixed = self.spark.createDataFrame(records.collect(), TABLES["ingestion_state"])  # one row a day
+        days = fixed.count()
+        if days:
+            load = self.new_load()
+            for name in ("agent_partials", "day_partials"):
+                sums = self.rows(name, fixed).repartitionByRange("source_date", "ops_date")
+                self.write(name, load, sums.sortWithinPartitions("source_date", "ops_date"))
+            self.commit(fixed.withColumn("sums_load", F.lit(load)))
+        return days
+
+    # -- publishing ----------------------------------------------------------------
+
+    def publish(
+        self, out: str, names: Sequence[str] = DAY_MARTS, days: Sequence[date | None] | None = None, threads: int = 4
+    ) -> dict[str, str]:
+        """Plain-Parquet copies of day-level results for readers outside Spark.
+
+        They lie by month. With ``days`` (of ``ops_date``) only the months these fall in
+        are written again. A month is replaced when all its new files are there; one that
+        has no rows any more is removed afterwards. Returns where each copy is.
+        """
+        months = None if days is None else {d and d.replace(day=1) for d in days}
 
         def copy(name: str) -> None:
-            self.table(name).write.mode("overwrite").parquet(targets[name])
+            month = F.trunc("ops_date", "month")
+            result = self.table(name).withColumn("ops_month", month)
+            if months is not None:
+                some = [m for m in months if m]
+                result = result.where(
+                    F.col("ops_month").isin(some) | (F.col("ops_month").isNull() & F.lit(None in months))
+                )
+            (
+                result.hint("rebalance", "ops_month")
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("ops_month")
+                .parquet(f"{out}/{name}")
+            )
+            there = {r[0] for r in self.table(name).select(month.alias("m")).distinct().collect()}
+            for child in folders.children(self.spark, f"{out}/{name}"):
+                value = child.removeprefix("ops_month=")
+                if child != value and (None if value.startswith("__HIVE") else date.fromisoformat(value)) not in there:
+                    folders.remove(self.spark, f"{out}/{name}/{child}")
 
         run_together([functools.partial(copy, name) for name in names], threads)
-        return targets
+        return {name: f"{out}/{name}" for name in names}
+
+    def published(self, out: str, name: str) -> DataFrame:
+        """A published copy as its readers know it."""
+        return self.spark.read.parquet(f"{out}/{name}").drop("ops_month")

@@ -42,6 +42,27 @@ fact AS (
   FROM tickets
 )"""
 
+_ORDER_TICKETS = """
+order_day AS (
+  SELECT *, (o_orderkey % 200) / 4.0 AS hours,
+    CAST(CASE o_orderkey % 4 WHEN 0 THEN 8 WHEN 1 THEN 24 WHEN 2 THEN 48 ELSE 72 END AS DOUBLE) AS sla,
+    TIMESTAMP '2023-01-01' + to_days(CAST(datediff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) % 730 AS INTEGER))
+      + to_seconds(o_orderkey % 86400) AS created_at
+  FROM orders
+),
+tickets AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS ticket_id, created_at,
+    CASE WHEN o_orderstatus <> 'O'
+         THEN strftime(created_at + to_minutes(CAST(floor(hours * 60) AS BIGINT)), '%-m/%-d/%y %-H:%M') END AS resolved_at,
+    CAST(hours AS DOUBLE) AS resolution_hours, sla AS sla_hours, hours > sla AS sla_breached,
+    o_orderpriority AS priority, o_orderstatus AS category,
+    CASE o_custkey % 3 WHEN 0 THEN 'Email' WHEN 1 THEN 'Chat' ELSE 'Phone' END AS channel,
+    CASE o_custkey % 2 WHEN 0 THEN 'Gold' ELSE 'Silver' END AS customer_tier,
+    CASE WHEN o_orderstatus = 'O' THEN 'Open' ELSE 'Resolved' END AS status,
+    CASE WHEN o_orderkey % 50 <> 0 THEN CAST(o_custkey % 25 AS VARCHAR) END AS agent_id
+  FROM order_day
+)"""
+
 _MEAN = (
     "CAST(sum(CAST(resolution_hours_clean AS DECIMAL(18,6))) AS DOUBLE)"
     " / nullif(count(resolution_hours_clean), 0)"
@@ -158,7 +179,9 @@ ORACLE_SQL: dict[str, str] = {
     "ticket_source": f"WITH {_TICKETS} SELECT * FROM tickets",
     "fact_tickets": f"WITH {_FACT} SELECT * FROM fact",
     "resolved_tickets": f"WITH {_FACT} SELECT * FROM fact WHERE is_resolved",
-    "month_slice": f"WITH {_TICKETS} SELECT * FROM tickets WHERE month(created_at) IS NOT NULL",
+    "month_slice": f"""WITH {_ORDER_TICKETS}
+SELECT *, CAST(date_trunc('month', created_at) AS DATE) AS month
+FROM tickets WHERE month(created_at) % 2 = 0""",
     "features_daily": _FEATURES,
     "backlog_daily": _BACKLOG,
     "daily_aggregates": f"""WITH {_FACT}
@@ -168,15 +191,19 @@ SELECT created_date AS ops_date, {_KPI},
 FROM fact GROUP BY created_date""",
     "assigned_per_agent": f"WITH {_AGENT_SIDES} SELECT * FROM assigned",
     "resolved_per_agent": f"WITH {_AGENT_SIDES} SELECT * FROM resolved",
+    "tickets_per_agent": f"""WITH {_FACT}
+SELECT created_date AS ops_date, count(*) AS total_tickets, count(DISTINCT agent_id) AS distinct_agents,
+  CAST(count(*) AS DOUBLE) / nullif(count(DISTINCT agent_id), 0) AS tickets_per_agent
+FROM fact GROUP BY created_date""",
     "daily_agent_load": _agent_load(_EQUAL, _EITHER_AGENT),
     "daily_agent_load_null_safe": _agent_load(_SAME, _EITHER_AGENT),
     "ticket_sla_risk": _risk("ticket_id", "agent_id"),
     "running_backlog": _RUNNING,
     "rows_per_day": f"""WITH {_FACT}
 SELECT created_date, count(*) AS rows_loaded FROM fact GROUP BY created_date""",
-    "rows_per_month": f"""WITH {_FACT}
-SELECT CAST(date_trunc('month', created_date) AS DATE) AS month, count(*) AS rows_loaded
-FROM fact GROUP BY ALL""",
+    "rows_per_month": f"""WITH {_ORDER_TICKETS}
+SELECT CAST(date_trunc('month', created_at) AS DATE) AS month, count(*) AS rows_loaded
+FROM tickets GROUP BY ALL""",
     "days_without_tickets": f"""WITH {_FACT},
 bounds AS (SELECT min(created_date) AS first, max(resolved_date) AS last FROM fact)
 SELECT CAST(d.day AS DATE) AS created_date
@@ -188,7 +215,24 @@ WHERE CAST(d.day AS DATE) NOT IN (SELECT created_date FROM fact)""",
     "agent_list_scan": f"""WITH {_TICKETS}
 SELECT {_AGENT_ID}, CAST(count(*) AS VARCHAR) AS tickets, min(channel) AS first_channel
 FROM tickets GROUP BY tickets.agent_id""",
+    "export_accounts_for_all": f"""WITH {_ORDER_TICKETS},
+seen AS (SELECT *, CAST(ticket_id AS BIGINT) AS id, CAST(ticket_id AS BIGINT) % 97 = 0 AS odd FROM tickets),
+kept AS (SELECT * FROM seen WHERE odd OR year(created_at) = 2023)
+SELECT (SELECT count(*) FROM seen WHERE NOT odd AND year(created_at) = 2023) AS exported,
+  (SELECT count(*) FROM seen WHERE NOT odd AND year(created_at) <> 2023) AS out_of_range,
+  (SELECT count(*) FROM seen WHERE odd) AS unreadable,
+  (SELECT count(*) FROM kept) AS rows_written,
+  (SELECT count(*) FROM kept WHERE id % 89 = 0) AS odd_hours_kept,
+  (SELECT count(*) FROM kept WHERE odd) AS odd_times_kept""",
+    "empty_slice": """SELECT CAST(0 AS BIGINT) AS exported, count(*) AS out_of_range,
+  CAST(0 AS BIGINT) AS unreadable, CAST(0 AS BIGINT) AS files FROM events""",
     "backfill_tickets_raw": f"{_LANDED} FROM tickets",
+    "backfill_rows_by_month": f"""WITH {_ORDER_TICKETS}
+SELECT month, CASE WHEN month <> '2023-05' THEN n END AS rows_loaded, month = '2023-05' AS failed
+FROM (SELECT strftime(created_at, '%Y-%m') AS month, count(*) AS n FROM tickets GROUP BY ALL)""",
+    "backfill_odd_names": _FACT_TEXT_IDS,
+    "failed_backfill_keeps_raw": f"{_LANDED} FROM tickets",
+    "failed_rebuild_keeps_facts": _FACT_TEXT_IDS,
     "rebuild_fact_tickets": _FACT_TEXT_IDS,
     "published_features_daily": _FEATURES,
     "published_daily_ops_metrics": _FEATURES,
@@ -206,6 +250,19 @@ FROM tickets GROUP BY tickets.agent_id""",
     "ingestion_log": _LOG,
     "next_day": f"""WITH {_FACT}
 SELECT CAST(max(created_date) + INTERVAL 1 DAY AS DATE) AS next_day FROM fact""",
+    "next_day_past_end": f"""WITH {_FACT}
+SELECT next_day FROM (
+  SELECT CAST(max(created_date) + INTERVAL 1 DAY AS DATE) AS next_day, max(created_date) AS last FROM fact
+) WHERE next_day <= last""",
+    "date_exists": f"""WITH {_FACT},
+bounds AS (SELECT min(created_date) AS first, max(created_date) AS last FROM fact)
+SELECT CAST(d.day AS DATE) AS created_date,
+  CAST(d.day AS DATE) IN (SELECT created_date FROM fact) AS there
+FROM bounds, LATERAL (
+  SELECT unnest(generate_series(first - INTERVAL 3 DAY, last + INTERVAL 3 DAY, INTERVAL 1 DAY)) AS day
+) d""",
+    "half_loaded_features_daily": _FEATURES,
+    "published_after_each_day": _LOAD_TEXT_IDS,
     "unrecorded_days": f"""WITH {_FACT},
 bounds AS (SELECT min(created_date) AS first, max(created_date) AS last FROM fact)
 SELECT CAST(d.day AS DATE) AS simulation_date
@@ -218,6 +275,7 @@ WHERE CAST(d.day AS DATE) NOT IN (SELECT created_date FROM fact)""",
     "repaired_daily_agent_load": _LOAD_TEXT_IDS,
     "stream_fact_tickets": _FACT_TEXT_IDS,
     "stream_features_daily": _FEATURES,
+    "stream_redelivered_facts": _FACT_TEXT_IDS,
     "arrivals_daily_agent_load": _LOAD_TEXT_IDS,
     "arrivals_ingestion_state": _LOG,
 }

@@ -17,13 +17,14 @@ from pyspark.sql import functions as F
 
 from ticketloom.operators import agent_load, calendar, daily, sla_risk
 from ticketloom.operators.clean import fact_tickets
-from ticketloom.operators.ticket_days import created_rows, ticket_rows
+from ticketloom.operators.ticket_days import created_rows, resolved_rows, ticket_rows
 from ticketloom.plans import jobs
 from ticketloom.plans.store import TicketStore
 from ticketloom.session import apply_job_conf, new_work_dir
 from ticketloom.sources import day_files
 from ticketloom.sources.event_tickets import event_tickets
-from ticketloom.streaming.ingest import start_fact_stream, start_upkeep_stream, streamed_facts
+from ticketloom.sources.order_tickets import order_tickets
+from ticketloom.streaming.arrivals import load_arrivals
 
 LOADED_AT = datetime(2024, 3, 1, tzinfo=timezone.utc)
 
@@ -60,6 +61,12 @@ def _months(spark, sf_dir) -> list[tuple[int, int]]:
     return sorted({(day.year, day.month) for day in _all_days(spark, sf_dir)})
 
 
+@_once_per_session
+def _order_months(spark, sf_dir) -> list[tuple[int, int]]:
+    months = order_tickets(spark, sf_dir).select(F.trunc("created_at", "month").alias("m")).distinct()
+    return sorted((row.m.year, row.m.month) for row in months.collect())
+
+
 # -- operators on the ticket table ---------------------------------------------
 
 
@@ -80,13 +87,10 @@ def resolved_tickets(spark, sf_dir):
 
 
 def month_slice(spark, sf_dir):
-    """Each month that has tickets, sliced on its own."""
-    tickets = event_tickets(spark, sf_dir)
-    slices = [
-        calendar.time_slice(tickets, "created_at", *calendar.month_bounds(year, month))
-        for year, month in _months(spark, sf_dir)
-    ]
-    return functools.reduce(DataFrame.unionByName, slices)
+    """Every even month of the tickets seen in `orders`, each row with its month."""
+    tickets = order_tickets(spark, sf_dir)
+    even = [(year, month) for year, month in _order_months(spark, sf_dir) if month % 2 == 0]
+    return calendar.month_slices(tickets, "created_at", even)
 
 
 def features_daily(spark, sf_dir):
@@ -106,7 +110,11 @@ def assigned_per_agent(spark, sf_dir):
 
 
 def resolved_per_agent(spark, sf_dir):
-    return agent_load.resolved_per_agent(ticket_rows(_fact(spark, sf_dir)))
+    return agent_load.resolved_per_agent(resolved_rows(_fact(spark, sf_dir)))
+
+
+def tickets_per_agent(spark, sf_dir):
+    return agent_load.tickets_per_agent(_fact(spark, sf_dir))
 
 
 def daily_agent_load(spark, sf_dir):
@@ -130,26 +138,29 @@ def rows_per_day(spark, sf_dir):
 
 
 def rows_per_month(spark, sf_dir):
-    return calendar.rows_per_month(_fact(spark, sf_dir))
+    return calendar.rows_per_month(fact_tickets(order_tickets(spark, sf_dir)))
 
 
 def days_without_tickets(spark, sf_dir):
-    fact = _fact(spark, sf_dir)
-    first_last = fact.agg(
-        F.min("created_date").alias("first"), F.max("resolved_date").alias("last")
-    )
-    return calendar.days_without_rows(first_last, fact, "created_date")
+    return calendar.days_without_rows(_fact(spark, sf_dir), "created_date", "resolved_date")
 
 
 # -- day files -----------------------------------------------------------------
 
 
+def _exported(spark, tickets: DataFrame, label: str) -> day_files.DayFiles:
+    return day_files.export_days(tickets, new_work_dir(spark, label)).files
+
+
 @_once_per_session
 def _files(spark, sf_dir) -> day_files.DayFiles:
-    base = new_work_dir(spark, "day-files")
-    for year in sorted({year for year, _ in _months(spark, sf_dir)}):
-        files = day_files.export_days(event_tickets(spark, sf_dir), base, year)
-    return files
+    return _exported(spark, event_tickets(spark, sf_dir), "day-files")
+
+
+def _add_bad_file(spark, files: day_files.DayFiles, folder: str) -> None:
+    """Deliver a file that is no ticket file."""
+    bad = spark.createDataFrame([("x",)], "ticket_id string")
+    bad.coalesce(1).write.mode("append").option("header", True).csv(f"{files.base}/{folder}")
 
 
 def _plain_time(df: DataFrame, column: str) -> DataFrame:
@@ -161,7 +172,7 @@ def _landed(df: DataFrame) -> DataFrame:
     """A landed frame with its file path reduced to the day in it: where the work
     folder lies differs from run to run."""
     in_path = F.regexp_extract("_source_file", r"(\d{4}-\d{2}-\d{2})/[^/]*$", 1)
-    df = _plain_time(_plain_time(df, "created_at"), "_ingestion_ts")
+    df = _plain_time(_plain_time(df, "created_at"), "_ingestion_ts").drop("_unread")
     return df.withColumn("_source_file", in_path)
 
 
@@ -179,7 +190,7 @@ def month_files_scan(spark, sf_dir):
 
 
 def extract_scan(spark, sf_dir):
-    path = _files(spark, sf_dir).everything()
+    path = f"{_files(spark, sf_dir).base}/*"
     return _plain_time(day_files.read_extract(spark, path), "created_at")
 
 
@@ -192,18 +203,56 @@ def agent_list_scan(spark, sf_dir):
     return day_files.read_agents(spark, path)
 
 
+@_once_per_session
+def _awkward_extract(spark, sf_dir) -> DataFrame:
+    """The tickets seen in `orders` as text, some with cells that do not fit."""
+    tickets = order_tickets(spark, sf_dir)
+    text = tickets.select(*[F.col(c).cast("string").alias(c) for c in tickets.columns])
+    number = F.col("ticket_id").cast("long")
+    return text.withColumns(
+        {
+            "created_at": F.when(number % 97 == 0, "soon").otherwise(F.col("created_at")),
+            "resolution_hours": F.when(number % 89 == 0, "7 h").otherwise(F.col("resolution_hours")),
+        }
+    )
+
+
+def export_accounts_for_all(spark, sf_dir):
+    """What an export of one of two years did with every row of an awkward extract."""
+    out = day_files.export_days(_awkward_extract(spark, sf_dir), new_work_dir(spark, "extract"), 2023)
+    counts = spark.createDataFrame(
+        [(out.exported, out.out_of_range, out.unreadable)], "exported long, out_of_range long, unreadable long"
+    )
+    rows = day_files.read_extract(spark, f"{out.files.base}/*", typed=False)
+    kept = rows.agg(
+        F.count(F.lit(1)).alias("rows_written"),
+        F.count_if(F.col("resolution_hours") == "7 h").alias("odd_hours_kept"),
+        F.count_if(F.col("created_at") == "soon").alias("odd_times_kept"),
+    )
+    return counts.crossJoin(kept)  # one row each
+
+
+def empty_slice(spark, sf_dir):
+    """An export of a year without tickets writes nothing."""
+    out = day_files.export_days(event_tickets(spark, sf_dir), new_work_dir(spark, "empty"), 1999)
+    files = len(out.files.all(spark))
+    row = [(out.exported, out.out_of_range, out.unreadable, files)]
+    return spark.createDataFrame(row, "exported long, out_of_range long, unreadable long, files long")
+
+
 # -- bulk load and rebuild -----------------------------------------------------
 
 
 @_once_per_session
-def _rebuilt(spark, sf_dir) -> tuple[TicketStore, dict[str, str]]:
+def _rebuilt(spark, sf_dir) -> tuple[TicketStore, str]:
     root = new_work_dir(spark, "bulk")
     store = TicketStore(spark, f"{root}/tables")
     for year, month in _months(spark, sf_dir):
         result = jobs.backfill(store, _files(spark, sf_dir), year, month, month, LOADED_AT)
         if result.failed_months:
             raise RuntimeError(f"months not loaded: {result.failed_months}")
-    return store, jobs.rebuild(store, publish_to=f"{root}/published")
+    jobs.rebuild(store, publish_to=f"{root}/published")
+    return store, f"{root}/published"
 
 
 def backfill_tickets_raw(spark, sf_dir):
@@ -216,13 +265,88 @@ def rebuild_fact_tickets(spark, sf_dir):
 
 def _published(name: str) -> Callable:
     def read(spark, sf_dir):
-        return spark.read.parquet(_rebuilt(spark, sf_dir)[1][name])
+        store, out = _rebuilt(spark, sf_dir)
+        return store.published(out, name)
 
     return read
 
 
 def published_ticket_sla_risk(spark, sf_dir):
-    return _plain_time(_published("ticket_sla_risk")(spark, sf_dir), "created_at_ts")
+    """The ticket-grained table is handed out where it is stored."""
+    return _plain_time(_rebuilt(spark, sf_dir)[0].table("ticket_sla_risk"), "created_at_ts")
+
+
+@_once_per_session
+def _order_backfill(spark, sf_dir) -> jobs.BackfillResult:
+    """Two years of days, one month with a file that cannot be read."""
+    files = _exported(spark, order_tickets(spark, sf_dir), "order-files")
+    _add_bad_file(spark, files, "created_date=2023-05-03")
+    store = TicketStore(spark, f"{new_work_dir(spark, 'order-backfill')}/tables")
+    result = jobs.BackfillResult()
+    for year in sorted({year for year, _ in _order_months(spark, sf_dir)}):
+        own = jobs.backfill(store, files, year, ingested_at=LOADED_AT)
+        result.rows_by_month |= own.rows_by_month
+        result.failed_months |= own.failed_months
+    landed = store.rows("tickets_raw", store.landed()).count()
+    if landed != result.rows:
+        raise RuntimeError(f"{landed} rows landed, {result.rows} reported")
+    return result
+
+
+def backfill_rows_by_month(spark, sf_dir):
+    result = _order_backfill(spark, sf_dir)
+    rows = [(month, rows, False) for month, rows in result.rows_by_month.items()]
+    rows += [(month, None, True) for month in result.failed_months]
+    return spark.createDataFrame(rows, "month string, rows_loaded long, failed boolean")
+
+
+@_once_per_session
+def _damaged(spark, sf_dir) -> TicketStore:
+    """Loaded and rebuilt; then a rebuild meets a raw file that is damaged."""
+    store = TicketStore(spark, f"{new_work_dir(spark, 'damaged')}/tables")
+    for year, month in _months(spark, sf_dir):
+        jobs.backfill(store, _files(spark, sf_dir), year, month, month, LOADED_AT)
+    jobs.rebuild(store)
+    first = store.landed().orderBy("simulation_date").first()
+    day = first["simulation_date"]
+    place = f"{store.path('tickets_raw')}/load={first['raw_load']}/source_date={day}/created_date={day}"
+    spark.createDataFrame([("damaged",)], "value string").write.mode("append").text(place)
+    try:
+        jobs.rebuild(store)
+    except Exception:  # the damaged file
+        return store
+    raise RuntimeError("a damaged raw file was read")
+
+
+def failed_backfill_keeps_raw(spark, sf_dir):
+    return _landed(_odd_names(spark, sf_dir).table("tickets_raw"))
+
+
+@_once_per_session
+def _odd_names(spark, sf_dir) -> TicketStore:
+    """Loaded and rebuilt; then a month gets a file that cannot be read, and after that
+    one that is not named after a day. Both attempts to load the month must fail."""
+    files = _exported(spark, event_tickets(spark, sf_dir), "odd-files")
+    store = TicketStore(spark, f"{new_work_dir(spark, 'odd')}/tables")
+    first = _all_days(spark, sf_dir)[0]
+    for attempt in ("whole", f"created_date={first}", f"created_date={first:%Y-%m}-late"):
+        if attempt != "whole":
+            _add_bad_file(spark, files, attempt)
+        for year, month in _months(spark, sf_dir):
+            result = jobs.backfill(store, files, year, month, month, LOADED_AT)
+            if bool(result.failed_months) != (attempt != "whole" and (year, month) == (first.year, first.month)):
+                raise RuntimeError(f"{attempt}: {result}")
+        if attempt == "whole":
+            jobs.rebuild(store)
+    return store
+
+
+def backfill_odd_names(spark, sf_dir):
+    return _plain_time(_odd_names(spark, sf_dir).table("fact_tickets"), "created_at")
+
+
+def failed_rebuild_keeps_facts(spark, sf_dir):
+    return _plain_time(_damaged(spark, sf_dir).table("fact_tickets"), "created_at")
 
 
 # -- day-at-a-time upkeep ------------------------------------------------------
@@ -255,6 +379,49 @@ def _repaired(spark, sf_dir) -> TicketStore:
     return store
 
 
+@_once_per_session
+def _half_loaded(spark, sf_dir) -> TicketStore:
+    """All days loaded, then a load of some of them that broke off half-way."""
+    store = TicketStore(spark, f"{new_work_dir(spark, 'half')}/tables")
+    jobs.catch_up(store, _files(spark, sf_dir), *_span(spark, sf_dir), ingested_at=LOADED_AT)
+    load = store.new_load()
+    for name in ("tickets_raw", "fact_tickets", "day_partials"):
+        rows = store.rows(name)
+        store.write(name, load, rows.unionByName(rows))
+    return store
+
+
+@_once_per_session
+def _published_by_day(spark, sf_dir) -> tuple[TicketStore, str]:
+    """Published copies brought up to date after each of several loads."""
+    root = new_work_dir(spark, "publish")
+    store, days = TicketStore(spark, f"{root}/tables"), _all_days(spark, sf_dir)
+    third = len(days) // 3 + 1
+    for some in (days[:third], days[third : 2 * third], days[2 * third :], days[third : third + 2]):
+        if some:
+            before = jobs.touched_days(store, some)
+            jobs.load_days(store, _files(spark, sf_dir), some, True, LOADED_AT)
+            jobs.publish_days(store, f"{root}/published", some, before)
+    return store, f"{root}/published"
+
+
+def published_after_each_day(spark, sf_dir):
+    store, out = _published_by_day(spark, sf_dir)
+    return store.published(out, "daily_agent_load")
+
+
+def date_exists(spark, sf_dir):
+    first, last = _span(spark, sf_dir)
+    days = [first + timedelta(days=i) for i in range(-3, (last - first).days + 4)]
+    return jobs.date_exists(_kept_up(spark, sf_dir), days)
+
+
+def next_day_past_end(spark, sf_dir):
+    """Past the given end there is no next day."""
+    first, last = _span(spark, sf_dir)
+    return jobs.next_day_frame(_kept_up(spark, sf_dir), first, last)
+
+
 def _table(store_of: Callable, name: str, *times: str) -> Callable:
     def read(spark, sf_dir):
         df = store_of(spark, sf_dir).table(name)
@@ -273,7 +440,7 @@ def ingestion_log(spark, sf_dir):
 
 
 def next_day(spark, sf_dir):
-    return jobs.next_day_frame(_kept_up(spark, sf_dir))
+    return jobs.next_day_frame(_kept_up(spark, sf_dir), _span(spark, sf_dir)[0])
 
 
 def unrecorded_days(spark, sf_dir):
@@ -282,31 +449,31 @@ def unrecorded_days(spark, sf_dir):
     return jobs.unrecorded_days(_kept_up(spark, sf_dir), first - around, last + around)
 
 
-# -- stream --------------------------------------------------------------------
+# -- arrivals ------------------------------------------------------------------
 
 
 @_once_per_session
-def _streamed(spark, sf_dir) -> str:
-    """The day files streamed in, with a second start that must add nothing."""
-    root = new_work_dir(spark, "stream")
+def _kept_up_by_arrival(spark, sf_dir) -> TicketStore:
+    """Loaded as files arrive, with a second look that must add nothing."""
+    store = TicketStore(spark, f"{new_work_dir(spark, 'arrivals')}/tables")
     for _ in range(2):
-        start_fact_stream(spark, _files(spark, sf_dir), root, files_per_batch=20).awaitTermination()
-    return root
-
-
-def stream_fact_tickets(spark, sf_dir):
-    return _plain_time(streamed_facts(spark, _streamed(spark, sf_dir)), "created_at")
-
-
-def stream_features_daily(spark, sf_dir):
-    return daily.features_daily(created_rows(streamed_facts(spark, _streamed(spark, sf_dir))))
+        load_arrivals(store, _files(spark, sf_dir), LOADED_AT, days_per_load=20)
+    return store
 
 
 @_once_per_session
-def _kept_up_by_arrival(spark, sf_dir) -> TicketStore:
-    store = TicketStore(spark, f"{new_work_dir(spark, 'arrivals')}/tables")
-    for _ in range(2):
-        start_upkeep_stream(store, _files(spark, sf_dir), LOADED_AT).awaitTermination()
+def _redelivered(spark, sf_dir) -> TicketStore:
+    """Half of the days come with wrong contents first and are delivered again."""
+    tickets = event_tickets(spark, sf_dir)
+    days = _all_days(spark, sf_dir)
+    wrong = F.col("created_at") < F.lit(days[len(days) // 2]).cast("timestamp_ntz")
+    first = tickets.where(~wrong | (F.col("ticket_id") % 2 == 0)).withColumn(
+        "status", F.when(wrong, F.lit("Wrong")).otherwise(F.col("status"))
+    )
+    base = new_work_dir(spark, "redelivered")
+    store = TicketStore(spark, f"{new_work_dir(spark, 'redelivered')}/tables")
+    for delivery in (first, tickets.where(wrong), tickets.where(wrong)):
+        load_arrivals(store, day_files.export_days(delivery, base).files, LOADED_AT)
     return store
 
 
@@ -320,6 +487,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_aggregates": daily_aggregates,
     "assigned_per_agent": assigned_per_agent,
     "resolved_per_agent": resolved_per_agent,
+    "tickets_per_agent": tickets_per_agent,
     "daily_agent_load": daily_agent_load,
     "daily_agent_load_null_safe": daily_agent_load_null_safe,
     "ticket_sla_risk": ticket_sla_risk,
@@ -331,7 +499,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "month_files_scan": month_files_scan,
     "extract_scan": extract_scan,
     "agent_list_scan": agent_list_scan,
+    "export_accounts_for_all": export_accounts_for_all,
+    "empty_slice": empty_slice,
     "backfill_tickets_raw": backfill_tickets_raw,
+    "backfill_rows_by_month": backfill_rows_by_month,
+    "backfill_odd_names": backfill_odd_names,
+    "failed_backfill_keeps_raw": failed_backfill_keeps_raw,
+    "failed_rebuild_keeps_facts": failed_rebuild_keeps_facts,
     "rebuild_fact_tickets": rebuild_fact_tickets,
     "published_features_daily": _published("features_daily"),
     "published_daily_ops_metrics": _published("daily_ops_metrics"),
@@ -348,12 +522,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upkeep_ticket_sla_risk": _table(_kept_up, "ticket_sla_risk", "created_at_ts"),
     "ingestion_log": ingestion_log,
     "next_day": next_day,
+    "next_day_past_end": next_day_past_end,
     "unrecorded_days": unrecorded_days,
+    "date_exists": date_exists,
+    "half_loaded_features_daily": _table(_half_loaded, "features_daily"),
+    "published_after_each_day": published_after_each_day,
     "repaired_fact_tickets": _table(_repaired, "fact_tickets", "created_at"),
     "repaired_features_daily": _table(_repaired, "features_daily"),
     "repaired_daily_agent_load": _table(_repaired, "daily_agent_load"),
-    "stream_fact_tickets": stream_fact_tickets,
-    "stream_features_daily": stream_features_daily,
+    "stream_fact_tickets": _table(_kept_up_by_arrival, "fact_tickets", "created_at"),
+    "stream_features_daily": _table(_kept_up_by_arrival, "features_daily"),
+    "stream_redelivered_facts": _table(_redelivered, "fact_tickets", "created_at"),
     "arrivals_daily_agent_load": _table(_kept_up_by_arrival, "daily_agent_load"),
     "arrivals_ingestion_state": _table(
         _kept_up_by_arrival, "ingestion_state", "ingestion_timestamp"

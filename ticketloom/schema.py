@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # The twelve source columns and the type each is read as. Files
 # are bound to these by header name, never by position.
 TICKET_TYPES = {
@@ -40,9 +38,22 @@ FACT_COLUMNS = [
     "agent_id",
 ]
 
-# Default first and last day of the day-at-a-time run.
-FIRST_DAY = "2023-11-01"
-LAST_DAY = "2023-12-31"
+# The risk table's columns in their published order.
+RISK_COLUMNS = [
+    "ticket_id",
+    "created_at_ts",
+    "created_date",
+    "priority",
+    "category",
+    "agent_id",
+    "resolution_hours_clean",
+    "sla_hours",
+    "sla_breached",
+    "day_of_week",
+    "hour_of_day",
+    "is_high_priority",
+    "is_long_resolution",
+]
 
 # The sums that every day-level result is finished from. All of them merge by
 # addition, so a day's rows can be summed in any order and any number of steps.
@@ -68,7 +79,8 @@ _MEASURE_DDL = ", ".join(
 TABLES = {
     "tickets_raw": (
         ", ".join(f"{c} {t}" for c, t in TICKET_TYPES.items())
-        + ", _ingestion_ts timestamp, _source_file string, source_date date, created_date date"
+        + ", _unread map<string,string>, _ingestion_ts timestamp, _source_file string, "
+        "source_date date, created_date date"
     ),
     "fact_tickets": (
         "ticket_id string, created_at timestamp, resolved_at string, resolved_date date, "
@@ -88,23 +100,30 @@ TABLES = {
         f"side string, ops_date date, agent_id string, {_MEASURE_DDL}, source_date date"
     ),
     "day_partials": f"side string, ops_date date, {_MEASURE_DDL}, source_date date",
-    "ingestion_state": "ingestion_timestamp timestamp, rows_ingested bigint, simulation_date date",
+    "ingestion_state": (
+        "simulation_date date, ingestion_timestamp timestamp, rows_ingested bigint, "
+        "raw_load string, fact_load string, sums_load string, extra_columns array<string>, "
+        "seq bigint"
+    ),
+    "loaded_files": "path string, modified timestamp, length bigint, day date, seq bigint",
 }
 
+# Tables of one row per ticket lie by these columns within a load; the sums do not.
 PARTITIONS = {
     "tickets_raw": ["source_date", "created_date"],
     "fact_tickets": ["source_date", "created_date"],
     "ticket_sla_risk": ["source_date", "created_date"],
-    "agent_partials": ["source_date"],
-    "day_partials": ["source_date"],
-    "ingestion_state": ["simulation_date"],
+    "agent_partials": [],
+    "day_partials": [],
 }
 
-# The declared schema of one progress row, as it is created and shown.
-STATE_SCHEMA = T.StructType(
-    [
-        T.StructField("simulation_date", T.DateType(), False),
-        T.StructField("ingestion_timestamp", T.TimestampType(), False),
-        T.StructField("rows_ingested", T.LongType(), False),
-    ]
-)
+# Which load of a day holds its rows in each table.
+LOAD_COLUMN = {
+    "tickets_raw": "raw_load",
+    "fact_tickets": "fact_load",
+    "ticket_sla_risk": "fact_load",
+    "agent_partials": "sums_load",
+    "day_partials": "sums_load",
+}
+
+STATE_COLUMNS = ["simulation_date", "ingestion_timestamp", "rows_ingested"]

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ticketloom.operators.calendar import month_bounds, time_slice
+from ticketloom.operators.calendar import month_bounds
 from ticketloom.schema import TICKET_TYPES
+from ticketloom.sources import folders
 
 # Quotes inside a field are doubled, as CSV writers other than Spark do by default,
 # and spaces are kept: a ticket with a blank resolution text is not an open one.
@@ -24,8 +25,19 @@ _CSV = {
 }
 # Full microseconds; Spark's own default keeps only milliseconds.
 _MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-# Fixed value: the columns of Spark's listing source.
-_LISTING_DDL = "path string, modificationTime timestamp, length bigint, content binary"
+UNREADABLE = "unreadable"
+#: Columns that are not text, and may hold a cell that does not fit.
+TYPED_COLUMNS = [c for c, t in TICKET_TYPES.items() if t != "string"]
+
+
+@dataclass(frozen=True)
+class Delivery:
+    """A ticket file as it was listed."""
+
+    path: str
+    modified_ms: int
+    length: int
+    day: date
 
 
 @dataclass(frozen=True)
@@ -40,35 +52,50 @@ class DayFiles:
     base: str
     partitioned: bool = False
 
-    def _below_base(self, day: date) -> str:
+    def _glob(self, year: str, month: str, day: str) -> str:
         if self.partitioned:
-            return f"created_date={day:%Y-%m-%d}"
-        return f"{day:%Y/%m/%Y-%m-%d}.csv"
-
-    def days(self, days: Sequence[date]) -> str:
-        """A path, or for several days a glob that matches those which are there."""
-        names = [self._below_base(d) for d in days]
-        return f"{self.base}/{names[0] if len(names) == 1 else '{' + ','.join(names) + '}'}"
+            return f"{self.base}/created_date={year}-{month}-{day}/*"
+        return f"{self.base}/{year}/{month}/*.csv"
 
-    def day_in(self, path: str) -> str:
-        """SQL of the day in a file's path."""
+    def _day_in(self, path: str) -> date:
+        """The day a file stands for, from its path; a file not named after a day of
+        the folder it lies in is refused."""
+        *_, year, folder, name = path.split("/")
         if self.partitioned:
-            return f"right(substring_index(substring_index({path}, '/', -2), '/', 1), 10)"
-        return f"left(substring_index({path}, '/', -1), 10)"
-
-    def month(self, year: int, month: int) -> str:
-        if self.partitioned:
-            return f"{self.base}/created_date={year:04d}-{month:02d}-*"
-        return f"{self.base}/{year:04d}/{month:02d}/*.csv"
-
-    def everything(self) -> str:
-        return f"{self.base}/created_date=*" if self.partitioned else f"{self.base}/*/*/*.csv"
+            found = re.fullmatch(r"created_date=(\d{4}-\d{2}-\d{2})", folder)
+        else:
+            found = re.fullmatch(rf"({re.escape(year)}-{re.escape(folder)}-\d{{2}})\.csv", name)
+        try:
+            return date.fromisoformat(found[1])
+        except (TypeError, ValueError):
+            raise ValueError(f"{path} is not named after a day of its folder") from None
+
+    def _list(self, spark: SparkSession, glob: str) -> list[Delivery]:
+        return [Delivery(*status, self._day_in(status[0])) for status in folders.matching(spark, glob)]
+
+    def of_month(self, spark: SparkSession, year: int, month: int) -> list[Delivery]:
+        return self._list(spark, self._glob(f"{year:04d}", f"{month:02d}", "*"))
+
+    def of_days(self, spark: SparkSession, days: Sequence[date]) -> list[Delivery]:
+        """The files of some days; a day without one is simply not among them."""
+        wanted = set(days)
+        months = sorted({(d.year, d.month) for d in wanted})
+        if len(wanted) == 1:  # a single day need not list its month
+            (day,) = wanted
+            name = "*" if self.partitioned else f"{day}.csv"
+            glob = self._glob(f"{day:%Y}", f"{day:%m}", f"{day:%d}").rsplit("/", 1)[0]
+            return self._list(spark, f"{glob}/{name}")
+        return [f for month in months for f in self.of_month(spark, *month) if f.day in wanted]
+
+    def all(self, spark: SparkSession) -> list[Delivery]:
+        return self._list(spark, self._glob("[0-9]*", "*", "*"))
 
     def source_day(self) -> Column:
         """The day a row's file stands for. It comes from the path, so it is known
         even where a ticket's own timestamp is not readable."""
         if self.partitioned:
-            return F.col("created_date").cast("date")
+            name = F.substring_index(F.substring_index("_metadata.file_path", "/", -2), "/", 1)
+            return F.right(name, F.lit(10)).try_cast("date")
         return F.left(F.col("_metadata.file_name"), F.lit(10)).try_cast("date")
 
 
@@ -80,7 +107,8 @@ def _header_schema(spark: SparkSession, path: str) -> T.StructType:
 def typed_by_name(columns: Iterable[str]) -> list:
     """Select list that casts each contract column by name and keeps the others.
 
-    A cell that does not fit its type becomes null. A missing contract column is
+    A cell that does not fit its type becomes null, and its text is kept in ``_unread``, a
+    map by column that is null for rows without such cells. A missing contract column is
     an error.
     """
     columns = list(columns)
@@ -89,106 +117,79 @@ def typed_by_name(columns: Iterable[str]) -> list:
     if missing:
         raise ValueError(f"ticket source lacks the columns {missing}")
     extra = [c for c in columns if c.lower() not in TICKET_TYPES]
-    return [
-        F.col(f"`{by_lower[c]}`").try_cast(t).alias(c) for c, t in TICKET_TYPES.items()
-    ] + [F.col(f"`{c}`") for c in extra]
+    cell = lambda c: F.col(f"`{by_lower[c]}`")
+    typed = [cell(c).try_cast(t).alias(c) for c, t in TICKET_TYPES.items()]
+    bad = F.array(
+        *(
+            F.when(cell(c).try_cast(TICKET_TYPES[c]).isNull() & cell(c).isNotNull(), F.struct(F.lit(c).alias("key"), cell(c).alias("value")))
+            for c in TYPED_COLUMNS
+        )
+    )
+    bad = F.map_from_entries(F.filter(bad, lambda entry: entry.isNotNull()))
+    unread = F.when(F.size(bad) > 0, bad).alias("_unread")
+    return typed + [F.col(f"`{c}`") for c in extra] + [unread]
 
 
-def _scan(spark: SparkSession, files: DayFiles, path: str) -> DataFrame:
-    """Typed rows of a path plus the file and day they came from.
+def read_files(spark: SparkSession, files: DayFiles, found: Sequence[Delivery]) -> DataFrame:
+    """Typed rows of listed files plus the file and day they came from.
 
     Every file's header is checked against the first one's, so a file with
     another column order fails instead of shifting its values.
     """
-    schema = _header_schema(spark, path)
+    schema = _header_schema(spark, found[0].path)
     reader = spark.read.options(**_CSV).option("enforceSchema", False).schema(schema)
+    paths = [f.path for f in found]
     if files.partitioned:
-        reader = reader.option("basePath", files.base)
-    return reader.csv(path).select(
+        paths = sorted({path.rsplit("/", 1)[0] for path in paths})
+    return reader.csv(paths).select(
         *typed_by_name(schema.names),
         F.col("_metadata.file_path").alias("_source_file"),
         files.source_day().alias("source_date"),
     )
 
 
-def _days_with_files(spark: SparkSession, files: DayFiles, days: Sequence[date]) -> set[str]:
-    """Which of the days have a file: a listing, no file is opened for it."""
-    try:
-        listing = spark.read.format("binaryFile").load(files.days(days))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return set()
-    return {row[0] for row in listing.selectExpr(files.day_in("path")).distinct().collect()}
+def listed_days(
+    spark: SparkSession, files: DayFiles, days: Sequence[date], skip_missing: bool = False
+) -> list[Delivery]:
+    """The files of some days. A day without a file is an error, unless ``skip_missing``."""
+    found = files.of_days(spark, days)
+    there = {f.day for f in found}
+    missing = [str(d) for d in days if d not in there]
+    if missing and not skip_missing:
+        raise FileNotFoundError(f"no ticket file under {files.base} for {', '.join(missing)}")
+    return found
 
 
 def read_days(
     spark: SparkSession, files: DayFiles, days: Sequence[date], skip_missing: bool = False
 ) -> DataFrame | None:
-    """The files of some days in one scan.
+    """The files of some days in one scan; None when no day has a file."""
+    found = listed_days(spark, files, days, skip_missing)
+    return read_files(spark, files, found) if found else None
 
-    A day without a file is an error, unless ``skip_missing``; then it has no rows,
-    and the result is None when no day has a file.
-    """
-    found = _days_with_files(spark, files, days)
-    missing = [str(d) for d in days if str(d) not in found]
-    if missing and not skip_missing:
-        raise FileNotFoundError(f"no ticket file under {files.base} for {', '.join(missing)}")
-    return _scan(spark, files, files.days(days)) if found else None
+
+def listed_month(spark: SparkSession, files: DayFiles, year: int, month: int) -> list[Delivery]:
+    found = files.of_month(spark, year, month)
+    if not found:
+        raise FileNotFoundError(f"no ticket file under {files.base} for {year:04d}-{month:02d}")
+    return found
 
 
 def read_month(spark: SparkSession, files: DayFiles, year: int, month: int) -> DataFrame:
-    return _scan(spark, files, files.month(year, month))
+    return read_files(spark, files, listed_month(spark, files, year, month))
 
 
 def read_all_days(spark: SparkSession, files: DayFiles) -> DataFrame:
-    return _scan(spark, files, files.everything())
-
+    return read_files(spark, files, files.all(spark))
 
-def stream_days(spark: SparkSession, files: DayFiles, files_per_batch: int | None = None) -> DataFrame:
-    """Day files as a stream, typed as in the batch readers.
 
-    The schema is taken from a file that is already there. Files are never
-    skipped for their age, so a late delivery of an old day still arrives.
-    """
-    schema = _header_schema(spark, files.everything())
-    reader = (
-        spark.readStream.options(**_CSV)
-        .option("enforceSchema", False)
-        .option("maxFileAge", "36500d")
-    )
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    if files.partitioned:
-        names = T.StructType(schema.fields + [T.StructField("created_date", T.DateType())])
-        stream = reader.schema(names).csv(files.base)
-    else:
-        stream = reader.schema(schema).csv(files.everything())
-    return stream.select(
-        *typed_by_name(schema.names),
-        F.col("_metadata.file_path").alias("_source_file"),
-        files.source_day().alias("source_date"),
-    )
-
-
-def stream_arrivals(spark: SparkSession, files: DayFiles) -> DataFrame:
-    """The days whose files arrive, as a stream with one row per file. Only the
-    listing is read, never a file's content."""
-    arrivals = (
-        spark.readStream.format("binaryFile")
-        .schema(_LISTING_DDL)
-        .option("maxFileAge", "36500d")
-        .option("pathGlobFilter", "*.csv")
-        .load(files.everything())
-    )
-    return arrivals.selectExpr(f"CAST({files.day_in('path')} AS DATE) AS day")
-
-
-def read_extract(spark: SparkSession, path: str) -> DataFrame:
-    """A whole ticket extract, split over tasks by Spark, typed by name."""
+def read_extract(spark: SparkSession, path: str, typed: bool = True) -> DataFrame:
+    """A whole ticket extract, split over tasks by Spark: typed by name, or as text."""
     schema = _header_schema(spark, path)
     reader = spark.read.options(**_CSV).option("enforceSchema", False).schema(schema)
-    return reader.csv(path).select(*typed_by_name(schema.names))
+    rows = reader.csv(path)
+    columns = typed_by_name(schema.names)  # also the check for missing columns
+    return rows.select(*columns).drop("_unread") if typed else rows
 
 
 def read_agents(spark: SparkSession, path: str) -> DataFrame:
@@ -202,23 +203,51 @@ def with_ingestion_time(df: DataFrame, ingested_at=None) -> DataFrame:
     return df.withColumn("_ingestion_ts", stamp.cast("timestamp"))
 
 
+@dataclass(frozen=True)
+class Export:
+    """Where the tickets went; the counts add up to the extract's rows."""
+
+    files: DayFiles
+    exported: int
+    out_of_range: int
+    unreadable: int
+
+
 def export_days(
     tickets: DataFrame,
     base: str,
-    year: int,
+    year: int | None = None,
     month: int | None = None,
     timestamp_column: str = "created_at",
-) -> DayFiles:
-    """Write a month's (or year's) tickets as CSV, split by creation day.
+) -> Export:
+    """Write tickets as CSV, split by creation day; of a year or month, or all of them.
+
+    Text cells go out as they came in: a time is parsed only to choose the folder. Rows
+    whose time cannot be read, or is missing, go to the folder ``created_date=unreadable``,
+    which day readers leave alone; rows of other years or months are only counted.
 
     Rows are gathered by day so that a small day becomes one file, and AQE splits
     a day that is larger than the advisory partition size over several tasks.
     A second export replaces the days it contains; an empty slice writes nothing.
     """
-    start, stop = month_bounds(year, month)
+    day = F.col(timestamp_column).try_cast("timestamp_ntz").cast("date")
+    wanted = F.lit(True)
+    if year is not None:
+        start, stop = month_bounds(year, month)
+        wanted = (day >= F.lit(start)) & (day < F.lit(stop))
+    seen = Observation()
     (
-        time_slice(tickets, timestamp_column, start, stop)
-        .withColumn("created_date", F.to_date(timestamp_column))
+        tickets.withColumn("created_date", day)
+        .withColumn("_wanted", F.coalesce(wanted, F.lit(True)))
+        .observe(
+            seen,
+            F.count_if(F.col("_wanted") & F.col("created_date").isNotNull()).alias("exported"),
+            F.count_if(~F.col("_wanted")).alias("out_of_range"),
+            F.count_if(F.col("created_date").isNull()).alias("unreadable"),
+        )
+        .where("_wanted")
+        .drop("_wanted")
+        .withColumn("created_date", F.coalesce(F.col("created_date").cast("string"), F.lit(UNREADABLE)))
         .hint("rebalance", "created_date")
         .write.mode("overwrite")
         .options(**_CSV)
@@ -228,4 +257,5 @@ def export_days(
         .partitionBy("created_date")
         .csv(base)
     )
-    return DayFiles(base, partitioned=True)
+    counts = seen.get
+    return Export(DayFiles(base, True), counts["exported"], counts["out_of_range"], counts["unreadable"])
