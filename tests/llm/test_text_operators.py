@@ -293,3 +293,12 @@ def test_pieces_of_long_and_odd_texts(spark, piece_model, library):
             ids = library.encode((texts + [None])[row.doc_id] or "", add_eos=True)
             assert row.ids == ids and row.text == library.decode(ids)
     assert pieces.decode(pieces.encode(docs.where("false"), PIECES), PIECES).count() == 0
+
+
+def test_words_kept_give_the_same_ids_as_whole_texts():
+    tokenizer = Tokenizer.from_file(WORDS)
+    rng = np.random.default_rng(6)
+    pool = [chr(c) for c in range(256)] + list("aaaeee   ..,,''12stll") + ["́", "İ", "Σ", "<|endoftext|>", "<|STARTOFTEXT|>", "日", "'s"]
+    texts = ["".join(rng.choice(pool, rng.integers(0, 60))) for _ in range(3000)]
+    got = list(packing.WordCachingEncoder(WORDS).encode(texts))
+    assert [ids.tolist() for ids in got] == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]

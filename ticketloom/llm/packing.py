@@ -9,7 +9,6 @@ in the plan's ranges; numbers are given without bringing pieces of a length toge
 
 from __future__ import annotations
 
-import itertools
 import os
 import re
 import zlib
@@ -33,24 +32,40 @@ REINDEX_AFTER = 32
 
 
 _SPACES = "\t\n\v\f\r"
-_LETTERS = re.compile("[a-zà-öø-ÿ]+")
+_LETTERS = re.compile("[a-zªµºß-öø-ÿ]+")
+_RUNS = re.compile("[a-zªµºß-öø-ÿ]+|[^ a-zªµºß-öø-ÿ]+")
 
 
-def _spaced(text: str) -> str:
-    """A text with the same ids, spaces for white space and fewer distinct words.
+def _words(text: str) -> list[str]:
+    """Parts of a text whose ids, in turn, are the text's.
 
-    Latin-1 is lower-cased here as by the tokenizer. Texts that may hold special tokens,
-    which are found before lower-casing, and other scripts keep their case.
+    Latin-1 is lower-cased here as by the tokenizer and parted into runs of letters and of
+    other characters, which it never joins, for fewer distinct words. Not so texts with
+    an apostrophe, which it may take together with letters, texts that may hold special
+    tokens, which are found before lower-casing, and other scripts: these are parted at
+    spaces alone.
     """
     for space in _SPACES:
         text = text.replace(space, " ")
-    if "<|" in text:
-        return text
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return text
-    return text.lower()
+    if "'" not in text and "<|" not in text:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text.split(" ")
+        return _RUNS.findall(text.lower())
+    return text.split(" ")
+
+
+class _Numbers(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
 
 
 class WordCachingEncoder:
@@ -79,7 +94,7 @@ class WordCachingEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self._slots: dict[str, int] = {}
+        self._slots = _Numbers()
         self._starts = np.zeros(0, np.int64)
         self._lengths = np.zeros(0, np.int64)
         self._pool = np.zeros(0, np.uint32)
@@ -88,11 +103,11 @@ class WordCachingEncoder:
         return self._tokenizer.encode(text, add_special_tokens=False).ids
 
     def _learn(self, words: list[str]) -> None:
-        """Put the ids of new words into the pool."""
-        letters = [w for w in words if _LETTERS.fullmatch(w)] if self._last.any() else []
-        rest = set(words).difference(letters)
-        odd = [w for w in rest if self._mark in w]
-        plain = list(rest.difference(odd))
+        """Put the ids of newly numbered words into the pool."""
+        ends_told = self._last.any()
+        kinds = [2 if self._mark in w else 0 if ends_told and _LETTERS.fullmatch(w) else 1 for w in words]
+        order = np.argsort(kinds, kind="stable")
+        letters, plain, odd = ([w for w, k in zip(words, kinds) if k == kind] for kind in range(3))
         parts = [
             self._encode_together(letters, " ", self._last, keep_ends=True),
             self._encode_together(plain, f" {self._mark} ", self._is_mark, keep_ends=False),
@@ -100,10 +115,9 @@ class WordCachingEncoder:
         ]
         lengths = np.concatenate([lengths for _, lengths in parts])
         starts = len(self._pool) + np.cumsum(lengths) - lengths
-        slots = range(len(self._starts), len(self._starts) + len(lengths))
-        self._slots.update(zip([*letters, *plain, *odd], slots, strict=True))
-        self._starts = np.concatenate([self._starts, starts])
-        self._lengths = np.concatenate([self._lengths, lengths])
+        own = np.argsort(order)
+        self._starts = np.concatenate([self._starts, starts[own]])
+        self._lengths = np.concatenate([self._lengths, lengths[own]])
         self._pool = np.concatenate([self._pool, *(ids for ids, _ in parts)])
 
     def _encode_together(self, words, after: str, ends: np.ndarray, keep_ends: bool):
@@ -134,28 +148,23 @@ class WordCachingEncoder:
             yield from self._encode(some)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        words, counts = [], []
-        for text in texts:
-            split = _spaced(text).split(" ")
-            words += split
-            counts.append(len(split))
         if len(self._slots) > WORDS_KEPT or len(self._pool) > TOKENS_KEPT:
             self._forget()
-        slots = self._find(words)
-        new = np.flatnonzero(slots < 0)
-        if len(new):
-            unseen = [words[i] for i in new]
-            self._learn(list(dict.fromkeys(unseen)))
-            slots[new] = self._find(unseen)
+        words, counts = [], []
+        for text in texts:
+            own = _words(text)
+            words += own
+            counts.append(len(own))
+        slots = np.fromiter(map(self._slots.__getitem__, words), np.int64, len(words))
+        if self._slots.new:
+            self._learn(self._slots.new)
+            self._slots.new = []
         lengths = self._lengths[slots]
         ends = np.cumsum(lengths)
-        at = np.repeat(self._starts[slots] - (ends - lengths), lengths) + np.arange(ends[-1])
-        bounds = ends[np.cumsum(counts) - 1]
+        at = np.repeat(self._starts[slots] - (ends - lengths), lengths) + np.arange(lengths.sum())
+        bounds = np.append(0, ends)[np.cumsum(counts)]
         return np.split(self._pool[at], bounds[:-1])
 
-    def _find(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self._slots.get, words, itertools.repeat(-1)), np.int64, len(words))
-
 
 def tokenized_pieces(
     docs: DataFrame,
