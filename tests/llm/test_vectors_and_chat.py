@@ -43,12 +43,23 @@ def brute_links(rows, least):
     return linked
 
 
-@pytest.mark.parametrize("chunk", [4096, 37])
-def test_near_vectors_equal_brute_force(spark, monkeypatch, chunk):
-    """The smaller chunk splits every cell into blocks."""
+def dense(seed=2, size=16):
+    """Around each centre rows at all distances: inside, at and beyond the linking angle."""
+    rng = np.random.default_rng(seed)
+    rows = [rng.normal(size=size) for _ in range(60)]
+    for centre in rows[:3]:
+        for spread in (0.01, 0.05, 0.1, 0.2, 0.3):
+            rows += [centre + rng.normal(size=size) * spread for _ in range(60)]
+    return [(i * 5, np.float32(v).tolist()) for i, v in enumerate(rows)]
+
+
+@pytest.mark.parametrize(("table_of", "chunk", "ball"), [(clustered, 4096, 32), (clustered, 37, 4), (dense, 4096, 8), (dense, 50, 3)])
+def test_near_vectors_equal_brute_force(spark, monkeypatch, table_of, chunk, ball):
+    """The smaller chunks split every cell into blocks, and balls over several parts."""
     monkeypatch.setattr(vectors, "CELL_CHUNK", chunk)
+    monkeypatch.setattr(vectors, "MIN_BALL", ball)
     monkeypatch.setattr(vectors, "SLICE", 16)
-    rows = clustered()
+    rows = table_of()
     linked = brute_links(rows, 0.95)
     ids = np.array([i for i, _ in rows])
     component = ids[local_roots(len(ids), *np.nonzero(linked))]

@@ -12,6 +12,8 @@ from ticketloom.llm.simhash import local_roots
 from ticketloom.llm.storage import stored
 
 CELL_CHUNK = 4096
+MIN_BALL = 32
+ANGLE_SLACK = 1e-6
 SLICE = 512
 
 
@@ -62,28 +64,54 @@ def spread_pivots(sample: np.ndarray, count: int) -> np.ndarray:
     return unit[chosen]
 
 
-def _cells(pivots, radii, reach, vectors) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, cell, home?) of every cell each vector belongs to.
+def _chord(angle):
+    return 2 * np.sin(np.minimum(angle, np.pi) / 2)
 
-    Home is the cell of the nearest pivot. A vector is also a guest of an earlier cell
-    if something there may be within `reach`. By the triangle inequality it is not if the
-    vector is farther from the pivot than the cell's radius and the reach together, or
-    farther than the reach from the plane half-way between the two pivots.
+
+def _angles(cosines):
+    return np.arccos(np.clip(cosines, -1, 1))
+
+
+def _cells(pivots, radii, reach, units) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, cell, home?) of every cell each item belongs to.
+
+    Home is the cell of the nearest pivot. An item is also a guest of an earlier cell
+    if something there may be within `reach`, (row, cell) by (row, cell). By the triangle
+    inequality it is not if the item is farther from the pivot than the cell's radius and
+    the reach together, or farther than the reach from the plane half-way between the two
+    pivots.
     """
-    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-    square = np.maximum(2 - 2 * unit @ pivots.T, 0)
+    square = np.maximum(2 - 2 * units @ pivots.T, 0)
     home = square.argmin(axis=1)
-    own = square[np.arange(len(unit)), home]
-    rows, cells, is_home = [np.arange(len(unit))], [home], [np.ones(len(unit), bool)]
-    if len(pivots) > 1:
-        apart = np.sqrt(np.maximum(2 - 2 * pivots @ pivots.T, 0))[home]
-        plane = (square - own[:, None]) <= 2 * reach * apart
-        ball = np.sqrt(square) <= radii + reach
-        row, cell = np.nonzero(plane & ball & (np.arange(len(pivots)) < home[:, None]))
-        rows.append(row)
-        cells.append(cell)
-        is_home.append(np.zeros(len(row), bool))
-    return np.concatenate(rows), np.concatenate(cells), np.concatenate(is_home)
+    own = square[np.arange(len(units)), home]
+    apart = np.sqrt(np.maximum(2 - 2 * pivots @ pivots.T, 0))[home]
+    plane = (square - own[:, None]) <= 2 * reach * apart
+    ball = np.sqrt(square) <= radii + reach
+    row, cell = np.nonzero(plane & ball & (np.arange(len(pivots)) < home[:, None]))
+    rows, cells = np.concatenate([np.arange(len(units)), row]), np.concatenate([home, cell])
+    return rows, cells, np.arange(len(rows)) < len(units)
+
+
+def _balls(units: np.ndarray, radius: float) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """(members, centre, radius) of groups of at least MIN_BALL rows around a centre.
+
+    Rows of a ball lie within `radius` of its centre, so any two are within twice that.
+    """
+    small, free, out = units.astype(np.float32), np.ones(len(units), bool), []
+    near = small @ small.T >= np.cos(radius)
+    counts = near.sum(axis=1)
+    while counts.max(initial=0) >= MIN_BALL:
+        members = np.flatnonzero(near[counts.argmax()] & free)
+        free[members] = False
+        counts -= near[:, members].sum(axis=1)
+        counts[members] = 0
+        centre = units[members].mean(axis=0)
+        centre /= np.linalg.norm(centre)
+        angle = _angles(units[members] @ centre)
+        members, angle = members[angle <= radius], angle[angle <= radius]
+        if len(members) >= MIN_BALL:
+            out.append((members, centre, float(angle.max()) + ANGLE_SLACK))
+    return out
 
 
 def near_vectors(
@@ -92,18 +120,21 @@ def near_vectors(
     """(vec_id, n_links, component_id, kept) of every row: an exact metric range join.
 
     Equal vectors are joined as one with a weight. Pivots, spread over a bounded sample,
-    part the vectors into cells; a vector is copied into the cells its neighbours may lie
-    in, and every pair meets in exactly one cell. Cells join independently; a large one
-    is split into blocks of rows. A block returns each row's number of links and one link
-    of a spanning forest, never its pairs.
-
-    Rows that are no usable vectors (see `usable`) link with nothing and are kept. Repeated
+    part the vectors into cells. Where many vectors of a cell lie within half the linking
+    angle of a centre, all of them are linked, and they go on as one item, a ball. An item
+    is copied into the cells its neighbours may lie in, and every pair of items meets in
+    exactly one cell. Cells join independently; a large one is split into blocks of items.
+    By the triangle inequality most pairs with a ball are linked, or not, for all of its
+    members; only for the rest are the members compared. Blocks return each row's number
+    of links and one link of a spanning forest, never their pairs.
+
+    Rows that are no usable vectors (see `marked`) link with nothing and are kept. Repeated
     ids are rows like others; `kept` is true for all rows with a component's smallest id.
     """
     every = marked(vectors, id_col, vector_col)
     rows = stored(every.where("usable").select("vec_id", "vector"), "vectors")
     groups = rows.groupBy("vector").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("weight"))
-    groups = stored(groups, "groups")
+    groups = stored(groups.select("vec_id", "weight", F.col("vector").cast("array<double>").alias("vector")), "groups")
     count = groups.count()
     alone = every.where("not usable").select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
@@ -111,38 +142,141 @@ def near_vectors(
     if not count:
         return alone
     pivots = spread_pivots(sample_of(groups, sample_rows), int(min(1024, max(8, count**0.5 / 8))))
-    reach = float(np.sqrt(max(2 - 2 * min_cosine, 0))) + 1e-7
+    theta = float(np.arccos(np.clip(min_cosine, -1, 1)))
+
+    members = stored(_with_items(groups, pivots, theta), "members")
+    items = members.where("centre is not null").select(
+        F.col("item").alias("vec_id"), F.col("item_weight").alias("weight"), F.col("centre").alias("vector"), "radius"
+    )
+    assigned, chunks = _assigned(items, pivots, theta)
+    found = _joined_blocks(assigned, chunks, theta, min_cosine)
+    found = stored(found, "found")
+
+    # Pairs with a ball that its radius leaves open: their members meet, ball by ball.
+    opened = stored(found.where("other is not null").select("vec_id", "other"), "open")
+    both = opened.select(
+        F.col("vec_id").alias("a"), F.col("other").alias("b"), F.explode(F.array("vec_id", "other")).alias("item")
+    )
+    own = members.select("item", "vec_id", "weight", "vector")
+    sizes = members.groupBy("item").agg(F.ceil(F.count("*") / CELL_CHUNK).cast("int").alias("parts"))
+    sides = both.join(own, "item").join(sizes, "item").join(sizes.toDF("b", "b_parts"), "b").join(sizes.toDF("a", "a_parts"), "a")
+    part = F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")
+    first = F.col("item") == F.col("a")
+    others = F.explode(F.sequence(F.lit(0), F.when(first, F.col("b_parts")).otherwise(F.col("a_parts")) - 1))
+    sides = sides.withColumns({"first": first, "part": part}).withColumn("facing", others)
+    sides = sides.withColumns(
+        {"p": F.when(first, F.col("part")).otherwise(F.col("facing")), "q": F.when(first, F.col("facing")).otherwise(F.col("part"))}
+    )
+
+    def compare(key, group):
+        first = group["first"].to_numpy()
+        order = np.argsort(~first, kind="stable")
+        return _block_links(group.iloc[order], int(first.sum()), False, theta, min_cosine)
+
+    closer = sides.select("a", "b", "p", "q", "first", "vec_id", "weight", "vector", F.lit(0.0).alias("radius"))
+    closer = stored(closer.groupBy("a", "b", "p", "q").applyInPandas(compare, BLOCK_SCHEMA), "closer")
+
+    joined = found.where("other is null").withColumn("item", F.col("vec_id"))
+    per_item = stored(joined.groupBy("item").agg(F.sum("links").alias("item_links")), "item-links")
+    per_row = stored(closer.groupBy("vec_id").agg(F.sum("links").alias("row_links")), "row-links")
+    forest = (
+        found.where("root is not null").select(F.col("vec_id").alias("a"), F.col("root").alias("b"))
+        .unionByName(closer.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
+        .unionByName(members.select(F.col("vec_id").alias("a"), F.col("item").alias("b")))
+    )
+    parts = stored(connected_components(forest), "parts")
+    least = stored(parts.groupBy("root").agg(F.min("node").alias("component_id")), "least")
+    parts = parts.join(least, "root").select(F.col("node").alias("vec_id"), "component_id")
+    known = (
+        members.join(per_item, "item", "left").join(per_row, "vec_id", "left").join(parts, "vec_id", "left").select(
+            "vector",
+            # Its equals, the rest of its ball, what the ball is linked with whole, and single rows.
+            (F.col("item_weight") - 1 + F.coalesce("item_links", F.lit(0)) + F.coalesce("row_links", F.lit(0))).alias("n_links"),
+            F.coalesce("component_id", "vec_id").alias("component_id"),
+        )
+    )
+    wide = rows.withColumn("vector", F.col("vector").cast("array<double>"))
+    linked = wide.join(stored(known, "known"), "vector").select("vec_id", "n_links", "component_id")
+    linked = linked.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return linked.unionByName(alone)
 
-    def home_distance(frames):
+
+def _with_items(groups: DataFrame, pivots: np.ndarray, theta: float) -> DataFrame:
+    """Each distinct vector with the item it goes on as: its ball, or itself.
+
+    Balls are looked for among the vectors of a cell, in parts of bounded size. `centre`
+    and `radius` stand on one row of each item, the one whose id names it.
+    """
+    cells = _unit_batches(groups, "vec_id long, weight long, vector array<double>, cell long", lambda frame, units: frame.assign(
+        cell=(units @ pivots.T).argmax(axis=1)
+    ))
+    # One row per pivot, at most 1024.
+    sizes = {r["cell"]: r["n"] for r in cells.groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    table = [(cell, -(-n // CELL_CHUNK)) for cell, n in sizes.items()]
+    parts = F.broadcast(groups.sparkSession.createDataFrame(table, "cell long, parts int"))
+    cells = cells.join(parts, "cell").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")))
+
+    def collapse(key, group):
+        vectors = _matrix(group["vector"])
+        units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+        ids, weight = group["vec_id"].to_numpy(), group["weight"].to_numpy()
+        item, item_weight, radius = ids.copy(), weight.copy(), np.zeros(len(ids))
+        centre: list = list(units)
+        for members, middle, wide in _balls(units, theta / 2 - 2 * ANGLE_SLACK):
+            names = members[ids[members].argmin()]
+            item[members], item_weight[members], radius[members] = ids[names], weight[members].sum(), wide
+            for row in members:
+                centre[row] = None
+            centre[names] = middle
+        out = group[["vec_id", "weight", "vector"]].reset_index(drop=True)
+        return out.assign(item=item, item_weight=item_weight, radius=radius, centre=centre)
+
+    schema = "vec_id long, weight long, vector array<double>, item long, item_weight long, radius double, centre array<double>"
+    return cells.groupBy("cell", "part").applyInPandas(collapse, schema)
+
+
+def _unit_batches(df: DataFrame, schema: str, convert) -> DataFrame:
+    """Map batches of rows with the unit vectors of their column `vector`."""
+
+    def run(frames):
         for frame in frames:
             if len(frame):
-                unit = _matrix(frame["vector"])
-                unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-                square = np.maximum(2 - 2 * unit @ pivots.T, 0)
-                yield pd.DataFrame({"cell": square.argmin(axis=1), "distance": np.sqrt(square.min(axis=1))})
+                vectors = _matrix(frame["vector"])
+                yield convert(frame, vectors / np.linalg.norm(vectors, axis=1, keepdims=True))
+
+    return df.mapInPandas(run, schema)
+
+
+def _assigned(items: DataFrame, pivots: np.ndarray, theta: float) -> tuple[DataFrame, dict]:
+    """Items with their cells, and the number of chunks per (cell, home?)."""
+
+    def home(frame, units):
+        square = np.maximum(2 - 2 * units @ pivots.T, 0)
+        return pd.DataFrame({"cell": square.argmin(axis=1), "distance": np.sqrt(square.min(axis=1)), "radius": frame["radius"]})
 
     # One row per pivot, at most 1024.
-    homes = groups.select("vector").mapInPandas(home_distance, "cell long, distance double").groupBy("cell")
-    homes = {r["cell"]: r for r in homes.agg(F.count("*").alias("rows"), F.max("distance").alias("radius")).collect()}
-    radii = np.array([homes[c]["radius"] if c in homes else -10.0 for c in range(len(pivots))]) + 1e-7
+    homes = _unit_batches(items, "cell long, distance double, radius double", home).groupBy("cell")
+    homes = {r["cell"]: r for r in homes.agg(F.max("distance").alias("far"), F.max("radius").alias("wide")).collect()}
+    far = np.array([homes[c]["far"] if c in homes else -10.0 for c in range(len(pivots))])
+    wide = np.array([homes[c]["wide"] if c in homes else 0.0 for c in range(len(pivots))])
 
-    def assign(frames):
-        for frame in frames:
-            if len(frame):
-                row, cell, home = _cells(pivots, radii, reach, _matrix(frame["vector"]))
-                out = frame.iloc[row].reset_index(drop=True)
-                out["cell"], out["home"] = cell, home
-                yield out
-
-    element = dict(groups.dtypes)["vector"]
-    assigned = groups.select("vec_id", "weight", "vector").mapInPandas(
-        assign, f"vec_id long, weight long, vector {element}, cell long, home boolean"
-    )
-    sizes = {(r["cell"], r["home"]): r["rows"] for r in assigned.groupBy("cell", "home").agg(F.count("*").alias("rows")).collect()}
-    chunks = {key: -(-rows // CELL_CHUNK) for key, rows in sizes.items()}
+    def assign(frame, units):
+        reach = _chord(theta + frame["radius"].to_numpy()[:, None] + wide) + 1e-7
+        row, cell, is_home = _cells(pivots, far + 1e-7, reach, units)
+        return frame.iloc[row].reset_index(drop=True).assign(cell=cell, home=is_home)
+
+    schema = "vec_id long, weight long, vector array<double>, radius double, cell long, home boolean"
+    assigned = _unit_batches(items, schema, assign)
+    sizes = assigned.groupBy("cell", "home").agg(F.count("*").alias("rows")).collect()
+    return assigned, {(r["cell"], r["home"]): -(-r["rows"] // CELL_CHUNK) for r in sizes}
+
+
+def _joined_blocks(assigned: DataFrame, chunks: dict, theta: float, min_cosine: float) -> DataFrame:
+    """Links found in all blocks, a block being two chunks of one cell."""
+    cells = sorted({cell for cell, _ in chunks})
     # Chunk numbers of homes come first, those of guests after them.
-    per_cell = [(c, chunks.get((c, True), 0), chunks.get((c, False), 0)) for c in range(len(pivots))]
-    table = F.broadcast(vectors.sparkSession.createDataFrame(per_cell, "cell long, own int, other int"))
+    per_cell = [(c, chunks.get((c, True), 0), chunks.get((c, False), 0)) for c in cells]
+    table = F.broadcast(assigned.sparkSession.createDataFrame(per_cell, "cell long, own int, other int"))
     own, other, mine = F.col("own"), F.col("other"), F.col("chunk")
     span = lambda first, last: F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
     pair = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
@@ -154,60 +288,66 @@ def near_vectors(
         assigned.join(table, "cell")
         .withColumn("chunk", chunk.cast("int"))
         .withColumn("block", F.explode(F.when(F.col("home"), F.concat(as_first, as_second)).otherwise(as_guest)))
-        .select("cell", "block.a", "block.b", "chunk", "vec_id", "weight", "vector")
+        .select("cell", "block.a", "block.b", "chunk", "vec_id", "weight", "vector", "radius")
     )
 
     def join(key, group):
-        return _block_links(group, int(key[1]), int(key[2]), min_cosine)
+        a, b = int(key[1]), int(key[2])
+        chunk = group["chunk"].to_numpy()
+        order = np.argsort(chunk != a, kind="stable")
+        return _block_links(group.iloc[order], int((chunk == a).sum()), a == b, theta, min_cosine)
+
+    return blocks.groupBy("cell", "a", "b").applyInPandas(join, BLOCK_SCHEMA)
 
-    found = blocks.groupBy("cell", "a", "b").applyInPandas(join, "vec_id long, links long, root long")
-    found = stored(found, "found")
-    links = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
-    parts = connected_components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
-    parts = stored(parts, "parts")
-    least = stored(parts.groupBy("root").agg(F.min("node").alias("component_id")), "least")
-    parts = parts.join(least, "root").select(F.col("node").alias("vec_id"), "component_id")
-    known = groups.join(links, "vec_id", "left").join(parts, "vec_id", "left").select(
-        "vector",
-        (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
-        F.coalesce("component_id", "vec_id").alias("component_id"),
-    )
-    linked = rows.join(stored(known, "known"), "vector").select("vec_id", "n_links", "component_id")
-    linked = linked.withColumn("kept", F.col("vec_id") == F.col("component_id"))
-    return linked.unionByName(alone)
 
+BLOCK_SCHEMA = "vec_id long, links long, root long, other long"
 
-def _block_links(group: pd.DataFrame, a: int, b: int, min_cosine: float) -> pd.DataFrame:
-    """Number of links and a forest link of the rows of one block: chunk a against b."""
-    chunk = group["chunk"].to_numpy()
-    order = np.argsort(chunk != a, kind="stable")
-    ids, weight = group["vec_id"].to_numpy()[order], group["weight"].to_numpy()[order]
-    vectors = _matrix(group["vector"])[order]
+
+def _block_links(group: pd.DataFrame, first: int, same: bool, theta: float, min_cosine: float) -> pd.DataFrame:
+    """Links of a block's first rows with the rest, or with each other.
+
+    Rows with `links` and `root` tell a row's number of links and a link of a spanning
+    forest; rows with `other` name pairs of items that only their members can decide.
+    """
+    ids, weight, radius = (group[c].to_numpy() for c in ("vec_id", "weight", "radius"))
+    vectors = _matrix(group["vector"])
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     small = unit.astype(np.float32)
-    first = int((chunk == a).sum())
-    second = 0 if a == b else first
-    links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
+    second = 0 if same else first
+    links, root, opened = np.zeros(len(ids), np.int64), np.arange(len(ids)), []
+    wide = radius[second:] > 0
     for at in range(0, first, SLICE):
         end = min(at + SLICE, first)
         close = small[at:end] @ small[second:].T
         linked = close >= min_cosine
         # Single precision decides only where it cannot err.
-        for i, j in _doubtful(np.abs(close - min_cosine) < 1e-5):
+        for i, j in _some_pairs(np.abs(close - min_cosine) < 1e-5):
             linked[i, j] = np.einsum("nd,nd->n", unit[at + i], unit[second + j]) >= min_cosine
-        if a == b:
+        if wide.any() or (radius[at:end] > 0).any():
+            spread = radius[at:end, None] + radius[second:]
+            for i, j in _some_pairs((spread > 0) & (close > np.cos(np.minimum(theta + spread, np.pi)) - 1e-5)):
+                angle = _angles(np.einsum("nd,nd->n", unit[at + i], unit[second + j]))
+                linked[i, j] = angle <= theta - spread[i, j] - ANGLE_SLACK
+                unsure = (angle > theta - spread[i, j] - ANGLE_SLACK) & (angle <= theta + spread[i, j] + ANGLE_SLACK)
+                i, j = at + i[unsure], second + j[unsure]
+                ordered = i < j if same else np.ones(len(i), bool)
+                opened.append(np.stack([ids[i[ordered]], ids[j[ordered]]], axis=1))
+        if same:
             linked[np.arange(end - at), np.arange(at, end)] = False
         links[at:end] += linked @ weight[second:]
-        if a != b:
+        if not same:
             links[second:] += weight[at:end] @ linked
         i, j = np.nonzero(linked)
         if len(i):
             root = _joined(root, at + i, second + j)
     some = np.flatnonzero(links)
-    return pd.DataFrame({"vec_id": ids[some], "links": links[some], "root": ids[root[some]]})
+    out = pd.DataFrame({"vec_id": ids[some], "links": links[some], "root": ids[root[some]]})
+    unsure = np.concatenate([np.zeros((0, 2), np.int64), *opened])
+    out = pd.concat([out, pd.DataFrame({"vec_id": unsure[:, 0], "other": unsure[:, 1]})])
+    return out.astype({c: "Int64" for c in out}).reindex(columns=["vec_id", "links", "root", "other"])
 
 
-def _doubtful(mask: np.ndarray):
+def _some_pairs(mask: np.ndarray):
     i, j = np.nonzero(mask)
     for at in range(0, len(i), 65536):
         yield i[at : at + 65536], j[at : at + 65536]
