@@ -1,4 +1,5 @@
 import glob
+import os
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -10,7 +11,7 @@ from ticketloom.operators.agent_load import daily_agent_load
 from ticketloom.plans import jobs
 from ticketloom.plans.store import TicketStore
 from ticketloom.sources import day_files
-from ticketloom.streaming.ingest import start_fact_stream, start_upkeep_stream, streamed_facts
+from ticketloom.streaming.arrivals import load_arrivals
 
 D1, D2, D3, D4 = (date(2023, 11, d) for d in (1, 2, 3, 4))
 TABLES = (
@@ -48,7 +49,8 @@ def put_three_days(files):
 def contents(store, tables=TABLES):
     """Everything a user can see, without what differs between runs."""
     return {
-        t: in_order(store.table(t).drop("_ingestion_ts", "_source_file").collect()) for t in tables
+        t: in_order(store.table(t).drop("_ingestion_ts", "_source_file", "_unread").collect())
+        for t in tables
     }
 
 
@@ -79,6 +81,8 @@ def test_cells_are_cast_by_name(spark, files):
     assert second.resolution_hours is None and second.sla_breached is True
     assert second.resolved_at is None and second.agent_id is None
     assert third.created_at is None and third.remark == 'say "hi", ok'
+    assert first._unread is None and second._unread == {"resolution_hours": "oops"}
+    assert third._unread == {"created_at": "not a time"}
     assert {r.source_date for r in rows.values()} == {D1}
     assert first._source_file.endswith("/2023/11/2023-11-01.csv")
 
@@ -108,26 +112,56 @@ def test_missing_days(spark, files):
     assert day_files.read_days(spark, files, [D1, D3], skip_missing=True) is None
 
 
+def test_a_file_not_named_after_a_day_is_refused(spark, files):
+    put(files, D1, on(D1))
+    for name in ("late.csv", "2023-10-01.csv"):
+        write_day(files.base, D1, ["x"], "ticket_id")
+        odd = f"{files.base}/2023/11/{name}"
+        with open(odd, "w") as file:
+            file.write("ticket_id\nx\n")
+        with pytest.raises(ValueError, match=name):
+            day_files.read_month(spark, files, 2023, 11)
+        os.rename(odd, f"{files.base}/{name}")
+
+
 def test_export_and_read_back(spark, tmp_path):
     tickets = random_tickets(7, 200)
     df = spark.createDataFrame(rows_of(tickets), TICKET_DDL)
-    exported = day_files.export_days(df, str(tmp_path / "out"), 2023, 11)
-    back = day_files.read_all_days(spark, exported).drop("_source_file", "source_date")
+    out = day_files.export_days(df, str(tmp_path / "out"), 2023, 11)
+    exported = out.files
+    back = day_files.read_all_days(spark, exported).drop("_source_file", "source_date", "_unread")
     expected = [t for t in rows_of(tickets) if t[1] is not None]
     assert in_order(back.collect()) == in_order(expected)
-    assert len(glob.glob(f"{exported.base}/*/*.csv")) == len({t[1].date() for t in expected})
+    assert (out.exported, out.out_of_range, out.unreadable) == (len(expected), 0, 200 - len(expected))
+    named = [f for f in glob.glob(f"{exported.base}/*/*.csv") if "unreadable" not in f]
+    assert len(named) == len({t[1].date() for t in expected})
     day_files.export_days(df.limit(0), exported.base, 2023, 12)
     day_files.export_days(df, exported.base, 2023, 11)
     assert day_files.read_all_days(spark, exported).count() == len(expected)
 
 
+def test_export_keeps_every_row_and_cell(spark, tmp_path):
+    rows = [csv_line(on(D1, ticket_id="a")), csv_line(on(date(2022, 5, 1), ticket_id="b"))]
+    rows += ["c,soon,,7 h,24,,Low,Billing,Email,Gold,Open,a1", "d,2023-11-02T08:00:00,,7 h,24,,Low,Billing,Email,Gold,Open,a1"]
+    extract = tmp_path / "extract.csv"
+    extract.write_text("\n".join([",".join(HEADER), *rows]) + "\n")
+    out = day_files.export_days(day_files.read_extract(spark, str(extract), typed=False), str(tmp_path / "out"), 2023)
+    assert (out.exported, out.out_of_range, out.unreadable) == (2, 1, 1)
+    kept = day_files.read_extract(spark, f"{out.files.base}/*", typed=False).collect()
+    assert sorted((r.ticket_id, r.created_at, r.resolution_hours) for r in kept) == [
+        ("a", "2023-11-01 09:00:00", None), ("c", "soon", "7 h"), ("d", "2023-11-02T08:00:00", "7 h"),
+    ]
+    every = day_files.export_days(day_files.read_extract(spark, str(extract), typed=False), str(tmp_path / "all"))
+    assert (every.exported, every.out_of_range, every.unreadable) == (3, 0, 1)
+
+
 def test_large_day_is_exported_as_several_files(spark, tmp_path):
     old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20KB")
     try:
         rows = [on(D1 if i % 3 else D2, ticket_id=str(i * 7919)) for i in range(9000)]
         df = spark.createDataFrame(rows_of(rows), TICKET_DDL).repartition(8)
-        exported = day_files.export_days(df, str(tmp_path / "out"), 2023, 11)
+        exported = day_files.export_days(df, str(tmp_path / "out"), 2023, 11).files
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
     assert len(glob.glob(f"{exported.base}/created_date=2023-11-01/*.csv")) > 1
@@ -156,8 +190,9 @@ def test_daily_runs_batches_and_rebuild_agree(spark, files, new_store):
     published = jobs.rebuild(bulk, publish_to=f"{bulk.root}/published")
 
     assert contents(by_day) == contents(in_batches) == contents(bulk)
-    for name, path in published.items():
-        assert in_order(spark.read.parquet(path).collect()) == contents(bulk, [name])[name]
+    for name in published:
+        copy = bulk.published(f"{bulk.root}/published", name)
+        assert in_order(copy.collect()) == contents(bulk, [name])[name]
 
     load = {(r.ops_date, r.agent_id): r for r in by_day.table("daily_agent_load").collect()}
     late = load[(D4, "a1")]
@@ -204,34 +239,143 @@ def test_reset_then_run_again(files, new_store):
     jobs.catch_up(store, files, D1, D3)
     before = contents(store)
     jobs.reset_day(store, D2)
-    assert not jobs.day_has_raw_rows(store, D2) and jobs.day_has_raw_rows(store, D1)
-    assert not jobs.day_is_recorded(store, D2) and jobs.day_is_recorded(store, D1)
+    there = jobs.date_exists(store, [D1, D2, D3]).orderBy("created_date").collect()
+    assert [r.there for r in there] == [True, False, True]
+    assert [day for day, _ in recorded(store)] == [D3, D1]
     assert D2 not in [r.ops_date for r in store.table("features_daily").collect()]
     assert jobs.catch_up(store, files, D1, D3) == [D2]
     assert contents(store) == before
 
 
-@pytest.mark.parametrize("broken_step", ["derive_days", "_record"])
-def test_broken_load_is_repeated(files, new_store, monkeypatch, broken_step):
+@pytest.mark.parametrize("broken_step", ["derive", "_records"])
+def test_broken_load_changes_nothing_and_is_repeated(files, new_store, monkeypatch, broken_step):
     put_three_days(files)
     store, whole = new_store(), new_store("whole")
     jobs.run_day(store, files, start=D1)
+    before = contents(store)
+    put(files, D1, on(D1, ticket_id="z"))
 
     def fail(*_):
         raise RuntimeError("lost")
 
     with monkeypatch.context() as patch:
         patch.setattr(jobs, broken_step, fail)
-        with pytest.raises(RuntimeError):
-            jobs.run_day(store, files, start=D1)
-        with pytest.raises(RuntimeError):
-            jobs.run_day(store, files, D1)
-    assert recorded(store) == []
-    assert jobs.catch_up(store, files, D1, D3) == [D1, D2, D3]
+        for day in (None, D1):
+            with pytest.raises(RuntimeError):
+                jobs.run_day(store, files, day, start=D1)
+    assert contents(store) == before and recorded(store) == [(D1, 2)]
+    assert jobs.run_day(store, files, D1).rows == 1
+    assert jobs.catch_up(store, files, D1, D3) == [D2, D3]
     jobs.catch_up(whole, files, D1, D3)
     assert contents(store) == contents(whole)
 
 
+def test_backfill_keeps_days_without_a_file(files, new_store):
+    put_three_days(files)
+    store = new_store()
+    jobs.catch_up(store, files, D1, D3)
+    before = contents(store)
+    os.rename(f"{files.base}/2023/11/2023-11-02.csv", f"{files.base}/2023-11-02.gone")
+    assert jobs.backfill(store, files, 2023, 11, 11).rows == 3
+    assert contents(store) == before
+    jobs.rebuild(store)
+    assert contents(store) == before and recorded(store) == [(D3, 1), (D2, 2), (D1, 2)]
+
+
+def test_failed_month_keeps_what_was_landed(files, new_store):
+    put_three_days(files)
+    store = new_store()
+    jobs.backfill(store, files, 2023, 11, 11)
+    jobs.rebuild(store)
+    before = contents(store)
+    order = ["priority", *[c for c in HEADER if c != "priority"]]
+    write_day(files.base, D2, [",".join(["x"] * 12)], ",".join(order))
+    assert list(jobs.backfill(store, files, 2023, 11, 11).failed_months) == ["2023-11"]
+    jobs.rebuild(store)
+    assert contents(store) == before
+
+
+def test_failed_rebuild_keeps_every_table(files, new_store):
+    put_three_days(files)
+    store = new_store()
+    jobs.backfill(store, files, 2023, 11, 11)
+    jobs.rebuild(store)
+    before = contents(store, TABLES[1:])
+    (place,) = glob.glob(f"{store.path('tickets_raw')}/load=*/source_date=2023-11-02/*")
+    with open(f"{place}/part-damaged.parquet", "w") as file:
+        file.write("not parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        jobs.rebuild(store)
+    assert contents(store, TABLES[1:]) == before and recorded(store) == [(D3, 1), (D2, 2), (D1, 2)]
+    assert jobs.next_day(store) == D4
+
+
+def test_backfilled_days_are_seen_when_they_are_complete(files, new_store):
+    put_three_days(files)
+    store = new_store()
+    jobs.backfill(store, files, 2023, 11, 11)
+    assert store.table("tickets_raw").count() == 0 and recorded(store) == []
+    assert store.rows("tickets_raw", store.landed()).count() == 5
+    jobs.rebuild(store)
+    assert store.table("tickets_raw").count() == 5
+    assert jobs.catch_up(store, files, D1, D3) == []
+
+
+def test_unread_cells_are_counted(files, new_store):
+    write_day(files.base, D1, ["t1,soon,,7 h,24,maybe,Low,Billing,Email,Gold,Open,a1", csv_line(on(D1))])
+    store = new_store()
+    counts = {"created_at": 1, "resolution_hours": 1, "sla_breached": 1}
+    assert jobs.run_day(store, files, D1).unread == counts
+    assert jobs.backfill(new_store("bulk"), files, 2023, 11, 11).unread == counts
+    kept = store.table("tickets_raw").where("_unread is not null").first()._unread
+    assert kept == {"created_at": "soon", "resolution_hours": "7 h", "sla_breached": "maybe"}
+
+
+def test_old_loads_are_removed_and_sums_compacted(files, new_store):
+    put_three_days(files)
+    store = new_store()
+    for day in (D1, D2, D3, D2):
+        jobs.run_day(store, files, day)
+    before = contents(store)
+    assert store.compact(D2) == 2
+    assert contents(store) == before
+    assert store.vacuum() == []
+    removed = store.vacuum(older_than_hours=0)
+    assert len(removed) == 5 + 2 * 2  # D2's first load; the sums of two loads, now compacted
+    assert contents(store) == before and recorded(store) == [(D3, 1), (D2, 2), (D1, 2)]
+
+
+def test_long_logs_are_shortened(files, new_store, monkeypatch):
+    monkeypatch.setattr("ticketloom.plans.store.LOG_FILES_KEPT", 2)
+    put_three_days(files)
+    store = new_store()
+    for day in (D1, D2, D3):
+        jobs.run_day(store, files, day)
+    jobs.reset_day(store, D1)
+    jobs.backfill(store, files, 2023, 11, 11)
+    assert len(glob.glob(f"{store.path('ingestion_state')}/*.parquet")) <= 3
+    assert [day for day, _ in recorded(store)] == [D3, D2]
+    jobs.rebuild(store)
+    assert [day for day, _ in recorded(store)] == [D3, D2, D1]
+
+
+def test_published_copies_follow_the_loads(files, new_store):
+    put_three_days(files)
+    put(files, date(2023, 12, 5), on(date(2023, 12, 5), resolved_at="1/2/24 9:00", resolution_hours=3.0))
+    store, days = new_store(), [D1, D2, D3, date(2023, 12, 5)]
+    out = f"{store.root}/published"
+    for day in days:
+        jobs.run_day(store, files, day)
+        jobs.publish_days(store, out, [day])
+    put(files, days[-1], on(days[-1]))  # nothing of January is left
+    before = jobs.touched_days(store, days[-1:])
+    jobs.run_day(store, files, days[-1])
+    jobs.publish_days(store, out, days[-1:], before)
+    for name in ("features_daily", "backlog_daily", "daily_agent_load"):
+        assert in_order(store.published(out, name).collect()) == contents(store, [name])[name]
+    assert sorted(os.listdir(f"{out}/daily_agent_load"))[-2:] == ["ops_month=2023-11-01", "ops_month=2023-12-01"]
+
+
 def test_gaps(files, new_store):
     put(files, D1, on(D1))
     put(files, D3, on(D3))
@@ -246,15 +390,23 @@ def test_gaps(files, new_store):
     assert jobs.unrecorded_days(store, D1, D4).first().simulation_date == D4
 
 
-def test_default_start_and_end(new_store):
+def test_the_first_day_must_be_named_and_none_is_the_last(files, new_store):
     store = new_store()
-    assert jobs.next_day(store) == date(2023, 11, 1)
-    assert jobs.run_day(store, day_files.DayFiles("unused"), date(2024, 1, 1)).status == "past_end"
-
-
-def test_only_a_missing_table_counts_as_empty(spark, new_store, tmp_path):
+    for job in (jobs.run_day, jobs.catch_up):
+        with pytest.raises(ValueError, match="first"):
+            job(store, files)
+    late = date(2031, 1, 1)
+    put(files, late, on(late))
+    assert jobs.run_day(store, files, start=late, end=D1).status == "past_end"
+    assert jobs.run_day(store, files, start=late).rows == 1
+    after = date(2031, 1, 9)
+    put(files, after, on(after))
+    assert jobs.catch_up(store, files) == [after]
+
+
+def test_only_a_missing_table_counts_as_empty(new_store, tmp_path):
     store = new_store()
-    folder = tmp_path / "store" / "ingestion_state" / "simulation_date=2023-11-09"
+    folder = tmp_path / "store" / "ingestion_state"
     folder.mkdir(parents=True)
     (folder / "part-0.parquet").write_text("not parquet")
     with pytest.raises(Exception, match="(?i)parquet"):
@@ -269,12 +421,14 @@ def test_backfill_reports_failed_months(files, new_store):
     result = jobs.backfill(store, files, 2023, 10, 12)
     assert result.rows_by_month == {"2023-11": 2}
     assert sorted(result.failed_months) == ["2023-10", "2023-12"]
+    assert list(jobs.backfill(store, files, 2023).rows_by_month) == ["2023-11"]
+    landed = lambda: store.rows("tickets_raw", store.landed()).count()
     put(files, D1)
     assert jobs.backfill(store, files, 2023, 11, 11).rows_by_month == {"2023-11": 0}
-    assert store.table("tickets_raw").count() == 0
+    assert landed() == 0
     put(files, D2, on(D2), on(D2))
     assert jobs.backfill(store, files, 2023, 11, 11).rows == 2
-    assert store.table("tickets_raw").count() == 2
+    assert landed() == 2
 
 
 def test_columns_beyond_the_contract_are_landed(spark, files, new_store):
@@ -283,9 +437,9 @@ def test_columns_beyond_the_contract_are_landed(spark, files, new_store):
     store = new_store()
     jobs.catch_up(store, files, D1, D1)
     jobs.catch_up(store, files, D2, D2)
-    landed = spark.read.option("mergeSchema", True).parquet(store.path("tickets_raw"))
-    assert [r.remark for r in landed.orderBy("source_date").collect()] == ["hello", None]
-    assert store.table("tickets_raw").columns == [*HEADER, "_ingestion_ts", "_source_file"]
+    raw = store.table("tickets_raw")
+    assert raw.columns == [*HEADER, "remark", "_unread", "_ingestion_ts", "_source_file"]
+    assert [r.remark for r in raw.orderBy("created_at").collect()] == ["hello", None]
 
 
 def test_tables_by_name_in_sql(spark, files, new_store):
@@ -299,30 +453,38 @@ def test_tables_by_name_in_sql(spark, files, new_store):
     assert (row.n, row.m) == (5, 5)
 
 
-def test_stream_takes_each_file_once(spark, files, tmp_path):
-    put_three_days(files)
-    root = str(tmp_path / "stream")
-    for _ in range(2):
-        start_fact_stream(spark, files, root, files_per_batch=1).awaitTermination()
-        assert streamed_facts(spark, root).count() == 5
-    put(files, D4, on(D4))
-    start_fact_stream(spark, files, root).awaitTermination()
-    assert streamed_facts(spark, root).count() == 6
-
-
-def test_arrivals_keep_tables_up(spark, files, new_store):
+def test_each_delivery_is_loaded_once(files, new_store):
     put(files, D3, on(D3, ticket_id="e", sla_breached=True))
     store, whole = new_store(), new_store("whole")
-    start_upkeep_stream(store, files).awaitTermination()
-    assert recorded(store) == [(D3, 1)]
-    put_three_days(files)
-    for _ in range(2):
-        start_upkeep_stream(store, files, days_per_load=1).awaitTermination()
+    assert load_arrivals(store, files) == [D3]
+    put(files, D1, on(D1))
+    put(files, D2, on(D2))
+    assert load_arrivals(store, files, days_per_load=1) == [D1, D2]
+    assert load_arrivals(store, files) == []
+    # Corrected under the old path, once longer and once with the same length.
+    put(files, D2, on(D2, ticket_id="x"), on(D2, ticket_id="y"))
+    assert load_arrivals(store, files) == [D2]
+    path = f"{files.base}/2023/11/2023-11-01.csv"
+    with open(path) as file:
+        text = file.read()
+    with open(path, "w") as file:
+        file.write(text.replace("t1,", "q1,"))
+    os.utime(path, (0, 0))
+    assert load_arrivals(store, files) == [D1]
     jobs.catch_up(whole, files, D1, D3)
     assert contents(store) == contents(whole)
+    assert [r.ticket_id for r in store.table("fact_tickets").where("created_date = date'2023-11-01'").collect()] == ["q1"]
+
+
+def test_backfilled_files_are_no_new_arrivals(files, new_store):
+    put_three_days(files)
+    store = new_store()
+    jobs.backfill(store, files, 2023, 11, 11)
+    jobs.rebuild(store)
+    assert load_arrivals(store, files) == []
 
 
-def test_command_line(spark, files, new_store, tmp_path):
+def test_command_line(spark, files, new_store, tmp_path, capsys):
     put_three_days(files)
     store = new_store()
 
@@ -330,16 +492,24 @@ def test_command_line(spark, files, new_store, tmp_path):
         return run_command(spark, parser().parse_args(words))
 
     there = ["--files", files.base, "--store", store.root]
-    assert run("daily", *there).rows == 2
-    assert run("daily", *there, "--date", "2023-11-03").day == D3
+    copies = str(tmp_path / "copies")
+    assert run("daily", *there, "--start", "2023-11-01").rows == 2
+    assert run("daily", *there, "--date", "2023-11-03", "--publish", copies).day == D3
+    assert store.published(copies, "features_daily").count() == 2  # the whole month
     assert run("catch-up", *there, "--end", "2023-11-04", "--skip-missing") == [D2, D4]
+    run("log", "--store", store.root)
+    assert capsys.readouterr().out.split()[:1] == ["2023-11-04"]
+    assert run("compact", "--store", store.root, "--until", "2023-11-04") == 4
+    assert run("vacuum", "--store", store.root) == []
     run("reset", "--store", store.root, "--date", "2023-11-01")
     assert run("backfill", *there, "--year", "2023", "--start-month", "11", "--end-month", "11").rows == 5
-    published = run("rebuild", "--store", store.root, "--publish", str(tmp_path / "out"))
-    assert spark.read.parquet(published["features_daily"]).count() == 3
+    run("rebuild", "--store", store.root, "--publish", str(tmp_path / "out"))
+    assert store.published(str(tmp_path / "out"), "features_daily").count() == 3
+    assert run("arrivals", *there) == []
     extract = f"{files.base}/2023/11/2023-11-01.csv"
     split = run("export", "--extract", extract, "--to", str(tmp_path / "days"), "--year", "2023")
-    assert day_files.read_all_days(spark, split).count() == 2
+    assert (split.exported, split.out_of_range, split.unreadable) == (2, 0, 0)
+    assert day_files.read_all_days(spark, split.files).count() == 2
 
 
 def test_agents_file(spark, tmp_path):
