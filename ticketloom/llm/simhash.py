@@ -206,10 +206,12 @@ def without_near_duplicates(
 ) -> DataFrame:
     """The rows of `docs`, columns unchanged, that stand for their group of near-duplicates.
 
-    Of each component the smallest id stays, once if its row is repeated. Rows without an
-    id cannot be told apart by it and all stay.
+    Of each component the smallest id stays, once if its row is repeated; rows that share
+    an id with different texts stay or go together. Rows without an id cannot be told
+    apart by it and all stay.
     """
     found = near_duplicates(docs, shingle_words, max_bits, id_col, text_col)
     keep = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(id_col))
-    kept = docs.join(keep.distinct(), id_col, "left_semi").dropDuplicates([id_col])
+    kept = docs.join(keep.distinct(), id_col, "left_semi").withColumn("_same_text", F.md5(text_col))
+    kept = kept.dropDuplicates([id_col, "_same_text"])
     return kept.select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))

@@ -9,6 +9,7 @@ an unseen form is judged by the n-grams it shares.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import astuple, dataclass
 
 import numpy as np
@@ -140,8 +141,35 @@ def training_sample(
     return texts.join(F.broadcast(sample), "id")
 
 
-def _bags(texts: DataFrame, windows_per_text: int) -> list[tuple[int, list[np.ndarray]]]:
-    """(label, bags) of each sampled id: evenly spread windows, at most so many a text."""
+@dataclass
+class Bags:
+    """Windows of sampled texts, end to end: their n-grams, sizes and the text of each."""
+
+    grams: np.ndarray
+    sizes: np.ndarray
+    text: np.ndarray
+    label: np.ndarray
+
+    @functools.cached_property
+    def starts(self) -> np.ndarray:
+        return np.cumsum(self.sizes) - self.sizes
+
+    def grams_of(self, windows: np.ndarray) -> np.ndarray:
+        size = self.sizes[windows]
+        ends = np.cumsum(size)
+        return self.grams[np.repeat(self.starts[windows] - (ends - size), size) + np.arange(size.sum())]
+
+    def texts_with(self) -> np.ndarray:
+        """In how many texts each bucket occurs."""
+        counts = np.zeros(1 << BUCKET_BITS, np.int64)
+        bounds = np.append(self.starts[np.flatnonzero(np.diff(self.text, prepend=-1))], len(self.grams))
+        for start, end in zip(bounds[:-1], bounds[1:]):
+            counts[np.unique(self.grams[start:end])] += 1
+        return counts
+
+
+def _bags(texts: DataFrame, windows_per_text: int) -> Bags:
+    """Windows of each sampled id: evenly spread, at most so many a text."""
 
     def start():
         def convert(ids, labels, texts):
@@ -157,13 +185,16 @@ def _bags(texts: DataFrame, windows_per_text: int) -> list[tuple[int, list[np.nd
 
     got = map_batches(texts, ["id", "label", "text"], "id long, label int, bags binary", start)
     got = got.groupBy("id", "label").agg(F.min("bags").alias("bags")).collect()
-    out = []
-    for row in sorted(got, key=lambda row: row["id"]):
-        values = np.frombuffer(row["bags"], dtype="<u4")
-        if values[0]:
-            split = np.split(values[1 + values[0] :], np.cumsum(values[1 : values[0]]))
-            out.append((row["label"], split))
-    return out
+    got.sort(key=lambda row: row["id"])
+    values = [np.frombuffer(row["bags"], dtype="<u4") for row in got]
+    counts = np.array([v[0] for v in values], dtype=np.int64)
+    empty = np.zeros(0, np.uint32)
+    return Bags(
+        np.concatenate([empty, *(v[1 + v[0] :] for v in values)]),
+        np.concatenate([empty, *(v[1 : 1 + v[0]] for v in values)]).astype(np.int64),
+        np.repeat(np.arange(len(got)), counts),
+        np.repeat(np.array([row["label"] for row in got], dtype=np.int64), counts),
+    )
 
 
 def fit(
@@ -171,7 +202,7 @@ def fit(
     labels: DataFrame,
     clean: int = 4000,
     toxic: int = 2000,
-    windows_per_text: int = 48,
+    windows_per_text: int = 40,
     dimensions: int = 8,
     steps: int = 1500,
     id_col="doc_id",
@@ -187,24 +218,19 @@ def fit(
     0, or 1 if all are toxic.
     """
     sample = stored(training_sample(docs, labels, clean, toxic, id_col, text_col, label_col), "sample")
-    rows = _bags(sample, windows_per_text)
-    kinds = {label for label, _ in rows}
+    bags = _bags(sample, windows_per_text)
+    kinds = {*bags.label.tolist()}
     if len(kinds) < 2:
         never = -np.inf if kinds == {1} else np.inf
         return ToxicityModel(np.zeros(1 << BUCKET_BITS, np.float32), 0.0, never)
-    label = np.array([y for y, bags in rows for _ in bags])
-    text = np.array([i for i, (_, bags) in enumerate(rows) for _ in bags])
-    bags = [bag for _, own in rows for bag in own]
-    texts_with = np.bincount(
-        np.concatenate([np.unique(np.concatenate(own)) for _, own in rows]), minlength=1 << BUCKET_BITS
-    )
-    known = texts_with >= MIN_TEXTS
-    logits, bias = _train(bags, label, known, dimensions, steps)
-    found = np.array([logits[bag].mean() for bag in bags]) + bias
-    top = np.full(len(rows), -np.inf)
-    np.maximum.at(top, text, found)
-    keep = (label == 0) | (found >= np.minimum(top[text], np.maximum(0.0, top[text] / 2)))
-    logits, bias = _train([b for b, k in zip(bags, keep) if k], label[keep], known, dimensions, steps)
+    known = bags.texts_with() >= MIN_TEXTS
+    logits, bias = _train(bags, np.arange(len(bags.label)), known, dimensions, steps)
+    found = np.add.reduceat(logits[bags.grams], bags.starts, dtype=np.float64) / bags.sizes + bias
+    top = np.full(bags.text.max() + 1, -np.inf)
+    np.maximum.at(top, bags.text, found)
+    best = top[bags.text]
+    keep = np.flatnonzero((bags.label == 0) | (found >= np.minimum(best, np.maximum(0.0, best / 2))))
+    logits, bias = _train(bags, keep, known, dimensions, steps)
     model = ToxicityModel(logits, bias, 0.0)
 
     def start():
@@ -215,7 +241,7 @@ def fit(
     return ToxicityModel(logits, bias, cut)
 
 
-def _train(bags: list[np.ndarray], label: np.ndarray, known: np.ndarray, dimensions: int, steps: int):
+def _train(bags: Bags, windows: np.ndarray, known: np.ndarray, dimensions: int, steps: int):
     """Embeddings by gradient steps, softmax by Adagrad; each bucket's logit, and the bias.
 
     Only `known` buckets learn; the others keep a zero embedding, so that n-grams of one
@@ -227,17 +253,16 @@ def _train(bags: list[np.ndarray], label: np.ndarray, known: np.ndarray, dimensi
     weight = rng.normal(0, 0.5, (dimensions, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
     seen = [np.full_like(weight, 1e-8), np.full_like(bias, 1e-8)]
-    lengths = np.array([len(bag) for bag in bags])
+    label = bags.label[windows]
     share = np.where(label == 1, 0.5 / (label == 1).sum(), 0.5 / (label == 0).sum()) * len(label)
-    batch = max(32, min(1024, len(bags) // 16))
+    batch = max(32, min(1024, len(windows) // 16))
     step = 0
     while step < steps:
-        order = rng.permutation(len(bags))
+        order = rng.permutation(len(windows))
         for some in np.split(order, range(batch, len(order), batch))[: steps - step]:
             rate = STEP * (1 - step / steps)
             step += 1
-            index = np.concatenate([bags[i] for i in some])
-            own = lengths[some]
+            index, own = bags.grams_of(windows[some]), bags.sizes[windows[some]]
             at = np.cumsum(own) - own
             mean = np.stack([np.add.reduceat(e[index], at) for e in embedding]) / own
             z = mean.T @ weight + bias
