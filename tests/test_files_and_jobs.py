@@ -515,3 +515,16 @@ def test_command_line(spark, files, new_store, tmp_path, capsys):
 def test_agents_file(spark, tmp_path):
     (tmp_path / "agents.csv").write_text("agent_id,name\n007,Ada\n")
     assert day_files.read_agents(spark, str(tmp_path / "agents.csv")).first() == ("007", "Ada")
+
+
+def test_a_reload_takes_as_many_jobs_for_many_days_as_for_one(spark, files, new_store):
+    put_three_days(files)
+    store = new_store()
+    counts = []
+    for days in ([D1], [D1, D2, D3], [D1, D2, D3]):
+        group = f"reload-{len(counts)}"
+        spark.sparkContext.setJobGroup(group, group)
+        jobs.load_days(store, files, days)
+        counts.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+    spark.sparkContext.setJobGroup("", "")
+    assert max(counts) <= min(counts) + 1 and max(counts) <= 14
