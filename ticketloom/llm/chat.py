@@ -107,8 +107,10 @@ def link_quotations(
         "conv_id", "turn", F.explode(original_units(F.col("text"))).alias("unit")
     )
     written = written.groupBy("conv_id", F.md5("unit").alias("hash")).agg(F.min("turn").alias("original"))
+    # One row per hash on either side; then the many that quote the same find it in a table.
+    answers = stored(asked.select("conv_id", "hash").distinct().join(written, ["conv_id", "hash"]), "answers")
     links = (
-        asked.join(written, ["conv_id", "hash"])
+        asked.join(answers, ["conv_id", "hash"])
         .where("original < turn")
         .groupBy("conv_id", "turn", "message", "passage", "level")
         .agg(F.max(F.struct(F.length("unit"), "original")).getField("original").alias("original"))
