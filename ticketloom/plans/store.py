@@ -122,6 +122,11 @@ class TicketStore:
         whole = records.where("fact_load is not null or raw_load is null")
         return self._latest(whole).where("fact_load is not null")
 
+    def snapshot(self) -> DataFrame:
+        """``recorded`` as it is now, one row per calendar day: tables read with it agree
+        with each other whatever is loaded meanwhile."""
+        return self.spark.createDataFrame(self.recorded().collect(), TABLES["ingestion_state"])
+
     def landed(self) -> DataFrame:
         """The current record of every day whose raw rows have landed, derived or not."""
         return self._latest(self._log("ingestion_state")).where("raw_load is not null")
@@ -212,14 +217,17 @@ class TicketStore:
             "backlog_daily": lambda: backlog_daily(self.rows(days, records)),
             "running_backlog": lambda: running_backlog(self.rows(days, records)),
             "daily_agent_load": lambda: daily_agent_load(self.rows(agents, records)),
-            "ingestion_state": lambda: self.recorded().select(*STATE_COLUMNS),
+            "ingestion_state": lambda: (self.recorded() if records is None else records).select(
+                *STATE_COLUMNS
+            ),
         }
         return views[name]()
 
     def register_views(self) -> None:
-        """Make every table available to spark.sql under its own name."""
+        """Make every table, as it is now, available to spark.sql under its own name."""
+        now = self.snapshot()
         for name in ("tickets_raw", "fact_tickets", *MARTS, "running_backlog", "ingestion_state"):
-            self.table(name).createOrReplaceTempView(name)
+            self.table(name, now).createOrReplaceTempView(name)
 
     # -- upkeep --------------------------------------------------------------------
 
@@ -245,8 +253,7 @@ class TicketStore:
         Many daily loads leave as many small files; afterwards these days are read from
         a few. Returns how many days were rewritten.
         """
-        records = self.recorded().where(F.col("simulation_date") <= F.lit(until))
-        fixed = self.spark.createDataFrame(records.collect(), TABLES["ingestion_state"])  # one row a day
+        fixed = self.snapshot().where(F.col("simulation_date") <= F.lit(until))
         days = fixed.count()
         if days:
             load = self.new_load()
@@ -267,11 +274,12 @@ class TicketStore:
         are written again. A month is replaced when all its new files are there; one that
         has no rows any more is removed afterwards. Returns where each copy is.
         """
+        now = self.snapshot()
         months = None if days is None else {d and d.replace(day=1) for d in days}
 
         def copy(name: str) -> None:
             month = F.trunc("ops_date", "month")
-            result = self.table(name).withColumn("ops_month", month)
+            result = self.table(name, now).withColumn("ops_month", month)
             if months is not None:
                 some = [m for m in months if m]
                 result = result.where(
@@ -284,7 +292,7 @@ class TicketStore:
                 .partitionBy("ops_month")
                 .parquet(f"{out}/{name}")
             )
-            there = {r[0] for r in self.table(name).select(month.alias("m")).distinct().collect()}
+            there = {r[0] for r in self.table(name, now).select(month.alias("m")).distinct().collect()}
             for child in folders.children(self.spark, f"{out}/{name}"):
                 value = child.removeprefix("ops_month=")
                 if child != value and (None if value.startswith("__HIVE") else date.fromisoformat(value)) not in there:
