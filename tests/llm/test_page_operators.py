@@ -7,6 +7,7 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from ticketloom.llm import urls, warc
 from ticketloom.llm.queries import URL_RULES
@@ -54,6 +55,44 @@ def test_urls_without_labels_are_allowed(spark):
     assert urls.judge(pages.where("false"), URL_RULES, model).count() == 0
 
 
+def test_models_count_every_ruled_url_but_those_of_the_cut(spark):
+    good = [f"http://s{i % 7}.good.com/page/{i}" for i in range(12_000)] + ["http://late.com/\u00e9t\u00e9"]
+    bad = [f"http://s{i % 5}.bad.net/es/casino{i}" for i in range(300)]
+    rows = [(i, url) for i, url in enumerate(good + bad + bad[:20])]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    model = urls.fit(pages, URL_RULES)
+    grams = {r.gram: (r.allow, r.block) for r in model.counts.collect()}
+    by_order = [sum(n[0] for gram, n in grams.items() if gram >> 48 == order) for order in range(urls.ORDER + 1)]
+    # Each URL has five bytes with fewer than five before them.
+    assert by_order[0] - by_order[5] == 5 * (len(good) - 2_000)
+    learned = set(bad) - set(held_out(spark, bad, 60))
+    assert sum(n[1] for gram, n in grams.items() if gram >> 48 == 5) == sum(len(url) - 5 for url in learned)
+
+
+def held_out(spark, some, taken):
+    own = spark.createDataFrame([(u,) for u in some], "url string").orderBy(F.xxhash64("url"), "url")
+    return [r.url for r in own.limit(taken).collect()]
+
+
+def test_differences_are_those_of_models_in_memory(spark, monkeypatch):
+    monkeypatch.setattr(urls, "BLOCK_BYTES", 200)
+    good = [f"http://s{i % 7}.good.com/p/{i * i % 97}" for i in range(60)] + ["http://a.com/\u00e9t\u00e9", "x://c.com/"]
+    bad = [f"http://s{i % 5}.bad.net/es/casino{i * i % 89}" for i in range(40)]
+    others = ["http://s.bad.org/es/casino5", "http://s.good.org/p/7", "\u00e9", "z", "x://q", "h" * 3000] + ["http://hot.org/"] * 70
+    pages = spark.createDataFrame([(i, url) for i, url in enumerate(good + bad + others)], "page_id long, url string")
+    model = urls.fit(pages.repartition(3), URL_RULES)
+    own = []
+    for some in (sorted(set(good)), sorted(set(bad))):
+        out = held_out(spark, some, -(-len(some) // 5))
+        own.append(urls.MarkovModel([u.encode() for u in some if u not in out]))
+    got = urls.judge(pages.repartition(3), URL_RULES, model).where("rule is null").collect()
+    assert sorted(r.page_id for r in got) == list(range(len(good + bad), len(good + bad + others)))
+    for row in got:
+        url = others[row.page_id - len(good + bad)].encode()
+        expected = (own[0].log_likelihood(url) - own[1].log_likelihood(url)) / len(url)
+        assert row.difference == pytest.approx(expected, rel=1e-9, abs=1e-12)
+
+
 def test_smoothed_chances_sum_to_one():
     model = urls.MarkovModel([b"http://a.com/b", b"http://a.com/c", b"http://a.com/b"] * 3)
     for context in (b"", b"h", b"http:", b"zzz", b"com/"):
