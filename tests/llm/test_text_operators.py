@@ -254,6 +254,19 @@ def test_toxic_texts_are_found_also_when_misspelled(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, r in found.items() if not r.predicted}
 
 
+def test_toxic_texts_are_learned_whole(spark):
+    words = [f"w{i}x" for i in range(600)]
+    rows = [(i, int(i < 3), " ".join(words[: 600 - 100 * i])) for i in range(3)] + [(7, 0, " ".join(words))]
+    sample = spark.createDataFrame(rows, "id long, label int, text string")
+    bags = toxicity._bags(sample, 40, 1000)
+    assert np.bincount(bags.text).tolist() == [150, 125, 100, 38]
+    some = toxicity._bags(sample, 40, 230)
+    assert {(label, n) for label, n in zip(some.label[np.diff(some.text, prepend=-1) > 0].tolist(), np.bincount(some.text).tolist())} in (
+        {(1, 125), (1, 100), (0, 38)}, {(1, 150), (0, 38)},
+    )
+    assert np.bincount(toxicity._bags(sample, 40, 10).text).tolist() == [100, 38]
+
+
 def test_toxicity_without_labels(spark):
     docs, labels = toxic_docs(spark)
     model = toxicity.fit(docs, labels.where("toxic = 0"))

@@ -168,15 +168,46 @@ class Bags:
         return counts
 
 
-def _bags(texts: DataFrame, windows_per_text: int) -> Bags:
-    """Windows of each sampled id: evenly spread, at most so many a text."""
+def _too_many(texts: DataFrame, toxic_windows: int) -> list[int]:
+    """Sampled toxic ids to leave out, so that the others have at most so many windows.
+
+    Ids are taken in the order of a hash, each whole; the shortest one always is.
+    """
+
+    def start():
+        def convert(ids, texts):
+            return {"id": ids, "windows": [sum(len(rows.starts) for _, rows in _windows_of([text])) for text in texts]}
+
+        return convert
+
+    sizes = map_batches(texts.where("label = 1"), ["id", "text"], "id long, windows long", start)
+    sizes = sizes.groupBy("id").agg(F.max("windows").alias("windows"), F.xxhash64("id").alias("hash")).collect()
+    if sizes and min(row["windows"] for row in sizes) > toxic_windows:
+        shortest = min(sizes, key=lambda row: (row["windows"], row["hash"]))
+        return [row["id"] for row in sizes if row != shortest]
+    total, out = 0, []
+    for row in sorted(sizes, key=lambda row: (row["hash"], row["id"])):
+        if total + row["windows"] <= toxic_windows:
+            total += row["windows"]
+        else:
+            out.append(row["id"])
+    return out
+
+
+def _bags(texts: DataFrame, windows_per_text: int, toxic_windows: int) -> Bags:
+    """Windows of each sampled id: all of toxic texts, of which any may be the toxic one,
+    and at most `windows_per_text`, evenly spread, of clean texts.
+    """
+    if out := _too_many(texts, toxic_windows):
+        texts = texts.where(~((F.col("label") == 1) & F.col("id").isin(out)))
 
     def start():
         def convert(ids, labels, texts):
             out = []
-            for text in texts:
+            for label, text in zip(labels, texts):
                 own = [bag for _, windows in _windows_of([text]) for bag in windows.bags()]
-                own = [bag for bag in own[:: max(1, -(-len(own) // windows_per_text))] if len(bag)]
+                step = 1 if label else max(1, -(-len(own) // windows_per_text))
+                own = [bag for bag in own[::step] if len(bag)]
                 sizes = np.array([len(own), *map(len, own)], dtype="<u4")
                 out.append(np.concatenate([sizes, *own]).astype("<u4").tobytes())
             return {"id": ids, "label": labels, "bags": out}
@@ -203,6 +234,7 @@ def fit(
     clean: int = 4000,
     toxic: int = 2000,
     windows_per_text: int = 40,
+    toxic_windows: int = 500_000,
     dimensions: int = 8,
     steps: int = 1500,
     id_col="doc_id",
@@ -211,6 +243,9 @@ def fit(
 ) -> ToxicityModel:
     """Learn from a bounded sample of labelled texts whose crc32(id as text) mod 5 is not 0.
 
+    A clean text gives at most `windows_per_text` windows, a toxic one all it has; all
+    toxic texts together give at most `toxic_windows`, by taking fewer texts.
+
     Of a toxic text not every window is toxic, so training runs twice: first every window
     takes its text's label, then toxic texts keep only the windows the first model finds
     toxic, the best one at least. Then the sampled texts are scored whole, and the cut
@@ -218,7 +253,7 @@ def fit(
     0, or 1 if all are toxic.
     """
     sample = stored(training_sample(docs, labels, clean, toxic, id_col, text_col, label_col), "sample")
-    bags = _bags(sample, windows_per_text)
+    bags = _bags(sample, windows_per_text, toxic_windows)
     kinds = {*bags.label.tolist()}
     if len(kinds) < 2:
         never = -np.inf if kinds == {1} else np.inf
