@@ -88,6 +88,13 @@ def test_plan_fills_gaps_exactly_where_lengths_allow():
     assert sum(n for _, n in packing.plan({40: 3, 30: 3, 20: 3, 10: 3}, 100)) == 3
 
 
+def test_an_exact_triple_is_found_behind_a_pair_that_is_used_up():
+    left = np.zeros(101, dtype=np.int64)
+    left[[70, 40, 35, 25, 20]] = 1
+    there = left > 0
+    assert packing._exact_fill(100, left, there, packing._pair_sums(there, 100), Counter()) == [40, 35, 25]
+
+
 # -- SimHash ------------------------------------------------------------------------
 
 

@@ -259,10 +259,10 @@ def _exact_fill(gap, left, there, sums, used: Counter) -> list[int] | None:
     def available(lengths) -> bool:
         return all(left[x] >= n + used[x] for x, n in Counter(lengths).items())
 
-    def pair(total, most):
+    def pair(total, most, beside=()):
         first = np.arange(min(total - 1, most), (total - 1) // 2, -1)
         for a in first[there[first] & there[total - first]]:
-            if available([int(a), total - int(a)]):
+            if available([*beside, int(a), total - int(a)]):
                 return [int(a), total - int(a)]
         return None
 
@@ -272,8 +272,7 @@ def _exact_fill(gap, left, there, sums, used: Counter) -> list[int] | None:
         return found
     first = np.arange(gap - 2, (gap + 2) // 3 - 1, -1)
     for a in first[there[first] & sums[gap - first]] if gap > 2 else ():
-        found = pair(gap - int(a), int(a))
-        if found and available([int(a), *found]):
+        if found := pair(gap - int(a), int(a), [int(a)]):
             return [int(a), *found]
     return None
 
