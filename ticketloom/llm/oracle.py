@@ -54,6 +54,34 @@ LEFT JOIN reply r ON r.conv_id = m.conv_id AND r.turn = m.turn
 LEFT JOIN root t ON t.conv_id = m.conv_id AND t.turn = m.turn
 """
 
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+_OP11 = rf"""
+WITH doc AS (
+    SELECT row_number() OVER () AS id, doc_id, {_TERMS} AS terms, len(terms) AS n FROM documents
+), total AS (
+    SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM doc WHERE n > 0
+), asked AS (
+    SELECT q, item_id, term, count(*) AS times
+    FROM (SELECT row_number() OVER () AS q, item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL
+), posting AS (
+    SELECT id, doc_id, n, term, count(*) AS tf FROM (SELECT id, doc_id, n, unnest(terms) AS term FROM doc)
+    WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weight AS (
+    SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM posting, total GROUP BY term
+), scored AS (
+    SELECT q, item_id, id, doc_id, CAST(sum(times * w *
+        ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // words)))) AS BIGINT) AS score
+    FROM asked JOIN weight USING (term) JOIN posting USING (term), total GROUP BY ALL
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 20
+"""
+
 ORACLE_SQL = {
     "op3_chat_formatting": _OP3,
+    "op11_lexical_search": _OP11,
 }

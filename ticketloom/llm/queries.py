@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm import chat, language, packing, pieces, simhash, toxicity, urls, vectors, warc
+from ticketloom.llm import chat, language, packing, pieces, search, simhash, toxicity, urls, vectors, warc
 
 from ticketloom.session import new_work_dir
 
@@ -91,6 +91,11 @@ def op10_sentencepiece(spark, sf_dir):
     )
 
 
+def op11_lexical_search(spark, sf_dir):
+    index = search.build_index(read_table(spark, sf_dir, "documents"))
+    return search.search(index, read_table(spark, sf_dir, "benchmark"), k=20)
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -102,4 +107,5 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_lexical_search": op11_lexical_search,
 }
