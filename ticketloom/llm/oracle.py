@@ -81,7 +81,55 @@ WITH doc AS (
 SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 20
 """
 
+_OP13 = r"""
+WITH doc AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), label AS (
+    SELECT doc_id, max(coalesce(quality = 1, false)) AS good, max(coalesce(toxic = 1, false)) AS toxic
+    FROM labels GROUP BY doc_id
+), flagged AS (
+    SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, {
+        'A': len(words) < 200,
+        'B': 100 * len(list_distinct(words)) < 50 * len(words),
+        'C': 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text),
+        'D': regexp_matches(text, '[#$%&*|]'),
+        'E': coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)
+    } AS fails FROM doc LEFT JOIN label USING (doc_id)
+), letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l
+), filters AS (
+    SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+    FROM letter a JOIN letter b ON b.l <> a.l JOIN letter c ON c.l NOT IN (a.l, b.l)
+    JOIN letter d ON d.l NOT IN (a.l, b.l, c.l) JOIN letter e ON e.l NOT IN (a.l, b.l, c.l, d.l)
+), steps AS (
+    SELECT filter_order, unnest(range(1, 6)) AS step, substr(filter_order, step, 1) AS own,
+           substr(filter_order, 1, step - 1) AS before FROM filters
+), counted AS (
+    SELECT part, good, toxic, fails, count(*) AS n,
+           CASE WHEN fails.A THEN 'A' ELSE '' END || CASE WHEN fails.B THEN 'B' ELSE '' END ||
+           CASE WHEN fails.C THEN 'C' ELSE '' END || CASE WHEN fails.D THEN 'D' ELSE '' END ||
+           CASE WHEN fails.E THEN 'E' ELSE '' END AS failed FROM flagged GROUP BY ALL
+), judged AS (
+    SELECT *, contains(failed, own) AS now,
+           before <> '' AND failed <> '' AND regexp_matches(failed, '[' || before || '_]') AS earlier
+    FROM counted CROSS JOIN steps
+), summed AS (
+    SELECT part, filter_order, step, own,
+           coalesce(sum(n) FILTER (NOT now AND NOT earlier), 0)::BIGINT AS kept,
+           coalesce(sum(n) FILTER (now AND NOT earlier), 0)::BIGINT AS removed,
+           coalesce(sum(n) FILTER (now AND earlier), 0)::BIGINT AS redundant,
+           coalesce(sum(n) FILTER (failed = own), 0)::BIGINT AS unique_fails,
+           coalesce(sum(n) FILTER (now AND NOT earlier AND good), 0)::BIGINT AS good_lost,
+           coalesce(sum(n) FILTER (now AND NOT earlier AND toxic), 0)::BIGINT AS toxic_lost
+    FROM judged GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM summed
+"""
+
 ORACLE_SQL = {
     "op3_chat_formatting": _OP3,
     "op11_lexical_search": _OP11,
+    "op13_filter_audit": _OP13,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm import chat, language, packing, pieces, search, simhash, toxicity, urls, vectors, warc
+from ticketloom.llm import audit, chat, language, packing, pieces, search, simhash, toxicity, urls, vectors, warc
 
 from ticketloom.session import new_work_dir
 
@@ -96,6 +96,10 @@ def op11_lexical_search(spark, sf_dir):
     return search.search(index, read_table(spark, sf_dir, "benchmark"), k=20)
 
 
+def op13_filter_audit(spark, sf_dir):
+    return audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -108,4 +112,5 @@ QUERIES = {
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_sentencepiece": op10_sentencepiece,
     "op11_lexical_search": op11_lexical_search,
+    "op13_filter_audit": op13_filter_audit,
 }
