@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm import audit, chat, language, packing, pieces, search, simhash, toxicity, urls, vectors, warc
+from ticketloom.llm import audit, chat, language, packing, pieces, search, secret_scan, simhash, toxicity, urls, vectors, warc
 
 from ticketloom.session import new_work_dir
 
@@ -96,6 +96,18 @@ def op11_lexical_search(spark, sf_dir):
     return search.search(index, read_table(spark, sf_dir, "benchmark"), k=20)
 
 
+def op12_secret_scan(spark, sf_dir):
+    found, findings = secret_scan.scan(read_table(spark, sf_dir, "documents")), F.col("findings")
+    number = lambda kind: F.size(F.filter(findings, lambda f: f["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = ("assign", "access", "hex")
+    return found.select(
+        "doc_id",
+        *[number(kind) for kind in base],
+        F.sha2(secret_scan.joined(findings, base), 256).alias("base_sha256"),
+        secret_scan.joined(findings).alias("spans"),
+    )
+
+
 def op13_filter_audit(spark, sf_dir):
     return audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -112,5 +124,6 @@ QUERIES = {
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_sentencepiece": op10_sentencepiece,
     "op11_lexical_search": op11_lexical_search,
+    "op12_secret_scan": op12_secret_scan,
     "op13_filter_audit": op13_filter_audit,
 }
