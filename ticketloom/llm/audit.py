@@ -23,7 +23,7 @@ from ticketloom.llm.text_shards import binary_column, coded_words, in_shards, on
 
 SHARD_BYTES = 16 << 20
 #: Words, counted once per shard, that one task numbers together.
-WORDS_AT_ONCE = 2_000_000
+WORDS_AT_ONCE = 1_000_000
 
 FILTERS = "ABCDE"
 ORDERS = ["".join(order) for order in itertools.permutations(FILTERS)]
@@ -80,7 +80,7 @@ def _shard(name: str, docs: pa.Table) -> pa.RecordBatch:
     values = {
         "shard": [name],
         "n_words": pa.array([len(words)], pa.int32()),
-        "words": pc.binary_join(pa.array([words.take(pa.array(order)).to_pylist()], pa.list_(pa.string())), "\n"),
+        "words": _lines(words.take(pa.array(order)), np.array([len(words)])),
         "codes": binary_column((pairs % size).astype("<i4"), np.array([len(pairs)])),
         "counts": binary_column(counts.astype("<i4"), np.array([len(pairs)])),
         "doc_ids": one_array(docs["doc_id"]),
@@ -101,6 +101,12 @@ _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[list(b"#$%&*|")] = True
 
 
+def _lines(words: pa.Array, ends: np.ndarray) -> pa.Array:
+    """Words parted by line feeds, one text up to each end."""
+    offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, words), "\n")
+
+
 def word_hashes(words: pa.Array) -> np.ndarray:
     """64-bit hashes that spread words evenly; equal words have equal hashes."""
     if not len(words):
@@ -126,15 +132,14 @@ def dictionary(matrix: DataFrame, words_at_once: int = WORDS_AT_ONCE) -> DataFra
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, n_words, joined in zip(*(c.to_pylist() for c in batch.columns)):
-                words = joined.split("\n") if n_words else []
-                hashes = word_hashes(pa.array(words, pa.string()))
-                ends = np.searchsorted(hashes, [(at << 64) // ranges for at in range(1, ranges)])
-                pieces = zip([0, *ends], [*ends, len(words)])
-                found = [(nth, "\n".join(words[a:b]), b - a) for nth, (a, b) in enumerate(pieces) if b > a]
-                numbers, texts, sizes = zip(*found) if found else ((), (), ())
+                words = pc.split_pattern(pa.array([joined]), "\n").flatten().slice(0, n_words)
+                bounds = np.array([(at << 64) // ranges for at in range(1, ranges)], np.uint64)
+                ends = np.append(np.searchsorted(word_hashes(words), bounds), n_words)
+                sizes = np.diff(ends, prepend=0)
+                some = np.flatnonzero(sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(numbers, pa.int64()), pa.array([shard] * len(found), pa.string()),
-                     pa.array(texts, pa.string()), pa.array(sizes, pa.int64())],
+                    [pa.array(some), pa.array([shard] * len(some), pa.string()),
+                     _lines(words, ends[some]), pa.array(sizes[some])],
                     names=["range", "shard", "words", "size"],
                 )
 
@@ -142,7 +147,7 @@ def dictionary(matrix: DataFrame, words_at_once: int = WORDS_AT_ONCE) -> DataFra
         flat = pc.split_pattern(one_array(table["words"]), "\n").flatten()
         coded = flat.dictionary_encode()
         ids = binary_column(coded.indices.to_numpy().astype("<i4"), np.cumsum(table["size"].to_numpy()))
-        whole = pc.binary_join(pa.array([coded.dictionary.to_pylist()], pa.list_(pa.string())), "\n")
+        whole = _lines(coded.dictionary, np.array([len(coded.dictionary)]))
         return pa.table(
             {
                 "range": pa.concat_arrays([one_array(table["range"]), one_array(table["range"][:1])]),

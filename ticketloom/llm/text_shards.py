@@ -16,6 +16,8 @@ def in_shards(batches: Iterable[pa.RecordBatch], text: str, max_bytes: int) -> I
     """Rows in their order, cut where their texts exceed `max_bytes`; a longer text alone."""
     held: list[pa.RecordBatch] = []
     size = 0
+    # What an earlier task of this worker used is not kept beside the shards of this one.
+    pa.default_memory_pool().release_unused()
     for batch in batches:
         lengths = pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(lengths.astype(np.int64) + ROW_BYTES)
@@ -66,6 +68,9 @@ def binary_column(values: np.ndarray, ends: np.ndarray) -> pa.Array:
 
 def totals(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Sums of the lists that stand end to end in `values`; an empty list sums to zero."""
-    running = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
-    ends = np.concatenate([[0], ends])
-    return running[ends[1:]] - running[ends[:-1]]
+    starts = np.concatenate([[0], ends])[:-1]
+    full = ends > starts
+    sums = np.zeros(len(ends), np.int64)
+    if full.any():
+        sums[full] = np.add.reduceat(values, starts[full], dtype=np.int64)
+    return sums
