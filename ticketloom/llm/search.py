@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketloom.llm.storage import stored
-from ticketloom.llm.text_shards import binary_column, coded_words, in_shards, one_array, totals
+from ticketloom.llm.text_shards import binary_column, coded_words, in_shards, one_array
 
 SHARD_BYTES = 16 << 20
 BLOCK = 128
@@ -211,7 +211,7 @@ def search(index: DataFrame, queries: DataFrame, k: int, key: str = "item_id") -
     weight = F.floor(F.log((2.0 * F.lit(n) + 2) / (2 * F.sum("df") + 1)) * 1000).cast("long")
     weights = found.groupBy("term").agg(weight.alias("weight"))
     wanted = askers.join(weights, "term")
-    rows = lists.join(wanted, "term").select("shard", "part", "weight", "askers", "blocks", "tops", "postings")
+    rows = found.join(wanted, "term").select("shard", "part", "weight", "askers", "blocks", "tops", "postings")
     own = shards.select("shard", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "doc_ids", "lengths")
     answers = (
         rows.unionByName(own, allowMissingColumns=True)
