@@ -1,6 +1,6 @@
 """How document filters interact, from a sparse document-term matrix.
 
-Words are numbered in two steps. Every shard of about 16 MB of text numbers its own
+Words are numbered in two steps. Every shard of about 8 MB of text numbers its own
 words, sorted by hash; equal ranges of the hash are then brought together, a few million
 words at a time, and numbered for the whole table. With these numbers each shard becomes
 a CSR matrix: row sums and nonzero counts give the words and distinct words of a document.
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ticketloom.llm.storage import stored
 from ticketloom.llm.text_shards import binary_column, coded_words, in_shards, one_array, totals
 
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 #: Words, counted once per shard, that one task numbers together.
 WORDS_AT_ONCE = 1_000_000
 
@@ -49,8 +49,8 @@ _DOC_NAMES = [name for name, _ in _ARROW_DOCS]
 
 def shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Stored shards of `docs` (doc_id long, text, lang), each with numbers of its own for
-    its words: `words`, parted by line feeds and sorted by hash, `codes` and `counts` of
-    the matrix entries, and per document its id, lang, SHA-256 of the text, code points,
+    its words: `words`, parted by line feeds and sorted by hash, `codes` (each less the one
+    before) and `counts` of the matrix entries, compressed, and per document its id, lang, SHA-256 of the text, code points,
     capitals A-Z, symbols `#$%&*|` and the end of its row of entries."""
     schema = f"shard string, n_words int, words string, codes binary, counts binary, {_DOCS}"
 
@@ -81,8 +81,8 @@ def _shard(name: str, docs: pa.Table) -> pa.RecordBatch:
         "shard": [name],
         "n_words": pa.array([len(words)], pa.int32()),
         "words": _lines(words.take(pa.array(order)), np.array([len(words)])),
-        "codes": binary_column((pairs % size).astype("<i4"), np.array([len(pairs)])),
-        "counts": binary_column(counts.astype("<i4"), np.array([len(pairs)])),
+        "codes": [_packed(np.diff(pairs % size, prepend=0))],
+        "counts": [_packed(counts)],
         "doc_ids": one_array(docs["doc_id"]),
         "langs": one_array(docs["lang"]),
         "texts": pa.array([hashlib.sha256(text.as_buffer()).digest() for text in texts], pa.binary()),
@@ -101,6 +101,14 @@ _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[list(b"#$%&*|")] = True
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    return pa.compress(numbers.astype("<i4").tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, 4 * n, codec="zstd", asbytes=True), "<i4")
+
+
 def _lines(words: pa.Array, ends: np.ndarray) -> pa.Array:
     """Words parted by line feeds, one text up to each end."""
     offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
@@ -177,8 +185,9 @@ def csr_shards(matrix: DataFrame, numbers: DataFrame) -> DataFrame:
         ids = ids.sort_by("range")
         parts = [base + np.frombuffer(some, "<i4") for base, some in zip(ids["base"].to_pylist(), ids["ids"].to_pylist())]
         to_all = np.concatenate([np.empty(0, np.int64), *parts])  # words of a shard are sorted by hash, so by range
-        entries = to_all[np.frombuffer(own["codes"][0].as_buffer(), "<i4")]
-        counts = np.frombuffer(own["counts"][0].as_buffer(), "<i4")
+        n = int(own["row_ends"][0].values[-1].as_py())
+        entries = to_all[np.cumsum(_unpacked(own["codes"][0].as_py(), n))]
+        counts = _unpacked(own["counts"][0].as_py(), n)
         ends = pa.array([0, len(entries)], pa.int32())
         columns = {"shard": own["shard"], "indices": pa.ListArray.from_arrays(ends, pa.array(entries, pa.int64()))}
         columns["counts"] = pa.ListArray.from_arrays(ends, pa.array(counts, pa.int32()))
