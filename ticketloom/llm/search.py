@@ -1,6 +1,6 @@
 """Ranked lexical search by Block-Max MaxScore over index shards.
 
-A shard holds the documents of about 16 MB of text, in the order of their ids, and for
+A shard holds the documents of about 8 MB of text, in the order of their ids, and for
 every term a list of postings (document, occurrences) in compressed blocks of 128. Each
 block keeps its non-dominated pairs (occurrences, document length): whatever the number
 and mean length of all documents become, they give the exact largest gain in the block.
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ticketloom.llm.storage import stored
 from ticketloom.llm.text_shards import binary_column, coded_words, in_shards, one_array
 
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 BLOCK = 128
 #: Documents of a shard that are scored at once.
 WINDOW = 2048
