@@ -130,7 +130,7 @@ def test_export_and_read_back(spark, tmp_path):
     df = spark.createDataFrame(rows_of(tickets), TICKET_DDL)
     out = day_files.export_days(df, str(tmp_path / "out"), 2023, 11)
     exported = out.files
-    back = day_files.read_all_days(spark, exported).drop("_source_file", "source_date", "_unread")
+    back = day_files.read_all_days(spark, exported).drop("_source_file", "source_date", "_unread", "_malformed")
     expected = [t for t in rows_of(tickets) if t[1] is not None]
     assert in_order(back.collect()) == in_order(expected)
     assert (out.exported, out.out_of_range, out.unreadable) == (len(expected), 0, 200 - len(expected))
@@ -332,7 +332,7 @@ def test_unread_cells_are_counted(files, new_store):
     assert kept == {"created_at": "soon", "resolution_hours": "7 h", "sla_breached": "maybe"}
 
 
-def test_old_loads_are_removed_and_sums_compacted(files, new_store):
+def test_old_loads_are_removed_and_days_compacted(files, new_store):
     put_three_days(files)
     store = new_store()
     for day in (D1, D2, D3, D2):
@@ -342,12 +342,12 @@ def test_old_loads_are_removed_and_sums_compacted(files, new_store):
     assert contents(store) == before
     assert store.vacuum() == []
     removed = store.vacuum(older_than_hours=0)
-    assert len(removed) == 5 + 2 * 2  # D2's first load; the sums of two loads, now compacted
+    assert len(removed) == 5 + 2 * 5  # D2's first load; two loads in five tables, now compacted
     assert contents(store) == before and recorded(store) == [(D3, 1), (D2, 2), (D1, 2)]
 
 
 def test_long_logs_are_shortened(files, new_store, monkeypatch):
-    monkeypatch.setattr("ticketloom.plans.store.LOG_FILES_KEPT", 2)
+    monkeypatch.setattr("ticketloom.plans.numbered_log.ENTRIES_PER_CHECKPOINT", 2)
     put_three_days(files)
     store = new_store()
     for day in (D1, D2, D3):
@@ -374,7 +374,13 @@ def test_published_copies_follow_the_loads(files, new_store):
     jobs.publish_days(store, out, days[-1:], before)
     for name in ("features_daily", "backlog_daily", "daily_agent_load"):
         assert in_order(store.published(out, name).collect()) == contents(store, [name])[name]
-    assert sorted(os.listdir(f"{out}/daily_agent_load"))[-2:] == ["ops_month=2023-11-01", "ops_month=2023-12-01"]
+    months = lambda: set(store._newest_publication(store._publications(out))[1]["daily_agent_load"])
+    assert months() == {"ops_month=2023-11-01", "ops_month=2023-12-01"}
+    assert store.vacuum_published(out) == []
+    assert store.vacuum_published(out, older_than_hours=0)
+    for name in ("features_daily", "daily_agent_load"):
+        assert in_order(store.published(out, name).collect()) == contents(store, [name])[name]
+    assert len(os.listdir(f"{out}/daily_agent_load")) == 2
 
 
 def test_gaps(files, new_store):
@@ -409,8 +415,8 @@ def test_only_a_missing_table_counts_as_empty(new_store, tmp_path):
     store = new_store()
     folder = tmp_path / "store" / "ingestion_state"
     folder.mkdir(parents=True)
-    (folder / "part-0.parquet").write_text("not parquet")
-    with pytest.raises(Exception, match="(?i)parquet"):
+    (folder / "entry-00000000000000000001.json").write_text("not json")
+    with pytest.raises(Exception, match="(?i)malformed"):
         jobs.next_day(store)
 
 

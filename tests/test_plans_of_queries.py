@@ -42,7 +42,7 @@ def plan_of(df) -> str:
         (lambda f: agent_load.daily_agent_load(ticket_rows(f)), 1),
         (lambda f: agent_load.daily_agent_load(ticket_rows(f), null_safe=True), 1),
         (lambda f: agent_load.resolved_per_agent(resolved_rows(f)), 1),
-        (lambda f: agent_load.tickets_per_agent(f), 2),
+        (lambda f: agent_load.tickets_per_agent(created_rows(f)), 2),
         (lambda f: calendar.days_without_rows(f, "created_date", "resolved_date"), 2),
         (lambda f: daily.running_backlog(ticket_rows(f)), 2),
         (ticket_sla_risk, 0),

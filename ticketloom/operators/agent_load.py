@@ -17,13 +17,15 @@ def assigned_per_agent(fact: DataFrame) -> DataFrame:
     )
 
 
-def tickets_per_agent(fact: DataFrame) -> DataFrame:
+def tickets_per_agent(rows: DataFrame) -> DataFrame:
     """Mean tickets per agent of each creation day: tickets over distinct agents.
 
-    Null on a day whose tickets have no agent at all.
+    Takes creation rows, all ticket rows, or partial sums of them per agent. Null on a day
+    whose tickets have no agent at all.
     """
-    per_agent = fact.groupBy("created_date", "agent_id").agg(F.count(F.lit(1)).alias("n"))
-    per_day = per_agent.groupBy(F.col("created_date").alias("ops_date")).agg(
+    created = rows.where(f"side = '{CREATED}'")
+    per_agent = created.groupBy("ops_date", "agent_id").agg(F.sum("tickets").alias("n"))
+    per_day = per_agent.groupBy("ops_date").agg(
         F.sum("n").alias("total_tickets"), F.count("agent_id").alias("distinct_agents")
     )
     return per_day.withColumn("tickets_per_agent", F.expr("try_divide(total_tickets, distinct_agents)"))

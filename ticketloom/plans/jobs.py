@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ticketloom.plans.marts import derive
 from ticketloom.plans.store import TicketStore
-from ticketloom.schema import CREATED, TABLES, TICKET_TYPES
+from ticketloom.schema import CREATED, TICKET_TYPES
 from ticketloom.sources.day_files import (
     TYPED_COLUMNS,
     DayFiles,
@@ -28,11 +28,15 @@ log = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class LoadResult:
-    """``unread`` counts, per column, the cells whose text did not fit the type."""
+    """``unread`` counts, per column, the cells whose text did not fit the type;
+    ``malformed`` the records kept aside because their cells do not match the header.
+    ``overtaken`` names days that another writer loaded meanwhile and this load replaced."""
 
     days: list[date]
     rows: int = 0
     unread: dict[str, int] = field(default_factory=dict)
+    malformed: int = 0
+    overtaken: tuple[date, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -41,6 +45,7 @@ class DayResult:
     status: str  # loaded | past_end
     rows: int = 0
     unread: dict[str, int] = field(default_factory=dict)
+    malformed: int = 0
 
 
 @dataclass
@@ -48,6 +53,7 @@ class BackfillResult:
     rows_by_month: dict[str, int] = field(default_factory=dict)
     failed_months: dict[str, str] = field(default_factory=dict)
     unread: dict[str, int] = field(default_factory=dict)
+    malformed: int = 0
 
     @property
     def rows(self) -> int:
@@ -125,21 +131,37 @@ def _records(store: TicketStore, days: Sequence[date], sums: DataFrame, at: date
 # -- loading -------------------------------------------------------------------
 
 
-def _land(store: TicketStore, load: str, raw: DataFrame | None, at: datetime) -> tuple[list[str], int, dict]:
-    """Write raw rows; their extra columns, number, and unread cells by column.
+@dataclass(frozen=True)
+class _Landed:
+    extra: list[str]
+    rows: int
+    unread: dict[str, int]
+    malformed: int
+
+
+def _land(store: TicketStore, load: str, raw: DataFrame | None, at: datetime) -> _Landed:
+    """Write raw rows; their extra columns, number, unread cells by column, and records
+    kept aside.
 
-    Both are counted while writing, instead of scanning once more.
+    All are counted while writing, instead of scanning once more.
     """
     if raw is None:
         store.write("tickets_raw", load, store._empty("tickets_raw"))
-        return [], 0, {}
-    seen = Observation()
+        return _Landed([], 0, {}, 0)
+    seen, good = Observation(), F.col("_malformed").isNull()
     counts = [F.count_if(F.col("_unread")[c].isNotNull()).alias(c) for c in TYPED_COLUMNS]
+    counts += [F.count_if(good).alias("rows"), F.count_if(~good).alias("malformed")]
     landing = with_ingestion_time(raw, at).withColumn("created_date", F.to_date("created_at"))
-    store.write("tickets_raw", load, landing.observe(seen, F.count(F.lit(1)).alias("rows"), *counts))
+    store.write("tickets_raw", load, landing.observe(seen, *counts))
     got = seen.get
-    extra = [c for c in raw.columns if c not in (*TICKET_TYPES, "_unread", "_source_file", "source_date")]
-    return extra, got["rows"], {c: got[c] for c in TYPED_COLUMNS if got[c]}
+    extra = [c for c in raw.columns if c not in (*TICKET_TYPES, "_unread", "_malformed", "_source_file", "source_date")]
+    return _Landed(extra, got["rows"], {c: got[c] for c in TYPED_COLUMNS if got[c]}, got["malformed"])
+
+
+def _landed_rows(store: TicketStore, load: str) -> DataFrame:
+    """(simulation_date, landed_rows) of a load, from the row counts in its files."""
+    raw = store.read_load("tickets_raw", load)
+    return raw.groupBy(F.col("source_date").alias("simulation_date")).agg(F.count(F.lit(1)).alias("landed_rows"))
 
 
 def deliveries(store: TicketStore, found: Sequence[Delivery]) -> DataFrame:
@@ -161,18 +183,23 @@ def load_days(
     The days' records are written last: until then readers keep what they had, and a
     load that breaks off anywhere changes nothing.
     """
-    at, days = ingested_at or _now(), list(days)
+    at, days, base = ingested_at or _now(), list(days), store.head()
     found = listed_days(store.spark, files, days, skip_missing)
     load = store.new_load()
     raw = read_files(store.spark, files, found) if found else None
-    extra, rows, unread = _land(store, load, raw, at)
+    landed = _land(store, load, raw, at)
     derive(store, load, store.read_load("tickets_raw", load))
     records = _records(store, days, store.read_load("day_partials", load), at)
+    records = records.join(_landed_rows(store, load), "simulation_date", "left").fillna(0, ["landed_rows"])
     loads = {c: F.lit(load) for c in ("raw_load", "fact_load", "sums_load")}
-    store.commit(records.withColumns({**loads, "extra_columns": F.lit(extra).cast("array<string>")}))
+    overtaken = store.commit(
+        records.withColumns({**loads, "extra_columns": F.lit(landed.extra).cast("array<string>")}), base
+    ).overtaken
+    if overtaken:
+        log.warning("another writer had loaded %s meanwhile; this load replaced it", ", ".join(map(str, overtaken)))
     if found:
         store.note_files(deliveries(store, found))
-    return LoadResult(days, rows, unread)
+    return LoadResult(days, landed.rows, landed.unread, landed.malformed, overtaken)
 
 
 def run_day(
@@ -193,7 +220,7 @@ def run_day(
     if end is not None and day > end:
         return DayResult(day, "past_end")
     result = load_days(store, files, [day], skip_missing, ingested_at)
-    return DayResult(day, "loaded", result.rows, result.unread)
+    return DayResult(day, "loaded", result.rows, result.unread, result.malformed)
 
 
 def load_in_parts(store, files, days, skip_missing, ingested_at, days_per_load) -> list[date]:
@@ -251,21 +278,21 @@ def backfill(
         try:
             found = listed_month(store.spark, files, year, month)
             load = store.new_load()
-            extra, rows, unread = _land(store, load, read_files(store.spark, files, found), at)
+            landed = _land(store, load, read_files(store.spark, files, found), at)
             days = sorted({f.day for f in found})
-            landed = _calendar(store, F.array(*[F.lit(d) for d in days]))
-            store.commit(
-                landed.withColumns(
-                    {
-                        "ingestion_timestamp": F.lit(at).cast("timestamp"),
-                        "raw_load": F.lit(load),
-                        "extra_columns": F.lit(extra).cast("array<string>"),
-                    }
-                )
+            records = _calendar(store, F.array(*[F.lit(d) for d in days])).withColumns(
+                {
+                    "ingestion_timestamp": F.lit(at).cast("timestamp"),
+                    "raw_load": F.lit(load),
+                    "extra_columns": F.lit(landed.extra).cast("array<string>"),
+                }
             )
+            rows = _landed_rows(store, load)
+            store.commit(records.join(rows, "simulation_date", "left").fillna(0, ["landed_rows"]))
             store.note_files(deliveries(store, found))
-            result.rows_by_month[label] = rows
-            for column, cells in unread.items():
+            result.rows_by_month[label] = landed.rows
+            result.malformed += landed.malformed
+            for column, cells in landed.unread.items():
                 result.unread[column] = result.unread.get(column, 0) + cells
         except Exception as error:  # any failure belongs to its month alone
             log.error("month %s was not loaded: %s", label, error)
@@ -277,19 +304,22 @@ def rebuild(store: TicketStore, publish_to: str | None = None) -> dict[str, str]
     """Recompute all derived tables from the raw rows of every landed day and record
     these days; if asked, publish the day-level results.
 
-    Readers keep the old tables until all new ones are there.
+    Readers keep the old tables until all new ones are there. A day that another writer
+    lands or loads meanwhile stays as that writer left it.
     """
-    landed = store.landed()
-    landed = store.spark.createDataFrame(landed.collect(), TABLES["ingestion_state"])  # one row a day
+    base, landed = store.head(), store.landed()
     if not landed.isEmpty():
         load = store.new_load()
         derive(store, load, store.rows("tickets_raw", landed))
         days = [r[0] for r in landed.select("simulation_date").collect()]
         sums = store.read_load("day_partials", load)
         counted = _records(store, days, sums, _now()).drop("ingestion_timestamp")
-        kept = landed.select("simulation_date", "ingestion_timestamp", "raw_load", "extra_columns")
+        kept = landed.select("simulation_date", "ingestion_timestamp", "landed_rows", "raw_load", "extra_columns")
         records = kept.join(counted, "simulation_date")
-        store.commit(records.withColumns({"fact_load": F.lit(load), "sums_load": F.lit(load)}))
+        loads = {"fact_load": F.lit(load), "sums_load": F.lit(load)}
+        left = store.commit(records.withColumns(loads), base, keep_newer=True).overtaken
+        if left:
+            log.warning("%s changed during the rebuild and stay as they were committed", ", ".join(map(str, left)))
     return store.publish(publish_to) if publish_to else {}
 
 

@@ -28,6 +28,8 @@ def derive(store: TicketStore, load: str, raw: DataFrame) -> None:
     already lie by source day, so the two ticket-grained tables are written without a
     shuffle. The partial sums shuffle once to be summed.
     """
+    if "_malformed" in raw.columns:
+        raw = raw.where("_malformed is null")
     store.write("fact_tickets", load, fact_tickets(raw, ("source_date",)))
 
     def risk():

@@ -175,6 +175,22 @@ SELECT created_date AS simulation_date,
   count(*) AS rows_ingested
 FROM fact GROUP BY created_date"""
 
+_AGGREGATES = f"""WITH {_FACT}
+SELECT created_date AS ops_date, {_KPI},
+  CAST(sum(CASE WHEN resolved_at IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS backlog_size,
+  count(DISTINCT agent_id) AS distinct_agents
+FROM fact GROUP BY created_date"""
+_PER_AGENT = f"""WITH {_FACT}
+SELECT created_date AS ops_date, count(*) AS total_tickets, count(DISTINCT agent_id) AS distinct_agents,
+  CAST(count(*) AS DOUBLE) / nullif(count(DISTINCT agent_id), 0) AS tickets_per_agent
+FROM fact GROUP BY created_date"""
+
+
+def _of_orders(sql: str) -> str:
+    """The same over the tickets seen in `orders`."""
+    return sql.replace(_TICKETS, _ORDER_TICKETS)
+
+
 ORACLE_SQL: dict[str, str] = {
     "ticket_source": f"WITH {_TICKETS} SELECT * FROM tickets",
     "fact_tickets": f"WITH {_FACT} SELECT * FROM fact",
@@ -184,17 +200,10 @@ SELECT *, CAST(date_trunc('month', created_at) AS DATE) AS month
 FROM tickets WHERE month(created_at) % 2 = 0""",
     "features_daily": _FEATURES,
     "backlog_daily": _BACKLOG,
-    "daily_aggregates": f"""WITH {_FACT}
-SELECT created_date AS ops_date, {_KPI},
-  CAST(sum(CASE WHEN resolved_at IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS backlog_size,
-  count(DISTINCT agent_id) AS distinct_agents
-FROM fact GROUP BY created_date""",
+    "daily_aggregates": _AGGREGATES,
     "assigned_per_agent": f"WITH {_AGENT_SIDES} SELECT * FROM assigned",
     "resolved_per_agent": f"WITH {_AGENT_SIDES} SELECT * FROM resolved",
-    "tickets_per_agent": f"""WITH {_FACT}
-SELECT created_date AS ops_date, count(*) AS total_tickets, count(DISTINCT agent_id) AS distinct_agents,
-  CAST(count(*) AS DOUBLE) / nullif(count(DISTINCT agent_id), 0) AS tickets_per_agent
-FROM fact GROUP BY created_date""",
+    "tickets_per_agent": _PER_AGENT,
     "daily_agent_load": _agent_load(_EQUAL, _EITHER_AGENT),
     "daily_agent_load_null_safe": _agent_load(_SAME, _EITHER_AGENT),
     "ticket_sla_risk": _risk("ticket_id", "agent_id"),
@@ -275,7 +284,24 @@ WHERE CAST(d.day AS DATE) NOT IN (SELECT created_date FROM fact)""",
     "repaired_daily_agent_load": _LOAD_TEXT_IDS,
     "stream_fact_tickets": _FACT_TEXT_IDS,
     "stream_features_daily": _FEATURES,
-    "stream_redelivered_facts": _FACT_TEXT_IDS,
+    "stream_daily_agent_load": _LOAD_TEXT_IDS,
+    "arrivals_fact_tickets": _FACT_TEXT_IDS,
+    "arrivals_features_daily": _FEATURES,
+    "arrivals_redelivered_facts": _FACT_TEXT_IDS,
+    "upkeep_daily_aggregates": _AGGREGATES,
+    "upkeep_tickets_per_agent": _PER_AGENT,
+    "many_loads_features_daily": _of_orders(_FEATURES),
+    "many_loads_fact_tickets": _of_orders(_FACT_TEXT_IDS),
+    "compacted_fact_tickets": _of_orders(_FACT_TEXT_IDS),
+    "compacted_daily_agent_load": _of_orders(_LOAD_TEXT_IDS),
+    "messy_fact_tickets": _FACT_TEXT_IDS.replace(
+        "event_type AS category", """event_type || chr(10) || '"é",' || chr(13) || chr(10) || ' ' AS category"""
+    ),
+    "messy_quarantine": f"""WITH {_TICKETS}
+SELECT CAST(created_at AS DATE) AS source_date, count(*) AS records, min(record) AS first_record FROM (
+  SELECT created_at, CASE WHEN ticket_id % 11 = 0 THEN ticket_id || ',cut off'
+    WHEN ticket_id % 13 = 0 THEN ticket_id || repeat(',x', 12) END AS record FROM tickets
+) WHERE record IS NOT NULL GROUP BY ALL""",
     "arrivals_daily_agent_load": _LOAD_TEXT_IDS,
     "arrivals_ingestion_state": _LOG,
 }

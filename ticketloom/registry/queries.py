@@ -18,13 +18,15 @@ from pyspark.sql import functions as F
 from ticketloom.operators import agent_load, calendar, daily, sla_risk
 from ticketloom.operators.clean import fact_tickets
 from ticketloom.operators.ticket_days import created_rows, resolved_rows, ticket_rows
-from ticketloom.plans import jobs
-from ticketloom.plans.store import TicketStore
+from ticketloom.plans import jobs, marts
+from ticketloom.plans.store import TicketStore, run_together
+from ticketloom.schema import PARTITIONS, TICKET_TYPES
 from ticketloom.session import apply_job_conf, new_work_dir
 from ticketloom.sources import day_files
 from ticketloom.sources.event_tickets import event_tickets
 from ticketloom.sources.order_tickets import order_tickets
 from ticketloom.streaming.arrivals import load_arrivals
+from ticketloom.streaming.day_stream import DayStream
 
 LOADED_AT = datetime(2024, 3, 1, tzinfo=timezone.utc)
 
@@ -114,7 +116,7 @@ def resolved_per_agent(spark, sf_dir):
 
 
 def tickets_per_agent(spark, sf_dir):
-    return agent_load.tickets_per_agent(_fact(spark, sf_dir))
+    return agent_load.tickets_per_agent(created_rows(_fact(spark, sf_dir)))
 
 
 def daily_agent_load(spark, sf_dir):
@@ -172,7 +174,7 @@ def _landed(df: DataFrame) -> DataFrame:
     """A landed frame with its file path reduced to the day in it: where the work
     folder lies differs from run to run."""
     in_path = F.regexp_extract("_source_file", r"(\d{4}-\d{2}-\d{2})/[^/]*$", 1)
-    df = _plain_time(_plain_time(df, "created_at"), "_ingestion_ts").drop("_unread")
+    df = _plain_time(_plain_time(df, "created_at"), "_ingestion_ts").drop("_unread", "_malformed")
     return df.withColumn("_source_file", in_path)
 
 
@@ -449,6 +451,106 @@ def unrecorded_days(spark, sf_dir):
     return jobs.unrecorded_days(_kept_up(spark, sf_dir), first - around, last + around)
 
 
+# -- a long history ------------------------------------------------------------
+
+
+def single_day_loads(store: TicketStore, tickets: DataFrame) -> None:
+    """Every day of some tickets as a load of its own, as a daily run leaves them: written
+    in one go, so that a history of years can be had in a minute."""
+    created = F.col("created_at").cast("timestamp")
+    raw = tickets.withColumn("created_at", created).select(
+        *[F.col(c).cast(t) for c, t in TICKET_TYPES.items()],
+        F.lit(None).cast("map<string,string>").alias("_unread"),
+        F.lit(None).cast("string").alias("_malformed"),
+        F.lit(LOADED_AT).cast("timestamp").alias("_ingestion_ts"),
+        F.lit("made").alias("_source_file"),
+        F.to_date("created_at").alias("source_date"),
+        F.to_date("created_at").alias("created_date"),
+    )
+    load = F.format_string("%020d-00000001", F.unix_date("source_date"))
+    raw = raw.hint("rebalance", "source_date")
+    fact = fact_tickets(raw, ("source_date",))
+    by_agent = marts.agent_partials(fact)
+    tables = {
+        "tickets_raw": raw,
+        "fact_tickets": fact,
+        "ticket_sla_risk": sla_risk.ticket_sla_risk(fact, ("source_date",)),
+        "agent_partials": by_agent.hint("rebalance", "source_date"),
+        "day_partials": marts.day_partials(by_agent).hint("rebalance", "source_date"),
+    }
+
+    def write(name: str, rows: DataFrame) -> None:
+        rows.withColumn("load", load).write.partitionBy("load", *PARTITIONS[name]).parquet(store.path(name))
+
+    run_together([functools.partial(write, name, rows) for name, rows in tables.items()])
+    days = raw.groupBy(F.col("source_date").alias("simulation_date")).agg(F.count(F.lit(1)).alias("rows_ingested"))
+    own = F.format_string("%020d-00000001", F.unix_date("simulation_date"))
+    loads = {c: own for c in ("raw_load", "fact_load", "sums_load")}
+    at = F.lit(LOADED_AT).cast("timestamp")
+    store.commit(days.withColumns(loads | {"landed_rows": F.col("rows_ingested"), "ingestion_timestamp": at}))
+
+
+@_once_per_session
+def _long_history(spark, sf_dir) -> TicketStore:
+    """Two years of single-day loads of the tickets seen in `orders`."""
+    store = TicketStore(spark, f"{new_work_dir(spark, 'history')}/tables")
+    single_day_loads(store, order_tickets(spark, sf_dir))
+    return store
+
+
+@_once_per_session
+def _compacted(spark, sf_dir) -> TicketStore:
+    """The same history, its first year compacted by months."""
+    store = TicketStore(spark, f"{new_work_dir(spark, 'compacted')}/tables")
+    single_day_loads(store, order_tickets(spark, sf_dir))
+    store.compact(date(2023, 12, 31))
+    return store
+
+
+# -- cells and records that are hard to read --------------------------------------
+
+
+@_once_per_session
+def _messy(spark, sf_dir) -> TicketStore:
+    """Days whose cells hold line breaks, quotes and commas, each delivered with a second
+    file of records that are cut off or too long."""
+    text = F.concat("category", F.lit('\n"é",\r\n '))
+    tickets = event_tickets(spark, sf_dir)
+    files = _exported(spark, tickets.withColumn("category", text), "messy-files")
+    number = F.col("ticket_id")
+    line = F.when(number % 11 == 0, F.concat(number, F.lit(",cut off")))
+    line = line.when(number % 13 == 0, F.concat(number, F.repeat(F.lit(",x"), 12)))
+    broken = tickets.select(F.to_date("created_at").alias("created_date"), F.lit(1).alias("place"), line.alias("line"))
+    broken = broken.where("line is not null")
+    header = broken.select("created_date").distinct().withColumns({"place": F.lit(0), "line": F.lit(",".join(tickets.columns))})
+    lines = header.unionByName(broken).repartition("created_date").sortWithinPartitions("created_date", "place")
+    lines.drop("place").write.mode("append").partitionBy("created_date").text(files.base)
+    store = TicketStore(spark, f"{new_work_dir(spark, 'messy')}/tables")
+    jobs.catch_up(store, files, *_span(spark, sf_dir), ingested_at=LOADED_AT)
+    return store
+
+
+def messy_quarantine(spark, sf_dir):
+    kept_aside = _messy(spark, sf_dir).table("tickets_quarantine")
+    return kept_aside.groupBy("source_date").agg(
+        F.count(F.lit(1)).alias("records"), F.min("record").alias("first_record")
+    )
+
+
+# -- a stream of day files ------------------------------------------------------
+
+
+@_once_per_session
+def _streamed(spark, sf_dir) -> DayStream:
+    """All day files through a stream, a few at a time; a second start must add nothing."""
+    stream = DayStream(spark, new_work_dir(spark, "stream"))
+    first = stream.advance(_files(spark, sf_dir), files_per_batch=8)
+    again = stream.advance(_files(spark, sf_dir))
+    if not first["facts"] or any(again.values()):
+        raise RuntimeError(f"appended first {first}, then {again}")
+    return stream
+
+
 # -- arrivals ------------------------------------------------------------------
 
 
@@ -530,9 +632,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "repaired_fact_tickets": _table(_repaired, "fact_tickets", "created_at"),
     "repaired_features_daily": _table(_repaired, "features_daily"),
     "repaired_daily_agent_load": _table(_repaired, "daily_agent_load"),
-    "stream_fact_tickets": _table(_kept_up_by_arrival, "fact_tickets", "created_at"),
-    "stream_features_daily": _table(_kept_up_by_arrival, "features_daily"),
-    "stream_redelivered_facts": _table(_redelivered, "fact_tickets", "created_at"),
+    "upkeep_daily_aggregates": _table(_kept_up, "daily_aggregates"),
+    "upkeep_tickets_per_agent": _table(_kept_up, "tickets_per_agent"),
+    "many_loads_features_daily": _table(_long_history, "features_daily"),
+    "many_loads_fact_tickets": _table(_long_history, "fact_tickets", "created_at"),
+    "compacted_fact_tickets": _table(_compacted, "fact_tickets", "created_at"),
+    "compacted_daily_agent_load": _table(_compacted, "daily_agent_load"),
+    "messy_fact_tickets": _table(_messy, "fact_tickets", "created_at"),
+    "messy_quarantine": messy_quarantine,
+    "stream_fact_tickets": _table(_streamed, "fact_tickets", "created_at"),
+    "stream_features_daily": _table(_streamed, "features_daily"),
+    "stream_daily_agent_load": _table(_streamed, "daily_agent_load"),
+    "arrivals_fact_tickets": _table(_kept_up_by_arrival, "fact_tickets", "created_at"),
+    "arrivals_features_daily": _table(_kept_up_by_arrival, "features_daily"),
+    "arrivals_redelivered_facts": _table(_redelivered, "fact_tickets", "created_at"),
     "arrivals_daily_agent_load": _table(_kept_up_by_arrival, "daily_agent_load"),
     "arrivals_ingestion_state": _table(
         _kept_up_by_arrival, "ingestion_state", "ingestion_timestamp"

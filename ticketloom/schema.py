@@ -79,7 +79,7 @@ _MEASURE_DDL = ", ".join(
 TABLES = {
     "tickets_raw": (
         ", ".join(f"{c} {t}" for c, t in TICKET_TYPES.items())
-        + ", _unread map<string,string>, _ingestion_ts timestamp, _source_file string, "
+        + ", _unread map<string,string>, _malformed string, _ingestion_ts timestamp, _source_file string, "
         "source_date date, created_date date"
     ),
     "fact_tickets": (
@@ -102,7 +102,7 @@ TABLES = {
     "day_partials": f"side string, ops_date date, {_MEASURE_DDL}, source_date date",
     "ingestion_state": (
         "simulation_date date, ingestion_timestamp timestamp, rows_ingested bigint, "
-        "raw_load string, fact_load string, sums_load string, extra_columns array<string>, "
+        "landed_rows bigint, raw_load string, fact_load string, sums_load string, extra_columns array<string>, "
         "seq bigint"
     ),
     "loaded_files": "path string, modified timestamp, length bigint, day date, seq bigint",
@@ -126,4 +126,11 @@ LOAD_COLUMN = {
     "day_partials": "sums_load",
 }
 
+# How many rows of a day lie there; a table of a day without any has no folder for it.
+ROWS_COLUMN = {
+    "tickets_raw": "landed_rows",
+    "fact_tickets": "rows_ingested",
+    "ticket_sla_risk": "rows_ingested",
+}
+
 STATE_COLUMNS = ["simulation_date", "ingestion_timestamp", "rows_ingested"]

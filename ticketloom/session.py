@@ -18,6 +18,9 @@ JOB_CONF = {
     # day open instead of sorting all its rows by day before writing.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # A store of daily loads is thousands of folders to list; a task for each of them
+    # takes longer than the listing.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
 
 

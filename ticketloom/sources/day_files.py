@@ -23,6 +23,10 @@ _CSV = {
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
+# A quoted cell may hold line breaks, so a file is read from its start to its end. Every
+# cell of a record is parsed, also those no query asks for: a record whose cells do not
+# match the header is then found whatever is selected.
+_WHOLE = {"multiLine": True, "columnPruning": False, "columnNameOfCorruptRecord": "_malformed"}
 # Full microseconds; Spark's own default keeps only milliseconds.
 _MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 UNREADABLE = "unreadable"
@@ -78,14 +82,18 @@ class DayFiles:
 
     def of_days(self, spark: SparkSession, days: Sequence[date]) -> list[Delivery]:
         """The files of some days; a day without one is simply not among them."""
-        wanted = set(days)
-        months = sorted({(d.year, d.month) for d in wanted})
-        if len(wanted) == 1:  # a single day need not list its month
-            (day,) = wanted
-            name = "*" if self.partitioned else f"{day}.csv"
-            glob = self._glob(f"{day:%Y}", f"{day:%m}", f"{day:%d}").rsplit("/", 1)[0]
-            return self._list(spark, f"{glob}/{name}")
-        return [f for month in months for f in self.of_month(spark, *month) if f.day in wanted]
+        months: dict[tuple[int, int], list[date]] = {}
+        for day in sorted(set(days)):
+            months.setdefault((day.year, day.month), []).append(day)
+        found = []
+        for (year, month), own in months.items():
+            # Only these days' places are looked at, be it one day or many.
+            if self.partitioned:
+                glob = f"{self.base}/created_date={{{','.join(map(str, own))}}}/*"
+            else:
+                glob = f"{self.base}/{year:04d}/{month:02d}/{{{','.join(map(str, own))}}}.csv"
+            found += self._list(spark, glob)
+        return found
 
     def all(self, spark: SparkSession) -> list[Delivery]:
         return self._list(spark, self._glob("[0-9]*", "*", "*"))
@@ -109,15 +117,17 @@ def typed_by_name(columns: Iterable[str]) -> list:
 
     A cell that does not fit its type becomes null, and its text is kept in ``_unread``, a
     map by column that is null for rows without such cells. A missing contract column is
-    an error.
+    an error. Of a record that is ``_malformed`` no cell is given: it cannot be told which
+    column one belongs to.
     """
-    columns = list(columns)
+    columns = [c for c in columns if c != "_malformed"]
     by_lower = {c.lower(): c for c in columns}
     missing = [c for c in TICKET_TYPES if c not in by_lower]
     if missing:
         raise ValueError(f"ticket source lacks the columns {missing}")
     extra = [c for c in columns if c.lower() not in TICKET_TYPES]
-    cell = lambda c: F.col(f"`{by_lower[c]}`")
+    whole = F.col("_malformed").isNull()
+    cell = lambda c: F.when(whole, F.col(f"`{by_lower.get(c, c)}`"))
     typed = [cell(c).try_cast(t).alias(c) for c, t in TICKET_TYPES.items()]
     bad = F.array(
         *(
@@ -127,27 +137,55 @@ def typed_by_name(columns: Iterable[str]) -> list:
     )
     bad = F.map_from_entries(F.filter(bad, lambda entry: entry.isNotNull()))
     unread = F.when(F.size(bad) > 0, bad).alias("_unread")
-    return typed + [F.col(f"`{c}`") for c in extra] + [unread]
+    return typed + [cell(c).alias(c) for c in extra] + [unread]
+
+
+def _reader(spark: SparkSession, schema: T.StructType, **more):
+    options = {**_CSV, **_WHOLE, **more}
+    return spark.read.options(**options).option("enforceSchema", False).schema(schema)
 
 
 def read_files(spark: SparkSession, files: DayFiles, found: Sequence[Delivery]) -> DataFrame:
     """Typed rows of listed files plus the file and day they came from.
 
     Every file's header is checked against the first one's, so a file with
-    another column order fails instead of shifting its values.
+    another column order fails instead of shifting its values. A record with more or fewer
+    cells than the header, or with a quote that is never closed, comes as one row whose
+    text is in ``_malformed``; it is null in all other rows.
     """
     schema = _header_schema(spark, found[0].path)
-    reader = spark.read.options(**_CSV).option("enforceSchema", False).schema(schema)
     paths = [f.path for f in found]
     if files.partitioned:
         paths = sorted({path.rsplit("/", 1)[0] for path in paths})
-    return reader.csv(paths).select(
+    return _reader(spark, schema.add("_malformed", "string")).csv(paths).select(
         *typed_by_name(schema.names),
+        "_malformed",
         F.col("_metadata.file_path").alias("_source_file"),
         files.source_day().alias("source_date"),
     )
 
 
+def stream_files(spark: SparkSession, files: DayFiles, files_per_batch: int) -> DataFrame | None:
+    """The same rows as a stream over all files, each of them once; None while there is no
+    file to take the header from."""
+    found = files.all(spark)
+    if not found:
+        return None
+    schema = _header_schema(spark, found[0].path)
+    glob = files._glob("[0-9]*", "*", "*")
+    return (
+        spark.readStream.options(**_CSV, **_WHOLE, enforceSchema=False, maxFilesPerTrigger=files_per_batch)
+        .schema(schema.add("_malformed", "string"))
+        .csv(glob.rsplit("/", 1)[0])
+        .select(
+            *typed_by_name(schema.names),
+            "_malformed",
+            F.col("_metadata.file_path").alias("_source_file"),
+            files.source_day().alias("source_date"),
+        )
+    )
+
+
 def listed_days(
     spark: SparkSession, files: DayFiles, days: Sequence[date], skip_missing: bool = False
 ) -> list[Delivery]:
@@ -183,18 +221,24 @@ def read_all_days(spark: SparkSession, files: DayFiles) -> DataFrame:
     return read_files(spark, files, files.all(spark))
 
 
-def read_extract(spark: SparkSession, path: str, typed: bool = True) -> DataFrame:
-    """A whole ticket extract, split over tasks by Spark: typed by name, or as text."""
+def read_extract(spark: SparkSession, path: str, typed: bool = True, splits: bool = False) -> DataFrame:
+    """A whole ticket extract: typed by name, or as text.
+
+    There is no load to keep malformed records aside for, so one of them is an error that
+    shows it. With ``splits`` a file is read by many tasks at once; a quoted cell must then
+    not hold a line break, and one that does is an error too, never two rows.
+    """
     schema = _header_schema(spark, path)
-    reader = spark.read.options(**_CSV).option("enforceSchema", False).schema(schema)
-    rows = reader.csv(path)
-    columns = typed_by_name(schema.names)  # also the check for missing columns
-    return rows.select(*columns).drop("_unread") if typed else rows
+    rows = _reader(spark, schema, multiLine=not splits, mode="FAILFAST").csv(path)
+    if not typed:
+        return rows
+    rows = rows.withColumn("_malformed", F.lit(None).cast("string"))
+    return rows.select(*typed_by_name(schema.names)).drop("_unread")
 
 
 def read_agents(spark: SparkSession, path: str) -> DataFrame:
     """The agent list, as text columns; its layout is whatever the header says."""
-    return spark.read.options(**_CSV).csv(path)
+    return spark.read.options(**_CSV).option("multiLine", True).csv(path)
 
 
 def with_ingestion_time(df: DataFrame, ingested_at=None) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -23,17 +27,60 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in system.listStatus(place))
 
 
-def matching(spark: SparkSession, glob: str) -> list[tuple[str, int, int]]:
+def matching(spark: SparkSession, glob: str, hidden: bool = False) -> list[tuple[str, int, int]]:
     """(path, modification time in ms, length) of the files a glob matches."""
     place, system = _path(spark, glob)
     found = system.globStatus(place) or []
     return sorted(
         (status.getPath().toString(), status.getModificationTime(), status.getLen())
         for status in found
-        if status.isFile() and not status.getPath().getName().startswith(("_", "."))
+        if status.isFile() and (hidden or not status.getPath().getName().startswith(("_", ".")))
     )
 
 
 def remove(spark: SparkSession, path: str) -> None:
     place, system = _path(spark, path)
     system.delete(place, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, whole."""
+    place, system = _path(spark, path)
+    stream = system.open(place)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def put_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with its whole content, unless it exists already.
+
+    Of several writers one succeeds: a local link, and a rename that does not replace, on
+    file systems where renaming is atomic. Readers see nothing or all of it.
+    """
+    place, system = _path(spark, path)
+    aside, _ = _path(spark, f"{path.rsplit('/', 1)[0]}/_aside-{uuid.uuid4().hex}")
+    stream = system.create(aside, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    try:
+        if system.getScheme() == "file":
+            os.link(aside.toUri().getPath(), place.toUri().getPath())
+        else:
+            hadoop = spark._jvm.org.apache.hadoop.fs
+            keep = spark._sc._gateway.new_array(hadoop.Options.Rename, 1)
+            keep[0] = hadoop.Options.Rename.NONE
+            context = hadoop.FileContext.getFileContext(place.toUri(), spark._jsc.hadoopConfiguration())
+            context.rename(context.makeQualified(aside), context.makeQualified(place), keep)
+        return True
+    except FileExistsError:
+        return False
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+            return False
+        raise
+    finally:
+        system.delete(aside, False)
