@@ -292,8 +292,8 @@ WHERE CAST(d.day AS DATE) NOT IN (SELECT created_date FROM fact)""",
     "upkeep_tickets_per_agent": _PER_AGENT,
     "many_loads_features_daily": _of_orders(_FEATURES),
     "many_loads_fact_tickets": _of_orders(_FACT_TEXT_IDS),
-    "compacted_fact_tickets": _of_orders(_FACT_TEXT_IDS),
-    "compacted_daily_agent_load": _of_orders(_LOAD_TEXT_IDS),
+    "compacted_fact_tickets": _FACT_TEXT_IDS,
+    "compacted_daily_agent_load": _LOAD_TEXT_IDS,
     "messy_fact_tickets": _FACT_TEXT_IDS.replace(
         "event_type AS category", """event_type || chr(10) || '"é",' || chr(13) || chr(10) || ' ' AS category"""
     ),

@@ -500,10 +500,14 @@ def _long_history(spark, sf_dir) -> TicketStore:
 
 @_once_per_session
 def _compacted(spark, sf_dir) -> TicketStore:
-    """The same history, its first year compacted by months."""
+    """A load per day of `events`, all but the last week compacted; of the rest, one day is
+    taken out and written again."""
     store = TicketStore(spark, f"{new_work_dir(spark, 'compacted')}/tables")
-    single_day_loads(store, order_tickets(spark, sf_dir))
-    store.compact(date(2023, 12, 31))
+    single_day_loads(store, event_tickets(spark, sf_dir))
+    last = _all_days(spark, sf_dir)[-1]
+    jobs.reset_day(store, last)
+    store.compact(last - timedelta(days=7))
+    jobs.load_days(store, _files(spark, sf_dir), [last], True, LOADED_AT)
     return store
 
 
@@ -547,7 +551,7 @@ def _streamed(spark, sf_dir) -> DayStream:
     first = stream.advance(_files(spark, sf_dir), files_per_batch=8)
     again = stream.advance(_files(spark, sf_dir))
     if not first["facts"] or any(again.values()):
-        raise RuntimeError(f"appended first {first}, then {again}")
+        raise RuntimeError(f"read first {first}, then {again}")
     return stream
 
 

@@ -33,8 +33,8 @@ class DayStream:
     root: str
 
     def advance(self, files: DayFiles, files_per_batch: int = 1000) -> dict[str, int]:
-        """Take in every file that has come since the last time, then stop. Returns the
-        rows that were appended per table; a second call without new files appends none.
+        """Take in every file that has come since the last time, then stop. Returns how many
+        records each query read (in its last 100 batches): none where no file is new.
 
         Malformed records are appended to ``quarantine``, not to the other tables.
         """
@@ -52,11 +52,11 @@ class DayStream:
             ),
         }
         running = {name: self._append(name, rows) for name, rows in tables.items()}
-        appended = {}
+        read = {}
         for name, query in running.items():
             query.awaitTermination()
-            appended[name] = sum(progress["sink"]["numOutputRows"] for progress in query.recentProgress)
-        return appended
+            read[name] = sum(progress["numInputRows"] for progress in query.recentProgress)
+        return read
 
     def _append(self, name: str, rows: DataFrame):
         return (
