@@ -10,6 +10,7 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ticketloom.plans.late import commit_days
 from ticketloom.plans.marts import derive
 from ticketloom.plans.store import TicketStore
 from ticketloom.schema import CREATED, TICKET_TYPES
@@ -192,9 +193,8 @@ def load_days(
     records = _records(store, days, store.read_load("day_partials", load), at)
     records = records.join(_landed_rows(store, load), "simulation_date", "left").fillna(0, ["landed_rows"])
     loads = {c: F.lit(load) for c in ("raw_load", "fact_load", "sums_load")}
-    overtaken = store.commit(
-        records.withColumns({**loads, "extra_columns": F.lit(landed.extra).cast("array<string>")}), base
-    ).overtaken
+    records = records.withColumns({**loads, "extra_columns": F.lit(landed.extra).cast("array<string>")})
+    overtaken = commit_days(store, records, load, base).overtaken
     if overtaken:
         log.warning("another writer had loaded %s meanwhile; this load replaced it", ", ".join(map(str, overtaken)))
     if found:
@@ -317,7 +317,7 @@ def rebuild(store: TicketStore, publish_to: str | None = None) -> dict[str, str]
         kept = landed.select("simulation_date", "ingestion_timestamp", "landed_rows", "raw_load", "extra_columns")
         records = kept.join(counted, "simulation_date")
         loads = {"fact_load": F.lit(load), "sums_load": F.lit(load)}
-        left = store.commit(records.withColumns(loads), base, keep_newer=True).overtaken
+        left = commit_days(store, records.withColumns(loads), load, base, keep_newer=True).overtaken
         if left:
             log.warning("%s changed during the rebuild and stay as they were committed", ", ".join(map(str, left)))
     return store.publish(publish_to) if publish_to else {}
@@ -326,7 +326,13 @@ def rebuild(store: TicketStore, publish_to: str | None = None) -> dict[str, str]
 def touched_days(store: TicketStore, days: Sequence[date]) -> list[date | None]:
     """The ``ops_date``s that some source days count on."""
     mine = store.recorded().where(F.col("simulation_date").isin(list(days)))
-    return [r[0] for r in store.rows("day_partials", mine).select("ops_date").distinct().collect()]
+    touched = store.rows("day_partials", mine).select("ops_date")
+    late = store.late_rows("late_partials")
+    if late is not None:
+        # What replaced versions of the same creation days counted on.
+        own = set().union(*(store.creation_days(r.fact_load, r.simulation_date) for r in mine.collect()))
+        touched = touched.union(late.where(F.col("created_date").isin(sorted(own))).select("ops_date"))
+    return [r[0] for r in touched.distinct().collect()]
 
 
 def publish_days(store: TicketStore, out: str, days: Sequence[date], before: Sequence[date | None] = ()) -> dict[str, str]:
@@ -339,4 +345,5 @@ def publish_days(store: TicketStore, out: str, days: Sequence[date], before: Seq
 
 def reset_day(store: TicketStore, day: date) -> None:
     """Take a day out of every table, all at once."""
-    store.commit(_calendar(store, F.array(F.lit(day))).withColumn("ingestion_timestamp", F.lit(_now()).cast("timestamp")))
+    gone = _calendar(store, F.array(F.lit(day))).withColumn("ingestion_timestamp", F.lit(_now()).cast("timestamp"))
+    commit_days(store, gone, None)

@@ -27,10 +27,13 @@ from pyspark.sql import types as T
 
 from ticketloom.operators.agent_load import daily_agent_load, tickets_per_agent
 from ticketloom.operators.daily import backlog_daily, daily_aggregates, features_daily, running_backlog
+from ticketloom.operators.ticket_days import sum_rows
 from ticketloom.plans.numbered_log import NumberedLog
 from ticketloom.schema import (
     FACT_COLUMNS,
+    LATE_TABLES,
     LOAD_COLUMN,
+    MEASURES,
     PARTITIONS,
     ROWS_COLUMN,
     RISK_COLUMNS,
@@ -45,6 +48,8 @@ DAY_MARTS = ("features_daily", "daily_ops_metrics", "backlog_daily", "daily_agen
 MARTS = (*DAY_MARTS, "ticket_sla_risk")
 # A day and its load are about 50 bytes.
 DAYS_TO_BROADCAST = 100_000
+# So many creation days are told apart by a filter on folders.
+LATE_DAYS_APART = 1000
 _NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
 
 VIEWS = (
@@ -110,8 +115,9 @@ class TicketStore:
     def write(self, name: str, load: str, df: DataFrame) -> None:
         """Write a load's rows of a table. Readers do not see them before ``commit``."""
         writer = df.write
-        if PARTITIONS[name]:
-            writer = writer.partitionBy(*PARTITIONS[name])
+        places = ["created_date"] if name in LATE_TABLES else PARTITIONS[name]
+        if places:
+            writer = writer.partitionBy(*places)
         writer.parquet(f"{self.path(name)}/load={load}")
 
     def _schema(self, name: str, extra: Sequence[str] = ()) -> T.StructType:
@@ -133,9 +139,10 @@ class TicketStore:
     def log(self, name: str = "ingestion_state") -> NumberedLog:
         return NumberedLog(self.spark, self.path(name), TABLES[name])
 
-    def _newest(self) -> tuple[list[Row], list[Row]]:
-        """(landed, recorded): the newest record of every day, and of every day that is
-        complete in all tables. The log is read again only when it has grown."""
+    def _newest(self) -> tuple[list[Row], list[Row], list[Row]]:
+        """(landed, recorded, late): the newest record of every day, of every day that is
+        complete in all tables, and of every creation day that other days' files have
+        tickets of. The log is read again only when it has grown."""
         log = self.log()
         listing = log.listing()
         key = (self.spark.sparkContext.applicationId, self.root)
@@ -143,8 +150,12 @@ class TicketStore:
         if held is None or held[0] != listing.stamp:
             landed: dict[date, Row] = {}
             complete: dict[date, Row] = {}
+            late: dict[date, Row] = {}
             # A few rows per calendar day.
             for row in sorted(log.records(listing).collect(), key=lambda r: r.seq):
+                if row.creation_day is not None:
+                    late[row.creation_day] = row
+                    continue
                 landed[row.simulation_date] = row
                 if row.fact_load is not None or row.raw_load is None:
                     complete[row.simulation_date] = row
@@ -152,19 +163,33 @@ class TicketStore:
                 listing.stamp,
                 [r for r in landed.values() if r.raw_load is not None],
                 [r for r in complete.values() if r.fact_load is not None],
+                list(late.values()),
             )
-        return held[1], held[2]
+        return held[1], held[2], held[3]
 
     def _records(self, rows: list[Row]) -> DataFrame:
         return self.spark.createDataFrame(rows, TABLES["ingestion_state"])
 
     def recorded(self) -> DataFrame:
         """The current record of every day that is complete in all tables, one row per
-        calendar day, as it is now: tables read with it agree with each other whatever is
-        loaded meanwhile."""
+        calendar day, as it is now."""
         return self._records(self._newest()[1])
 
-    snapshot = recorded
+    def snapshot(self) -> DataFrame:
+        """The whole state as it is now: tables read with it agree with each other whatever
+        is loaded meanwhile."""
+        _, complete, late = self._newest()
+        return self._records(complete + late)
+
+    def late_days(self) -> dict[date, Row]:
+        """Creation days that other days' files have tickets of, with their record."""
+        return {row.creation_day: row for row in self._newest()[2]}
+
+    def creation_days(self, load: str, day: date) -> set[date]:
+        """The creation days of a source day's facts in a load, from their folders' names."""
+        names = folders.children(self.spark, f"{self.path('fact_tickets')}/load={load}/source_date={day}")
+        found = {name.removeprefix("created_date=") for name in names if name.startswith("created_date=")}
+        return {date.fromisoformat(name) for name in found if not name.startswith("__HIVE")}
 
     def landed(self) -> DataFrame:
         """The current record of every day whose raw rows have landed, derived or not."""
@@ -174,7 +199,9 @@ class TicketStore:
         """The number of the last commit."""
         return self.log().listing().head
 
-    def commit(self, records: DataFrame, base: int | None = None, keep_newer: bool = False) -> Commit:
+    def commit(
+        self, records: DataFrame, base: int | None = None, keep_newer: bool = False, expect: int | None = None
+    ) -> Commit:
         """Make loads visible: append records of days, all of them at once.
 
         A record without ``fact_load`` lands raw rows only; one without any load takes
@@ -182,7 +209,8 @@ class TicketStore:
 
         ``base`` names the last commit (``head``) that the writer knew of. Days that other
         writers have committed since are returned as ``overtaken``; with ``keep_newer``
-        they stay as those writers left them.
+        they stay as those writers left them. With ``expect`` nothing is committed unless
+        that is still the last commit.
         """
         columns = [f for f in T._parse_datatype_string(TABLES["ingestion_state"]) if f.name != "seq"]
         records = records.select(
@@ -193,17 +221,19 @@ class TicketStore:
         log = self.log()
         while True:
             listing = log.listing()
+            if expect is not None and listing.head != expect:
+                return Commit(None)
             overtaken: set[date] = set()
             if base is not None and listing.since(base):
                 since = log.records(listing, after=base).select("simulation_date").distinct()
-                overtaken = {r[0] for r in since.collect()} & {r.simulation_date for r in rows}
+                overtaken = ({r[0] for r in since.collect()} & {r.simulation_date for r in rows}) - {None}
             lines = [r.line for r in rows if not (keep_newer and r.simulation_date in overtaken)]
             if not lines:
                 return Commit(None, tuple(sorted(overtaken)))
             number = log.append(lines, listing.head)
             if number is not None:
                 break
-        log.keep_short(lambda: self.landed().unionByName(self.recorded()).distinct())
+        log.keep_short(lambda: self.landed().unionByName(self.snapshot()).distinct())
         return Commit(number, tuple(sorted(overtaken)))
 
     def note_files(self, files: DataFrame) -> None:
@@ -248,6 +278,41 @@ class TicketStore:
         stored = self._read(name, sorted({f"load={r[column]}" for r in held}), [])
         return stored.join(now, ["load", "source_date"], "left_semi").drop("load")
 
+    def late_rows(self, name: str, records: DataFrame | None = None) -> DataFrame | None:
+        """What is stored about replaced versions of tickets; None if there are none."""
+        held = self._newest()[2] if records is None else records.where("creation_day is not null").collect()
+        held = [r for r in held if r.landed_rows]
+        if not held:
+            return None
+        return self._read(name, [f"load={r.late_load}/created_date={r.creation_day}" for r in held], []).drop("load")
+
+    def sums(self, name: str, records: DataFrame | None = None) -> DataFrame:
+        """Partial sums in which every ticket counts once, as its latest version has it.
+
+        The replaced versions are taken back by adding their negated sums; keys that
+        nothing is left of go.
+        """
+        rows, late = self.rows(name, records), self.late_rows("late_partials", records)
+        if late is None:
+            return rows
+        keys = ["side", "ops_date", "agent_id"] if name == "agent_partials" else ["side", "ops_date"]
+        both = rows.select(*keys, *MEASURES).unionByName(late.select(*keys, *MEASURES))
+        return sum_rows(both, *keys).where("tickets <> 0")
+
+    def latest(self, name: str, records: DataFrame | None = None) -> DataFrame:
+        """A table of one row per ticket, without the versions that a later day's file
+        replaced. Only creation days that have such versions are joined with them."""
+        rows, late = self.rows(name, records), self.late_rows("late_versions", records)
+        if late is None:
+            return rows
+        held = self._newest()[2] if records is None else records.where("creation_day is not null").collect()
+        days = [r.creation_day for r in held if r.landed_rows]
+        if len(days) > LATE_DAYS_APART:
+            return rows.join(late, ["ticket_id", "source_date", "created_date"], "left_anti")
+        apart = F.coalesce(F.col("created_date").isin(days), F.lit(False))
+        kept = rows.where(apart).join(late, ["ticket_id", "source_date", "created_date"], "left_anti")
+        return rows.where(~apart).unionByName(kept)
+
     def table(self, name: str, records: DataFrame | None = None) -> DataFrame:
         """A table as its users know it, complete days only."""
         days, agents = "day_partials", "agent_partials"
@@ -263,18 +328,18 @@ class TicketStore:
             "tickets_quarantine": lambda: self.rows("tickets_raw", records)
             .where("_malformed is not null")
             .selectExpr("source_date", "_source_file", "_malformed AS record", "_ingestion_ts"),
-            "fact_tickets": lambda: self.rows("fact_tickets", records).select(*FACT_COLUMNS),
-            "ticket_sla_risk": lambda: self.rows("ticket_sla_risk", records).select(*RISK_COLUMNS),
-            "features_daily": lambda: features_daily(self.rows(days, records)),
-            "daily_ops_metrics": lambda: features_daily(self.rows(days, records)),
-            "backlog_daily": lambda: backlog_daily(self.rows(days, records)),
-            "running_backlog": lambda: running_backlog(self.rows(days, records)),
-            "daily_agent_load": lambda: daily_agent_load(self.rows(agents, records)),
-            "daily_aggregates": lambda: daily_aggregates(self.rows(agents, records)),
-            "tickets_per_agent": lambda: tickets_per_agent(self.rows(agents, records)),
-            "ingestion_state": lambda: (self.recorded() if records is None else records).select(
-                *STATE_COLUMNS
-            ),
+            "fact_tickets": lambda: self.latest("fact_tickets", records).select(*FACT_COLUMNS),
+            "ticket_sla_risk": lambda: self.latest("ticket_sla_risk", records).select(*RISK_COLUMNS),
+            "features_daily": lambda: features_daily(self.sums(days, records)),
+            "daily_ops_metrics": lambda: features_daily(self.sums(days, records)),
+            "backlog_daily": lambda: backlog_daily(self.sums(days, records)),
+            "running_backlog": lambda: running_backlog(self.sums(days, records)),
+            "daily_agent_load": lambda: daily_agent_load(self.sums(agents, records)),
+            "daily_aggregates": lambda: daily_aggregates(self.sums(agents, records)),
+            "tickets_per_agent": lambda: tickets_per_agent(self.sums(agents, records)),
+            "ingestion_state": lambda: (self.recorded() if records is None else records)
+            .where("simulation_date is not null")
+            .select(*STATE_COLUMNS),
         }
         return views[name]()
 
@@ -291,10 +356,11 @@ class TicketStore:
         no reader or unfinished load uses them. Returns the removed paths."""
         records = self.landed().unionByName(self.recorded())
         rows = records.select("raw_load", "fact_load", "sums_load").distinct().collect()  # two a day at most
+        late = {row.late_load for row in self._newest()[2]}
         before = time.time_ns() - int(older_than_hours * 3600e9)
         removed = []
-        for name in PARTITIONS:
-            named = {row[LOAD_COLUMN[name]] for row in rows}
+        for name in (*PARTITIONS, *LATE_TABLES):
+            named = late if name in LATE_TABLES else {row[LOAD_COLUMN[name]] for row in rows}
             for child in folders.children(self.spark, self.path(name)):
                 load = child.removeprefix("load=")
                 if child != load and load not in named and int(load.split("-")[0]) < before:
@@ -314,7 +380,7 @@ class TicketStore:
         Returns how many days were rewritten.
         """
         base = self.head()
-        landed, complete = self._newest()
+        landed, complete, _ = self._newest()
         waiting = {r.simulation_date for r in landed} - {r.simulation_date for r in complete}
         newest = {r.simulation_date: r.seq for r in landed}
         months: dict[date, list[Row]] = {}

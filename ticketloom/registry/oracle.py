@@ -302,6 +302,16 @@ SELECT CAST(created_at AS DATE) AS source_date, count(*) AS records, min(record)
   SELECT created_at, CASE WHEN ticket_id % 11 = 0 THEN ticket_id || ',cut off'
     WHEN ticket_id % 13 = 0 THEN ticket_id || repeat(',x', 12) END AS record FROM tickets
 ) WHERE record IS NOT NULL GROUP BY ALL""",
+    "late_facts_fact_tickets": _FACT_TEXT_IDS,
+    "late_facts_features_daily": _FEATURES,
+    "late_facts_backlog_daily": _BACKLOG,
+    "late_facts_running_backlog": _RUNNING,
+    "late_facts_daily_agent_load": _LOAD_TEXT_IDS,
+    "late_facts_ticket_sla_risk": _RISK_TEXT_IDS,
+    "late_facts_replaced_versions": f"""WITH {_FACT},
+last AS (SELECT max(created_date) AS day FROM fact)
+SELECT created_date, count(*) AS replaced FROM fact, last
+WHERE least(resolved_date, day) > created_date GROUP BY ALL""",
     "arrivals_daily_agent_load": _LOAD_TEXT_IDS,
     "arrivals_ingestion_state": _LOG,
 }

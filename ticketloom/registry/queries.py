@@ -541,6 +541,42 @@ def messy_quarantine(spark, sf_dir):
     )
 
 
+# -- late facts ------------------------------------------------------------------
+
+
+@_once_per_session
+def _late(spark, sf_dir) -> TicketStore:
+    """A ticket resolved on a later day comes open with its creation day's file and again,
+    resolved, with the later one's (the last day's at most). The files are loaded in three
+    parts, the last days first; all results must be those of the tickets' final state."""
+    tickets, days = event_tickets(spark, sf_dir), _all_days(spark, sf_dir)
+    created, last = F.to_date("created_at"), F.lit(days[-1])
+    resolved = F.least(F.to_date(F.try_to_timestamp("resolved_at", F.lit("M/d/yy H:mm"))), last)
+    later = F.coalesce(resolved > created, F.lit(False))
+    first = tickets.withColumns(
+        {
+            "resolved_at": F.when(~later, F.col("resolved_at")),
+            "status": F.when(later, F.lit("Open")).otherwise(F.col("status")),
+            "delivered_at": F.col("created_at"),
+        }
+    )
+    again = tickets.where(later).withColumn("delivered_at", resolved.cast("timestamp_ntz"))
+    both = first.unionByName(again)
+    files = day_files.export_days(both, new_work_dir(spark, "late-files"), timestamp_column="delivered_at").files
+    store = TicketStore(spark, f"{new_work_dir(spark, 'late')}/tables")
+    third = len(days) // 3 + 1
+    for some in (days[2 * third :], days[:third], days[third : 2 * third]):
+        if some:
+            jobs.load_days(store, files, some, True, LOADED_AT)
+    return store
+
+
+def late_facts_replaced_versions(spark, sf_dir):
+    """How many versions of each creation day's tickets later files have replaced."""
+    replaced = _late(spark, sf_dir).late_rows("late_versions")
+    return replaced.groupBy("created_date").agg(F.count(F.lit(1)).alias("replaced"))
+
+
 # -- a stream of day files ------------------------------------------------------
 
 
@@ -644,6 +680,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compacted_daily_agent_load": _table(_compacted, "daily_agent_load"),
     "messy_fact_tickets": _table(_messy, "fact_tickets", "created_at"),
     "messy_quarantine": messy_quarantine,
+    "late_facts_fact_tickets": _table(_late, "fact_tickets", "created_at"),
+    "late_facts_features_daily": _table(_late, "features_daily"),
+    "late_facts_backlog_daily": _table(_late, "backlog_daily"),
+    "late_facts_running_backlog": _table(_late, "running_backlog"),
+    "late_facts_daily_agent_load": _table(_late, "daily_agent_load"),
+    "late_facts_ticket_sla_risk": _table(_late, "ticket_sla_risk", "created_at_ts"),
+    "late_facts_replaced_versions": late_facts_replaced_versions,
     "stream_fact_tickets": _table(_streamed, "fact_tickets", "created_at"),
     "stream_features_daily": _table(_streamed, "features_daily"),
     "stream_daily_agent_load": _table(_streamed, "daily_agent_load"),

@@ -100,10 +100,13 @@ TABLES = {
         f"side string, ops_date date, agent_id string, {_MEASURE_DDL}, source_date date"
     ),
     "day_partials": f"side string, ops_date date, {_MEASURE_DDL}, source_date date",
+    # Versions of tickets that a later day's file replaced, and what they count for, negated.
+    "late_versions": "ticket_id string, source_date date, created_date date",
+    "late_partials": f"side string, ops_date date, agent_id string, {_MEASURE_DDL}, created_date date",
     "ingestion_state": (
         "simulation_date date, ingestion_timestamp timestamp, rows_ingested bigint, "
         "landed_rows bigint, raw_load string, fact_load string, sums_load string, extra_columns array<string>, "
-        "seq bigint"
+        "creation_day date, late_load string, seq bigint"
     ),
     "loaded_files": "path string, modified timestamp, length bigint, day date, seq bigint",
 }
@@ -133,4 +136,7 @@ ROWS_COLUMN = {
     "ticket_sla_risk": "rows_ingested",
 }
 
+# These belong to a creation day, not to a source day.
+LATE_TABLES = ("late_versions", "late_partials")
+
 STATE_COLUMNS = ["simulation_date", "ingestion_timestamp", "rows_ingested"]
