@@ -191,7 +191,10 @@ def load_days(
     landed = _land(store, load, raw, at)
     derive(store, load, store.read_load("tickets_raw", load))
     records = _records(store, days, store.read_load("day_partials", load), at)
-    records = records.join(_landed_rows(store, load), "simulation_date", "left").fillna(0, ["landed_rows"])
+    if landed.malformed:
+        records = records.join(_landed_rows(store, load), "simulation_date", "left").fillna(0, ["landed_rows"])
+    else:
+        records = records.withColumn("landed_rows", F.col("rows_ingested"))
     loads = {c: F.lit(load) for c in ("raw_load", "fact_load", "sums_load")}
     records = records.withColumns({**loads, "extra_columns": F.lit(landed.extra).cast("array<string>")})
     overtaken = commit_days(store, records, load, base).overtaken

@@ -74,13 +74,12 @@ def commit_days(
 
     If another writer commits in between, the late facts are worked out again.
     """
-    mine = {f.name for f in records.schema.fields}
-    rows = store._records([]).unionByName(records.withColumn("creation_day", F.lit(None).cast("date")), allowMissingColumns=True)
-    new = rows.collect()  # one per day
-    days = {r.simulation_date for r in new}
+    empty = store._records([])
+    new = empty.unionByName(records, allowMissingColumns=True).collect()  # one per day
+    records, days = store._records(new), {r.simulation_date for r in new}
     while True:
         head = store.head()
-        touched = touched_creation_days(store, days, load if "fact_load" in mine else None)
+        touched = touched_creation_days(store, days, load)
         entry = records
         if touched:
             complete = [r for r in store._newest()[1] if r.simulation_date not in days]
