@@ -64,6 +64,7 @@ def parser() -> argparse.ArgumentParser:
     split.add_argument("--to", required=True)
     split.add_argument("--year", type=int, help="only this year")
     split.add_argument("--month", type=int)
+    split.add_argument("--splits", action="store_true", help="read a file by many tasks; no cell may hold a line break")
 
     command("arrivals", "load every day with a new or changed file", files=True, store=True)
 
@@ -93,7 +94,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> object:
                 print(row.simulation_date, row.ingestion_timestamp, row.rows_ingested, sep="\t")
             return None
         case "export":
-            extract = read_extract(spark, args.extract, typed=False)
+            extract = read_extract(spark, args.extract, typed=False, splits=args.splits)
             return export_days(extract, args.to, args.year, args.month)
         case "arrivals":
             return load_arrivals(store, files)
