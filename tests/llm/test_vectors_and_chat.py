@@ -4,6 +4,7 @@ import random
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from compare import assert_same
 
@@ -78,6 +79,80 @@ def test_near_vectors_of_nothing(spark):
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in twice) == [(1, 1, 1), (1, 1, 1), (2, 0, 2)]
 
 
+def mixed_lengths(seed=7):
+    """Three lengths; equal rows under several ids, and ids that repeat."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for size, count in ((2, 60), (5, 90), (16, 40)):
+        own = [np.float32(rng.normal(size=size)).tolist() for _ in range(count)]
+        rows += [(len(rows) + i, v) for i, v in enumerate(own + own[:3])]
+    rows.append((500, [3.0]))
+    return rows + [(0, rows[0][1])] * 2 + [(0, rows[100][1]), (20, rows[5][1])]
+
+
+def same_length(rows):
+    size = np.array([len(v) for _, v in rows])
+    return size[:, None] == size
+
+
+def products(rows, unit):
+    wide = np.zeros((len(rows), max(len(v) for _, v in rows)))
+    for i, (_, v) in enumerate(rows):
+        wide[i, : len(v)] = v
+    if unit:
+        wide /= np.linalg.norm(wide, axis=1, keepdims=True)
+    return wide @ wide.T
+
+
+def test_near_vectors_of_several_lengths_equal_brute_force(spark):
+    rows = mixed_lengths()
+    linked = (products(rows, True) >= 0.95) & same_length(rows)
+    np.fill_diagonal(linked, False)
+    ids = np.array([i for i, _ in rows])
+    root = local_roots(len(ids), *np.nonzero(linked))
+    least = {r: ids[root == r].min() for r in set(root.tolist())}
+    want = sorted((int(i), int(n), int(least[r])) for i, n, r in zip(ids, linked.sum(axis=1), root))
+    got = vectors.near_vectors(table(spark, rows + [(9001, None)])).where("vec_id < 9000").collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == want
+
+
+@pytest.mark.parametrize("block", [4096, 20])
+def test_neighbours_of_several_lengths_and_repeated_ids(spark, monkeypatch, block):
+    """A radius of all bits makes the search exact, so it must equal brute force."""
+    monkeypatch.setattr(vectors, "ROWS_PER_BLOCK", block)
+    rows = mixed_lengths()
+    every, rows = rows, [row for n, row in enumerate(rows) if row not in rows[:n]]
+    score, alike = products(rows, False), same_length(rows)
+    ids = np.array([i for i, _ in rows])
+    want = []
+    for q in np.flatnonzero(ids % 20 == 0):
+        others = [r for r in np.flatnonzero(alike[q]) if r != q]
+        best = sorted(others, key=lambda r: (-round(score[q, r], 9), ids[r]))[:20]
+        want += [(int(ids[q]), n + 1, round(float(score[q, r]), 6)) for n, r in enumerate(best)]
+    got = vectors.nearest_neighbours(table(spark, every + ODD[:5]), "vec_id % 20 = 0", recall=1.0, k=20).collect()
+    # The radius comes from the sample, which is the whole table here, so recall 1 is exact.
+    assert sorted((r.query_id, r["rank"], round(r.score, 6)) for r in got) == sorted(want)
+
+
+def test_only_retrieved_rows_are_multiplied():
+    """With no row within the radius a query gets nothing, whatever its products are."""
+    rng = np.random.default_rng(1)
+    values = rng.normal(size=(50, 8))
+    codes = vectors.RotatedCodes.fit(values)
+    frame = pd.DataFrame({"vec_id": range(50), "row": range(50), "vector": list(values)})
+    hit = np.bitwise_count(codes.codes(values)[:, None, :] ^ codes.codes(values)).sum(axis=2) <= 30
+    np.fill_diagonal(hit, False)
+    got = vectors._nearest(frame, frame, codes, 30, 50)
+    assert sorted(zip(got["query"], got["row"])) == sorted(zip(*np.nonzero(hit)))
+
+
+def test_neighbours_of_nothing(spark):
+    for rows in ([], ODD, [(20, [1.0, 2.0])], [(7, [1.0, 2.0]), (8, [1.0, 2.0])]):
+        found = vectors.nearest_neighbours(table(spark, rows), "vec_id % 20 = 0")
+        assert found.columns == ["query_id", "rank", "vec_id", "score"]
+        assert found.where("vec_id < 9000").count() == 0
+
+
 def test_neighbours_are_ordered_exact_and_mostly_found(spark, monkeypatch):
     monkeypatch.setattr(vectors, "ROWS_PER_BLOCK", 100)
     rows = clustered(1)

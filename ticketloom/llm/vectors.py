@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -20,18 +22,14 @@ SLICE = 512
 def marked(vectors: DataFrame, id_col="vec_id", vector_col="embedding") -> DataFrame:
     """(vec_id, vector, usable) of every row.
 
-    Not usable are rows without an id and vectors that are null, zero, hold null or
-    non-finite components, or have another length than most.
+    Not usable are rows without an id and vectors that are null, zero, or hold null or
+    non-finite components. Vectors may differ in length; those that do have no measure in
+    common and never meet.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("vector"))
     finite = F.forall("vector", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
     sound = F.col("vec_id").isNotNull() & finite & F.exists("vector", lambda x: x != 0)
-    rows = rows.withColumn("usable", F.coalesce(sound, F.lit(False)))
-    # One row per vector length.
-    sizes = rows.where("usable").groupBy(F.size("vector").alias("size")).count()
-    sizes = sizes.orderBy(F.desc("count"), "size").limit(1).collect()
-    most = sizes[0]["size"] if sizes else 0
-    return rows.withColumn("usable", F.col("usable") & (F.size("vector") == most))
+    return rows.withColumn("usable", F.coalesce(sound, F.lit(False)))
 
 
 def usable(vectors: DataFrame, id_col="vec_id", vector_col="embedding") -> DataFrame:
@@ -39,10 +37,30 @@ def usable(vectors: DataFrame, id_col="vec_id", vector_col="embedding") -> DataF
     return marked(vectors, id_col, vector_col).where("usable").select("vec_id", "vector")
 
 
-def sample_of(rows: DataFrame, most: int) -> np.ndarray:
-    """At most `most` vectors, those with the smallest hashes, as doubles."""
-    got = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(most).select("vector").collect()
-    return np.array([row["vector"] for row in got], dtype=np.float64)
+def row_counts(rows: DataFrame) -> dict[int, int]:
+    """Rows of each vector length: one number per length reaches the driver."""
+    counts = rows.groupBy(F.size("vector").alias("size")).agg(F.count("*").alias("rows"))
+    return {r["size"]: r["rows"] for r in counts.collect()}
+
+
+def learned(rows: DataFrame, counts: dict[int, int], most: int, learn) -> dict:
+    """`learn(sample, rows)` of each vector length, in a task of its own.
+
+    A sample holds at most `most` vectors, those with the smallest hashes, as doubles. Rows
+    are distinct (vec_id, vector), so about twice as many come near enough to be among them.
+    """
+    table = F.broadcast(rows.sparkSession.createDataFrame(list(counts.items()), "size int, rows long"))
+    place = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(1 << 30))
+    sized = rows.select("vec_id", "vector", F.size("vector").alias("size"), place.alias("place")).join(table, "size")
+    sample = sized.where(F.col("place") / (1 << 30) * F.col("rows") < max(2 * most, 64))
+
+    def run(key, group):
+        first = group.sort_values(["place", "vec_id"], kind="stable").head(most)
+        model = learn(_matrix(first["vector"]), int(first["rows"].iloc[0]))
+        return pd.DataFrame({"size": [key[0]], "model": [pickle.dumps(model)]})
+
+    models = sample.groupBy("size").applyInPandas(run, "size int, model binary").collect()
+    return {r["size"]: pickle.loads(r["model"]) for r in models}
 
 
 def _matrix(column) -> np.ndarray:
@@ -64,6 +82,15 @@ def spread_pivots(sample: np.ndarray, count: int) -> np.ndarray:
     return unit[chosen]
 
 
+class Pivots:
+    """Pivots of every vector length; no two lengths share a cell number."""
+
+    def __init__(self, of_size: dict[int, np.ndarray]):
+        self.of_size, self.first, self.cells = of_size, {}, 0
+        for size in sorted(of_size):
+            self.first[size], self.cells = self.cells, self.cells + len(of_size[size])
+
+
 def _chord(angle):
     return 2 * np.sin(np.minimum(angle, np.pi) / 2)
 
@@ -119,8 +146,8 @@ def near_vectors(
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row: an exact metric range join.
 
-    Equal vectors are joined as one with a weight. Pivots, spread over a bounded sample,
-    part the vectors into cells. Where many vectors of a cell lie within half the linking
+    Equal vectors are joined as one with a weight. Pivots, spread over a bounded sample of
+    each vector length, part the vectors into cells; lengths share no cell. Where many vectors of a cell lie within half the linking
     angle of a centre, all of them are linked, and they go on as one item, a ball. An item
     is copied into the cells its neighbours may lie in, and every pair of items meets in
     exactly one cell. Cells join independently; a large one is split into blocks of items.
@@ -128,20 +155,26 @@ def near_vectors(
     members; only for the rest are the members compared. Blocks return each row's number
     of links and one link of a spanning forest, never their pairs.
 
-    Rows that are no usable vectors (see `marked`) link with nothing and are kept. Repeated
-    ids are rows like others; `kept` is true for all rows with a component's smallest id.
+    Rows that are no usable vectors (see `marked`) link with nothing and are kept. Rows that
+    repeat an id are rows like others, linked by their vectors alone; `kept` is true for all
+    rows with a component's smallest id.
     """
     every = marked(vectors, id_col, vector_col)
     rows = stored(every.where("usable").select("vec_id", "vector"), "vectors")
-    groups = rows.groupBy("vector").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("weight"))
-    groups = stored(groups.select("vec_id", "weight", F.col("vector").cast("array<double>").alias("vector")), "groups")
-    count = groups.count()
+    groups = rows.groupBy("vector").agg(F.min("vec_id").alias("first"), F.count("*").alias("weight"))
+    # From here on `vec_id` numbers the distinct vectors; an id may have several.
+    numbered = groups.select(
+        F.monotonically_increasing_id().alias("vec_id"), "first", "weight", F.col("vector").cast("array<double>").alias("vector")
+    )
+    groups = stored(numbered, "groups")
+    counts = row_counts(groups)
     alone = every.where("not usable").select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
     )
-    if not count:
+    if not counts:
         return alone
-    pivots = spread_pivots(sample_of(groups, sample_rows), int(min(1024, max(8, count**0.5 / 8))))
+    spread = lambda sample, rows: spread_pivots(sample, int(min(1024, max(8, rows**0.5 / 8))))
+    pivots = Pivots(learned(groups, counts, sample_rows, spread))
     theta = float(np.arccos(np.clip(min_cosine, -1, 1)))
 
     members = stored(_with_items(groups, pivots, theta), "members")
@@ -185,14 +218,15 @@ def near_vectors(
         .unionByName(members.select(F.col("vec_id").alias("a"), F.col("item").alias("b")))
     )
     parts = stored(connected_components(forest), "parts")
-    least = stored(parts.groupBy("root").agg(F.min("node").alias("component_id")), "least")
+    firsts = groups.select(F.col("vec_id").alias("node"), "first")
+    least = stored(parts.join(firsts, "node").groupBy("root").agg(F.min("first").alias("component_id")), "least")
     parts = parts.join(least, "root").select(F.col("node").alias("vec_id"), "component_id")
     known = (
         members.join(per_item, "item", "left").join(per_row, "vec_id", "left").join(parts, "vec_id", "left").select(
             "vector",
             # Its equals, the rest of its ball, what the ball is linked with whole, and single rows.
             (F.col("item_weight") - 1 + F.coalesce("item_links", F.lit(0)) + F.coalesce("row_links", F.lit(0))).alias("n_links"),
-            F.coalesce("component_id", "vec_id").alias("component_id"),
+            F.coalesce("component_id", "first").alias("component_id"),
         )
     )
     wide = rows.withColumn("vector", F.col("vector").cast("array<double>"))
@@ -201,16 +235,16 @@ def near_vectors(
     return linked.unionByName(alone)
 
 
-def _with_items(groups: DataFrame, pivots: np.ndarray, theta: float) -> DataFrame:
+def _with_items(groups: DataFrame, pivots: Pivots, theta: float) -> DataFrame:
     """Each distinct vector with the item it goes on as: its ball, or itself.
 
     Balls are looked for among the vectors of a cell, in parts of bounded size. `centre`
     and `radius` stand on one row of each item, the one whose id names it.
     """
-    cells = _unit_batches(groups, "vec_id long, weight long, vector array<double>, cell long", lambda frame, units: frame.assign(
-        cell=(units @ pivots.T).argmax(axis=1)
+    cells = _unit_batches(groups, "vec_id long, first long, weight long, vector array<double>, cell long", lambda frame, units, size: frame[["vec_id", "first", "weight", "vector"]].assign(
+        cell=pivots.first[size] + (units @ pivots.of_size[size].T).argmax(axis=1)
     ))
-    # One row per pivot, at most 1024.
+    # One row per pivot, at most 1024 of a length.
     sizes = {r["cell"]: r["n"] for r in cells.groupBy("cell").agg(F.count("*").alias("n")).collect()}
     table = [(cell, -(-n // CELL_CHUNK)) for cell, n in sizes.items()]
     parts = F.broadcast(groups.sparkSession.createDataFrame(table, "cell long, parts int"))
@@ -228,42 +262,47 @@ def _with_items(groups: DataFrame, pivots: np.ndarray, theta: float) -> DataFram
             for row in members:
                 centre[row] = None
             centre[names] = middle
-        out = group[["vec_id", "weight", "vector"]].reset_index(drop=True)
+        out = group[["vec_id", "first", "weight", "vector"]].reset_index(drop=True)
         return out.assign(item=item, item_weight=item_weight, radius=radius, centre=centre)
 
-    schema = "vec_id long, weight long, vector array<double>, item long, item_weight long, radius double, centre array<double>"
+    schema = (
+        "vec_id long, first long, weight long, vector array<double>, item long, item_weight long, radius double, centre array<double>"
+    )
     return cells.groupBy("cell", "part").applyInPandas(collapse, schema)
 
 
 def _unit_batches(df: DataFrame, schema: str, convert) -> DataFrame:
-    """Map batches of rows with the unit vectors of their column `vector`."""
+    """Map batches of rows with the unit vectors of their column `vector`, by length."""
 
     def run(frames):
         for frame in frames:
-            if len(frame):
-                vectors = _matrix(frame["vector"])
-                yield convert(frame, vectors / np.linalg.norm(vectors, axis=1, keepdims=True))
+            for size, part in frame.groupby(frame["vector"].map(len)):
+                vectors = _matrix(part["vector"])
+                yield convert(part.reset_index(drop=True), vectors / np.linalg.norm(vectors, axis=1, keepdims=True), size)
 
     return df.mapInPandas(run, schema)
 
 
-def _assigned(items: DataFrame, pivots: np.ndarray, theta: float) -> tuple[DataFrame, dict]:
+def _assigned(items: DataFrame, pivots: Pivots, theta: float) -> tuple[DataFrame, dict]:
     """Items with their cells, and the number of chunks per (cell, home?)."""
 
-    def home(frame, units):
-        square = np.maximum(2 - 2 * units @ pivots.T, 0)
-        return pd.DataFrame({"cell": square.argmin(axis=1), "distance": np.sqrt(square.min(axis=1)), "radius": frame["radius"]})
+    def home(frame, units, size):
+        square = np.maximum(2 - 2 * units @ pivots.of_size[size].T, 0)
+        cell = pivots.first[size] + square.argmin(axis=1)
+        return pd.DataFrame({"cell": cell, "distance": np.sqrt(square.min(axis=1)), "radius": frame["radius"]})
 
-    # One row per pivot, at most 1024.
+    # One row per pivot, at most 1024 of a length.
     homes = _unit_batches(items, "cell long, distance double, radius double", home).groupBy("cell")
     homes = {r["cell"]: r for r in homes.agg(F.max("distance").alias("far"), F.max("radius").alias("wide")).collect()}
-    far = np.array([homes[c]["far"] if c in homes else -10.0 for c in range(len(pivots))])
-    wide = np.array([homes[c]["wide"] if c in homes else 0.0 for c in range(len(pivots))])
+    far = np.array([homes[c]["far"] if c in homes else -10.0 for c in range(pivots.cells)])
+    wide = np.array([homes[c]["wide"] if c in homes else 0.0 for c in range(pivots.cells)])
 
-    def assign(frame, units):
-        reach = _chord(theta + frame["radius"].to_numpy()[:, None] + wide) + 1e-7
-        row, cell, is_home = _cells(pivots, far + 1e-7, reach, units)
-        return frame.iloc[row].reset_index(drop=True).assign(cell=cell, home=is_home)
+    def assign(frame, units, size):
+        first, own = pivots.first[size], pivots.of_size[size]
+        cells = slice(first, first + len(own))
+        reach = _chord(theta + frame["radius"].to_numpy()[:, None] + wide[cells]) + 1e-7
+        row, cell, is_home = _cells(own, far[cells] + 1e-7, reach, units)
+        return frame.iloc[row].reset_index(drop=True).assign(cell=first + cell, home=is_home)
 
     schema = "vec_id long, weight long, vector array<double>, radius double, cell long, home boolean"
     assigned = _unit_batches(items, schema, assign)
@@ -378,10 +417,14 @@ class RotatedCodes:
     vectors come to lie close to the corners of the cube (iterative quantization).
     """
 
-    def __init__(self, sample: np.ndarray, steps: int = 20):
+    def __init__(self, mean: np.ndarray, turn: np.ndarray):
+        self.mean, self.turn = mean, turn
+
+    @classmethod
+    def fit(cls, sample: np.ndarray, steps: int = 20) -> RotatedCodes:
         rng = np.random.default_rng(11)
-        self.mean = sample.mean(axis=0)
-        centred, size = sample - self.mean, sample.shape[1]
+        mean = sample.mean(axis=0)
+        centred, size = sample - mean, sample.shape[1]
         turns = []
         for _ in range(-(-CODE_BITS // size)):
             turn = np.linalg.qr(rng.normal(size=(size, size)))[0]
@@ -389,7 +432,7 @@ class RotatedCodes:
                 u, _, v = np.linalg.svd(np.sign(centred @ turn).T @ centred)
                 turn = (u @ v).T
             turns.append(turn)
-        self.turn = np.hstack(turns)[:, :CODE_BITS]
+        return cls(mean, np.hstack(turns)[:, :CODE_BITS])
 
     def codes(self, vectors: np.ndarray) -> np.ndarray:
         """One row of bytes per vector, a byte per substring."""
@@ -437,28 +480,30 @@ def _within(rows: np.ndarray, queries: np.ndarray, radius: int) -> np.ndarray:
 
 
 def _nearest(rows: pd.DataFrame, queries: pd.DataFrame, codes: RotatedCodes, radius: int, k: int) -> pd.DataFrame:
-    """The k nearest of one block's retrieved rows for each query of a chunk."""
-    ids, asks = rows["vec_id"].to_numpy(), queries["vec_id"].to_numpy()
-    vectors, asked = _matrix(rows["vector"]), _matrix(queries["vector"])
+    """The k nearest of one block's retrieved rows for each query of a chunk.
+
+    Only retrieved rows are multiplied with a query. A query's own row is no candidate.
+    """
+    ids, row = rows["vec_id"].to_numpy(), rows["row"].to_numpy()
+    vectors, asked, asks = _matrix(rows["vector"]), _matrix(queries["vector"]), queries["row"].to_numpy()
     hit = _within(codes.codes(vectors), codes.codes(asked), radius)
-    hit &= asks[:, None] != ids
-    out = []
-    for at in range(0, len(asks), 256):
-        score = np.where(hit[at : at + 256], asked[at : at + 256] @ vectors.T, -np.inf)
-        if len(ids) > k:
-            least = np.partition(score, len(ids) - k, axis=1)[:, len(ids) - k]
+    norms, lengths = np.linalg.norm(vectors, axis=1), np.linalg.norm(asked, axis=1)
+    out = [pd.DataFrame({c: pd.Series(dtype=t) for c, t in _FOUND.items()})]
+    for at, query in enumerate(asks):
+        found = np.flatnonzero(hit[at] & (row != query))
+        if len(found) > k:
+            score = vectors[found] @ asked[at]
             # A matrix product may round equal vectors differently.
-            score[score < (least - 1e-9 * (1 + np.abs(np.where(np.isfinite(least), least, 0))))[:, None]] = -np.inf
-        q, r = np.nonzero(score > -np.inf)
-        exact = np.concatenate(
-            [(asked[at + q[i : i + 65536]] * vectors[r[i : i + 65536]]).sum(axis=1) for i in range(0, len(q), 65536)]
-            or [np.zeros(0)]
-        )
-        order = np.lexsort((ids[r], -exact, q))
-        q, r, exact = q[order], r[order], exact[order]
-        top = np.arange(len(q)) - np.searchsorted(q, q) < k
-        out.append(pd.DataFrame({"query_id": asks[at + q[top]], "vec_id": ids[r[top]], "score": exact[top]}))
-    return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            slack = 1e-12 * lengths[at] * norms[found].max()
+            found = found[score >= np.partition(score, len(found) - k)[len(found) - k] - slack]
+        exact = (asked[at] * vectors[found]).sum(axis=1)
+        top = np.lexsort((ids[found], -exact))[:k]
+        found = found[top]
+        out.append(pd.DataFrame({"query": query, "row": row[found], "vec_id": ids[found], "score": exact[top]}))
+    return pd.concat(out)
+
+
+_FOUND = {"query": "int64", "row": "int64", "vec_id": "int64", "score": "float64"}
 
 
 def nearest_neighbours(
@@ -472,44 +517,61 @@ def nearest_neighbours(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows of largest inner product found.
 
-    `is_query` is a condition on `vec_id`. Codes are learned from a bounded sample, every
-    row is coded and indexed; rows and queries meet in blocks of bounded size. The code
-    radius is that within which `recall` of the sample's own k nearest lie, which holds at
-    least as well among more rows. Queries that find fewer than k rows search again
-    without a radius. Scores are inner products in double precision; ties go to the
-    smaller vec_id. Rows that are no usable vectors take no part; of rows that repeat an
-    id the one with the smallest vector stands for all.
+    `is_query` is a condition on `vec_id`. Codes are learned from a bounded sample of each
+    vector length, every row is coded and indexed; rows and queries of one length meet in
+    blocks of bounded size. The code radius is that within which `recall` of the sample's
+    own k nearest lie, which holds at least as well among more rows. Queries that find
+    fewer than k rows search again without a radius. Scores are inner products in double
+    precision; ties go to the smaller vec_id. Rows that are no usable vectors (see
+    `marked`) take no part. Rows that repeat an id with another vector are rows like others:
+    each is a candidate for all but itself, and each of them that is a query has an answer.
+    Rows equal in both count once.
     """
-    rows = usable(vectors, id_col, vector_col).groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    rows = stored(rows, "vectors")
-    count = rows.count()
-    schema = "query_id long, vec_id long, score double"
-    if count < 2:
-        found = vectors.sparkSession.createDataFrame([], schema)
-        return found.select("query_id", F.lit(1).alias("rank"), "vec_id", "score")
-    sample = sample_of(rows, sample_rows)
-    codes = RotatedCodes(sample)
-    radius = hamming_radius(sample, codes, k, recall)
-
-    def search(queries: DataFrame, asked: int, radius: int) -> DataFrame:
-        blocks, chunks = -(-count // ROWS_PER_BLOCK), max(1, -(-asked // QUERIES_PER_CHUNK))
-        own = lambda parts: F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int")
-        every = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
-        left = rows.withColumns({"block": own(blocks), "chunk": every(chunks)})
-        right = queries.withColumns({"chunk": own(chunks), "block": every(blocks)})
-
-        def meet(left, right):
-            return _nearest(left, right, codes, radius, k)
-
-        met = left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInPandas(meet, schema)
-        best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-        return met.withColumn("rank", best).where(F.col("rank") <= k)
+    rows = usable(vectors, id_col, vector_col).distinct()
+    rows = stored(rows.withColumns({"row": F.monotonically_increasing_id(), "size": F.size("vector")}), "vectors")
+    counts = row_counts(rows)
+    schema = "query long, row long, vec_id long, score double"
+
+    def learn(sample, count):
+        codes = RotatedCodes.fit(sample)
+        return codes.mean, codes.turn, hamming_radius(sample, codes, k, recall)
+
+    models = learned(rows, counts, sample_rows, learn) if counts else {}
+
+    def search(queries: DataFrame, whole: bool) -> DataFrame:
+        asked = row_counts(queries)
+        # One row per vector length.
+        table = [(size, -(-counts[size] // ROWS_PER_BLOCK), -(-n // QUERIES_PER_CHUNK)) for size, n in asked.items()]
+        table = F.broadcast(rows.sparkSession.createDataFrame(table, "size int, blocks int, chunks int"))
+        own = lambda parts: F.pmod(F.xxhash64("row"), F.col(parts)).cast("int")
+        every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+        left = rows.join(table, "size").withColumns({"block": own("blocks"), "chunk": every("chunks")})
+        # Columns of their own, because both sides come from one table.
+        asks = queries.select(*(F.col(c).alias(c) for c in queries.columns))
+        right = asks.join(table.select(*(F.col(c).alias(c) for c in table.columns)), "size")
+        right = right.withColumns({"chunk": own("chunks"), "block": every("blocks")})
+
+        def meet(key, left, right):
+            mean, turn, radius = models[key[0]]
+            return _nearest(left, right, RotatedCodes(mean, turn), CODE_BITS if whole else radius, k)
+
+        keys = ("size", "block", "chunk")
+        met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, schema)
+        best = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row"))
+        return met.withColumn("rank", best).where(F.col("rank") <= k).select("query", "rank", "vec_id", "score")
 
     queries = rows.where(is_query)
-    found = stored(search(queries, queries.count(), radius), "found")
-    full = found.where(F.col("rank") == min(k, count - 1)).select(F.col("query_id").alias("vec_id"))
-    short = stored(queries.join(full, "vec_id", "left_anti"), "short")
-    if asked := short.count():
-        again = search(short, asked, CODE_BITS)
-        found = found.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(again)
-    return found.select("query_id", "rank", "vec_id", "score")
+    if queries.isEmpty():
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    found = stored(search(queries, False), "found")
+    # One number per vector length.
+    wanted = F.broadcast(rows.sparkSession.createDataFrame([(s, min(k, n - 1)) for s, n in counts.items()], "size int, wanted int"))
+    wanted = queries.join(wanted, "size").select("row", "wanted")
+    last = found.groupBy("query").agg(F.max("rank").alias("got")).withColumnRenamed("query", "row")
+    lacking = wanted.join(last, "row", "left").where(F.coalesce("got", F.lit(0)) < F.col("wanted"))
+    short = stored(queries.join(lacking.select("row"), "row", "left_semi").select(*rows.columns), "short")
+    if not short.isEmpty():
+        again = search(short, True)
+        found = found.join(short.select(F.col("row").alias("query")), "query", "left_anti").unionByName(again)
+    asks = queries.select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"))
+    return found.join(asks, "query").select("query_id", "rank", "vec_id", "score")
