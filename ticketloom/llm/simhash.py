@@ -192,26 +192,49 @@ def near_duplicates(
     Repeated rows stay repeated; an empty table gives an empty result.
     """
     prints = stored(fingerprints(docs, shingle_words, id_col, text_col), "prints")
-    distinct = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "distinct")
-    roots = connected_components(linked_fingerprints(distinct, max_bits))
-    rooted = distinct.join(roots.toDF("fingerprint", "root"), "fingerprint", "left")
-    rooted = stored(rooted.withColumn("root", F.coalesce("root", "fingerprint")), "rooted")
+    rooted = _rooted(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), max_bits)
     least = stored(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "least")
     named = stored(rooted.join(least, "root").select("fingerprint", "component_id"), "named")
     return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
+def _rooted(distinct: DataFrame, max_bits: int) -> DataFrame:
+    """Rows of distinct fingerprints with `root`, the same within a component."""
+    distinct = stored(distinct, "distinct")
+    roots = connected_components(linked_fingerprints(distinct, max_bits))
+    rooted = distinct.join(roots.toDF("fingerprint", "root"), "fingerprint", "left")
+    return stored(rooted.withColumn("root", F.coalesce("root", "fingerprint")), "rooted")
+
+
 def without_near_duplicates(
     docs: DataFrame, shingle_words: int = 4, max_bits: int = 4, id_col="doc_id", text_col="text"
 ) -> DataFrame:
     """The rows of `docs`, columns unchanged, that stand for their group of near-duplicates.
 
-    Of each component the smallest id stays, once if its row is repeated; rows that share
-    an id with different texts stay or go together. Rows without an id cannot be told
-    apart by it and all stay.
+    Exactly one row of each component stays: that with the smallest id, a null id coming
+    last; of rows alike in that the one whose text, then whose whole row, has the smallest
+    hash; of wholly equal rows one. An empty table gives an empty result. The columns may
+    have any names.
     """
-    found = near_duplicates(docs, shingle_words, max_bits, id_col, text_col)
-    keep = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(id_col))
-    kept = docs.join(keep.distinct(), id_col, "left_semi").withColumn("_same_text", F.md5(text_col))
-    kept = kept.dropDuplicates([id_col, "_same_text"])
-    return kept.select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+    key = next(f"_key{n}" for n in itertools.count() if f"_key{n}".lower() not in map(str.lower, docs.columns))
+    others = [F.col(f"`{c}`").alias(f"c{n}") for n, c in enumerate(docs.columns) if c != text_col]
+    text_hash = F.coalesce(F.md5(F.col(f"`{text_col}`")), F.lit(""))
+    row_hash = F.md5(F.concat(text_hash, F.to_json(F.struct(*others)))) if others else text_hash
+    rows = docs.select(
+        F.col(f"`{id_col}`").cast("long").alias("id"), text_hash.alias("text_hash"), row_hash.alias("row_hash"),
+        F.col(f"`{text_col}`").alias("text"),
+    )
+
+    def start():
+        def convert(ids, text_hashes, row_hashes, texts):
+            prints = np.array([text_fingerprint(t, shingle_words) for t in texts], dtype=np.uint64)
+            return {"id": ids, "text_hash": text_hashes, "row_hash": row_hashes, "fingerprint": prints.view(np.int64)}
+
+        return convert
+
+    schema = "id long, text_hash string, row_hash string, fingerprint long"
+    prints = map_batches(rows, rows.columns, schema, start)
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash", "row_hash")
+    rooted = _rooted(prints.groupBy("fingerprint").agg(F.min(order).alias("best")), max_bits)
+    best = stored(rooted.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.row_hash").alias(key)), "best")
+    return docs.withColumn(key, row_hash).join(best, key, "left_semi").dropDuplicates([key]).drop(key)
