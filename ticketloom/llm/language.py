@@ -72,6 +72,17 @@ class CompressionClassifier:
         return self.languages[best], min(1.0, max(0.0, (second - sizes[best]) / max(second, 1)))
 
 
+def share_of_each(sizes: list[int], budget: int) -> int:
+    """The largest length to which all parts can be cut so that together they fit a budget."""
+    left = budget
+    for place, size in enumerate(sorted(sizes)):
+        share = left // (len(sizes) - place)
+        if size > share:
+            return share
+        left -= size
+    return max(sizes, default=0)
+
+
 def fit(
     docs: DataFrame,
     texts_per_language: int = 400,
@@ -82,27 +93,35 @@ def fit(
 ) -> dict[str, tuple[bytes, bytes]]:
     """Dictionary and primer of every language, from a bounded sample.
 
-    Of the texts with a language whose crc32(id as text) mod 5 is not 0, about
-    `texts_per_language` of each, chosen by a hash of the id, give their first
-    `chars_per_text` characters, up to `DICTIONARY_BYTES` and `PRIMER_BYTES` in all.
+    Of the distinct texts with a language whose crc32(id as text) mod 5 is not 0, the
+    `texts_per_language` with the smallest hashes of each language are sampled. Each gives
+    an excerpt of `chars_per_text` characters, from a place its hash names, and all
+    excerpts have the same share of `DICTIONARY_BYTES` and `PRIMER_BYTES` together; what
+    short ones leave goes to the others. Null texts, languages and ids teach nothing,
+    repeated rows count once, and an empty table gives no language.
     """
+    text = F.col(f"`{text_col}`")
     learn = docs.select(
-        F.col(id_col).cast("long").alias("id"),
-        F.col(lang_col).cast("string").alias("lang"),
-        F.substring(text_col, 1, chars_per_text).alias("text"),
+        F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{lang_col}`").cast("string").alias("lang"), text.alias("text")
     ).where("crc32(cast(id as string)) % 5 != 0 and lang is not null and text is not null")
-    counts = learn.groupBy("lang").count().withColumnRenamed("count", "texts")
-    place = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / (1 << 30)
+    learn = learn.withColumn("hash", F.xxhash64("text"))
+    counts = learn.select("lang", "hash").distinct().groupBy("lang").agg(F.count("*").alias("texts"))
+    place = F.pmod("hash", F.lit(1 << 30)) / (1 << 30)
+    start = F.pmod(F.shiftright("hash", 30), F.greatest(F.length("text") - chars_per_text, F.lit(0)) + 1).cast("int") + 1
     # One row per language.
-    sample = learn.join(F.broadcast(counts), "lang").where(place * F.col("texts") < 2 * texts_per_language)
-    texts: dict[str, list[str]] = {}
-    for row in sorted(sample.orderBy(F.xxhash64("id"), "id", "text").collect(), key=lambda r: r["lang"]):
+    sample = learn.join(F.broadcast(counts), "lang").where(place * F.col("texts") < max(2 * texts_per_language, 64))
+    sample = sample.select("lang", "hash", F.substr("text", start, F.lit(chars_per_text)).alias("text"))
+    # About twice the texts wanted of each language, each once.
+    sample = sample.groupBy("lang", "hash").agg(F.min("text").alias("text"))
+    texts: dict[str, list[bytes]] = {}
+    for row in sorted(sample.collect(), key=lambda r: (r["lang"], r["hash"] % (1 << 30), r["hash"])):
         own = texts.setdefault(row["lang"], [])
         if len(own) < texts_per_language and (plain := letters_only(row["text"])):
-            own.append(plain)
+            own.append(plain.encode("utf-8", "replace"))
     sources = {}
     for lang, own in texts.items():
-        whole = (" ".join(own) + " ").encode("utf-8", "replace")
+        share = share_of_each([len(t) + 1 for t in own], DICTIONARY_BYTES + PRIMER_BYTES)
+        whole = b"".join(t[: share - 1] + b" " for t in own)
         cut = min(DICTIONARY_BYTES, max(len(whole) - PRIMER_BYTES, len(whole) // 2))
         if own:
             sources[lang] = whole[:cut], whole[cut : cut + PRIMER_BYTES]
