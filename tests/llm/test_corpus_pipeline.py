@@ -17,7 +17,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables a
 
 def test_every_operator_is_registered_once():
     numbers = [name.split("_")[0] for name in QUERIES]
-    assert numbers == [f"op{n}" for n in range(1, 11)]
+    assert numbers == [f"op{n}" for n in range(1, 14)]
     assert {*QUERIES, "pipeline"} <= contract.queries().keys()
 
 

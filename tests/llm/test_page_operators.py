@@ -6,6 +6,7 @@ import hashlib
 import os
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,6 +94,16 @@ def test_differences_are_those_of_models_in_memory(spark, monkeypatch):
         assert row.difference == pytest.approx(expected, rel=1e-9, abs=1e-12)
 
 
+def test_the_cut_is_the_best_of_all_cuts():
+    rng = np.random.default_rng(2)
+    for size in (1, 2, 700):
+        allow, block = rng.normal(0.3, 1, size).round(2), rng.normal(-0.3, 1, 2 * size).round(2)
+        every = sorted([*allow, *block])
+        good = lambda cut: (allow >= cut).mean() + (block < cut).mean()  # noqa: B023, E731
+        want = max(good((a + b) / 2) for a, b in zip(every, every[1:]))
+        assert good(urls.best_cut(allow, block)) == pytest.approx(want)
+
+
 def test_smoothed_chances_sum_to_one():
     model = urls.MarkovModel([b"http://a.com/b", b"http://a.com/c", b"http://a.com/b"] * 3)
     for context in (b"", b"h", b"http:", b"zzz", b"com/"):

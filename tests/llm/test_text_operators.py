@@ -1,6 +1,7 @@
 """Packing, SimHash, language, toxicity and pieces against brute force and odd input."""
 
 import re
+import random
 import zlib
 from collections import Counter
 
@@ -174,11 +175,29 @@ def test_near_duplicates_of_odd_rows(spark):
     kept = simhash.without_near_duplicates(docs)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(least.values())
+    of_all = components({slow_fingerprint(r.text) for r in docs.collect()}, 4)
+    assert kept.count() == len(set(of_all.values()))
     empty = docs.where("false")
     assert simhash.near_duplicates(empty).count() == 0
     assert simhash.without_near_duplicates(empty).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Null ids, an id with two texts, wholly equal rows, and columns with odd names."""
+    one, two, three = prose(3, seed=8)
+    rows = [(None, one, 1), (None, one, 2), (None, one, 2), (7, two, 1), (7, three, 1), (8, two, 0), (9, one, 5), (9, one, 5)]
+    rows += [(None, "only here", 3)] * 3
+    schema = "doc_id long, text string, `_key0` int"
+    names = ["doc_id", "text", "_key0", "_same_text", "a.b"]
+    docs = spark.createDataFrame(rows, schema).selectExpr("*", "'own' AS _same_text", "map(1, doc_id) AS `a.b`")
+    kept = simhash.without_near_duplicates(docs)
+    assert kept.columns == names
+    got = kept.collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == sorted([(9, one), (7, two), (7, three), (0, "only here")])
+    assert {r._same_text for r in got} == {"own"}
+    assert simhash.without_near_duplicates(spark.createDataFrame([("a b",), ("a b",)], "text string").selectExpr("*", "1L AS doc_id")).count() == 1
+
+
 # -- language ------------------------------------------------------------------------
 
 
@@ -211,6 +230,44 @@ def test_languages_of_held_out_texts(spark):
     assert not ids & {900, 901, 902} and len(ids) >= 300
 
 
+def test_every_sampled_text_gives_a_share(spark):
+    """400 long texts of own words: each is in the dictionary or the primer, repeats once."""
+    words = [f"{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}" for i in range(500)]
+    rows = [(i, f"{w}qx " * 3000, "aa") for i, w in enumerate(words)] + [(1, "zzqx " * 3000, "aa")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = {w for i, w in enumerate(words) if zlib.crc32(str(i).encode()) % 5 != 0} | {"zz"}
+    for most in (400, 50):
+        content, primer = language.fit(docs, texts_per_language=most)["aa"]
+        whole = (content + primer).decode()
+        assert len({w for w in learned if w + "qx" in whole}) == min(most, len(learned))
+        assert len(whole) <= language.DICTIONARY_BYTES + language.PRIMER_BYTES
+    assert language.share_of_each([5, 100, 100], 105) == 50
+    assert language.share_of_each([5, 6], 100) == 6
+
+
+def test_compressed_sizes_are_those_of_plain_zstandard():
+    """The classifier against one compressor built anew for every block."""
+    rng = random.Random(3)
+    sources = {k: (" ".join(rng.choices(v, k=900)).encode(), " ".join(rng.choices(v, k=90)).encode())
+               for k, v in {"aa": ["una", "lume", "noi"], "bb": ["bad", "fig", "cab"], "cc": ["una", "bad"]}.items()}
+    tool = language.CompressionClassifier(sources)
+    for size in (1, 30, 2000, 9000):
+        plain = " ".join(rng.choices(["una", "bad", "fig", "noi", "xyz"], k=size))
+        sizes = {}
+        for lang, (content, primer) in sources.items():
+            packed = lambda part: len(language.zstandard.ZstdCompressor(
+                level=9, dict_data=language.zstandard.ZstdCompressionDict(content, dict_type=language.zstandard.DICT_TYPE_RAWCONTENT),
+                write_content_size=False, write_checksum=False, write_dict_id=False).compress(part))
+            text = plain.encode()
+            if len(text) < 300:
+                sizes[lang] = packed(primer + text) - packed(primer)
+            else:
+                sizes[lang] = sum(packed(text[at : at + 4000]) for at in range(0, len(text), 4000))
+        best, second = sorted(sizes.values())[:2]
+        lang, margin = tool.classify(plain)
+        assert sizes[lang] == best and margin == pytest.approx(min(1, max(0, (second - best) / max(second, 1))))
+
+
 def test_languages_without_anything_to_learn(spark):
     docs = language_docs(spark).where("lang is null")
     assert language.fit(docs) == {}
