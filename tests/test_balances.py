@@ -1,0 +1,143 @@
+"""Closing balances against the full window, whatever is loaded after they were struck."""
+
+from datetime import date
+
+import pytest
+from helpers import in_order, random_tickets, ticket
+from pyspark.sql import functions as F
+from test_files_and_jobs import D1, D2, D3, D4, files, new_store, on, put, put_three_days  # noqa: F401
+
+from ticketloom.plans import balances, jobs
+from ticketloom.plans.balances import running_backlog_between, strike
+from ticketloom.registry.queries import single_day_loads
+
+SOME = [(date(2023, 11, 3), date(2023, 12, 1)), (date(2024, 2, 1), date(2024, 3, 1))]
+MORE = [
+    (date(2023, 10, 1), date(2023, 11, 1)),
+    (date(2023, 11, 2), date(2024, 3, 9)),
+    (date(2023, 11, 3), date(2023, 11, 3)),
+]
+
+
+def agrees(store, ranges=SOME):
+    whole = store.table("running_backlog").collect()
+    for start, stop in ranges:
+        expected = [r for r in whole if r.ops_date is not None and start <= r.ops_date < stop]
+        assert in_order(running_backlog_between(store, start, stop).collect()) == in_order(expected)
+
+
+def test_ranges_agree_whatever_comes_after_the_balance(files, new_store):  # noqa: F811
+    store = new_store()
+    agrees(store)
+    assert strike(store).closing == {}
+    agrees(store)
+    tickets = random_tickets(7)
+    by_day = {}
+    for t in tickets:
+        if t["created_at"] is not None:
+            by_day.setdefault(t["created_at"].date(), []).append(t)
+    days = sorted(by_day)
+    for day in days:
+        put(files, day, *by_day[day])
+    # A null day, a ticket resolved in a month of its own, one resolved before it was created.
+    put(files, D4, ticket(created_at=None), on(D4, resolved_at="2/5/24 8:00"), on(D4, resolved_at="10/9/23 8:00"))
+    jobs.load_days(store, files, [d for d in days if d != D2])
+    agrees(store)  # without a balance that says anything
+    struck = strike(store)
+    assert date(2024, 2, 1) in struck.closing and date(2023, 10, 1) in struck.closing
+    agrees(store, SOME + MORE)
+    jobs.run_day(store, files, D2)  # a day comes late
+    agrees(store)
+    put(files, D3, on(D3, resolved_at="2/6/24 8:00"))  # one is replaced
+    jobs.run_day(store, files, D3)
+    agrees(store)
+    jobs.reset_day(store, D1)  # one is taken out, with all its tickets
+    agrees(store)
+    strike(store)
+    store.compact(date(2023, 11, 30))  # the same sums in another load
+    agrees(store, SOME + MORE)
+
+
+def test_a_ticket_that_comes_again_is_taken_back(files, new_store):  # noqa: F811
+    store = new_store()
+    put_three_days(files)
+    jobs.load_days(store, files, [D1, D2])
+    strike(store)
+    put(files, D3, on(D1, ticket_id="b", resolved_at="11/3/23 9:00"))
+    jobs.run_day(store, files, D3)
+    assert store.late_rows("late_versions") is not None
+    agrees(store)
+    strike(store)
+    agrees(store)
+    jobs.reset_day(store, D3)
+    agrees(store)
+
+
+def test_old_loads_stay_while_a_balance_counts_them(files, new_store):  # noqa: F811
+    store = new_store()
+    put_three_days(files)
+    jobs.load_days(store, files, [D1, D2, D3])
+    first = strike(store)
+    put(files, D2, on(D2))
+    jobs.run_day(store, files, D2)
+    gone = store.vacuum(older_than_hours=0)
+    assert not [p for p in gone if "day_partials" in p or "balance" in p]
+    agrees(store)
+    second = strike(store)
+    gone = store.vacuum(older_than_hours=0)
+    assert {p for p in gone if first.version in p} == {f"{store.path(t)}/load={first.version}" for t in ("running_balances", "balance_days")}
+    assert balances.newest(store) == second
+    agrees(store)
+
+
+def test_of_two_writers_one_balance_is_used(files, new_store, monkeypatch):  # noqa: F811
+    store = new_store()
+    put_three_days(files)
+    jobs.load_days(store, files, [D1])
+    new_load, others = type(store).new_load, []
+
+    def overtaken():
+        if not others:
+            others.append(1)
+            jobs.run_day(store, files, D2)
+            strike(store)
+        return new_load()
+
+    monkeypatch.setattr(type(store), "new_load", staticmethod(overtaken))
+    strike(store)  # of the state before the second day, and written last
+    agrees(store)
+
+
+def test_a_broken_balance_changes_nothing(files, new_store, monkeypatch):  # noqa: F811
+    store = new_store()
+    put_three_days(files)
+    jobs.load_days(store, files, [D1, D2])
+    kept = strike(store)
+    jobs.run_day(store, files, D3)
+    monkeypatch.setattr(balances, "_log", lambda store: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        strike(store)
+    monkeypatch.undo()
+    assert balances.newest(store) == kept
+    agrees(store)
+
+
+def test_a_month_reads_its_own_days_only(spark, new_store):  # noqa: F811
+    tickets = spark.range(2000).selectExpr(
+        "CAST(id AS STRING) AS ticket_id", "timestampadd(DAY, CAST(id % 400 AS INT), timestamp'2022-01-01 08:00:00') AS created_at",
+        "if(id % 3 = 0, null, '6/15/22 8:00') AS resolved_at", "1.5D AS resolution_hours", "8D AS sla_hours", "false AS sla_breached",
+        "'Low' AS priority", "'a' AS category", "'b' AS channel", "'c' AS customer_tier", "'d' AS status", "CAST(id % 7 AS STRING) AS agent_id",
+    )
+    store = new_store()
+    single_day_loads(store, tickets)
+    strike(store)
+    month = running_backlog_between(store, date(2022, 6, 1), date(2022, 7, 1))
+    read = {path.split("/running_balances/")[1].split("/")[1] for path in month.inputFiles()}
+    assert read == {"ops_month=2022-06-01"}
+    expected = store.table("running_backlog").where(F.col("ops_date").between(date(2022, 6, 1), date(2022, 6, 30)))
+    assert in_order(month.collect()) == in_order(expected.collect())
+    # A day that changes costs the sums of its loads, and no others.
+    jobs.reset_day(store, date(2022, 1, 1))
+    jobs.reset_day(store, date(2022, 12, 31))
+    read = running_backlog_between(store, date(2022, 6, 1), date(2022, 7, 1)).inputFiles()
+    assert len({p.split("/load=")[1].split("/")[0] for p in read if "/day_partials/" in p}) == 2

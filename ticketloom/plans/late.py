@@ -50,7 +50,7 @@ def touched_creation_days(store: TicketStore, days: Iterable[date], load: str |
 def _replaced(store: TicketStore, complete: list[Row], touched: set[date]) -> DataFrame:
     """Records of creation days, their replaced versions written under a new load."""
     load = store.new_load()
-    facts = store.rows("fact_tickets", store._records(complete))
+    facts = store.rows("fact_tickets", store.records(complete))
     if len(touched) <= FEW_DAYS:
         facts = facts.where(F.col("created_date").isin(sorted(touched)))
     replaced = replaced_versions(facts)
@@ -74,9 +74,9 @@ def commit_days(
 
     If another writer commits in between, the late facts are worked out again.
     """
-    empty = store._records([])
+    empty = store.records([])
     new = empty.unionByName(records, allowMissingColumns=True).collect()  # one per day
-    records, days = store._records(new), {r.simulation_date for r in new}
+    records, days = store.records(new), {r.simulation_date for r in new}
     while True:
         head = store.head()
         touched = touched_creation_days(store, days, load)

@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from ticketloom.operators.agent_load import daily_agent_load, tickets_per_agent
 from ticketloom.operators.daily import backlog_daily, daily_aggregates, features_daily, running_backlog
 from ticketloom.operators.ticket_days import sum_rows
+from ticketloom.plans import balances
 from ticketloom.plans.numbered_log import NumberedLog
 from ticketloom.schema import (
     FACT_COLUMNS,
@@ -167,19 +168,24 @@ class TicketStore:
             )
         return held[1], held[2], held[3]
 
-    def _records(self, rows: list[Row]) -> DataFrame:
+    def records(self, rows: list[Row]) -> DataFrame:
+        """Rows of the state as a frame, to read tables as of them."""
         return self.spark.createDataFrame(rows, TABLES["ingestion_state"])
 
     def recorded(self) -> DataFrame:
         """The current record of every day that is complete in all tables, one row per
         calendar day, as it is now."""
-        return self._records(self._newest()[1])
+        return self.records(self._newest()[1])
 
     def snapshot(self) -> DataFrame:
         """The whole state as it is now: tables read with it agree with each other whatever
         is loaded meanwhile."""
+        return self.records(self.current())
+
+    def current(self) -> list[Row]:
+        """The rows of ``snapshot``: some per calendar day."""
         _, complete, late = self._newest()
-        return self._records(complete + late)
+        return complete + late
 
     def late_days(self) -> dict[date, Row]:
         """Creation days that other days' files have tickets of, with their record."""
@@ -193,7 +199,7 @@ class TicketStore:
 
     def landed(self) -> DataFrame:
         """The current record of every day whose raw rows have landed, derived or not."""
-        return self._records(self._newest()[0])
+        return self.records(self._newest()[0])
 
     def head(self) -> int:
         """The number of the last commit."""
@@ -357,10 +363,13 @@ class TicketStore:
         records = self.landed().unionByName(self.recorded())
         rows = records.select("raw_load", "fact_load", "sums_load").distinct().collect()  # two a day at most
         late = {row.late_load for row in self._newest()[2]}
+        covered = balances.loads_covered(self)
         before = time.time_ns() - int(older_than_hours * 3600e9)
         removed = []
         for name in (*PARTITIONS, *LATE_TABLES):
             named = late if name in LATE_TABLES else {row[LOAD_COLUMN[name]] for row in rows}
+            if name in ("day_partials", "late_partials"):
+                named = named | covered
             for child in folders.children(self.spark, self.path(name)):
                 load = child.removeprefix("load=")
                 if child != load and load not in named and int(load.split("-")[0]) < before:
@@ -368,7 +377,7 @@ class TicketStore:
                     folders.remove(self.spark, removed[-1])
         for name in ("ingestion_state", "loaded_files"):
             self.log(name).trim(older_than_hours)
-        return removed
+        return removed + balances.vacuum(self, older_than_hours)
 
     def compact(self, until: date) -> int:
         """Rewrite the complete days up to ``until`` in all tables, one load per month.
@@ -395,7 +404,7 @@ class TicketStore:
         return done
 
     def _compact_days(self, rows: list[Row], base: int) -> int:
-        load, fixed = self.new_load(), self._records(rows)
+        load, fixed = self.new_load(), self.records(rows)
 
         def rewrite(name: str) -> None:
             stored = self.rows(name, fixed)
@@ -467,7 +476,7 @@ class TicketStore:
     def published(self, out: str, name: str) -> DataFrame:
         """A published copy as of the newest publication."""
         months = self._newest_publication(self._publications(out))[1][name]
-        schema = self.table(name, self._records([])).schema
+        schema = self.table(name, self.records([])).schema
         if not months:
             return self.spark.createDataFrame([], schema)
         reader = self.spark.read.schema(schema).option("basePath", f"{out}/{name}")

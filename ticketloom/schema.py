@@ -111,6 +111,10 @@ TABLES = {
     "loaded_files": "path string, modified timestamp, length bigint, day date, seq bigint",
 }
 
+# A balance: what tickets did on each day, and which sums it counted.
+DAY_FLOWS = "ops_date date, created_tickets bigint, resolved_tickets bigint"
+BALANCE_DAYS = "kind string, day date, load string"
+
 # Tables of one row per ticket lie by these columns within a load; the sums do not.
 PARTITIONS = {
     "tickets_raw": ["source_date", "created_date"],
