@@ -1,4 +1,5 @@
 import glob
+import gzip
 import os
 from datetime import date, datetime, timedelta
 
@@ -94,13 +95,34 @@ def test_missing_contract_column_is_named(spark, files):
         day_files.read_days(spark, files, [D1])
 
 
-def test_other_column_order_in_one_scan_fails(spark, files):
-    put(files, D1, on(D1))
+def test_files_with_other_column_orders_are_read_by_name(spark, files):
+    put(files, D1, on(D1, ticket_id="a", priority="High"))
     order = ["priority", *[c for c in HEADER if c != "priority"]]
-    write_day(files.base, D2, [",".join(["x"] * 12)], ",".join(order))
-    with pytest.raises(Exception, match="(?i)header"):
-        day_files.read_month(spark, files, 2023, 11).collect()
-    assert day_files.read_days(spark, files, [D2]).first().priority == "x"
+    write_day(files.base, D2, ["x," + ",".join(["y"] * 11)], ",".join(order))
+    # A header cell with a line break, columns beyond the contract, and cells too few.
+    write_day(files.base, D3, ["z," + ",".join(["w"] * 12), "cut off"], '"re\n""gion""",' + ",".join(HEADER[::-1]))
+    rows = day_files.read_month(spark, files, 2023, 11).collect()
+    assert sorted((r.source_date, r.ticket_id, r.priority) for r in rows if r._malformed is None) == [
+        (D1, "a", "High"), (D2, "y", "x"), (D3, "w", "w"),
+    ]
+    assert [(r.source_date, r._malformed) for r in rows if r._malformed is not None] == [(D3, "cut off")]
+    assert {r.source_date: r['re\n"gion"'] for r in rows if r._malformed is None} == {D1: None, D2: None, D3: "z"}
+
+
+def test_files_are_grouped_by_header(spark, files, tmp_path):
+    for day, header in ((D1, "b,a"), (D2, "a,b"), (D3, "a,b")):
+        write_day(files.base, day, ["1,2"], header)
+    write_day(files.base, D4, ["1,2"], "a," + "b" * 10000 + "\r")
+    month = f"{files.base}/2023/11"
+    with gzip.open(f"{month}/2023-11-05.csv.gz", "wt") as file:
+        file.write("\n\na,b\n1,2\n")
+    open(f"{month}/2023-11-06.csv", "w").close()
+    open(f"{month}/2023-11-07.csv", "w").write("a,b")
+    found = [day_files.Delivery(f"{month}/{name}", 0, os.path.getsize(f"{month}/{name}"), D1) for name in sorted(os.listdir(month)) if name[0] != "."]
+    groups = day_files.by_header(spark, found)
+    assert sorted(sorted(f.path[-6:].split(".")[0][-1] for f in g) for g in groups[1:]) == [["1"], ["4"]]
+    assert len(groups[0]) == 5  # the second, third and zipped one, the one of a header alone and the empty one
+    assert day_files.by_header(spark, []) == [[]]
 
 
 def test_missing_days(spark, files):
@@ -289,8 +311,8 @@ def test_failed_month_keeps_what_was_landed(files, new_store):
     jobs.backfill(store, files, 2023, 11, 11)
     jobs.rebuild(store)
     before = contents(store)
-    order = ["priority", *[c for c in HEADER if c != "priority"]]
-    write_day(files.base, D2, [",".join(["x"] * 12)], ",".join(order))
+    order = [c for c in HEADER if c != "priority"]
+    write_day(files.base, D2, [",".join(["x"] * 11)], ",".join(order))
     assert list(jobs.backfill(store, files, 2023, 11, 11).failed_months) == ["2023-11"]
     jobs.rebuild(store)
     assert contents(store) == before

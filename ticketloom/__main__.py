@@ -8,11 +8,11 @@ from __future__ import annotations
 
 import argparse
 import logging
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import SparkSession
 
-from ticketloom.plans import jobs
+from ticketloom.plans import balances, jobs
 from ticketloom.plans.store import TicketStore
 from ticketloom.session import build_session
 from ticketloom.sources.day_files import DayFiles, export_days, read_extract
@@ -70,6 +70,10 @@ def parser() -> argparse.ArgumentParser:
 
     compact = command("compact", "rewrite the sums of closed days as few files", store=True)
     compact.add_argument("--until", type=date.fromisoformat, required=True)
+    command("balance", "strike the closing balances that ranges of days begin from", store=True)
+    backlog = command("backlog", "show the running backlog of some days", store=True)
+    backlog.add_argument("--start", type=date.fromisoformat, required=True)
+    backlog.add_argument("--end", type=date.fromisoformat, required=True, help="the last day shown")
     vacuum = command("vacuum", "remove folders of loads that no reader sees", store=True)
     vacuum.add_argument("--older-than-hours", type=float, default=24.0)
     return top
@@ -99,7 +103,16 @@ def run(spark: SparkSession, args: argparse.Namespace) -> object:
         case "arrivals":
             return load_arrivals(store, files)
         case "compact":
-            return store.compact(args.until)
+            rewritten = store.compact(args.until)
+            balances.strike(store)
+            return rewritten
+        case "balance":
+            return balances.strike(store).version
+        case "backlog":
+            shown = balances.running_backlog_between(store, args.start, args.end + timedelta(days=1))
+            for row in shown.orderBy("ops_date").toLocalIterator():
+                print(*row, sep="\t")
+            return None
         case "vacuum":
             return store.vacuum(args.older_than_hours)
 

@@ -294,6 +294,14 @@ WHERE CAST(d.day AS DATE) NOT IN (SELECT created_date FROM fact)""",
     "many_loads_fact_tickets": _of_orders(_FACT_TEXT_IDS),
     "compacted_fact_tickets": _FACT_TEXT_IDS,
     "compacted_daily_agent_load": _LOAD_TEXT_IDS,
+    "balanced_running_backlog": f"""WITH running AS ({_of_orders(_RUNNING)}),
+last AS (SELECT date_trunc('quarter', max(created_at)) + INTERVAL 3 MONTH AS stop FROM ({_of_orders(f"WITH {_TICKETS} SELECT * FROM tickets")}))
+SELECT running.*, CAST(date_trunc('quarter', ops_date) AS DATE) AS quarter FROM running, last WHERE ops_date < stop""",
+    "mixed_headers_fact_tickets": _FACT_TEXT_IDS,
+    "mixed_headers_regions": f"""WITH {_TICKETS}
+SELECT CAST(created_at AS DATE) AS created_date,
+  CASE WHEN day(created_at) % 3 = 2 THEN 'r' || CAST(ticket_id % 5 AS VARCHAR) END AS region, count(*) AS tickets
+FROM tickets GROUP BY ALL""",
     "messy_fact_tickets": _FACT_TEXT_IDS.replace(
         "event_type AS category", """event_type || chr(10) || '"é",' || chr(13) || chr(10) || ' ' AS category"""
     ),

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ticketloom.operators import agent_load, calendar, daily, sla_risk
 from ticketloom.operators.clean import fact_tickets
 from ticketloom.operators.ticket_days import created_rows, resolved_rows, ticket_rows
-from ticketloom.plans import jobs, marts
+from ticketloom.plans import balances, jobs, marts
 from ticketloom.plans.store import TicketStore, run_together
 from ticketloom.schema import PARTITIONS, TICKET_TYPES
 from ticketloom.session import apply_job_conf, new_work_dir
@@ -511,6 +511,62 @@ def _compacted(spark, sf_dir) -> TicketStore:
     return store
 
 
+@_once_per_session
+def _balanced(spark, sf_dir) -> TicketStore:
+    """Single-day loads of `orders`, without the 15th of any month and with all tickets of
+    some days still open; the missing and the wrong days are loaded after a balance was
+    struck, half of them before the next one is and half after it."""
+    tickets = order_tickets(spark, sf_dir)
+    number = F.dayofmonth("created_at")
+    wrong = number % 10 == 3
+    store = TicketStore(spark, f"{new_work_dir(spark, 'balanced')}/tables")
+    first = tickets.where(number != 15).withColumn("resolved_at", F.when(~wrong, F.col("resolved_at")))
+    single_day_loads(store, first)
+    balances.strike(store)
+    files = _exported(spark, tickets.where(wrong | (number == 15)), "balanced-files")
+    days = [file.day for file in files.all(spark)]
+    days = sorted(set(days))
+    jobs.load_days(store, files, days[::2], False, LOADED_AT)
+    balances.strike(store)
+    jobs.load_days(store, files, days[1::2], False, LOADED_AT)
+    return store
+
+
+def balanced_running_backlog(spark, sf_dir):
+    """Every quarter of `orders`, read from the closing balance before it."""
+    store, months = _balanced(spark, sf_dir), _order_months(spark, sf_dir)
+    starts = sorted({date(year, month - (month - 1) % 3, 1) for year, month in months})
+    parts = []
+    for first in starts:
+        stop = calendar.month_bounds(first.year, first.month + 2)[1]
+        rows = balances.running_backlog_between(store, first, stop)
+        parts.append(rows.withColumn("quarter", F.lit(first)))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+@_once_per_session
+def _mixed_headers(spark, sf_dir) -> TicketStore:
+    """Days of `events` whose files differ in their headers: by the day of the month the
+    columns come as they are, backwards, or with one more column in front."""
+    tickets = event_tickets(spark, sf_dir)
+    number = F.dayofmonth("created_at") % 3
+    base = new_work_dir(spark, "mixed-headers")
+    for kind, columns in enumerate((tickets.columns, tickets.columns[::-1], ["region", *tickets.columns])):
+        some = tickets.withColumn("region", F.concat(F.lit("r"), F.col("ticket_id") % 5)).where(number == kind)
+        files = day_files.export_days(some.select(*columns), base).files
+    store = TicketStore(spark, f"{new_work_dir(spark, 'mixed')}/tables")
+    for year, month in _months(spark, sf_dir):
+        jobs.backfill(store, files, year, month, month, ingested_at=LOADED_AT)
+    jobs.rebuild(store)
+    return store
+
+
+def mixed_headers_regions(spark, sf_dir):
+    """Tickets per day and value of the column that only some days' files have."""
+    raw = _mixed_headers(spark, sf_dir).table("tickets_raw")
+    return raw.groupBy(F.to_date("created_at").alias("created_date"), "region").agg(F.count(F.lit(1)).alias("tickets"))
+
+
 # -- cells and records that are hard to read --------------------------------------
 
 
@@ -678,6 +734,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "many_loads_fact_tickets": _table(_long_history, "fact_tickets", "created_at"),
     "compacted_fact_tickets": _table(_compacted, "fact_tickets", "created_at"),
     "compacted_daily_agent_load": _table(_compacted, "daily_agent_load"),
+    "balanced_running_backlog": balanced_running_backlog,
+    "mixed_headers_fact_tickets": _table(_mixed_headers, "fact_tickets", "created_at"),
+    "mixed_headers_regions": mixed_headers_regions,
     "messy_fact_tickets": _table(_messy, "fact_tickets", "created_at"),
     "messy_quarantine": messy_quarantine,
     "late_facts_fact_tickets": _table(_late, "fact_tickets", "created_at"),

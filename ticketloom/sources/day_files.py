@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
@@ -30,6 +32,8 @@ _WHOLE = {"multiLine": True, "columnPruning": False, "columnNameOfCorruptRecord"
 # Full microseconds; Spark's own default keeps only milliseconds.
 _MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 UNREADABLE = "unreadable"
+# So many files are opened at a time to see their header.
+OPENED_AT_ONCE = 32
 #: Columns that are not text, and may hold a cell that does not fit.
 TYPED_COLUMNS = [c for c, t in TICKET_TYPES.items() if t != "string"]
 
@@ -112,7 +116,41 @@ def _header_schema(spark: SparkSession, path: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def typed_by_name(columns: Iterable[str]) -> list:
+def _header_of(read: bytes) -> bytes | None:
+    """The first record that is not blank; None if it does not end within these bytes."""
+    start = len(read) - len(read.lstrip(b"\r\n"))
+    end = start
+    while (end := read.find(b"\n", end)) >= 0:
+        if read.count(b'"', start, end) % 2 == 0:
+            return read[start:end].rstrip(b"\r")
+        end += 1
+    return None
+
+
+def by_header(spark: SparkSession, found: Sequence[Delivery]) -> list[list[Delivery]]:
+    """Files that have the same header, byte for byte, together; the most files first.
+
+    Like the listing, this is one small request a file, many at a time. A file of no bytes
+    has no header and no rows, and goes with the first group.
+    """
+
+    def header(file: Delivery) -> bytes:
+        read = folders.first_lines(spark, file.path, lambda some: _header_of(some) is not None)
+        whole = _header_of(read)
+        return read.strip(b"\r\n") if whole is None else whole
+
+    filled = [f for f in found if f.length]
+    with ThreadPoolExecutor(OPENED_AT_ONCE) as pool:
+        headers = list(pool.map(header, filled))
+    groups: dict[bytes, list[Delivery]] = {}
+    for file, own in zip(filled, headers):
+        groups.setdefault(own, []).append(file)
+    most_first = sorted(groups.values(), key=len, reverse=True) or [[]]
+    most_first[0] += [f for f in found if not f.length]
+    return most_first
+
+
+def typed_by_name(columns: Iterable[str], source: str = "") -> list:
     """Select list that casts each contract column by name and keeps the others.
 
     A cell that does not fit its type becomes null, and its text is kept in ``_unread``, a
@@ -124,7 +162,7 @@ def typed_by_name(columns: Iterable[str]) -> list:
     by_lower = {c.lower(): c for c in columns}
     missing = [c for c in TICKET_TYPES if c not in by_lower]
     if missing:
-        raise ValueError(f"ticket source lacks the columns {missing}")
+        raise ValueError(f"ticket source {source} lacks the columns {missing}")
     extra = [c for c in columns if c.lower() not in TICKET_TYPES]
     whole = F.col("_malformed").isNull()
     cell = lambda c: F.when(whole, F.col(f"`{by_lower.get(c, c)}`"))
@@ -148,17 +186,26 @@ def _reader(spark: SparkSession, schema: T.StructType, **more):
 def read_files(spark: SparkSession, files: DayFiles, found: Sequence[Delivery]) -> DataFrame:
     """Typed rows of listed files plus the file and day they came from.
 
-    Every file's header is checked against the first one's, so a file with
-    another column order fails instead of shifting its values. A record with more or fewer
-    cells than the header, or with a quote that is never closed, comes as one row whose
-    text is in ``_malformed``; it is null in all other rows.
+    Files of one header are read by one scan, and the scans are united by name: files may
+    differ in the order of columns and in columns beyond the contract, which are null for
+    files without them. A file that lacks a column of the contract is an error that names
+    it. A record with more or fewer cells than its file's header, or with a quote that is
+    never closed, comes as one row whose text is in ``_malformed``; it is null in all other
+    rows. Every header is checked again when its file is read, so a file that
+    changes after the listing fails instead of shifting its values.
     """
+    groups = by_header(spark, found)
+    scans = [_read_alike(spark, files, group, len(groups) == 1) for group in groups]
+    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+
+
+def _read_alike(spark: SparkSession, files: DayFiles, found: Sequence[Delivery], all_listed: bool) -> DataFrame:
     schema = _header_schema(spark, found[0].path)
     paths = [f.path for f in found]
-    if files.partitioned:
+    if files.partitioned and all_listed:
         paths = sorted({path.rsplit("/", 1)[0] for path in paths})
     return _reader(spark, schema.add("_malformed", "string")).csv(paths).select(
-        *typed_by_name(schema.names),
+        *typed_by_name(schema.names, found[0].path),
         "_malformed",
         F.col("_metadata.file_path").alias("_source_file"),
         files.source_day().alias("source_date"),

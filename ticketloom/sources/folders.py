@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -53,6 +54,24 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def first_lines(spark: SparkSession, path: str, complete: Callable[[bytes], bool]) -> bytes:
+    """A file's beginning: as much of it as it takes to be ``complete``, or all of it."""
+    place, system = _path(spark, path)
+    codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(place)
+    stream = system.open(place)
+    try:
+        plain = stream if codec is None else codec.createInputStream(stream)
+        read = b""
+        while not complete(read):
+            more = bytes(plain.readNBytes(4096))
+            if not more:
+                break
+            read += more
+        return read
+    finally:
+        stream.close()
+
+
 def put_once(spark: SparkSession, path: str, text: str) -> bool:
     """Create a small file with its whole content, unless it exists already.
 
