@@ -18,10 +18,11 @@ from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ticketloom.plans.numbered_log import NumberedLog
-from ticketloom.schema import BALANCE_DAYS, CREATED, DAY_FLOWS, RESOLVED
+from ticketloom.schema import BALANCE_DAYS, CREATED, DAY_FLOWS, RESOLVED, TABLES
 from ticketloom.sources import folders
 
 if TYPE_CHECKING:
@@ -70,7 +71,7 @@ def _flows(store: TicketStore, some: frozenset[Sums], sign: int) -> list[DataFra
     """What the tickets of some sums did on each day; none for no sums."""
     if not some:
         return []
-    record = dict.fromkeys(store.snapshot().columns)
+    record = dict.fromkeys(T._parse_datatype_string(TABLES["ingestion_state"]).names)
     records = [
         record | ({"simulation_date": day, "sums_load": load} if kind == _DAY else {"creation_day": day, "late_load": load, "landed_rows": 1})
         for kind, day, load in sorted(some)

@@ -111,8 +111,8 @@ class DayFiles:
         return F.left(F.col("_metadata.file_name"), F.lit(10)).try_cast("date")
 
 
-def _header_schema(spark: SparkSession, path: str) -> T.StructType:
-    names = spark.read.options(**_CSV).csv(path).columns
+def _header_schema(spark: SparkSession, path: str, multi_line: bool = True) -> T.StructType:
+    names = spark.read.options(**_CSV, multiLine=multi_line).csv(path).columns
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
@@ -275,7 +275,7 @@ def read_extract(spark: SparkSession, path: str, typed: bool = True, splits: boo
     shows it. With ``splits`` a file is read by many tasks at once; a quoted cell must then
     not hold a line break, and one that does is an error too, never two rows.
     """
-    schema = _header_schema(spark, path)
+    schema = _header_schema(spark, path, not splits)
     rows = _reader(spark, schema, multiLine=not splits, mode="FAILFAST").csv(path)
     if not typed:
         return rows
