@@ -3,10 +3,12 @@
 import base64
 import gzip
 import hashlib
+import io
 import os
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -196,19 +198,105 @@ def test_unwanted_payloads_are_stepped_over():
 
 def test_archives_of_other_writers(spark):
     """Plain records and gzip members without a length; damaged payloads are an error."""
-    import io
-
     data = warc.page_record(1, "u", b"one", None, "d") + warc.page_record(2, "u", b"two", 1, "d")
     for file in (data, gzip.compress(data), gzip.compress(data[:400]) + gzip.compress(data[400:])):
         rows = list(warc.read_records(io.BytesIO(file), lambda row: True, True))
         assert [(r[0], r[-1]) for r in rows] == [("response", b"one"), ("revisit", None)]
         rows = list(warc.read_records(io.BytesIO(file), lambda row: row["record_type"] == "revisit", False))
         assert [r[1] for r in rows] == ["<urn:page:2>"]
+    damaged = data.replace(b"one", b"ond")
     with pytest.raises(ValueError, match="does not fit its digest"):
-        list(warc.read_records(io.BytesIO(data.replace(b"one", b"ond")), lambda row: True, True))
+        list(warc.read_records(io.BytesIO(damaged), lambda row: True, True, fail_fast=True))
+    rows = list(warc.read_records(io.BytesIO(damaged), lambda row: True, True))
+    assert [(r[1], "digest" in (r[-2] or ""), r[-1]) for r in rows] == [("<urn:page:1>", True, b"ond"), ("<urn:page:2>", False, None)]
     assert gzip.decompress(warc.gzip_member(data)) == data
 
 
+def foreign(name, http=b"HTTP/1.1 200 OK", body=b"12345", line=b"\r\n", kind=b"response", length=None, digest=b"", content=b"application/http"):
+    """A record as another writer may leave it."""
+    block = http + line * 2 + body if http is not None else body
+    said = str(len(block)).encode() if length is None else length
+    lines = [b"WARC/1.0", b"WARC-Type: " + kind, b"WARC-Record-ID: " + name, b"Content-Type: " + content, b"Content-Length: " + said]
+    if digest:
+        lines.append(b"WARC-Payload-Digest: " + digest)
+    return line.join(lines) + line * 2 + block + line * 2
+
+
+SHA1 = hashlib.sha1(b"12345")
+FOREIGN = {
+    # name: (record, payload_bytes, payload, part of the error)
+    b"plain": (dict(), 5, b"12345", None),
+    b"said twice": (dict(http=b"HTTP/1.1 200 OK\r\nContent-Length: 5, 5"), 5, b"12345", None),
+    b"said wrong": (dict(http=b"HTTP/1.1 200 OK\r\nContent-Length: 99"), 5, b"12345", None),
+    b"said in words": (dict(http=b"HTTP/1.1 200 OK\r\nContent-Length: five"), 5, b"12345", None),
+    b"line feeds": (dict(http=b"HTTP/1.1 200 OK\nContent-Length: 5", line=b"\n"), 5, b"12345", None),
+    b"hex": (dict(digest=b"sha1:" + SHA1.hexdigest().encode()), 5, b"12345", None),
+    b"lower base32": (dict(digest=b"SHA-1:" + base64.b32encode(SHA1.digest()).lower()), 5, b"12345", None),
+    b"sha256": (dict(digest=b"sha256:" + hashlib.sha256(b"12345").hexdigest().encode()), 5, b"12345", None),
+    b"other algorithm": (dict(digest=b"blake9:00"), 5, b"12345", None),
+    b"wrong hex": (dict(digest=b"sha1:" + b"0" * 40), 5, b"12345", "digest"),
+    b"revisit": (dict(kind=b"revisit", http=b"HTTP/1.1 200 OK\r\nContent-Length: 7, 7", body=b""), 7, None, None),
+    b"revisit of unknown length": (dict(kind=b"revisit", body=b""), None, None, None),
+    b"request": (dict(kind=b"request", http=b"GET / HTTP/1.1", body=b""), 0, b"", None),
+    b"no http": (dict(http=None, content=b"text/plain"), 5, b"12345", None),
+    b"no blank line": (dict(http=None, body=b"x" * 1500), 0, b"", None),
+    b"empty": (dict(http=None, body=b"", content=b"text/plain"), 0, b"", None),
+}
+
+
+@pytest.mark.parametrize("packed", [lambda r: r, gzip.compress, warc.gzip_member], ids=["plain", "gzip", "gzip with lengths"])
+def test_records_of_other_writers(packed):
+    records = {name: foreign(name, **cells) for name, (cells, *_) in FOREIGN.items()}
+    data = b"".join(map(packed, records.values()))
+    expected = [(name.decode(), size, payload, part) for name, (_, size, payload, part) in FOREIGN.items()]
+    read = lambda *how: list(warc.read_records(io.BytesIO(data), lambda row: True, *how))
+    assert [(r[1], r[-3], r[-1], "digest" if r[-2] else None) for r in read(True)] == expected
+    assert [(r[1], r[-3], r[-1], r[-2]) for r in read(False)] == [(name, size, None, None) for name, size, _, _ in expected]
+
+
+@pytest.mark.parametrize("with_payload", [True, False])
+def test_damaged_archives(with_payload):
+    good, after = foreign(b"good"), foreign(b"after")
+    everything = lambda data, wanted=lambda row: True: [
+        (r[1], r[-2]) for r in warc.read_records(io.BytesIO(data), wanted, with_payload)
+    ]
+    for length in (b"five", b"-1", b"", b"5, 6"):
+        bad = foreign(b"bad", length=length)
+        for packed in (gzip.compress, warc.gzip_member):
+            rows = everything(packed(good) + packed(bad) + packed(after))
+            assert [r[0] for r in rows] == ["good", "bad", "after"] and "length" in rows[1][1] and rows[0][1] is rows[2][1] is None
+        rows = everything(good + bad + after)
+        assert [r[0] for r in rows] == ["good", "bad"] and "length" in rows[1][1]
+    cut = everything(good + after[:-10])
+    assert [r[0] for r in cut] == ["good", "after"] and "ends within" in cut[1][1]
+    assert everything(good + after[:20])[1] == (None, "an archive ends within a record's headers")
+    assert everything(good + after[:20], lambda row: row["record_id"] == "good") == [("good", None)]
+    member = bytearray(gzip.compress(bytes(range(14, 256)) * 12))
+    member[30:40] = b"\xff" * 10
+    rows = everything(gzip.compress(good) + bytes(member))
+    assert rows[0] == ("good", None) and rows[1][1]
+    with pytest.raises(ValueError, match="length"):
+        list(warc.read_records(io.BytesIO(foreign(b"bad", length=b"x")), lambda row: True, with_payload, fail_fast=True))
+
+
+def test_archives_are_bounded_and_other_columns_harmless(spark, monkeypatch):
+    names = "page_id long, url string, html string, error string, record_type string, digest string, size int, first int, rows int"
+    pages = spark.createDataFrame([(i, "u", f"{i} é" * 100, "e", "t", "d", 1, 2, 3) for i in range(30)] + [(None,) * 9] * 2, names)
+    marked = warc.with_revisits(pages)
+    assert marked.columns == ["page_id", "url", "html", "refers_to"] and marked.count() == 32
+    folder = new_work_dir(spark, "warc-test")
+    warc.write_archives(marked.withColumn("payload", F.lit("x")), folder)
+    assert warc.read_archives(spark, folder, fail_fast=True).where("error is null").count() == 32
+    writer = warc.WarcWriter({"path": new_work_dir(spark, "warc-test")})
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 1000)
+    batch = pa.RecordBatch.from_pylist([{"page_id": i, "url": "u", "html": "x", "refers_to": None} for i in range(40)])
+    written = writer.write(iter([batch]))
+    writer.commit([written, None])
+    assert len(written.names) > 5
+    assert warc.read_archives(spark, writer.path).select("record_id").distinct().count() == 40
+    assert len(writer.write(iter([])).names) == 1
+
+
 def test_no_pages(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     folder = new_work_dir(spark, "warc-test")

@@ -55,7 +55,7 @@ def op6_warc(spark, sf_dir):
     warc.write_archives(warc.with_revisits(read_table(spark, sf_dir, "pages"), min_bytes=0), folder)
     # A response's length is that of the payload read back.
     read = F.when(F.col("record_type") == "response", F.octet_length("payload").cast("long"))
-    return warc.read_archives(spark, folder).select(
+    return warc.read_archives(spark, folder, fail_fast=True).select(
         warc.page_id_of("record_id").alias("page_id"),
         F.coalesce(read, "payload_bytes").alias("payload_bytes"),
         F.substring("payload_digest", 6, 32).alias("payload_digest"),

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import struct
 import uuid
 import zlib
@@ -37,6 +38,10 @@ from ticketloom.llm.storage import stored
 
 PARTITION_BYTES = 64 << 20
 BATCH_BYTES = 4 << 20
+# A writing task begins its next archive beyond so many bytes; a reading task takes a whole one.
+ARCHIVE_BYTES = 256 << 20
+BLANK_LINE = re.compile(rb"\r?\n\r?\n")
+DIGESTS = ("md5", "sha1", "sha256", "sha512")
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 # Column, WARC header.
 HEADERS = (
@@ -47,7 +52,7 @@ HEADERS = (
     ("refers_to", "warc-refers-to"),
     ("payload_digest", "warc-payload-digest"),
 )
-SCHEMA = ", ".join(f"{column} string" for column, _ in HEADERS) + ", payload_bytes long, payload binary"
+SCHEMA = ", ".join(f"{column} string" for column, _ in HEADERS) + ", payload_bytes long, error string, payload binary"
 
 
 def digest_of(payload: bytes) -> str:
@@ -98,7 +103,7 @@ def header_fields(head: bytes) -> dict[str, str]:
     """Header names, lower-cased, and values; the first line is left out."""
     fields: dict[str, str] = {}
     last = None
-    for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
+    for line in re.split("\r?\n", head.decode("utf-8", "replace"))[1:]:
         if line[:1] in (" ", "\t") and last:
             fields[last] += " " + line.strip()
         elif ":" in line:
@@ -117,6 +122,7 @@ class _Stream:
         self._gzip = None
         self._plain = b""
         self._skip_to = None
+        self._members = 0
 
     def _more(self) -> bool:
         if self._gzip is None:
@@ -142,8 +148,9 @@ class _Stream:
 
     def _begin_member(self) -> None:
         self._gzip = zlib.decompressobj(31)
+        self._members += 1
         self._skip_to = None
-        if self._raw[3] & 4 and self._raw[12:14] == b"sl":
+        if len(self._raw) >= 20 and self._raw[3] & 4 and self._raw[12:14] == b"sl":
             at = self._file.tell() - len(self._raw)
             self._skip_to = at + struct.unpack("<I", self._raw[16:20])[0]
 
@@ -151,8 +158,8 @@ class _Stream:
         """The next record's header lines, None at the end of the archive."""
         while True:
             self._plain = self._plain.lstrip(b"\r\n")
-            if (end := self._plain.find(b"\r\n\r\n")) >= 0:
-                head, self._plain = self._plain[:end], self._plain[end + 4 :]
+            if end := BLANK_LINE.search(self._plain):
+                head, self._plain = self._plain[: end.start()], self._plain[end.end() :]
                 return head
             if not self._more():
                 if self._plain:
@@ -172,6 +179,16 @@ class _Stream:
         data, self._plain = data[:size], data[size:]
         return data
 
+    def skip_member(self) -> bool:
+        """Step over the rest of a gzip member; False where there is none to end it."""
+        self._plain = b""
+        if self._skip_to is not None:
+            self.skip(0)
+        while (member := self._gzip) is not None and self._more() and self._gzip is member:
+            self._plain = b""
+        ended, self._plain = self._members > 0, b""
+        return ended
+
     def skip(self, size: int) -> None:
         """Step over the rest of a record; its member is not inflated if its end is known."""
         if self._skip_to is not None:
@@ -185,45 +202,93 @@ class _Stream:
             self._plain, size = self._plain[step:], size - step
 
 
-def read_records(file, wanted, with_payload: bool):
+def content_length(text: str | None) -> int | None:
+    """A header's length; None where it is missing or no length. Repeats that agree (`5, 5`) are one."""
+    said = {part.strip() for part in (text or "").split(",")}
+    return int(said.pop()) if len(said) == 1 and re.fullmatch("[0-9]{1,18}", min(said)) else None
+
+
+def fits(digest: str | None, payload: bytes) -> bool:
+    """Whether a payload has its labelled digest, in base32 or hex; an algorithm or spelling that is not known is not checked."""
+    name, _, said = (digest or "").partition(":")
+    name = name.strip().lower().replace("-", "")
+    if name not in DIGESTS:
+        return True
+    own = hashlib.new(name, payload).digest()
+    spelled = {base64.b32encode(own).rstrip(b"=").decode(): 32, own.hex().upper(): 16}
+    said = said.strip().rstrip("=").upper()
+    return said in spelled or len(said) not in map(len, spelled)
+
+
+def read_records(file, wanted, with_payload: bool, fail_fast: bool = False):
     """Rows of an archive whose header columns `wanted` accepts.
 
-    `payload_bytes` is the full payload's length also where the record leaves it out, as
-    a revisit does. A payload that does not fit its digest is an error.
+    `payload_bytes` is the payload's length as it stands in the block, with or without
+    `with_payload`, whatever the HTTP header says of it; only a revisit, which leaves its payload out,
+    has it from there (null if that is no number). Header lines may end in bare line feeds.
+
+    A record that is damaged is a row whose `error` says how, or raises with `fail_fast`:
+    a payload that does not fit its digest comes along as it is; a record whose length is
+    missing or no number hides the rest of its gzip member, or of an archive that is not compressed; one
+    that is cut off, or bytes that cannot be inflated, end the archive. Errors of records that
+    `wanted` does not accept are not shown; headers that are cut off count as null.
     """
     stream = _Stream(file)
-    while (head := stream.head()) is not None:
-        fields = header_fields(head)
-        size = int(fields.get("content-length", 0))
-        row = {column: fields.get(name) for column, name in HEADERS}
-        if not wanted(row):
-            stream.skip(size)
-            continue
-        digest = row["payload_digest"]
-        payload, length = None, size
-        if with_payload or row["record_type"] in ("response", "revisit"):
-            if "application/http" in fields.get("content-type", ""):
-                block = stream.take(size) if with_payload else _http_head(stream, size)
-                http, _, payload = block.partition(b"\r\n\r\n")
-                length = int(header_fields(http).get("content-length", len(payload)))
+    none = dict.fromkeys(column for column, _ in HEADERS)
+    while True:
+        row, error = none, None
+        try:
+            if (head := stream.head()) is None:
+                return
+            fields = header_fields(head)
+            row = {column: fields.get(name) for column, name in HEADERS}
+            size = content_length(fields.get("content-length"))
+            length, payload = size, None
+            if size is None:
+                error = "the record's length is missing or no number"
+                more = stream.skip_member()
+            elif not wanted(row):
+                stream.skip(size)
             else:
-                payload = stream.take(size)
-        else:
-            stream.skip(size)
-        if not with_payload or row["record_type"] == "revisit":
-            payload = None
-        elif payload is not None and digest and digest.startswith("sha1:") and digest[5:] != digest_of(payload):
-            raise ValueError(f"the payload of {row['record_id']} does not fit its digest")
-        yield *row.values(), length, payload
-
-
-def _http_head(stream: _Stream, size: int) -> bytes:
-    """The HTTP headers of a block; the payload behind them is stepped over."""
-    block = b""
-    while b"\r\n\r\n" not in block and len(block) < size:
+                length, payload = _block(stream, fields, row, size, with_payload)
+                if payload is not None and not fits(row["payload_digest"], payload):
+                    error = "the payload does not fit its digest"
+        except (ValueError, zlib.error, struct.error) as broken:
+            length, payload, error, more = None, None, str(broken), False
+        if wanted(row):
+            if error and fail_fast:
+                raise ValueError(f"{row['record_id']}: {error}")
+            yield *row.values(), length, error, payload
+        if error and error != "the payload does not fit its digest" and not more:
+            return
+
+
+def _block(stream: _Stream, fields: dict, row: dict, size: int, with_payload: bool) -> tuple[int | None, bytes | None]:
+    """(payload length, payload or None) of a record, which the stream has then passed."""
+    revisit = row["record_type"] == "revisit"
+    if "application/http" not in fields.get("content-type", "").lower():
+        if with_payload and not revisit:
+            return size, stream.take(size)
+        stream.skip(size)
+        return size, None
+    if with_payload and not revisit:
+        block = stream.take(size)
+        end = BLANK_LINE.search(block)
+        payload = block[end.end() :] if end else b""
+        return len(payload), payload
+    http, begin = _http_head(stream, size)
+    return content_length(header_fields(http).get("content-length")) if revisit else size - begin, None
+
+
+def _http_head(stream: _Stream, size: int) -> tuple[bytes, int]:
+    """The HTTP headers of a block and where its payload begins; the payload is stepped over."""
+    block, end = b"", None
+    while end is None and len(block) < size:
+        seen = max(0, len(block) - 3)
         block += stream.take(min(512, size - len(block)))
+        end = BLANK_LINE.search(block, seen)
     stream.skip(size - len(block))
-    return block.partition(b"\r\n\r\n")[0] + b"\r\n\r\n"
+    return (block[: end.start()], end.end()) if end else (block, size)
 
 
 # -- the data source ----------------------------------------------------------------
@@ -242,6 +307,7 @@ class WarcReader(DataSourceReader):
     def __init__(self, options):
         self.path = options["path"]
         self.with_payload = options.get("payload", "true").lower() == "true"
+        self.fail_fast = options.get("mode", "PERMISSIVE").upper() == "FAILFAST"
         self.filters: list[tuple[str, str, object]] = []
 
     def pushFilters(self, filters):
@@ -283,7 +349,7 @@ class WarcReader(DataSourceReader):
     def read(self, partition):
         system, _ = _filesystem(self.path)
         names = [part.split()[0] for part in SCHEMA.split(", ")]
-        kinds = [pa.string()] * len(HEADERS) + [pa.int64(), pa.binary()]
+        kinds = [pa.string()] * len(HEADERS) + [pa.int64(), pa.string(), pa.binary()]
         rows, size = [], 0
 
         def batch():
@@ -292,7 +358,7 @@ class WarcReader(DataSourceReader):
 
         for path in partition.paths:
             with system.open_input_file(path) as file:
-                for row in read_records(file, self._wanted, self.with_payload):
+                for row in read_records(file, self._wanted, self.with_payload, self.fail_fast):
                     rows.append(row)
                     size += 500 + len(row[-1] or b"")
                     if size > BATCH_BYTES:
@@ -303,35 +369,42 @@ class WarcReader(DataSourceReader):
 
 
 @dataclass
-class WrittenFile(WriterCommitMessage):
-    name: str
+class WrittenFiles(WriterCommitMessage):
+    names: list[str]
 
 
 class WarcWriter(DataSourceArrowWriter):
-    """One archive per task, moved from `_pending` into the folder when all are done."""
+    """Archives of `ARCHIVE_BYTES` and at most a record more, of which a task writes one after
+    the other, moved from `_pending` into the folder when all tasks are done."""
 
     def __init__(self, options):
         self.path = options["path"]
         self.date = options.get("date") or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def write(self, iterator):
-        name = f"pages-{uuid.uuid4().hex}.warc.gz"
         system, path = _filesystem(self.path)
         system.create_dir(f"{path}/_pending", recursive=True)
-        with system.open_output_stream(f"{path}/_pending/{name}", compression=None) as out:
-            for batch in iterator:
-                for row in batch.to_pylist():
-                    record = page_record(
-                        row["page_id"], row["url"], (row["html"] or "").encode("utf-8", "replace"), row["refers_to"], self.date
-                    )
-                    out.write(gzip_member(record))
-        return WrittenFile(name)
+        members = (
+            gzip_member(page_record(row["page_id"], row["url"], (row["html"] or "").encode("utf-8", "replace"), row["refers_to"], self.date))
+            for batch in iterator
+            for row in batch.to_pylist()
+        )
+        names, following = [], next(members, None)
+        while following is not None or not names:
+            names.append(f"pages-{uuid.uuid4().hex}.warc.gz")
+            with system.open_output_stream(f"{path}/_pending/{names[-1]}", compression=None) as out:
+                size = 0
+                while following is not None and size < ARCHIVE_BYTES:
+                    out.write(following)
+                    size += len(following)
+                    following = next(members, None)
+        return WrittenFiles(names)
 
     def commit(self, messages):
         system, path = _filesystem(self.path)
         for message in messages:
-            if message is not None:
-                system.move(f"{path}/_pending/{message.name}", f"{path}/{message.name}")
+            for name in message.names if message is not None else ():
+                system.move(f"{path}/_pending/{name}", f"{path}/{name}")
 
     def abort(self, messages):
         """Nothing to undo: readers do not look into `_pending`."""
@@ -383,16 +456,26 @@ def with_revisits(pages: DataFrame, min_bytes: int = 0, id_col="page_id", url_co
 
 
 def write_archives(pages: DataFrame, path: str, date: str | None = None) -> None:
-    """Write (page_id, url, html, refers_to) rows as archives in a folder."""
+    """Write (page_id, url, html, refers_to) rows as archives in a folder.
+
+    Every row is a record, repeated rows and rows without an id or url too; null html is an
+    empty payload, and other columns are left out. No rows leave archives without records.
+    """
+    pages = pages.select("page_id", "url", "html", "refers_to")
     register(pages.sparkSession)
     writer = pages.write.format("warc").mode("append")
     (writer.option("date", date) if date else writer).save(path)
 
 
-def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
-    """Records of all archives in a folder; without `payload` none is inflated needlessly."""
+def read_archives(spark: SparkSession, path: str, payload: bool = True, fail_fast: bool = False) -> DataFrame:
+    """Records of all archives in a folder; without `payload` none is inflated needlessly.
+
+    Damaged records are rows with an `error` (see `read_records`), or fail the read with
+    `fail_fast`. A header that a record lacks is null; a folder without records has no rows.
+    """
     register(spark)
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
+    reader = spark.read.format("warc").option("payload", str(payload).lower())
+    return reader.option("mode", "FAILFAST" if fail_fast else "PERMISSIVE").load(path)
 
 
 def page_id_of(record_id: str):
