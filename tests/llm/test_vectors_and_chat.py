@@ -257,6 +257,38 @@ def test_a_reply_chain_is_one_thread_in_order(spark):
     assert [r.reply_text for r in ordered] == ["How do I  sort this?", "Use ORDER BY.", "Thanks!", "An unrelated question."]
 
 
+def test_conversations_in_reply_order(spark):
+    """One conversation holds a third of all rows; ties, repeats, nulls and clashing names."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(600):
+        conv = None if i % 50 == 7 else 0 if i % 3 == 0 else int(rng.integers(1, 20))
+        turn = None if i % 41 == 3 else int(rng.integers(0, 40))
+        thread = None if turn is None else int(rng.integers(0, turn + 1))
+        rows.append((conv, turn, str(rng.choice(["user", "assistant"])), str(rng.integers(0, 3)), thread, f"p{i % 2}", i, 7))
+    rows += rows[:40]
+    names = "conv_id long, turn long, role string, reply_text string, thread_turn long, part string, row int, place int"
+    df = spark.createDataFrame(rows, names)
+    got = chat.in_reply_order(df)
+    assert got.columns == [*df.columns[:-1], "place"]
+    seen = {}
+    for r in got.collect():
+        seen.setdefault(r.conv_id, {})[r.place] = (r.thread_turn, r.turn, r.role, r.reply_text)
+    nulls_first = lambda key: [(v is not None, v) for v in key]
+    expected = {}
+    for conv, turn, role, text, thread, *_ in rows:
+        expected.setdefault(conv, []).append((thread, turn, role, text))
+    assert seen.keys() == expected.keys()
+    for conv, messages in expected.items():
+        assert [seen[conv][i + 1] for i in range(len(messages))] == sorted(messages, key=nulls_first)
+    assert sorted(r.row for r in got.collect()) == sorted(r[6] for r in rows)
+    assert chat.in_reply_order(df.where("false")).count() == 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+    linked = chat.link_quotations(spark.createDataFrame([(1, 0, "u", "a b"), (1, 1, "u", "c"), (1, 2, "u", "> a b\nd")], "conv_id long, turn long, role string, text string"))
+    assert [(r.place, r.turn, r.reply_text) for r in chat.in_reply_order(linked).orderBy("place").collect()] == [(1, 0, "a b"), (2, 2, "d"), (3, 1, "c")]
+
+
 def test_no_python_runs_in_quotation_linking(spark):
     df = spark.createDataFrame(threads(), "conv_id long, turn long, role string, text string, level int")
     plan = chat.link_quotations(df)._jdf.queryExecution().executedPlan().toString()

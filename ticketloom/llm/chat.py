@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ticketloom.llm.storage import stored
 
@@ -138,6 +139,41 @@ def link_quotations(
     )
 
 
+def in_reply_order(linked: DataFrame) -> DataFrame:
+    """Conversations without quotes: linked messages with their place, from 1, in their conversation.
+
+    Threads follow each other by their first message, messages within a thread by turn, so
+    each comes after the one it replies to. Rows of one turn stand by role, then by
+    reply text, nulls first; identical rows get neighbouring places. Messages without a conversation are
+    numbered as one, those without a turn come first in theirs. No rows give no rows. Other columns are kept.
+
+    Rows are range-partitioned by place, so a long conversation spans many tasks; each
+    numbers its own part, and the parts' sizes, a row per conversation and part, are
+    summed up to the rows before.
+    """
+    keys = ["conv_id", "thread_turn", "turn", "role", "reply_text"]
+    part, row = (_new_name(linked, name) for name in ("part", "row"))
+    parted = linked.repartitionByRange(*keys).withColumn(part, F.spark_partition_id())
+    parted = stored(parted, "reply-order")
+    own = Window.partitionBy("conv_id", part).orderBy(*keys[1:])
+    earlier = Window.partitionBy("conv_id").orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = parted.groupBy("conv_id", part).agg(F.count(F.lit(1)).alias("rows"))
+    sizes = sizes.select(
+        F.col("conv_id").alias("_conv"), F.col(part).alias("_part"), F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before")
+    )
+    numbered = parted.withColumn(row, F.row_number().over(own).cast("long")).alias("m")
+    same = F.col("m.conv_id").eqNullSafe(F.col("s._conv")) & (F.col(f"m.{part}") == F.col("s._part"))
+    place = (F.col("s.before") + F.col(f"m.{row}")).alias("place")
+    return numbered.join(sizes.alias("s"), same).select(*[F.col(f"m.`{c}`") for c in linked.columns if c != "place"], place)
+
+
+def _new_name(df: DataFrame, name: str) -> str:
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def thread_roots(replies: DataFrame) -> DataFrame:
     """(conv_id, turn, reply_to, thread_turn, depth) of every reply.
 
