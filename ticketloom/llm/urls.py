@@ -2,7 +2,8 @@
 
 Two smoothed variable-order Markov models over bytes are learned from all distinct URLs
 that the rules allow and block. A URL that no rule fits is allowed if its log-likelihood
-difference per byte reaches a cut calibrated on URLs the models have not seen.
+difference per byte reaches a cut calibrated on URLs the models have not seen: on some
+that are left out, or on all of them, each scored by what the other folds have counted.
 
 The models are a table of n-grams, counted and looked up in Spark, so neither the driver
 nor a task holds them. URLs are scored in blocks of bounded size: a block asks once for
@@ -26,6 +27,11 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 from ticketloom.llm.storage import stored
 
 ORDER = 5
+FOLDS = 5
+# An n-gram's fold stands above its order.
+FOLD_BIT = 51
+# URLs of a verdict with fewer than so many are dealt evenly over the folds.
+FEW_URLS = 1000
 SEEN_AT_LEAST = 3
 BLOCK_BYTES = 1 << 16
 BYTES_AT_ONCE = 1 << 20
@@ -100,43 +106,49 @@ def flat_bytes(urls: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, np.arange(len(data)) - np.repeat(np.cumsum(sizes) - sizes, sizes), sizes
 
 
-def grams_by_order(data: np.ndarray, at: np.ndarray):
+def fold_bits(folds: pa.Array, sizes: np.ndarray) -> np.ndarray:
+    """For every byte of some URLs, its URL's fold as it stands in n-grams."""
+    return np.repeat(folds.to_numpy(zero_copy_only=False).astype(np.int64) << FOLD_BIT, sizes)
+
+
+def grams_by_order(data: np.ndarray, at: np.ndarray, fold: np.ndarray):
     """For some stretches of bytes: the n-grams that end at each, one array per order.
 
-    An n-gram is one long: its order (bytes before the last) above 48 bits of bytes.
-    Bytes without so many before them in their URL have -1.
+    An n-gram is one long: its order (bytes before the last) above 48 bits of bytes, and
+    above that its fold. Bytes without so many before them in their URL have -1.
     """
     for start in range(0, len(data), BYTES_AT_ONCE):
         first = max(0, start - ORDER)
         some, place = data[first : start + BYTES_AT_ONCE].astype(np.int64), at[start : start + BYTES_AT_ONCE]
-        value, orders = some.copy(), []
+        value, above, orders = some.copy(), fold[start : start + BYTES_AT_ONCE], []
         for order in range(ORDER + 1):
             if order:
                 value[order:] += some[:-order] << 8 * order
-            orders.append(np.where(place >= order, value[start - first :] | order << 48, -1))
+            orders.append(np.where(place >= order, value[start - first :] | order << 48 | above, -1))
         yield orders
 
 
-def longest_grams(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+def longest_grams(data: np.ndarray, at: np.ndarray, fold: np.ndarray) -> np.ndarray:
     """The n-gram of the highest order that ends at each byte."""
-    return np.concatenate([np.zeros(0, np.int64), *(np.max(orders, axis=0) for orders in grams_by_order(data, at))])
+    return np.concatenate([np.zeros(0, np.int64), *(np.max(orders, axis=0) for orders in grams_by_order(data, at, fold))])
 
 
-def count_grams(ruled: DataFrame) -> DataFrame:
+def count_grams(ruled: DataFrame, fold: str = "0") -> DataFrame:
     """(gram, allow, block): how often each n-gram of any order is in URLs of a verdict."""
 
     def run(batches):
         for batch in batches:
             for verdict in ("allow", "block"):
-                own = batch.filter(pc.equal(batch.column(0), verdict)).column(1)
-                for orders in grams_by_order(*flat_bytes(own)[:2]):
+                own = batch.filter(pc.equal(batch.column(0), verdict))
+                data, at, sizes = flat_bytes(own.column(1))
+                for orders in grams_by_order(data, at, fold_bits(own.column(2), sizes)):
                     for found in orders:
                         grams, n = np.unique(found[found >= 0], return_counts=True)
                         n, none = n.astype(np.int64), np.zeros(len(n), np.int64)
                         pair = (n, none) if verdict == "allow" else (none, n)
                         yield pa.RecordBatch.from_arrays([*map(pa.array, (grams, *pair))], names=["gram", "allow", "block"])
 
-    found = ruled.select("rule_verdict", "url").mapInArrow(run, "gram long, allow long, block long")
+    found = ruled.select("rule_verdict", "url", F.expr(fold).cast("long").alias("fold")).mapInArrow(run, "gram long, allow long, block long")
     return found.groupBy("gram").agg(F.sum("allow").alias("allow"), F.sum("block").alias("block"))
 
 
@@ -145,12 +157,14 @@ def gram_differences(asked: DataFrame, counts: DataFrame) -> DataFrame:
 
     With n-gram and context counted, the chance is (n + kinds * c) / (total + kinds), where
     c is that of the n-gram without its first byte; with an unknown context it is c.
+    N-grams of different folds have nothing to do with each other.
     """
 
     def cut_to(order: int) -> Column:
-        return F.col("gram").bitwiseAND((1 << 8 * (order + 1)) - 1).bitwiseOR(F.lit(order << 48))
+        return F.col("gram").bitwiseAND((1 << 8 * (order + 1)) - 1).bitwiseOR(F.lit(order << 48)).bitwiseOR(fold)
 
-    order = F.shiftright("gram", 48)
+    fold = F.col("gram").bitwiseAND(F.lit(-1 << FOLD_BIT))
+    order = F.shiftright("gram", 48).bitwiseAND((1 << FOLD_BIT - 48) - 1)
     cuts = [F.when(order > k, cut_to(k)) for k in range(ORDER)]
     # An n-gram asked for needs all its shorter ones.
     needed = asked.select("gram").distinct().select(F.explode(F.array("gram", *cuts)).alias("gram")).where("gram is not null")
@@ -184,14 +198,15 @@ def gram_differences(asked: DataFrame, counts: DataFrame) -> DataFrame:
     return every.select("gram", (F.log("allow") - F.log("block")).alias("difference"))
 
 
-def with_differences(urls: DataFrame, counts: DataFrame) -> DataFrame:
-    """`urls`, whose column `url` is neither null nor empty, with the difference per byte.
+def with_differences(urls: DataFrame, counts: DataFrame, fold: str = "0") -> DataFrame:
+    """`urls`, whose column `url` is neither null nor empty, with the difference per byte
+    by the counts of each URL's fold.
 
     Rows are numbered into blocks of about `BLOCK_BYTES` of URLs where they lie, so a URL
     in very many rows is dealt over many blocks.
     """
     at, schema = urls.columns.index("url"), urls.schema
-    in_blocks = StructType([*schema.fields, StructField("_block", LongType())])
+    in_blocks = StructType([*schema.fields, StructField("_fold", LongType()), StructField("_block", LongType())])
 
     def number(batches):
         done = 0
@@ -206,19 +221,22 @@ def with_differences(urls: DataFrame, counts: DataFrame) -> DataFrame:
             block = batch.column(0).to_numpy(zero_copy_only=False)
             starts = np.flatnonzero(np.diff(block, prepend=-1))
             for start, end in zip(starts, [*starts[1:], len(block)]):
-                grams = np.unique(longest_grams(*flat_bytes(batch.column(1).slice(start, end - start))[:2]))
+                some = batch.slice(start, end - start)
+                data, places, sizes = flat_bytes(some.column(1))
+                grams = np.unique(longest_grams(data, places, fold_bits(some.column(2), sizes)))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), block[start])), pa.array(grams)], names=["_block", "gram"])
 
     def add_up(rows: pa.Table, known: pa.Table) -> pa.Table:
         data, places, sizes = flat_bytes(rows.column("url").combine_chunks())
         grams = known.column("gram").to_numpy()
         by_gram = np.argsort(grams)
-        own = known.column("difference").to_numpy()[by_gram][np.searchsorted(grams[by_gram], longest_grams(data, places))]
+        asked_for = longest_grams(data, places, fold_bits(rows.column("_fold").combine_chunks(), sizes))
+        own = known.column("difference").to_numpy()[by_gram][np.searchsorted(grams[by_gram], asked_for)]
         found = np.add.reduceat(own, np.cumsum(sizes) - sizes) / sizes
-        return rows.drop_columns(["_block"]).append_column("difference", pa.array(found))
+        return rows.drop_columns(["_fold", "_block"]).append_column("difference", pa.array(found))
 
-    blocks = stored(urls.mapInArrow(number, in_blocks), "blocks")
-    asked = stored(blocks.select("_block", "url").mapInArrow(ask, "_block long, gram long").distinct(), "asked")
+    blocks = stored(urls.withColumn("_fold", F.expr(fold).cast("long")).mapInArrow(number, in_blocks), "blocks")
+    asked = stored(blocks.select("_block", "url", "_fold").mapInArrow(ask, "_block long, gram long").distinct(), "asked")
     known = asked.join(gram_differences(asked, counts), "gram").select("_block", "gram", "difference")
     out = StructType([*schema.fields, StructField("difference", DoubleType())])
     return blocks.groupBy("_block").cogroup(known.groupBy("_block")).applyInArrow(add_up, out)
@@ -245,11 +263,13 @@ def with_rules(pages: DataFrame, rules: list[Rule], url_col="url") -> DataFrame:
     return pages.withColumns({"rule": name, "rule_verdict": verdict})
 
 
-def fit(pages: DataFrame, rules: list[Rule], cut_urls_per_class: int = 2_000, url_col="url") -> UrlModel:
-    """Learn from all distinct URLs of either verdict but those that set the cut.
+def fit(pages: DataFrame, rules: list[Rule], cut_urls_per_class: int | None = 2_000, url_col="url") -> UrlModel:
+    """Learn from the distinct URLs of either verdict and set the cut.
 
-    The cut is the one with the best balanced accuracy on a fifth of the distinct URLs of
-    each verdict, at most `cut_urls_per_class`, taken by a hash.
+    The cut is the one with the best balanced accuracy on URLs the counts do not hold.
+    With `cut_urls_per_class` these are left out of the model: a fifth of the distinct URLs
+    of each verdict, at most so many, taken by a hash. With None every URL is counted and
+    every URL sets the cut, scored by the counts of all folds but its own.
     """
     ruled = with_rules(pages.select(F.col(url_col).alias("url")), rules).where("url is not null and url <> ''")
     ruled = ruled.where("rule_verdict is not null").select("rule_verdict", "url").distinct()
@@ -257,6 +277,8 @@ def fit(pages: DataFrame, rules: list[Rule], cut_urls_per_class: int = 2_000, ur
     sizes = {r["rule_verdict"]: r["count"] for r in ruled.groupBy("rule_verdict").count().collect()}
     if min(sizes.get(v, 0) for v in ("allow", "block")) < 2:
         return UrlModel(None)
+    if cut_urls_per_class is None:
+        return _cross_fitted(ruled, sizes)
     for_cut, learned = [], F.lit(False)
     for verdict in ("allow", "block"):
         own, taken = ruled.where(F.col("rule_verdict") == verdict), min(cut_urls_per_class, -(-sizes[verdict] // 5))
@@ -273,6 +295,63 @@ def fit(pages: DataFrame, rules: list[Rule], cut_urls_per_class: int = 2_000, ur
     return UrlModel(counts, best_cut(np.array(found["allow"]), np.array(found["block"])))
 
 
+def _cross_fitted(ruled: DataFrame, sizes: dict[str, int]) -> UrlModel:
+    folded = stored(in_folds(ruled, sizes).sortWithinPartitions("fold"), "folds")
+    by_fold = stored(count_grams(folded, "fold"), "fold_counts")
+    sums = [F.sum(v).alias(v) for v in ("allow", "block")]
+    bare = F.col("gram").bitwiseAND((1 << FOLD_BIT) - 1)
+    counts = stored(by_fold.groupBy(bare.alias("gram")).agg(*sums), "counts")
+    # All folds' counts less a fold's own are those of the others.
+    folds = F.explode(F.array(*(F.lit(f << FOLD_BIT) for f in range(1, FOLDS + 1))))
+    every = counts.select("allow", "block", "gram", folds.alias("fold"))
+    every = every.select(F.col("gram").bitwiseOR(F.col("fold")).alias("gram"), "allow", "block")
+    others = every.unionByName(by_fold.select("gram", *((-F.col(v)).alias(v) for v in ("allow", "block"))))
+    scored = with_differences(folded, others, "fold")
+    return UrlModel(counts, best_cut_of(scored, sizes))
+
+
+def in_folds(ruled: DataFrame, sizes: dict[str, int]) -> DataFrame:
+    """(rule_verdict, url, fold): folds from 1 on by hash; in turn for a verdict of few URLs,
+    so that no fold has them all."""
+    few = [verdict for verdict, size in sizes.items() if size < FEW_URLS]
+    rank = F.row_number().over(Window.partitionBy("rule_verdict").orderBy("hash", "url"))
+    are_few = F.col("rule_verdict").isin(few)
+    parts = [
+        ruled.where(some).select("rule_verdict", "url", (F.pmod(number, F.lit(FOLDS)) + 1).cast("long").alias("fold"))
+        for some, number in ((~are_few, F.col("hash")), (are_few, rank))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def best_cut_of(scored: DataFrame, sizes: dict[str, int]) -> float:
+    """`best_cut` of any number of rows (rule_verdict, difference): differences are brought
+    into ranges, and the driver gets one row per range."""
+    counted = [F.count_if(F.col("rule_verdict") == v).alias(v) for v in ("allow", "block")]
+    counts = scored.groupBy("difference").agg(*counted)
+    counts = stored(counts.repartitionByRange("difference").withColumn("range", F.spark_partition_id()), "cuts")
+    totals = counts.groupBy("range").agg(F.min("difference").alias("first"), F.sum("allow").alias("allow"), F.sum("block").alias("block"))
+    before, allow, block = [], 0, 0
+    ranges = sorted(totals.collect(), key=lambda r: r["first"])
+    for own, after in zip(ranges, [*ranges[1:], None]):
+        before.append((own["range"], after and after["first"], allow, block))
+        allow, block = allow + own["allow"], block + own["block"]
+    before = scored.sparkSession.createDataFrame(before, "range int, after double, allow_before long, block_before long")
+    in_order = Window.partitionBy("range").orderBy("difference")
+    up_to_here = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = counts.join(F.broadcast(before), "range").select(
+        "difference",
+        F.coalesce(F.lead("difference").over(in_order), "after").alias("next"),
+        *(F.col(v).alias(v) for v in ("allow", "block")),
+        *((F.col(f"{v}_before") + F.sum(v).over(up_to_here)).alias(f"{v}_sum") for v in ("allow", "block")),
+    )
+    # Equal neighbours have themselves half-way between.
+    same = F.when(F.col("allow") + F.col("block") > 1, F.col("difference"))
+    rows = rows.withColumn("cut", F.explode(F.array((F.col("difference") + F.col("next")) / 2, same))).where("cut is not null")
+    below = {v: F.col(f"{v}_sum") - F.when(F.col("cut") > F.col("difference"), 0).otherwise(F.col(v)) for v in ("allow", "block")}
+    good = (1 - below["allow"] / F.lit(sizes["allow"])) + below["block"] / F.lit(sizes["block"])
+    return rows.orderBy(good.desc(), F.abs("cut"), "cut").first()["cut"]
+
+
 def best_cut(allow: np.ndarray, block: np.ndarray) -> float:
     """The cut with the best balanced accuracy of all that lie half-way between two
     neighbouring differences; of equally good ones the nearest to zero, then the smaller."""
