@@ -1,7 +1,7 @@
 """Packing, SimHash, language, toxicity and pieces against brute force and odd input."""
 
-import re
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -379,3 +379,30 @@ def test_words_kept_give_the_same_ids_as_whole_texts():
     texts = ["".join(rng.choice(pool, rng.integers(0, 60))) for _ in range(3000)]
     got = list(packing.WordCachingEncoder(WORDS).encode(texts))
     assert [ids.tolist() for ids in got] == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_a_known_word_is_not_encoded_again_by_later_tasks(monkeypatch):
+    encoder = packing.kept_encoder(WORDS)
+    texts = [f"Ünder the {n} bridges, {n} x\tof-(it)" for n in ("old", "new")] + ["it's 日 old", "", "<|endoftext|> it"]
+    first = [ids.tolist() for ids in encoder.encode(texts)]
+    monkeypatch.setattr(packing.WordCachingEncoder, "_learn", lambda self, words: pytest.fail(f"{words} were known"))
+    again = [ids.tolist() for ids in packing.kept_encoder(WORDS).encode(texts[::-1])]
+    assert again[::-1] == first
+    monkeypatch.undo()
+    monkeypatch.setattr(packing, "WORDS_KEPT", 3)
+    assert [ids.tolist() for text in texts for ids in encoder.encode([text])] == first
+
+
+def test_words_are_runs_of_letters_and_of_others():
+    rng = np.random.default_rng(8)
+    texts = ["".join(map(chr, rng.integers(0, 256, rng.integers(0, 40)))).replace("'", "").replace("<|", "") for _ in range(2000)]
+    coded = [packing._in_latin(text) for text in texts]
+    assert packing._in_latin("it's") is packing._in_latin("a<|b") is packing._in_latin("日") is None
+    words, counts = packing._words(coded, packing._IN_LATIN)
+    expected = []
+    for text in texts:
+        for space in "\t\n\v\f\r":
+            text = text.replace(space, " ")
+        expected.append(re.findall("[a-zªµºß-öø-ÿ]+|[^ a-zªµºß-öø-ÿ]+", text.lower()))
+    assert [w.decode("latin-1") for w in words.to_pylist()] == sum(expected, [])
+    assert counts.tolist() == [len(own) for own in expected]

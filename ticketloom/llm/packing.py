@@ -9,6 +9,7 @@ in the plan's ranges; numbers are given without bringing pieces of a length toge
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import zlib
@@ -16,6 +17,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,34 +28,60 @@ from ticketloom.llm.storage import map_batches, stored
 WORD_END = "</w>"
 WORDS_KEPT = 600_000
 TOKENS_KEPT = 8_000_000
-WORDS_AT_ONCE = 1000
-CHARS_AT_ONCE = 500_000
+# The library takes longer for a word, the longer the text it stands in.
+WORDS_AT_ONCE = 50
+CHARS_AT_ONCE = 4_000_000
+ROWS_AT_ONCE = 1000
 REINDEX_AFTER = 32
 
 
-_SPACES = "\t\n\v\f\r"
 _LETTERS = re.compile("[a-zªµºß-öø-ÿ]+")
-_RUNS = re.compile("[a-zªµºß-öø-ÿ]+|[^ a-zªµºß-öø-ÿ]+")
+# Kinds of bytes: words are runs of one kind, 0 parts them.
+_LOWER = bytes(ord(chr(c).lower()) for c in range(256))
+_IN_LATIN = np.array([2 if not _LETTERS.fullmatch(chr(c)) else 1 for c in range(256)], np.uint8)
+_IN_OTHERS = np.ones(256, np.uint8)
+for _kinds in (_IN_LATIN, _IN_OTHERS):
+    _kinds[list(b" \t\n\v\f\r")] = 0
 
 
-def _words(text: str) -> list[str]:
-    """Parts of a text whose ids, in turn, are the text's.
-
-    Latin-1 is lower-cased here as by the tokenizer and parted into runs of letters and of
-    other characters, which it never joins, for fewer distinct words. Not so texts with
+def _in_latin(text: str) -> bytes | None:
+    """Latin-1 is lower-cased here as by the tokenizer and parted into runs of letters and
+    of other characters, which it never joins, for fewer distinct words. Not so texts with
     an apostrophe, which it may take together with letters, texts that may hold special
     tokens, which are found before lower-casing, and other scripts: these are parted at
     spaces alone.
     """
-    for space in _SPACES:
-        text = text.replace(space, " ")
-    if "'" not in text and "<|" not in text:
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return text.split(" ")
-        return _RUNS.findall(text.lower())
-    return text.split(" ")
+    if "'" in text or "<|" in text:
+        return None
+    try:
+        return text.encode("latin-1").translate(_LOWER)
+    except UnicodeEncodeError:
+        return None
+
+
+def _words(texts: list[bytes], kinds: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Parts of texts whose ids, in turn, are the texts', and how many each text has."""
+    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    kind = kinds[data]
+    starts = np.flatnonzero(np.diff(kind, prepend=0))
+    lengths = np.diff(starts, append=len(data))
+    real = kind[starts] > 0
+    starts, lengths = starts[real], lengths[real]
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data[kind > 0])]
+    words = pa.Array.from_buffers(pa.large_binary(), len(lengths), buffers)
+    ends = np.cumsum([len(text) + 1 for text in texts])
+    return words, np.diff(np.searchsorted(starts, ends), prepend=0)
+
+
+def _as_text(words: pa.Array, encoding: str) -> list[str]:
+    if encoding != "latin-1":
+        return [word.decode(encoding) for word in words.to_pylist()]
+    # A byte is a character, so all words are decoded at once.
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1].tolist()
+    text = data.to_pybytes().decode(encoding)
+    return [text[start:end] for start, end in zip(ends, ends[1:])]
 
 
 class _Numbers(dict):
@@ -69,7 +97,7 @@ class _Numbers(dict):
 
 
 class WordCachingEncoder:
-    """Token ids of whole texts, encoding each distinct word of a task once.
+    """Token ids of whole texts, encoding each distinct word once while it is kept.
 
     For tokenizers that drop white space and never make a token across it: a text's ids
     are then those of its words in turn. Words not seen before are encoded together. Where
@@ -150,12 +178,21 @@ class WordCachingEncoder:
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self._slots) > WORDS_KEPT or len(self._pool) > TOKENS_KEPT:
             self._forget()
-        words, counts = [], []
-        for text in texts:
-            own = _words(text)
-            words += own
-            counts.append(len(own))
-        slots = np.fromiter(map(self._slots.__getitem__, words), np.int64, len(words))
+        latin = [_in_latin(text) for text in texts]
+        if None not in latin:
+            return self._encode_alike(latin, _IN_LATIN, "latin-1")
+        others = [text.encode() for text, own in zip(texts, latin) if own is None]
+        others = iter(self._encode_alike(others, _IN_OTHERS, "utf-8"))
+        in_latin = iter(self._encode_alike([own for own in latin if own is not None], _IN_LATIN, "latin-1"))
+        return [next(others if own is None else in_latin) for own in latin]
+
+    def _encode_alike(self, texts: list[bytes], kinds: np.ndarray, encoding: str) -> list[np.ndarray]:
+        if not texts:
+            return []
+        words, counts = _words(texts, kinds)
+        coded = words.dictionary_encode()
+        distinct = _as_text(coded.dictionary, encoding)
+        slots = np.fromiter(map(self._slots.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
         if self._slots.new:
             self._learn(self._slots.new)
             self._slots.new = []
@@ -166,6 +203,12 @@ class WordCachingEncoder:
         return np.split(self._pool[at], bounds[:-1])
 
 
+@functools.lru_cache(maxsize=1)
+def kept_encoder(tokenizer_path: str) -> WordCachingEncoder:
+    """One encoder for all tasks that a Python worker runs: they share their words."""
+    return WordCachingEncoder(tokenizer_path)
+
+
 def tokenized_pieces(
     docs: DataFrame,
     tokenizer_path: str,
@@ -183,7 +226,7 @@ def tokenized_pieces(
     """
 
     def start():
-        encoder = WordCachingEncoder(tokenizer_path)
+        encoder = kept_encoder(tokenizer_path)
         context = TaskContext.get()
         part = context.partitionId() if context else 0
         seen = np.zeros(capacity + 1, np.int64)
@@ -206,7 +249,7 @@ def tokenized_pieces(
     if keep_ids:
         schema += ", ids array<int>"
     columns = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return map_batches(columns, ["doc_id", "text"], schema, start)
+    return map_batches(columns, ["doc_id", "text"], schema, start, ROWS_AT_ONCE)
 
 
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:

@@ -26,7 +26,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def map_batches(
-    df: DataFrame, columns: list[str], schema: str, start: Callable[[], Callable]
+    df: DataFrame, columns: list[str], schema: str, start: Callable[[], Callable], rows_at_once: int = ROWS_AT_ONCE
 ) -> DataFrame:
     """Map Arrow batches of some columns to batches of another schema.
 
@@ -40,8 +40,8 @@ def map_batches(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         convert = start()
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                some = batch.slice(at, ROWS_AT_ONCE)
+            for at in range(0, batch.num_rows, rows_at_once):
+                some = batch.slice(at, rows_at_once)
                 got = convert(*(column.to_pylist() for column in some.columns))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(got[f.name], type=f.type) for f in arrow], schema=arrow
