@@ -18,6 +18,27 @@ from ticketloom.streaming.day_stream import DayStream
 YEARS = 3000
 
 
+def test_a_history_reads_its_source_once(spark, tmp_path):
+    tickets = spark.range(200).selectExpr(
+        "CAST(id AS STRING) AS ticket_id", "timestampadd(DAY, CAST(id % 9 AS INT), timestamp'2015-01-01 08:00:00') AS created_at",
+        "if(id % 3 = 0, null, '1/5/15 8:00') AS resolved_at", "1.5D AS resolution_hours", "8D AS sla_hours", "false AS sla_breached",
+        "'Low' AS priority", "'a' AS category", "'b' AS channel", "'c' AS customer_tier", "'d' AS status", "CAST(id % 7 AS STRING) AS agent_id",
+    )
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    store = TicketStore(spark, str(tmp_path / "store"))
+    single_day_loads(store, tickets.mapInArrow(counted, tickets.schema))
+    assert read.value == 200
+    assert [store.table(t).count() for t in ("tickets_raw", "fact_tickets", "ticket_sla_risk")] == [200] * 3
+    features = store.table("features_daily").agg(F.sum("total_tickets"), F.count("*")).first()
+    assert tuple(features) == (200, 9)
+
+
 def test_three_thousand_daily_loads(spark, tmp_path):
     first = date(2015, 1, 1)
     tickets = spark.range(YEARS * 2).selectExpr(

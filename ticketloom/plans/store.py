@@ -130,6 +130,10 @@ class TicketStore:
         """What one load wrote to a table, recorded or not."""
         return self._read(name, [f"load={load}"], extra).drop("load")
 
+    def read_loads(self, name: str) -> DataFrame:
+        """What all loads wrote to a table, recorded or not, and which load it was."""
+        return self.spark.read.schema(self._schema(name)).parquet(self.path(name))
+
     def _read(self, name: str, places: Sequence[str], extra: Sequence[str]) -> DataFrame:
         path = self.path(name)
         reader = self.spark.read.schema(self._schema(name, extra)).option("basePath", path)

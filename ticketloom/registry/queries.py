@@ -468,22 +468,29 @@ def single_day_loads(store: TicketStore, tickets: DataFrame) -> None:
         F.to_date("created_at").alias("created_date"),
     )
     load = F.format_string("%020d-00000001", F.unix_date("source_date"))
-    raw = raw.hint("rebalance", "source_date")
-    fact = fact_tickets(raw, ("source_date",))
-    by_agent = marts.agent_partials(fact)
-    tables = {
-        "tickets_raw": raw,
-        "fact_tickets": fact,
-        "ticket_sla_risk": sla_risk.ticket_sla_risk(fact, ("source_date",)),
-        "agent_partials": by_agent.hint("rebalance", "source_date"),
-        "day_partials": marts.day_partials(by_agent).hint("rebalance", "source_date"),
-    }
 
     def write(name: str, rows: DataFrame) -> None:
         rows.withColumn("load", load).write.partitionBy("load", *PARTITIONS[name]).parquet(store.path(name))
 
-    run_together([functools.partial(write, name, rows) for name, rows in tables.items()])
-    days = raw.groupBy(F.col("source_date").alias("simulation_date")).agg(F.count(F.lit(1)).alias("rows_ingested"))
+    def written(name: str) -> DataFrame:
+        return store.read_loads(name).drop("load")
+
+    # Each table is read from the one before it as stored, so the source is read and
+    # shuffled once.
+    write("tickets_raw", raw.hint("rebalance", "source_date").sortWithinPartitions("source_date", "created_date"))
+    write("fact_tickets", fact_tickets(written("tickets_raw"), ("source_date",)))
+
+    def sums() -> None:
+        by_agent = marts.agent_partials(written("fact_tickets"))
+        write("agent_partials", by_agent.hint("rebalance", "source_date").sortWithinPartitions("source_date"))
+        by_day = marts.day_partials(written("agent_partials"))
+        write("day_partials", by_day.hint("rebalance", "source_date").sortWithinPartitions("source_date"))
+
+    def risk() -> None:
+        write("ticket_sla_risk", sla_risk.ticket_sla_risk(written("fact_tickets"), ("source_date",)))
+
+    run_together([risk, sums])
+    days = written("tickets_raw").groupBy(F.col("source_date").alias("simulation_date")).agg(F.count(F.lit(1)).alias("rows_ingested"))
     own = F.format_string("%020d-00000001", F.unix_date("simulation_date"))
     loads = {c: own for c in ("raw_load", "fact_load", "sums_load")}
     at = F.lit(LOADED_AT).cast("timestamp")
