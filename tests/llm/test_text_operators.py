@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -331,6 +332,28 @@ def test_toxic_texts_are_learned_whole(spark):
     assert np.bincount(toxicity._bags(sample, 40, 10).text).tolist() == [100, 38]
 
 
+def test_windows_are_judged_in_bounded_memory(spark, monkeypatch):
+    docs, labels = toxic_docs(spark)
+    rng = np.random.default_rng(3)
+    sizes = rng.integers(1, 80, 100_000)
+    sizes[7] = 1_200_000  # more than a stretch
+    text = np.arange(len(sizes)) // 100
+    grams = rng.integers(0, 1 << toxicity.BUCKET_BITS, sizes.sum(), dtype=np.uint32)
+    bags = toxicity.Bags(grams, sizes, text, text % 2)
+    logits = rng.normal(0, 1, 1 << toxicity.BUCKET_BITS).astype(np.float32)
+    kept = []
+    monkeypatch.setattr(toxicity, "_bags", lambda *a: bags)
+    monkeypatch.setattr(toxicity, "_train", lambda bags, windows, *a: (kept.append(windows), (logits, 0.5))[1])
+    tracemalloc.start()
+    toxicity.fit(docs, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * grams.nbytes
+    found = np.add.reduceat(logits[grams], bags.starts, dtype=np.float64) / sizes + 0.5
+    top = np.maximum.reduceat(found, np.arange(0, len(sizes), 100))[text]
+    assert kept[1].tolist() == np.flatnonzero((text % 2 == 0) | (found >= np.minimum(top, np.maximum(0, top / 2)))).tolist()
+
+
 def test_toxicity_without_labels(spark):
     docs, labels = toxic_docs(spark)
     model = toxicity.fit(docs, labels.where("toxic = 0"))

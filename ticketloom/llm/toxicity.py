@@ -22,6 +22,7 @@ WINDOW_WORDS = 4
 NGRAMS = (3, 4, 5)
 BUCKET_BITS = 17
 CHARS_AT_ONCE = 400_000
+GRAMS_AT_ONCE = 1_000_000
 MIN_TEXTS = 3
 STEP = 200.0
 
@@ -159,6 +160,18 @@ class Bags:
         ends = np.cumsum(size)
         return self.grams[np.repeat(self.starts[windows] - (ends - size), size) + np.arange(size.sum())]
 
+    def means(self, logits: np.ndarray) -> np.ndarray:
+        """Mean logit of each window, a bounded stretch of n-grams at a time."""
+        sums, first = np.empty(len(self.sizes)), 0
+        while first < len(sums):
+            start = self.starts[first]
+            stop = max(first + 1, int(np.searchsorted(self.starts, start + GRAMS_AT_ONCE)))
+            end = self.starts[stop] if stop < len(sums) else len(self.grams)
+            some = logits[self.grams[start:end]]
+            sums[first:stop] = np.add.reduceat(some, self.starts[first:stop] - start, dtype=np.float64)
+            first = stop
+        return sums / self.sizes
+
     def texts_with(self) -> np.ndarray:
         """In how many texts each bucket occurs."""
         counts = np.zeros(1 << BUCKET_BITS, np.int64)
@@ -215,17 +228,22 @@ def _bags(texts: DataFrame, windows_per_text: int, toxic_windows: int) -> Bags:
         return convert
 
     got = map_batches(texts, ["id", "label", "text"], "id long, label int, bags binary", start)
-    got = got.groupBy("id", "label").agg(F.min("bags").alias("bags")).collect()
-    got.sort(key=lambda row: row["id"])
+    got = got.groupBy("id", "label").agg(F.min("bags").alias("bags"))
+    # A partition at a time: the driver's JVM never holds all of them.
+    got = sorted(got.toLocalIterator(), key=lambda row: row["id"])
+    labels = np.array([row["label"] for row in got], dtype=np.int64)
     values = [np.frombuffer(row["bags"], dtype="<u4") for row in got]
+    del got
     counts = np.array([v[0] for v in values], dtype=np.int64)
-    empty = np.zeros(0, np.uint32)
-    return Bags(
-        np.concatenate([empty, *(v[1 + v[0] :] for v in values)]),
-        np.concatenate([empty, *(v[1 : 1 + v[0]] for v in values)]).astype(np.int64),
-        np.repeat(np.arange(len(got)), counts),
-        np.repeat(np.array([row["label"] for row in got], dtype=np.int64), counts),
-    )
+    sizes = np.concatenate([np.zeros(0, np.uint32), *(v[1 : 1 + v[0]] for v in values)]).astype(np.int64)
+    end = int(sizes.sum())
+    grams = np.empty(end, np.uint32)
+    while values:  # each goes as soon as it is copied
+        own = values.pop()
+        own = own[1 + own[0] :]
+        grams[end - len(own) : end] = own
+        end -= len(own)
+    return Bags(grams, sizes, np.repeat(np.arange(len(labels)), counts), np.repeat(labels, counts))
 
 
 def fit(
@@ -260,7 +278,7 @@ def fit(
         return ToxicityModel(np.zeros(1 << BUCKET_BITS, np.float32), 0.0, never)
     known = bags.texts_with() >= MIN_TEXTS
     logits, bias = _train(bags, np.arange(len(bags.label)), known, dimensions, steps)
-    found = np.add.reduceat(logits[bags.grams], bags.starts, dtype=np.float64) / bags.sizes + bias
+    found = bags.means(logits) + bias
     top = np.full(bags.text.max() + 1, -np.inf)
     np.maximum.at(top, bags.text, found)
     best = top[bags.text]
