@@ -5,12 +5,14 @@ from datetime import date, datetime, timedelta
 
 import pytest
 from helpers import HEADER, TICKET_DDL, csv_line, in_order, random_tickets, rows_of, ticket, write_day
+from pyspark.sql import functions as F
 
 from ticketloom.__main__ import parser
 from ticketloom.__main__ import run as run_command
 from ticketloom.operators.agent_load import daily_agent_load
 from ticketloom.plans import jobs
 from ticketloom.plans.store import TicketStore
+from ticketloom.session import apply_job_conf
 from ticketloom.sources import day_files
 from ticketloom.streaming.arrivals import load_arrivals
 
@@ -178,6 +180,26 @@ def test_export_keeps_every_row_and_cell(spark, tmp_path):
     assert (every.exported, every.out_of_range, every.unreadable) == (3, 0, 1)
 
 
+def test_files_of_a_large_day_hold_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(day_files, "ROWS_A_FILE", 100, raising=False)
+    rows = [on(D1 if i % 10 else D2, ticket_id=str(i)) for i in range(950)]
+    df = spark.createDataFrame(rows_of(rows), TICKET_DDL)
+    exported = day_files.export_days(df, str(tmp_path / "out")).files
+    read = day_files.read_days(spark, exported, [D1, D2])
+    assert max(r[1] for r in read.groupBy("_source_file").count().collect()) == 100
+    assert {r.source_date: r["count"] for r in read.groupBy("source_date").count().collect()} == {D1: 855, D2: 95}
+    assert read.select("ticket_id").distinct().count() == 950
+
+
+def test_large_files_are_not_read_by_one_task(spark, tmp_path):
+    apply_job_conf(spark)
+    numbers = spark.range(400_000, numPartitions=4).withColumn("text", F.sha2(F.col("id").cast("string"), 256))
+    numbers.write.parquet(str(tmp_path / "table"))
+    numbers.limit(60).repartition(60).write.mode("append").parquet(str(tmp_path / "table"))
+    tasks = spark.read.parquet(str(tmp_path / "table")).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in tasks) == 400_060 and max(r["count"] for r in tasks) <= 200_000
+
+
 def test_large_day_is_exported_as_several_files(spark, tmp_path):
     old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20KB")

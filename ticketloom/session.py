@@ -21,6 +21,9 @@ JOB_CONF = {
     # A store of daily loads is thousands of folders to list; a task for each of them
     # takes longer than the listing.
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
+    # A load leaves a few large files among many small ones. By Spark's 4 MB a file, tasks
+    # get as many files each, and one of them all the large ones; by this, as many bytes.
+    "spark.sql.files.openCostInBytes": "262144",
 }
 
 

@@ -34,6 +34,8 @@ _MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 UNREADABLE = "unreadable"
 # So many files are opened at a time to see their header.
 OPENED_AT_ONCE = 32
+# A file is read by one task, so a large day is exported as files of so many rows at most.
+ROWS_A_FILE = 250_000
 #: Columns that are not text, and may hold a cell that does not fit.
 TYPED_COLUMNS = [c for c, t in TICKET_TYPES.items() if t != "string"]
 
@@ -318,7 +320,8 @@ def export_days(
     which day readers leave alone; rows of other years or months are only counted.
 
     Rows are gathered by day so that a small day becomes one file, and AQE splits
-    a day that is larger than the advisory partition size over several tasks.
+    a day that is larger than the advisory partition size over several tasks. A task
+    starts another file after ``ROWS_A_FILE`` rows, so readers share a large day as well.
     A second export replaces the days it contains; an empty slice writes nothing.
     """
     day = F.col(timestamp_column).try_cast("timestamp_ntz").cast("date")
@@ -343,6 +346,7 @@ def export_days(
         .write.mode("overwrite")
         .options(**_CSV)
         .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", ROWS_A_FILE)
         .option("timestampFormat", _MICROS)
         .option("timestampNTZFormat", _MICROS)
         .partitionBy("created_date")
