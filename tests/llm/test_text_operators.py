@@ -16,6 +16,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from ticketloom.llm import language, packing, pieces, simhash, toxicity
+from ticketloom.llm.storage import filter_batches, map_batches
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -416,6 +417,16 @@ def test_a_known_word_is_not_encoded_again_by_later_tasks(monkeypatch):
     assert [ids.tolist() for text in texts for ids in encoder.encode([text])] == first
 
 
+def test_parting_texts_into_words_takes_little_beside_them():
+    texts = [b"a" * 2_000_000, b"b" * 2_000_000]
+    tracemalloc.start()
+    words, counts = packing._words(texts, packing._IN_OTHERS)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counts.tolist() == [1, 1] and words.to_pylist() == texts
+    assert peak < 30_000_000
+
+
 def test_words_are_runs_of_letters_and_of_others():
     rng = np.random.default_rng(8)
     texts = ["".join(map(chr, rng.integers(0, 256, rng.integers(0, 40)))).replace("'", "").replace("<|", "") for _ in range(2000)]
@@ -429,3 +440,23 @@ def test_words_are_runs_of_letters_and_of_others():
         expected.append(re.findall("[a-zªµºß-öø-ÿ]+|[^ a-zªµºß-öø-ÿ]+", text.lower()))
     assert [w.decode("latin-1") for w in words.to_pylist()] == sum(expected, [])
     assert counts.tolist() == [len(own) for own in expected]
+
+
+# -- batches ----------------------------------------------------------------------
+
+
+def test_a_batch_does_not_grow_with_the_texts_in_it(spark):
+    docs = spark.range(0, 600, 1, 1).selectExpr("id", "repeat(cast(id % 10 as string), 20000) text")
+
+    def start():
+        return lambda texts: [sum(map(len, texts)) < 4_000_000] * len(texts)
+
+    def begin():
+        return lambda ids, texts: {"id": ids, "chars": [sum(map(len, texts))] * len(ids)}
+
+    assert filter_batches(docs, "text", start).count() == 600
+    chars = [r.chars for r in map_batches(docs, ["id", "text"], "id long, chars long", begin).collect()]
+    assert len(chars) == 600 and max(chars) < 4_000_000
+    # A text longer than a batch is still read whole.
+    long = spark.createDataFrame([(1, "x" * 9_000_000), (2, None), (3, "y")], "id long, text string").coalesce(1)
+    assert filter_batches(long, "text", lambda: lambda texts: [len(t or "") != 1 for t in texts]).count() == 2

@@ -30,7 +30,7 @@ WORDS_KEPT = 600_000
 TOKENS_KEPT = 8_000_000
 # The library takes longer for a word, the longer the text it stands in.
 WORDS_AT_ONCE = 50
-CHARS_AT_ONCE = 4_000_000
+CHARS_AT_ONCE = 1_000_000
 ROWS_AT_ONCE = 1000
 REINDEX_AFTER = 32
 
@@ -63,7 +63,8 @@ def _words(texts: list[bytes], kinds: np.ndarray) -> tuple[pa.Array, np.ndarray]
     """Parts of texts whose ids, in turn, are the texts', and how many each text has."""
     data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     kind = kinds[data]
-    starts = np.flatnonzero(np.diff(kind, prepend=0))
+    # Bytes throughout: beside a plain 0 each would become eight.
+    starts = np.flatnonzero(np.diff(kind, prepend=np.uint8(0)))
     lengths = np.diff(starts, append=len(data))
     real = kind[starts] > 0
     starts, lengths = starts[real], lengths[real]

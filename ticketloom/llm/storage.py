@@ -11,6 +11,9 @@ from ticketloom.session import new_work_dir
 
 
 ROWS_AT_ONCE = 500
+# Each task holds the batch it hands to Python several times over, in the JVM and in Python.
+# Spark's 10,000 rows are as large as their texts; by bytes, a batch does not grow with them.
+BATCH_BYTES = "2m"
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -47,7 +50,7 @@ def map_batches(
                     [pa.array(got[f.name], type=f.type) for f in arrow], schema=arrow
                 )
 
-    return df.select(*columns).mapInArrow(run, out)
+    return _in_small_batches(df).select(*columns).mapInArrow(run, out)
 
 
 def filter_batches(df: DataFrame, column: str, start: Callable[[], Callable]) -> DataFrame:
@@ -61,7 +64,13 @@ def filter_batches(df: DataFrame, column: str, start: Callable[[], Callable]) ->
                 values = some.column(some.schema.get_field_index(column)).to_pylist()
                 yield some.filter(pa.array(accept(values), type=pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return _in_small_batches(df).mapInArrow(run, df.schema)
+
+
+def _in_small_batches(df: DataFrame) -> DataFrame:
+    """Spark reads the setting when the frame runs, so it stays on the session."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df
 
 
 def _arrow(kind: str) -> pa.DataType:
