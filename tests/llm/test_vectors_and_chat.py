@@ -7,6 +7,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from compare import assert_same
+from pyspark.sql import functions as F
 
 from ticketloom.llm import chat, vectors
 from ticketloom.llm.components import connected_components
@@ -116,6 +117,54 @@ def test_near_vectors_of_several_lengths_equal_brute_force(spark):
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == want
 
 
+def random_rows(count, size=64, seed=3):
+    values = np.random.default_rng(seed).normal(size=(count, size))
+    values[-40:] = values[:40] + np.random.default_rng(seed).normal(size=(40, size)) * 0.1
+    return [(i, v) for i, v in enumerate(values.astype(np.float32).tolist())]
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_a_task_hands_back_no_more_rows_than_the_table_has(spark, monkeypatch, tmp_path, kind):
+    """Random rows have neighbouring cells without end; none is copied into them, in any task."""
+    rows, pivots = random_rows(2000), np.array([v for _, v in random_rows(100, seed=4)], dtype=np.float64)
+    pivots /= np.linalg.norm(pivots, axis=1, keepdims=True)
+
+    def watched(real):
+        def mapped(self, run, schema, **options):
+            def counted(batches):
+                total = 0
+                for out in run(batches):
+                    total += len(out)
+                    yield out
+                with open(f"{tmp_path}/rows", "a") as file:
+                    file.write(f"{total}\n")
+
+            return real(self, counted, schema, **options)
+
+        return mapped
+
+    for name in ("mapInPandas", "mapInArrow"):
+        monkeypatch.setattr(type(spark.range(0)), name, watched(getattr(type(spark.range(0)), name)))
+    monkeypatch.setattr(vectors, "learned", lambda *_: {64: pivots})
+    monkeypatch.setattr(vectors, "CELL_CHUNK", 64)
+    linked = brute_links(rows, 0.95)
+    frame = table(spark, rows).withColumn("embedding", F.col("embedding").cast(f"array<{kind}>"))
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(frame).collect()}
+    component = local_roots(len(rows), *np.nonzero(linked))
+    assert linked.any()
+    assert got == {i: (int(n), int(c)) for i, (n, c) in enumerate(zip(linked.sum(axis=1), component))}
+    # A bounded number of rows for each that a task got, and a task got no more than all.
+    assert max(map(int, (tmp_path / "rows").read_text().split())) <= len(rows)
+
+
+def test_leading_components_bound_the_product():
+    units = vectors._unit(np.array([v for _, v in dense(size=48)]))
+    lead = vectors._leading(units)
+    assert lead.shape == (len(units), 19)
+    assert (lead @ lead.T >= units @ units.T - 1e-5).all()
+    assert vectors._leading(units[:, :10]) is None
+
+
 @pytest.mark.parametrize("block", [4096, 20])
 def test_neighbours_of_several_lengths_and_repeated_ids(spark, monkeypatch, block):
     """A radius of all bits makes the search exact, so it must equal brute force."""

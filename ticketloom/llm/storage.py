@@ -50,7 +50,7 @@ def map_batches(
                     [pa.array(got[f.name], type=f.type) for f in arrow], schema=arrow
                 )
 
-    return _in_small_batches(df).select(*columns).mapInArrow(run, out)
+    return in_small_batches(df).select(*columns).mapInArrow(run, out)
 
 
 def filter_batches(df: DataFrame, column: str, start: Callable[[], Callable]) -> DataFrame:
@@ -64,10 +64,10 @@ def filter_batches(df: DataFrame, column: str, start: Callable[[], Callable]) ->
                 values = some.column(some.schema.get_field_index(column)).to_pylist()
                 yield some.filter(pa.array(accept(values), type=pa.bool_()))
 
-    return _in_small_batches(df).mapInArrow(run, df.schema)
+    return in_small_batches(df).mapInArrow(run, df.schema)
 
 
-def _in_small_batches(df: DataFrame) -> DataFrame:
+def in_small_batches(df: DataFrame) -> DataFrame:
     """Spark reads the setting when the frame runs, so it stays on the session."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return df

@@ -6,17 +6,23 @@ import pickle
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ticketloom.llm.components import connected_components
 from ticketloom.llm.simhash import local_roots
-from ticketloom.llm.storage import stored
+from ticketloom.llm.storage import in_small_batches, stored
 
 CELL_CHUNK = 4096
 MIN_BALL = 32
 ANGLE_SLACK = 1e-6
 SLICE = 512
+# Of a block's vectors as doubles; a block is a row of binary columns.
+BLOCK_BYTES = 4 << 20
+# Blocks that a task meets with as many others.
+BLOCKS_PER_SIDE = 16
 
 
 def marked(vectors: DataFrame, id_col="vec_id", vector_col="embedding") -> DataFrame:
@@ -90,6 +96,9 @@ class Pivots:
         for size in sorted(of_size):
             self.first[size], self.cells = self.cells, self.cells + len(of_size[size])
 
+    def size_of(self, cell: int) -> int:
+        return max((size for size in self.of_size if self.first[size] <= cell), key=self.first.get)
+
 
 def _chord(angle):
     return 2 * np.sin(np.minimum(angle, np.pi) / 2)
@@ -99,30 +108,25 @@ def _angles(cosines):
     return np.arccos(np.clip(cosines, -1, 1))
 
 
-def _cells(pivots, radii, reach, units) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, cell, home?) of every cell each item belongs to.
+def _near_cells(pivots, far, wide, theta, units, radius, home) -> np.ndarray:
+    """Which cells may hold something linked with which items of the cell `home`, row by row.
 
-    Home is the cell of the nearest pivot. An item is also a guest of an earlier cell
-    if something there may be within `reach`, (row, cell) by (row, cell). By the triangle
-    inequality it is not if the item is farther from the pivot than the cell's radius and
-    the reach together, or farther than the reach from the plane half-way between the two
-    pivots.
+    By the triangle inequality a cell holds nothing within the reach of an item that is
+    farther from its pivot than the cell's radius and the reach together, or farther than the
+    reach from the plane half-way between its pivot and that of `home`.
     """
     square = np.maximum(2 - 2 * units @ pivots.T, 0)
-    home = square.argmin(axis=1)
-    own = square[np.arange(len(units)), home]
-    apart = np.sqrt(np.maximum(2 - 2 * pivots @ pivots.T, 0))[home]
-    plane = (square - own[:, None]) <= 2 * reach * apart
-    ball = np.sqrt(square) <= radii + reach
-    row, cell = np.nonzero(plane & ball & (np.arange(len(pivots)) < home[:, None]))
-    rows, cells = np.concatenate([np.arange(len(units)), row]), np.concatenate([home, cell])
-    return rows, cells, np.arange(len(rows)) < len(units)
+    apart = np.sqrt(np.maximum(2 - 2 * pivots @ pivots[home], 0))
+    reach = _chord(theta + radius[:, None] + wide) + 1e-7
+    plane = square - square[:, home, None] <= 2 * reach * apart
+    return plane & (np.sqrt(square) <= far + 1e-7 + reach)
 
 
-def _balls(units: np.ndarray, radius: float) -> list[tuple[np.ndarray, np.ndarray, float]]:
+def _balls(units: np.ndarray, radius: float, kind=np.float64) -> list[tuple[np.ndarray, np.ndarray, float]]:
     """(members, centre, radius) of groups of at least MIN_BALL rows around a centre.
 
-    Rows of a ball lie within `radius` of its centre, so any two are within twice that.
+    Rows of a ball lie within `radius` of its centre, so any two are within twice that. A
+    centre holds numbers of `kind`, and its radius is measured from it as it is held.
     """
     small, free, out = units.astype(np.float32), np.ones(len(units), bool), []
     near = small @ small.T >= np.cos(radius)
@@ -133,8 +137,8 @@ def _balls(units: np.ndarray, radius: float) -> list[tuple[np.ndarray, np.ndarra
         counts -= near[:, members].sum(axis=1)
         counts[members] = 0
         centre = units[members].mean(axis=0)
-        centre /= np.linalg.norm(centre)
-        angle = _angles(units[members] @ centre)
+        centre = (centre / np.linalg.norm(centre)).astype(kind)
+        angle = _angles(units[members] @ _unit(centre[None])[0])
         members, angle = members[angle <= radius], angle[angle <= radius]
         if len(members) >= MIN_BALL:
             out.append((members, centre, float(angle.max()) + ANGLE_SLACK))
@@ -147,10 +151,12 @@ def near_vectors(
     """(vec_id, n_links, component_id, kept) of every row: an exact metric range join.
 
     Equal vectors are joined as one with a weight. Pivots, spread over a bounded sample of
-    each vector length, part the vectors into cells; lengths share no cell. Where many vectors of a cell lie within half the linking
-    angle of a centre, all of them are linked, and they go on as one item, a ball. An item
-    is copied into the cells its neighbours may lie in, and every pair of items meets in
-    exactly one cell. Cells join independently; a large one is split into blocks of items.
+    each vector length, part the vectors into cells; lengths share no cell. Where many vectors
+    of a cell lie within half the linking angle of a centre, all of them are linked, and they
+    go on as one item, a ball. The items of a cell are packed into blocks of bounded size, a
+    row each, and two blocks meet if something in one may be linked with something in the
+    other; of their rows only those are compared that may be. No row is copied for the cells
+    its neighbours may lie in, so what is shuffled and what a task holds do not grow with them.
     By the triangle inequality most pairs with a ball are linked, or not, for all of its
     members; only for the rest are the members compared. Blocks return each row's number
     of links and one link of a spanning forest, never their pairs.
@@ -160,13 +166,13 @@ def near_vectors(
     rows with a component's smallest id.
     """
     every = marked(vectors, id_col, vector_col)
-    rows = stored(every.where("usable").select("vec_id", "vector"), "vectors")
+    # Single precision stays as it is, half as large as the doubles it is compared in.
+    kind = "array<float>" if every.schema["vector"].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = every.where("usable").select("vec_id", F.col("vector").cast(kind).alias("vector"))
+    rows = stored(rows, "vectors")
     groups = rows.groupBy("vector").agg(F.min("vec_id").alias("first"), F.count("*").alias("weight"))
     # From here on `vec_id` numbers the distinct vectors; an id may have several.
-    numbered = groups.select(
-        F.monotonically_increasing_id().alias("vec_id"), "first", "weight", F.col("vector").cast("array<double>").alias("vector")
-    )
-    groups = stored(numbered, "groups")
+    groups = stored(groups.select(F.monotonically_increasing_id().alias("vec_id"), "first", "weight", "vector"), "groups")
     counts = row_counts(groups)
     alone = every.where("not usable").select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
@@ -178,12 +184,10 @@ def near_vectors(
     theta = float(np.arccos(np.clip(min_cosine, -1, 1)))
 
     members = stored(_with_items(groups, pivots, theta), "members")
-    items = members.where("centre is not null").select(
-        F.col("item").alias("vec_id"), F.col("item_weight").alias("weight"), F.col("centre").alias("vector"), "radius"
+    items = members.where("vec_id = item").select(
+        "vec_id", F.col("item_weight").alias("weight"), F.coalesce("centre", "vector").alias("vector"), "radius"
     )
-    assigned, chunks = _assigned(items, pivots, theta)
-    found = _joined_blocks(assigned, chunks, theta, min_cosine)
-    found = stored(found, "found")
+    found = stored(_joined_blocks(items, pivots, theta, min_cosine), "found")
 
     # Pairs with a ball that its radius leaves open: their members meet, ball by ball.
     opened = stored(found.where("other is not null").select("vec_id", "other"), "open")
@@ -201,13 +205,14 @@ def near_vectors(
         {"p": F.when(first, F.col("part")).otherwise(F.col("facing")), "q": F.when(first, F.col("facing")).otherwise(F.col("part"))}
     )
 
-    def compare(key, group):
-        first = group["first"].to_numpy()
-        order = np.argsort(~first, kind="stable")
-        return _block_links(group.iloc[order], int(first.sum()), False, theta, min_cosine)
+    def compare(table):
+        first, units = table["first"].to_numpy(), _unit(_matrix_of(table["vector"]))
+        ids, weight = table["vec_id"].to_numpy(), table["weight"].to_numpy()
+        left, right = ((ids[own], weight[own], np.zeros(own.sum()), units[own]) for own in (first, ~first))
+        return _links(left, right, False, theta, min_cosine)
 
-    closer = sides.select("a", "b", "p", "q", "first", "vec_id", "weight", "vector", F.lit(0.0).alias("radius"))
-    closer = stored(closer.groupBy("a", "b", "p", "q").applyInPandas(compare, BLOCK_SCHEMA), "closer")
+    closer = sides.select("a", "b", "p", "q", "first", "vec_id", "weight", "vector")
+    closer = stored(closer.groupBy("a", "b", "p", "q").applyInArrow(compare, BLOCK_SCHEMA), "closer")
 
     joined = found.where("other is null").withColumn("item", F.col("vec_id"))
     per_item = stored(joined.groupBy("item").agg(F.sum("links").alias("item_links")), "item-links")
@@ -229,8 +234,9 @@ def near_vectors(
             F.coalesce("component_id", "first").alias("component_id"),
         )
     )
-    wide = rows.withColumn("vector", F.col("vector").cast("array<double>"))
-    linked = wide.join(stored(known, "known"), "vector").select("vec_id", "n_links", "component_id")
+    # Sorted by a hash first; only equal vectors are compared whole.
+    hashed = lambda df: df.withColumn("hash", F.xxhash64("vector"))
+    linked = hashed(rows).join(hashed(stored(known, "known")), ["hash", "vector"]).select("vec_id", "n_links", "component_id")
     linked = linked.withColumn("kept", F.col("vec_id") == F.col("component_id"))
     return linked.unionByName(alone)
 
@@ -238,158 +244,231 @@ def near_vectors(
 def _with_items(groups: DataFrame, pivots: Pivots, theta: float) -> DataFrame:
     """Each distinct vector with the item it goes on as: its ball, or itself.
 
-    Balls are looked for among the vectors of a cell, in parts of bounded size. `centre`
-    and `radius` stand on one row of each item, the one whose id names it.
+    Balls are looked for among the vectors of a cell, in parts of bounded size. `item`,
+    `item_weight` and `radius` stand on all rows of an item, a ball's `centre` on the one
+    whose id names it.
     """
-    cells = _unit_batches(groups, "vec_id long, first long, weight long, vector array<double>, cell long", lambda frame, units, size: frame[["vec_id", "first", "weight", "vector"]].assign(
-        cell=pivots.first[size] + (units @ pivots.of_size[size].T).argmax(axis=1)
-    ))
+    cells = _homes(groups, pivots)
     # One row per pivot, at most 1024 of a length.
     sizes = {r["cell"]: r["n"] for r in cells.groupBy("cell").agg(F.count("*").alias("n")).collect()}
     table = [(cell, -(-n // CELL_CHUNK)) for cell, n in sizes.items()]
     parts = F.broadcast(groups.sparkSession.createDataFrame(table, "cell long, parts int"))
     cells = cells.join(parts, "cell").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")))
+    kind = groups.schema["vector"].dataType.simpleString()
+    number = np.float32 if kind == "array<float>" else np.float64
 
-    def collapse(key, group):
-        vectors = _matrix(group["vector"])
-        units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-        ids, weight = group["vec_id"].to_numpy(), group["weight"].to_numpy()
+    def collapse(table):
+        units = _unit(_matrix_of(table["vector"]))
+        ids, weight = table["vec_id"].to_numpy(), table["weight"].to_numpy()
         item, item_weight, radius = ids.copy(), weight.copy(), np.zeros(len(ids))
-        centre: list = list(units)
-        for members, middle, wide in _balls(units, theta / 2 - 2 * ANGLE_SLACK):
+        centre: list = [None] * len(ids)
+        for members, middle, wide in _balls(units, theta / 2 - 2 * ANGLE_SLACK, number):
             names = members[ids[members].argmin()]
             item[members], item_weight[members], radius[members] = ids[names], weight[members].sum(), wide
-            for row in members:
-                centre[row] = None
             centre[names] = middle
-        out = group[["vec_id", "first", "weight", "vector"]].reset_index(drop=True)
-        return out.assign(item=item, item_weight=item_weight, radius=radius, centre=centre)
+        out = table.select(["vec_id", "first", "weight", "vector"])
+        added = {"item": item, "item_weight": item_weight, "radius": radius, "centre": pa.array(centre, pa.list_(pa.from_numpy_dtype(number)))}
+        for name, values in added.items():
+            out = out.append_column(name, pa.array(values))
+        return out
 
-    schema = (
-        "vec_id long, first long, weight long, vector array<double>, item long, item_weight long, radius double, centre array<double>"
-    )
-    return cells.groupBy("cell", "part").applyInPandas(collapse, schema)
+    schema = f"vec_id long, first long, weight long, vector {kind}, item long, item_weight long, radius double, centre {kind}"
+    return cells.groupBy("cell", "part").applyInArrow(collapse, schema)
 
 
-def _unit_batches(df: DataFrame, schema: str, convert) -> DataFrame:
-    """Map batches of rows with the unit vectors of their column `vector`, by length."""
+def _matrix_of(column) -> np.ndarray:
+    """The vectors, all of one length, of an Arrow column as doubles."""
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
 
-    def run(frames):
-        for frame in frames:
-            for size, part in frame.groupby(frame["vector"].map(len)):
-                vectors = _matrix(part["vector"])
-                yield convert(part.reset_index(drop=True), vectors / np.linalg.norm(vectors, axis=1, keepdims=True), size)
 
-    return df.mapInPandas(run, schema)
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    vectors = vectors.astype(np.float64)
+    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
-def _assigned(items: DataFrame, pivots: Pivots, theta: float) -> tuple[DataFrame, dict]:
-    """Items with their cells, and the number of chunks per (cell, home?)."""
+def _homes(df: DataFrame, pivots: Pivots) -> DataFrame:
+    """Rows with the `cell` of their nearest pivot and the `distance` from it."""
 
-    def home(frame, units, size):
-        square = np.maximum(2 - 2 * units @ pivots.of_size[size].T, 0)
-        cell = pivots.first[size] + square.argmin(axis=1)
-        return pd.DataFrame({"cell": cell, "distance": np.sqrt(square.min(axis=1)), "radius": frame["radius"]})
+    def run(batches):
+        for batch in batches:
+            sizes = batch.column("vector").value_lengths().to_numpy(zero_copy_only=False)
+            for size in np.unique(sizes):
+                part = batch.filter(pa.array(sizes == size))
+                cell, distance = np.zeros(part.num_rows, np.int64), np.zeros(part.num_rows)
+                for at in range(0, part.num_rows, SLICE):
+                    units = _unit(_matrix_of(part.column("vector").slice(at, SLICE)))
+                    square = np.maximum(2 - 2 * units @ pivots.of_size[size].T, 0)
+                    cell[at : at + SLICE] = pivots.first[size] + square.argmin(axis=1)
+                    distance[at : at + SLICE] = np.sqrt(square.min(axis=1))
+                columns = [*part.columns, pa.array(cell), pa.array(distance)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, "cell", "distance"])
 
-    # One row per pivot, at most 1024 of a length.
-    homes = _unit_batches(items, "cell long, distance double, radius double", home).groupBy("cell")
-    homes = {r["cell"]: r for r in homes.agg(F.max("distance").alias("far"), F.max("radius").alias("wide")).collect()}
-    far = np.array([homes[c]["far"] if c in homes else -10.0 for c in range(pivots.cells)])
-    wide = np.array([homes[c]["wide"] if c in homes else 0.0 for c in range(pivots.cells)])
-
-    def assign(frame, units, size):
-        first, own = pivots.first[size], pivots.of_size[size]
-        cells = slice(first, first + len(own))
-        reach = _chord(theta + frame["radius"].to_numpy()[:, None] + wide[cells]) + 1e-7
-        row, cell, is_home = _cells(own, far[cells] + 1e-7, reach, units)
-        return frame.iloc[row].reset_index(drop=True).assign(cell=first + cell, home=is_home)
-
-    schema = "vec_id long, weight long, vector array<double>, radius double, cell long, home boolean"
-    assigned = _unit_batches(items, schema, assign)
-    sizes = assigned.groupBy("cell", "home").agg(F.count("*").alias("rows")).collect()
-    return assigned, {(r["cell"], r["home"]): -(-r["rows"] // CELL_CHUNK) for r in sizes}
-
-
-def _joined_blocks(assigned: DataFrame, chunks: dict, theta: float, min_cosine: float) -> DataFrame:
-    """Links found in all blocks, a block being two chunks of one cell."""
-    cells = sorted({cell for cell, _ in chunks})
-    # Chunk numbers of homes come first, those of guests after them.
-    per_cell = [(c, chunks.get((c, True), 0), chunks.get((c, False), 0)) for c in cells]
-    table = F.broadcast(assigned.sparkSession.createDataFrame(per_cell, "cell long, own int, other int"))
-    own, other, mine = F.col("own"), F.col("other"), F.col("chunk")
-    span = lambda first, last: F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
-    pair = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
-    as_first = F.transform(span(mine, own + other - 1), lambda b: pair(mine, b))
-    as_second = F.transform(span(F.lit(0), mine - 1), lambda a: pair(a, mine))
-    as_guest = F.transform(span(F.lit(0), own - 1), lambda a: pair(a, mine))
-    chunk = F.when(F.col("home"), F.pmod(F.xxhash64("vec_id"), own)).otherwise(own + F.pmod(F.xxhash64("vec_id"), other))
-    blocks = (
-        assigned.join(table, "cell")
-        .withColumn("chunk", chunk.cast("int"))
-        .withColumn("block", F.explode(F.when(F.col("home"), F.concat(as_first, as_second)).otherwise(as_guest)))
-        .select("cell", "block.a", "block.b", "chunk", "vec_id", "weight", "vector", "radius")
-    )
+    out = T.StructType([*df.schema.fields, T.StructField("cell", T.LongType()), T.StructField("distance", T.DoubleType())])
+    return in_small_batches(df).mapInArrow(run, out)
 
-    def join(key, group):
-        a, b = int(key[1]), int(key[2])
-        chunk = group["chunk"].to_numpy()
-        order = np.argsort(chunk != a, kind="stable")
-        return _block_links(group.iloc[order], int((chunk == a).sum()), a == b, theta, min_cosine)
 
-    return blocks.groupBy("cell", "a", "b").applyInPandas(join, BLOCK_SCHEMA)
+def _joined_blocks(items: DataFrame, pivots: Pivots, theta: float, min_cosine: float) -> DataFrame:
+    """Links found between all blocks, and within each.
+
+    A block is one row, so two that meet are one row for a task, and no more than two are held at
+    a time. Which task compares two blocks is drawn by hash, so that tasks have like numbers.
+    """
+    homes = _homes(items, pivots)
+    # One row per pivot, at most 1024 of a length.
+    known = homes.groupBy("cell").agg(F.count("*").alias("n"), F.max("distance").alias("far"), F.max("radius").alias("wide"))
+    known = {r["cell"]: r for r in known.collect()}
+    far = np.array([known[c]["far"] if c in known else -10.0 for c in range(pivots.cells)])
+    wide = np.array([known[c]["wide"] if c in known else 0.0 for c in range(pivots.cells)])
+    parts = {}
+    for size, own in pivots.of_size.items():
+        most = max(1, min(2 * CELL_CHUNK, BLOCK_BYTES // (8 * size)))
+        parts |= {c: -(-known[c]["n"] // most) for c in range(pivots.first[size], pivots.first[size] + len(own)) if c in known}
+    table = F.broadcast(items.sparkSession.createDataFrame(list(parts.items()), "cell long, parts int"))
+    number = np.dtype("<f4" if items.schema["vector"].dataType.simpleString() == "array<float>" else "<f8")
+
+    def pack(key, group):
+        cell = key[0].as_py()
+        size = pivots.size_of(cell)
+        cells = slice(pivots.first[size], pivots.first[size] + len(pivots.of_size[size]))
+        vectors, radius = _matrix_of(group["vector"]), group["radius"].to_numpy()
+        near = np.zeros(len(pivots.of_size[size]), bool)
+        for at in range(0, len(vectors), SLICE):
+            own = (_unit(vectors[at : at + SLICE]), radius[at : at + SLICE], cell - cells.start)
+            near |= _near_cells(pivots.of_size[size], far[cells], wide[cells], theta, *own).any(axis=0)
+        values = [group["vec_id"].to_numpy(), group["weight"].to_numpy(), radius, vectors.astype(number)]
+        return pa.table({
+            "block": [(cell << 32) + key[1].as_py()], "cell": [cell], "near": pa.array([np.flatnonzero(near) + cells.start]),
+            **{name: pa.array([value.tobytes()], pa.binary()) for name, value in zip(("ids", "weights", "radii", "vectors"), values)},
+        })
+
+    packed = homes.join(table, "cell").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")))
+    schema = "block long, cell long, near array<long>, ids binary, weights binary, radii binary, vectors binary"
+    blocks = stored(packed.groupBy("cell", "part").applyInArrow(pack, schema), "blocks")
+
+    count = sum(parts.values())
+    tasks = max(-(-count // BLOCKS_PER_SIDE), min(count, 8))
+    sides = [blocks.select(*(F.col(c).alias(f"{side}_{c}") for c in blocks.columns)).repartition(tasks) for side in "ab"]
+    drawn = F.hash("a_block").bitwiseXOR(F.hash("b_block")).bitwiseAND(F.lit(1)) == 0
+    once = (F.col("a_block") == F.col("b_block")) | ((F.col("a_block") < F.col("b_block")) == drawn)
+    mutual = F.array_contains("a_near", F.col("b_cell")) & F.array_contains("b_near", F.col("a_cell"))
+    met = sides[0].join(sides[1], once & ((F.col("a_cell") == F.col("b_cell")) | mutual))
+
+    def unpacked(row, letter, size):
+        ids, weight, radius, vectors = (
+            np.frombuffer(row[f"{letter}_{name}"].as_buffer(), kind)
+            for name, kind in (("ids", "<i8"), ("weights", "<i8"), ("radii", "<f8"), ("vectors", number))
+        )
+        return ids, weight, radius, _unit(vectors.reshape(len(ids), size))
+
+    def facing(block, cell, other, size):
+        """The rows of a block that may be linked with something in another cell."""
+        two = np.array([cell, other])
+        chosen = pivots.of_size[size][two - pivots.first[size]]
+        keep = _near_cells(chosen, far[two], wide[two], theta, block[3], block[2], 0)[:, 1]
+        return tuple(column[keep] for column in block)
+
+    def run(batches):
+        last, left = None, None
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = {name: batch.column(name)[at] for name in batch.schema.names}
+                names, cells = ([row[f"{letter}_{name}"].as_py() for letter in "ab"] for name in ("block", "cell"))
+                size = pivots.size_of(cells[0])
+                # A block meets several in a row.
+                last, left = names[0], left if last == names[0] else unpacked(row, "a", size)
+                right = left if names[0] == names[1] else unpacked(row, "b", size)
+                both = (left, right) if cells[0] == cells[1] else (facing(left, *cells, size), facing(right, *cells[::-1], size))
+                yield from _links(*both, names[0] == names[1], theta, min_cosine).to_batches()
+
+    columns = [f"{letter}_{name}" for letter in "ab" for name in ("block", "cell", "ids", "weights", "radii", "vectors")]
+    return in_small_batches(met.select(*columns)).mapInArrow(run, BLOCK_SCHEMA)
 
 
 BLOCK_SCHEMA = "vec_id long, links long, root long, other long"
 
 
-def _block_links(group: pd.DataFrame, first: int, same: bool, theta: float, min_cosine: float) -> pd.DataFrame:
-    """Links of a block's first rows with the rest, or with each other.
+def _links(left: tuple, right: tuple, same: bool, theta: float, min_cosine: float) -> pa.Table:
+    """Links of one side's rows with those of the other, or among them if both are the same.
 
-    Rows with `links` and `root` tell a row's number of links and a link of a spanning
-    forest; rows with `other` name pairs of items that only their members can decide.
+    A side is (ids, weights, radii, unit vectors). Rows with `links` and `root` tell a row's
+    number of links and a link of a spanning forest; rows with `other` name pairs of items
+    that only their members can decide.
     """
-    ids, weight, radius = (group[c].to_numpy() for c in ("vec_id", "weight", "radius"))
-    vectors = _matrix(group["vector"])
-    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-    small = unit.astype(np.float32)
-    second = 0 if same else first
+    (a_ids, a_weight, a_radius, a), (b_ids, b_weight, b_radius, b) = left, right
+    shift = 0 if same else len(a_ids)
+    ids = a_ids if same else np.concatenate([a_ids, b_ids])
     links, root, opened = np.zeros(len(ids), np.int64), np.arange(len(ids)), []
-    wide = radius[second:] > 0
-    for at in range(0, first, SLICE):
-        end = min(at + SLICE, first)
-        close = small[at:end] @ small[second:].T
-        linked = close >= min_cosine
-        # Single precision decides only where it cannot err.
-        for i, j in _some_pairs(np.abs(close - min_cosine) < 1e-5):
-            linked[i, j] = np.einsum("nd,nd->n", unit[at + i], unit[second + j]) >= min_cosine
-        if wide.any() or (radius[at:end] > 0).any():
-            spread = radius[at:end, None] + radius[second:]
-            for i, j in _some_pairs((spread > 0) & (close > np.cos(np.minimum(theta + spread, np.pi)) - 1e-5)):
-                angle = _angles(np.einsum("nd,nd->n", unit[at + i], unit[second + j]))
-                linked[i, j] = angle <= theta - spread[i, j] - ANGLE_SLACK
-                unsure = (angle > theta - spread[i, j] - ANGLE_SLACK) & (angle <= theta + spread[i, j] + ANGLE_SLACK)
-                i, j = at + i[unsure], second + j[unsure]
-                ordered = i < j if same else np.ones(len(i), bool)
-                opened.append(np.stack([ids[i[ordered]], ids[j[ordered]]], axis=1))
-        if same:
-            linked[np.arange(end - at), np.arange(at, end)] = False
-        links[at:end] += linked @ weight[second:]
-        if not same:
-            links[second:] += weight[at:end] @ linked
-        i, j = np.nonzero(linked)
-        if len(i):
-            root = _joined(root, at + i, second + j)
-    some = np.flatnonzero(links)
-    out = pd.DataFrame({"vec_id": ids[some], "links": links[some], "root": ids[root[some]]})
-    unsure = np.concatenate([np.zeros((0, 2), np.int64), *opened])
-    out = pd.concat([out, pd.DataFrame({"vec_id": unsure[:, 0], "other": unsure[:, 1]})])
-    return out.astype({c: "Int64" for c in out}).reindex(columns=["vec_id", "links", "root", "other"])
-
-
-def _some_pairs(mask: np.ndarray):
-    i, j = np.nonzero(mask)
-    for at in range(0, len(i), 65536):
-        yield i[at : at + 65536], j[at : at + 65536]
+    # Single precision decides only where it cannot err.
+    slack = max(1e-5, a.shape[1] * 2e-7)
+    a_lead, b_lead = _leading(a), _leading(b)
+    a_small, b_small, whole = a.astype(np.float32), b.astype(np.float32), a_lead is None
+    # New memory for every product would take as long as the product.
+    room = np.empty(2 * SLICE * SLICE, np.float32)
+    for at, to in ((at, to) for to in range(0, len(b), 2 * SLICE) for at in range(0, len(a), SLICE)):
+        if same and at >= to + 2 * SLICE:
+            continue
+        rows, others, close = slice(at, at + SLICE), slice(to, to + 2 * SLICE), None
+        least = np.cos(np.minimum(theta + a_radius[rows, None] + b_radius[others].max(), np.pi)) - slack
+        if not whole:
+            most = _product(a_lead[rows], b_lead[others], room)
+            if most.max() < least.min():
+                continue
+            maybe = most >= least
+            # Where the leading components tell little, all of them are multiplied from here on.
+            whole = np.count_nonzero(maybe) > maybe.size // 64
+        if whole:
+            close = _product(a_small[rows], b_small[others], room)
+            if close.max() < least.min():
+                continue
+            maybe = close >= least
+        for i, j in _some_pairs(maybe, a.shape[1]):
+            cosine, i, j = np.full(len(i), min_cosine) if close is None else close[i, j], at + i, to + j
+            if same:
+                cosine, i, j = cosine[i < j], i[i < j], j[i < j]
+            spread = a_radius[i] + b_radius[j]
+            linked, unsure = cosine >= min_cosine, np.zeros(len(i), bool)
+            some = np.flatnonzero((spread > 0) | (np.abs(cosine - min_cosine) <= slack))
+            exact = np.einsum("nd,nd->n", a[i[some]], b[j[some]])
+            angle, wide = _angles(exact), spread[some]
+            linked[some] = np.where(wide > 0, angle <= theta - wide - ANGLE_SLACK, exact >= min_cosine)
+            unsure[some] = (wide > 0) & ~linked[some] & (angle <= theta + wide + ANGLE_SLACK)
+            opened.append(np.stack([a_ids[i[unsure]], b_ids[j[unsure]]], axis=1))
+            i, j = i[linked], j[linked]
+            if len(i):
+                np.add.at(links, i, b_weight[j])
+                np.add.at(links, shift + j, a_weight[i])
+                root = _joined(root, i, shift + j)
+    some, unsure = np.flatnonzero(links), np.concatenate([np.zeros((0, 2), np.int64), *opened])
+    sure = [pa.array(x) for x in (ids[some], links[some], ids[root[some]])] + [pa.nulls(len(some), pa.int64())]
+    open_pairs = [pa.array(unsure[:, 0]), *[pa.nulls(len(unsure), pa.int64())] * 2, pa.array(unsure[:, 1])]
+    names = ["vec_id", "links", "root", "other"]
+    return pa.concat_tables([pa.table(sure, names=names), pa.table(open_pairs, names=names)])
+
+
+def _product(a: np.ndarray, b: np.ndarray, room: np.ndarray) -> np.ndarray:
+    return np.matmul(a, b.T, out=room[: len(a) * len(b)].reshape(len(a), len(b)))
+
+
+def _leading(units: np.ndarray) -> np.ndarray | None:
+    """The first components of unit vectors, and the length of the rest in one more.
+
+    No product of these is less than that of the whole vectors. Short vectors have none.
+    """
+    lead = 3 * units.shape[1] // 8
+    if lead < 8:
+        return None
+    rest = np.linalg.norm(units[:, lead:], axis=1, keepdims=True)
+    return np.concatenate([units[:, :lead], rest], axis=1).astype(np.float32)
+
+
+def _some_pairs(mask: np.ndarray, size: int):
+    """Row and column of all that is set, for as many at once as can be multiplied one by one."""
+    rows = np.flatnonzero(mask.any(axis=1))
+    i, j = np.nonzero(mask[rows])
+    i, most = rows[i], max(1, (1 << 22) // size)
+    for at in range(0, len(i), most):
+        yield i[at : at + most], j[at : at + most]
 
 
 def _joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
